@@ -104,6 +104,11 @@ class Contract:
         """Column of the first ``unique`` rule (dedup key)."""
         return next((r.column for r in self.rules if r.kind == "unique"), None)
 
+    @property
+    def row_key(self) -> str:
+        """Column that identifies a row in reports: the unique key, else the first column."""
+        return self.key or self.columns[0][0]
+
     def spark_schema(self) -> T.StructType:
         return T.StructType([T.StructField(c, DECLARED_TYPES[t], True) for c, t in self.columns])
 
