@@ -31,6 +31,7 @@ def measured(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataF
     """Materialise a derived key set once (persisted, recomputable from lineage if an
     executor is lost), count it, and say whether it is small enough to broadcast."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
     n = df.count()
     return df, n * row_bytes(df.schema) <= max_bytes, n
 
@@ -43,5 +44,16 @@ def join_keyset(big: DataFrame, keys: DataFrame, cond, how: str = "left",
     if n == 0 and how == "left":
         # nothing to match: keep the plan a plain scan, add the right side's columns as nulls
         return big.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in keys.schema.fields])
+    if n == 0 and how == "left_anti":
+        return big
     right = F.broadcast(keys) if small else keys
     return big.join(right, cond(big, keys), how)
+
+
+_PERSISTED: list[DataFrame] = []
+
+
+def release() -> None:
+    """Unpersist key sets materialised by ``measured`` (end of a job)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()

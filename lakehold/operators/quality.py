@@ -41,7 +41,9 @@ def keep_first_order(df: DataFrame, c: Contract) -> list[str]:
     """Keep-first order: the contract's order, then the Bronze ordinal when present;
     without either, every non-control column (a total order up to identical rows)."""
     order = [o for o in c.order_by if o in df.columns]
-    if "_ordinal" in df.columns:
+    if "_arrival_run" in df.columns and "_arrival_ordinal" in df.columns:
+        order += ["_arrival_run", "_arrival_ordinal"]
+    elif "_ordinal" in df.columns:
         order.append("_ordinal")
     if not order:
         order = [x for x in df.columns if not x.startswith("_")]

@@ -13,9 +13,13 @@ from lakehold.operators.silver import drop_control
 def quarantine_rows(fl: Q.Flagged, reason: str, run_id: str, at: str) -> DataFrame:
     """Sink shape: the input row (control columns included) + ``_reason``,
     ``_failed_rules`` (array<string>), ``_quarantined_at``, ``run_id``."""
-    data = [c for c in fl.data_columns() if c != "run_id"]
-    return fl.invalid().select(*data, F.lit(reason).alias("_reason"), F.col(Q.FAILED),
-                               F.lit(at).alias("_quarantined_at"), F.lit(run_id).alias("run_id"))
+    data = [c for c in fl.data_columns() if c not in ("run_id", "_bronze_run_id")]
+    cols = fl.df.columns
+    origin = (F.col("_bronze_run_id") if "_bronze_run_id" in cols
+              else F.col("run_id") if "run_id" in cols else F.lit(None).cast("string"))
+    return fl.invalid().select(*data, origin.alias("_bronze_run_id"), F.lit(reason).alias("_reason"),
+                               F.col(Q.FAILED), F.lit(at).alias("_quarantined_at"),
+                               F.lit(run_id).alias("run_id"))
 
 
 def quarantine_view(fl: Q.Flagged, reason: str) -> DataFrame:
@@ -60,7 +64,9 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     data_cols = [x for x in bronze.columns if not x.startswith("_") and x != "run_id"]
     has_ordinal = "_ordinal" in bronze.columns and "_ordinal" in quarantined.columns
     keep = data_cols + (["_ordinal"] if has_ordinal else [])
-    cand = quarantined.select(*keep).distinct()
+    extra = ["_bronze_run_id"] if "_bronze_run_id" in quarantined.columns else []
+    # the same Bronze row quarantined by several runs is one candidate
+    cand = quarantined.select(*keep, *extra).distinct()
     fl = Q.flag(cand, c, refs, as_of)
     key = c.key
     if key is None:

@@ -130,7 +130,7 @@ class Lake:
         runs = run_ids or self.bronze_runs(name)[-1:]
         if not runs:
             raise TableMissing(f"table missing: bronze/{name}")
-        df = self.spark.read.parquet(self.path("bronze", name))
+        df = self.spark.read.option("mergeSchema", "true").parquet(self.path("bronze", name))
         return df.where(F.col("run_id").isin(runs))
 
     # ---- quarantine -------------------------------------------------------------------------
