@@ -36,11 +36,12 @@ def measured(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataF
     return df, n * row_bytes(df.schema) <= max_bytes, n
 
 
-def join_keyset(big: DataFrame, keys: DataFrame, cond, how: str = "left",
+def join_keyset(big: DataFrame, keys, cond, how: str = "left",
                 max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` with a derived key set: broadcast when its measured size is small,
-    otherwise a shuffle join (skewed partitions of ``big`` are split by AQE)."""
-    keys, small, n = measured(keys, max_bytes)
+    otherwise a shuffle join (skewed partitions of ``big`` are split by AQE).
+    ``keys`` is a DataFrame or the result of ``measured`` (already materialised)."""
+    keys, small, n = keys if isinstance(keys, tuple) else measured(keys, max_bytes)
     if n == 0 and how == "left":
         # nothing to match: keep the plan a plain scan, add the right side's columns as nulls
         return big.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in keys.schema.fields])

@@ -28,10 +28,11 @@ def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool
 
 
 def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
-                        nulls_equal: bool = False) -> DataFrame:
+                        nulls_equal: bool = False, dups=None) -> DataFrame:
     """``flag`` is true for every row of a key except its first by ``order``.
-    Null keys never fail unless ``nulls_equal`` (then nulls form one group)."""
-    dups = duplicate_keys(df, key, order, nulls_equal)
+    Null keys never fail unless ``nulls_equal`` (then nulls form one group).
+    ``dups`` may carry the key set already materialised (see ``joins.measured``)."""
+    dups = dups if dups is not None else duplicate_keys(df, key, order, nulls_equal)
 
     def cond(big, keys):
         return big[key].eqNullSafe(keys["_dk"]) if nulls_equal else big[key] == keys["_dk"]
@@ -56,12 +57,16 @@ def orphan_keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str) ->
     return keys.join(ref_keys, "_ok", "left_anti")
 
 
+def fk_keyset(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
+    return orphan_keys(df, column, ref, ref_column).withColumn("_orphan", F.lit(True))
+
+
 def with_fk_flag(df: DataFrame, column: str, ref: DataFrame | None, ref_column: str,
-                 flag: str) -> DataFrame:
+                 flag: str, orphans=None) -> DataFrame:
     """``flag`` is true when ``column`` is not null and absent from ``ref.ref_column``.
     A missing reference, or one without that column, fails nothing."""
     if ref is None or ref_column not in ref.columns:
         return df.withColumn(flag, F.lit(False))
-    orphans = orphan_keys(df, column, ref, ref_column).withColumn("_orphan", F.lit(True))
+    orphans = orphans if orphans is not None else fk_keyset(df, column, ref, ref_column)
     out = join_keyset(df, orphans, lambda big, keys: big[column] == keys["_ok"])
     return out.withColumn(flag, F.coalesce(F.col("_orphan"), F.lit(False))).drop("_ok", "_orphan")

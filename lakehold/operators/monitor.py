@@ -41,6 +41,7 @@ def run_history(runs: DataFrame, stage: str = "silver") -> DataFrame:
     number of alerts."""
     st = F.col("stages")[stage]
     return runs.select("run_id", "ts", "status", "duration_s",
+                       st["rows_in"].alias("rows_in"),
                        st["quality_rate"].alias("quality_rate"),
                        st["quarantined"].alias("quarantined"),
                        F.size(F.coalesce(F.col("alerts"), F.array())).cast("long").alias("n_alerts"))
@@ -103,7 +104,7 @@ def run_health(runs: DataFrame, gold_ok: bool | None = None, missing_tables: lis
         items.append(F.lit("ok" if gold_ok else "critical").alias("gold"))
     if missing_tables is not None:
         items.append(F.lit("alert" if missing_tables else "ok").alias("layers"))
-    out = runs.select("run_id", "ts", "status", F.round(age_h, 3).alias("age_hours"),
+    out = runs.select("run_id", "ts", "status", age_h.alias("age_hours"),
                       rate.alias("quality_rate"), *items)
     names = [i for i in ("last_run", "freshness", "quality", "gold", "layers") if i in out.columns]
     worst = F.greatest(*[_status_rank(F.col(n)) for n in names])

@@ -17,6 +17,32 @@ from lakehold.operators.quality import round_half_up
 PROFILE_SCHEMA = "layer string, dataset string, column string, rows long, null_pct double, n_distinct long"
 
 
+_FAMILIES = {"v_long": T.LongType(), "v_double": T.DoubleType(), "v_ts": T.TimestampNTZType(),
+             "v_text": T.StringType()}
+
+
+def _family(dt: T.DataType) -> str:
+    if isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
+        return "v_long"
+    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return "v_double"
+    if isinstance(dt, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return "v_ts"
+    return "v_text"
+
+
+def _typed_pair(df: DataFrame, name: str):
+    dt = df.schema[name].dataType
+    fam = _family(dt)
+    c = F.col(f"`{name}`")
+    if fam == "v_double":
+        c = F.when(F.isnan(c.cast("double")), F.lit(None)).otherwise(c)  # NaN counts as missing
+    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
+        c = F.to_json(c) if not isinstance(dt, T.BinaryType) else F.base64(c)
+    vals = [(c.cast(t) if k == fam else F.lit(None).cast(t)).alias(k) for k, t in _FAMILIES.items()]
+    return F.struct(F.lit(name).alias("column"), *vals)
+
+
 def _as_text(df: DataFrame, name: str):
     c = F.col(f"`{name}`")
     if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
@@ -24,7 +50,16 @@ def _as_text(df: DataFrame, name: str):
     return c.cast("string")
 
 
-def profile(df: DataFrame, layer: str, dataset: str, exact: bool = True) -> DataFrame:
+# internal bookkeeping columns (arrival position, provenance) are not profiled
+INTERNAL = ("_ordinal", "_arrival_run", "_arrival_ordinal", "_origin_run", "_origin_ordinal", "run_id")
+
+
+def profile(df: DataFrame, layer: str, dataset: str, exact: bool = True,
+            known_unique: tuple = ()) -> DataFrame:
+    """Profile rows of ``df``. ``known_unique`` names columns whose non-null values are
+    distinct by construction (a Silver key that passed ``unique``): their distinct count
+    is their non-null count, so they skip the (column, value) shuffle."""
+    df = df.drop(*[c for c in INTERNAL if c in df.columns])
     cols = df.columns
     if not exact:
         aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -37,14 +72,31 @@ def profile(df: DataFrame, layer: str, dataset: str, exact: bool = True) -> Data
         long = wide.select("_rows", F.explode(F.array(*rows)).alias("p")).select(
             F.col("_rows").alias("rows"), "p.column", "p.nulls", "p.n_distinct")
     else:
-        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value"))
-                                    for c in cols])).alias("p")
-        per_value = (df.select(pairs).select("p.column", "p.value")
-                     .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
-        long = per_value.groupBy("column").agg(
-            F.sum("cnt").alias("rows"),
-            F.sum(F.when(F.col("value").isNull(), F.col("cnt")).otherwise(0)).alias("nulls"),
-            F.count("value").alias("n_distinct"))
+        shuffled = [c for c in cols if c not in known_unique]
+        parts = []
+        if shuffled:
+            # (column, value) pairs with the value kept in its own type family -- no text
+            # formatting of numbers; one struct shape so all columns share one explode
+            pairs = F.explode(F.array(*[_typed_pair(df, c) for c in shuffled])).alias("p")
+            per_value = (df.select(pairs).select("p.*")
+                         .groupBy("column", *_FAMILIES).agg(F.count(F.lit(1)).alias("cnt")))
+            is_null = F.lit(True)
+            for fam in _FAMILIES:
+                is_null = is_null & F.col(fam).isNull()
+            parts.append(per_value.groupBy("column").agg(
+                F.sum("cnt").alias("rows"),
+                F.sum(F.when(is_null, F.col("cnt")).otherwise(0)).alias("nulls"),
+                F.count_if(~is_null).alias("n_distinct")))
+        uniq = [c for c in cols if c in known_unique]
+        if uniq:
+            aggs = [F.count(F.lit(1)).alias("_rows")]
+            for i, c in enumerate(uniq):
+                aggs.append(F.count_if(_as_text(df, c).isNull()).alias(f"_n{i}"))
+            rows = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("nulls")) for i, c in enumerate(uniq)]
+            parts.append(df.agg(*aggs).select("_rows", F.explode(F.array(*rows)).alias("p")).select(
+                F.col("_rows").alias("rows"), "p.column", "p.nulls",
+                (F.col("_rows") - F.col("p.nulls")).alias("n_distinct")))
+        long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     null_pct = F.when(F.col("rows") == 0, F.lit(0.0)).otherwise(F.col("nulls") / F.col("rows"))
     return long.select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "column",
                        F.col("rows").cast("long").alias("rows"),
@@ -52,7 +104,7 @@ def profile(df: DataFrame, layer: str, dataset: str, exact: bool = True) -> Data
                        F.col("n_distinct").cast("long").alias("n_distinct"))
 
 
-def schema_drift(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+def drift_items(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
     """Contract columns absent from the table (``missing``) and table columns absent from
     the contract (``unexpected``); control columns (``_``) ignored. Read from schemas only."""
     rows = []
@@ -61,7 +113,11 @@ def schema_drift(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame
         present = {c for c in df.columns if not c.startswith("_") and c != "run_id"}
         rows += [(ds, "missing", c) for c in sorted(expected - present)]
         rows += [(ds, "unexpected", c) for c in sorted(present - expected)]
-    return spark.createDataFrame(rows, "dataset string, kind string, column string")
+    return rows
+
+
+def schema_drift(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    return spark.createDataFrame(drift_items(tables), "dataset string, kind string, column string")
 
 
 def contract_metadata(spark: SparkSession, contracts: dict[str, Contract] | None = None) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from lakehold.contracts import (MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract,
                                 Rule)
 from lakehold.functions.rules import STATELESS, as_of_for
-from lakehold.operators.keys import with_duplicate_flag, with_fk_flag
+from lakehold.operators.joins import measured
+from lakehold.operators.keys import duplicate_keys, fk_keyset, with_duplicate_flag, with_fk_flag
 
 FAILED = "_failed_rules"
 
@@ -60,6 +61,24 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None) -> Fl
     missing = frozenset(i for i, r in enumerate(c.rules) if r.column not in present)
     order = keep_first_order(df, c)
 
+    # key sets of the keyed rules are independent: materialise them concurrently
+    keysets = {}
+    for i, r in enumerate(c.rules):
+        if i in missing:
+            continue
+        if r.kind == "unique":
+            keysets[i] = duplicate_keys(df, r.column, order)
+        elif r.kind == "fk":
+            target, target_col = r.param
+            ref = refs.get(target)
+            if ref is not None and target_col in ref.columns:
+                keysets[i] = fk_keyset(df, r.column, ref, target_col)
+    if keysets:
+        from lakehold.plans.parallel import run_all
+        idx = list(keysets)
+        done = run_all([(lambda k=keysets[i]: measured(k)) for i in idx])
+        keysets = dict(zip(idx, done))
+
     out = df
     stateless = {}
     for i, r in enumerate(c.rules):
@@ -67,10 +86,11 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None) -> Fl
         if i in missing:
             stateless[name] = F.lit(True)
         elif r.kind == "unique":
-            out = with_duplicate_flag(out, r.column, order, name)
+            out = with_duplicate_flag(out, r.column, order, name, dups=keysets[i])
         elif r.kind == "fk":
             target, target_col = r.param
-            out = with_fk_flag(out, r.column, refs.get(target), target_col, name)
+            out = with_fk_flag(out, r.column, refs.get(target), target_col, name,
+                               orphans=keysets.get(i))
         else:
             stateless[name] = F.coalesce(STATELESS[r.kind](df, c, r, as_of), F.lit(False))
     if stateless:

@@ -82,15 +82,18 @@ class Run:
 def ingest_batch(run: Run, sources: dict[str, DataFrame]) -> dict[str, int]:
     """Land each batch source in Bronze as this run's partition (append-only). The row
     count comes from an Observation on the same write, not from a second job."""
+    from lakehold.plans.parallel import run_all
     t0 = time.time()
-    counts = {}
-    for name in BATCH_DATASETS:
-        if name not in sources:
-            continue
-        obs = Observation(f"ingest_{name}")
+    names = [n for n in BATCH_DATASETS if n in sources]
+
+    def land(name):
+        obs = Observation(f"ingest_{name}_{run.run_id}")
         df = sources[name].observe(obs, F.count(F.lit(1)).alias("n"))
         run.lake.write_bronze(df, name, f"raw/{name}", run.run_id, run.ts)
-        counts[name] = int(obs.get["n"])
+        return int(obs.get["n"])
+
+    counts = dict(zip(names, run_all([(lambda n=n: land(n)) for n in names])))
+    for name in names:
         run.edge(f"raw/{name}", f"bronze/{name}", "ingest_batch", counts[name])
     total = sum(counts.values())
     run.stage("ingest_batch", total, total, time.time() - t0)
@@ -159,33 +162,45 @@ def read_bronze_for_silver(lake: Lake, name: str) -> DataFrame:
         "_arrival_ordinal": F.coalesce(F.col("_origin_ordinal"), F.col("_ordinal"))})
 
 
+def _silver_dataset(run: Run, ds: str, refs: dict) -> dict:
+    """Validate one dataset's Bronze input, write Silver and quarantine. The report counts
+    come from an Observation on the Silver write (placed before the valid/invalid split,
+    so it sees every row); the flagged frame is persisted for the quarantine write."""
+    lake, c = run.lake, CONTRACTS[ds]
+    bronze = read_bronze_for_silver(lake, ds)
+    fl = Q.flag(bronze, c, refs, run.as_of)
+    fl.df = fl.df.persist(StorageLevel.MEMORY_AND_DISK)
+    obs = Observation(f"silver_{ds}_{run.run_id}")
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.size(F.col(Q.FAILED)) > 0).alias("n_invalid")]
+    aggs += [F.count_if(F.col(n)).alias(n) for n in fl.flag_cols]
+    observed = Q.Flagged(fl.df.observe(obs, *aggs), c, fl.rules, fl.flag_cols, fl.missing)
+    silver = to_silver(observed.valid().select(*fl.data_columns()), c, run.salt)
+    obs_out = Observation(f"silver_out_{ds}_{run.run_id}")
+    lake.write(silver.observe(obs_out, F.count(F.lit(1)).alias("n")), "silver", ds)
+    counts = obs.get
+    n, n_bad, n_out = counts["n"], counts["n_invalid"], int(obs_out.get["n"])
+    if n_bad:
+        lake.write_quarantine(QR.quarantine_rows(fl, SILVER_REASON, run.run_id, run.ts), ds)
+    fl.df.unpersist()
+    run.edge(f"bronze/{ds}", f"silver/{ds}", "silver", n_out)
+    rate = 1.0 if n == 0 else (n - n_bad) / n
+    rules = [{"rule": r.kind, "column": r.column,
+              "failed": int(counts[fl.flag_cols[i]]) if i not in fl.missing else int(n)}
+             for i, r in enumerate(c.rules)]
+    return {"rows_in": n, "rows_out": n_out, "quarantined": n_bad, "pass_rate": rate, "rules": rules}
+
+
 def silver_job(run: Run, datasets=ALL_DATASETS) -> dict:
+    """Silver for every dataset with Bronze input (datasets processed concurrently), then
+    the quality gate: worst pass rate strictly below the threshold blocks Gold."""
+    from lakehold.plans.parallel import run_all
     t0 = time.time()
     lake = run.lake
     present = [d for d in datasets if lake.exists("bronze", d)]
     refs = {n: lake.read_bronze(n, bronze_runs_for_silver(lake, n))
             for n in BATCH_DATASETS if lake.exists("bronze", n)}
-    result = {"datasets": {}, "gate_ok": True}
-    for ds in present:
-        c = CONTRACTS[ds]
-        bronze = read_bronze_for_silver(lake, ds)
-        fl = Q.flag(bronze, c, refs, run.as_of)
-        fl.df = fl.df.persist(StorageLevel.MEMORY_AND_DISK)
-        counts = Q.summary_counts(fl).collect()[0]
-        n, n_bad = counts["n"], counts["n_invalid"]
-        if n_bad:
-            lake.write_quarantine(QR.quarantine_rows(fl, SILVER_REASON, run.run_id, run.ts), ds)
-        obs = Observation(f"silver_{ds}")
-        silver = to_silver(fl.valid().select(*fl.data_columns()), c, run.salt)
-        lake.write(silver.observe(obs, F.count(F.lit(1)).alias("n")), "silver", ds)
-        n_out = int(obs.get["n"])
-        fl.df.unpersist()
-        run.edge(f"bronze/{ds}", f"silver/{ds}", "silver", n_out)
-        rate = 1.0 if n == 0 else (n - n_bad) / n
-        rules = [{"rule": r.kind, "column": r.column, "failed": int(counts[fl.flag_cols[i]])
-                  if i not in fl.missing else int(n)} for i, r in enumerate(c.rules)]
-        result["datasets"][ds] = {"rows_in": n, "rows_out": n_out, "quarantined": n_bad,
-                                  "pass_rate": rate, "rules": rules}
+    outs = run_all([(lambda d=d: _silver_dataset(run, d, refs)) for d in present])
+    result = {"datasets": dict(zip(present, outs)), "gate_ok": True}
     release()
     worst = min((d["pass_rate"] for d in result["datasets"].values()), default=1.0)
     result["worst_rate"] = worst
@@ -211,11 +226,16 @@ def gold_job(run: Run) -> dict[str, int]:
     silver = {d: lake.read("silver", d) for d in ALL_DATASETS if lake.exists("silver", d)}
     if not silver:
         raise TableMissing("no Silver table to build Gold from")
-    produced = {}
-    for name, df in G.gold_tables(silver).items():
-        obs = Observation(f"gold_{name}")
-        lake.write(df.observe(obs, F.count(F.lit(1)).alias("n")), "gold", name)
-        produced[name] = int(obs.get["n"])
+    from lakehold.plans.parallel import run_all
+    tables = G.gold_tables(silver)
+
+    def build(name):
+        obs = Observation(f"gold_{name}_{run.run_id}")
+        lake.write(tables[name].observe(obs, F.count(F.lit(1)).alias("n")), "gold", name)
+        return int(obs.get["n"])
+
+    produced = dict(zip(tables, run_all([(lambda n=n: build(n)) for n in tables])))
+    for name in tables:
         run.edge("silver/*", f"gold/{name}", "gold", produced[name])
     for name in G.GOLD_QUERIES:
         if name not in produced:
@@ -250,16 +270,20 @@ def governance(run: Run, exact: bool = True) -> DataFrame:
                   if layer == "bronze" else lake.read("silver", ds))
             if layer == "bronze":
                 bronze[ds] = df
-            parts.append(P.profile(df, layer, ds, exact))
+            c = CONTRACTS[ds]
+            # Silver keys passed not_null + unique: distinct = rows
+            uniq = (c.key,) if layer == "silver" and c.key and c.dedup_is_noop() else ()
+            parts.append(P.profile(df, layer, ds, exact, known_unique=uniq))
+    from lakehold.plans.parallel import run_all
     prof = None
     for p in parts:
         prof = p if prof is None else prof.unionByName(p)
+    tasks = [lambda: lake.write(P.catalog_columns(run.spark), "catalog", "columns")]
     if prof is not None:
-        lake.write(prof, "catalog", "profile")
-    drift = P.schema_drift(run.spark, bronze).collect()
-    for r in drift:
-        run.alert("WARN", f"schema drift: [{r['dataset']}] {r['kind']} column {r['column']}")
-    lake.write(P.catalog_columns(run.spark), "catalog", "columns")
+        tasks.append(lambda: lake.write(prof, "catalog", "profile"))
+    run_all(tasks)
+    for ds, kind, col in P.drift_items(bronze):
+        run.alert("WARN", f"schema drift: [{ds}] {kind} column {col}")
     run.stage("governance", duration_s=time.time() - t0)
     return prof
 
@@ -277,11 +301,14 @@ def finish(run: Run, status: str, config: dict | None = None) -> dict:
               "duration_s": round(time.time() - run.started, 3),
               "config": {k: str(v) for k, v in (config or {}).items()},
               "stages": run.stages, "alerts": run.alerts}
+    from lakehold.plans.parallel import run_all
     spark, lake = run.spark, run.lake
-    lake.append_json("logs", "runs", spark.createDataFrame([record], M.RUN_SCHEMA))
-    _write_alerts(run)
+    tasks = [lambda: lake.append_json("logs", "runs", spark.createDataFrame([record], M.RUN_SCHEMA)),
+             lambda: _write_alerts(run)]
     if run.edges:
-        lake.append_json("logs", "lineage", spark.createDataFrame(run.edges, M.LINEAGE_SCHEMA))
+        tasks.append(lambda: lake.append_json("logs", "lineage",
+                                              spark.createDataFrame(run.edges, M.LINEAGE_SCHEMA)))
+    run_all(tasks)
     return record
 
 

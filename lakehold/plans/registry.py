@@ -322,3 +322,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in QUERIES}
+
+
+# part two registers into the same dictionaries
+from lakehold.plans import registry_more  # noqa: E402,F401

@@ -118,7 +118,8 @@ class Lake:
 
     # ---- bronze -----------------------------------------------------------------------------
     def write_bronze(self, df: DataFrame, name: str, source: str, run_id: str, run_ts: str) -> None:
-        bronze = with_control_columns(df, source, run_id, run_ts)
+        from lakehold.sources.layout import spread
+        bronze = with_control_columns(spread(df), source, run_id, run_ts)
         bronze.write.mode("append").partitionBy("run_id").parquet(self.path("bronze", name))
 
     def bronze_runs(self, name: str) -> list[str]:
@@ -130,8 +131,13 @@ class Lake:
         runs = run_ids or self.bronze_runs(name)[-1:]
         if not runs:
             raise TableMissing(f"table missing: bronze/{name}")
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path("bronze", name))
-        return df.where(F.col("run_id").isin(runs))
+        base = self.path("bronze", name)
+        reader = self.spark.read.option("basePath", base)
+        if any(r.endswith("_rp") for r in runs):
+            # returned rows carry provenance columns the ingest runs lack
+            reader = reader.option("mergeSchema", "true")
+        # list only the selected run partitions, not the table's whole history
+        return reader.parquet(*[f"{base}/run_id={r}" for r in runs])
 
     # ---- quarantine -------------------------------------------------------------------------
     def write_quarantine(self, rows: DataFrame, name: str) -> None:

@@ -1,0 +1,15 @@
+"""Partition layout helpers."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a DataFrame that arrives in fewer partitions than the cluster has cores
+    (e.g. a file that is a single Parquet row group), so later stages and the files it is
+    written to are parallel. Inputs that already have enough partitions -- every input at
+    cluster scale -- pass through without a shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

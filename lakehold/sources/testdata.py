@@ -12,6 +12,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakehold.sources.layout import spread
+
 # Fixed adapter parameters (must equal the SQL views in lakehold.plans.oracle)
 AS_OF = {"readers": "2026-01-01 00:00:00", "loans": "2001-01-01 00:00:00",
          "*": "2026-01-01 00:00:00"}
@@ -19,8 +21,13 @@ LATER_AS_OF = {"readers": "2026-01-01 00:00:00", "loans": "2002-01-01 00:00:00",
                "*": "2026-01-01 00:00:00"}
 
 
+# tables big enough to be worth spreading when they arrive as one unsplittable file
+FACT_TABLES = ("lineitem", "orders", "events")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in FACT_TABLES else df
 
 
 def readers(spark: SparkSession, sf_dir: str) -> DataFrame:
