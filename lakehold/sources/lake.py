@@ -77,10 +77,20 @@ class Lake:
         out = []
         for st in fs.listStatus(p):
             n = st.getPath().getName()
-            if st.isDirectory() and n.startswith(column + "="):
+            if st.isDirectory() and n.startswith(column + "=") and self._has_data(fs, st.getPath()):
                 out.append(n.split("=", 1)[1])
         return sorted(out)
 
+    @staticmethod
+    def _has_data(fs, path) -> bool:
+        """A partition counts once it holds a data file (an empty stream drain leaves only
+        the sink's commit log)."""
+        for st in fs.listStatus(path):
+            n = st.getPath().getName()
+            if not n.startswith(("_", ".")):
+                return True
+        return False
+
     # ---- generic tables ----------------------------------------------------------------
     def _reader(self):
         r = self.spark.read
@@ -109,12 +119,23 @@ class Lake:
 
     # ---- raw files ------------------------------------------------------------------------
     def read_raw_csv(self, name: str, schema: T.StructType) -> DataFrame:
-        """CSV with a header and the contract schema; an empty field is null; a line that
-        does not fit the schema keeps its text in ``_corrupt_record``."""
-        full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
-        return (self.spark.read.option("header", True).option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", "_corrupt_record")
-                .schema(full).csv(self.path("raw", f"{name}.csv")))
+        """CSV with a header. Columns are matched to the contract *by name* (a source that
+        lost or gained columns is not mis-aligned); declared types are applied leniently
+        (``try_cast``: unparsable -> null); an empty field is null; a line with the wrong
+        number of fields keeps its text in ``_corrupt_record``."""
+        path = self.path("raw", f"{name}.csv")
+        header = self.spark.read.option("header", True).csv(path).columns
+        text = T.StructType([T.StructField(h, T.StringType(), True) for h in header]
+                            + [T.StructField("_corrupt_record", T.StringType(), True)])
+        raw = (self.spark.read.option("header", True).option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", "_corrupt_record").schema(text).csv(path))
+        declared = {f.name: f.dataType for f in schema.fields}
+        cols = []
+        for h in header:
+            t = declared.get(h)
+            cols.append(F.col(h).try_cast(t).alias(h) if t is not None and not isinstance(t, T.StringType)
+                        else F.col(h))
+        return raw.select(*cols, "_corrupt_record")
 
     # ---- bronze -----------------------------------------------------------------------------
     def write_bronze(self, df: DataFrame, name: str, source: str, run_id: str, run_ts: str) -> None:
@@ -133,8 +154,9 @@ class Lake:
             raise TableMissing(f"table missing: bronze/{name}")
         base = self.path("bronze", name)
         reader = self.spark.read.option("basePath", base)
-        if any(r.endswith("_rp") for r in runs):
-            # returned rows carry provenance columns the ingest runs lack
+        if len(runs) > 1:
+            # runs may differ in columns (returned rows carry provenance, stream drains a
+            # corrupt-record column): merge footers only when several runs are read
             reader = reader.option("mergeSchema", "true")
         # list only the selected run partitions, not the table's whole history
         return reader.parquet(*[f"{base}/run_id={r}" for r in runs])
