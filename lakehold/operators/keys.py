@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.operators.joins import join_keyset
+from lakehold.operators.joins import join_keyset, measured
 
 
 def order_struct(columns: list[str]) -> Column:
@@ -19,12 +19,25 @@ def order_struct(columns: list[str]) -> Column:
 
 
 def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool = False) -> DataFrame:
-    """Keys with more than one row and the smallest order tuple per key (nulls sort first)."""
+    """Keys with more than one row and the smallest order tuple per key (nulls sort first).
+
+    Two steps, so the expensive part only sees duplicated keys: (1) count rows per key --
+    a hash aggregate on the key alone, partially aggregated per task; (2) the lexicographic
+    minimum of the order tuple (a sort-based aggregate, structs are not hash-aggregable)
+    over the rows of keys counted more than once, selected by a size-checked semi-join."""
     base = df if nulls_equal else df.where(F.col(key).isNotNull())
-    return (base.groupBy(F.col(key).alias("_dk"))
-            .agg(F.count(F.lit(1)).alias("_dn"), F.min(order_struct(order)).alias("_dfirst"))
-            .where(F.col("_dn") > 1)
-            .select("_dk", "_dfirst"))
+    narrow = base.select(F.col(key), order_struct(order).alias("_dord"))
+    counts = (narrow.groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn"))
+              .where(F.col("_dn") > 1).select("_dk"))
+    counted = measured(counts)
+    if counted[2] == 0:
+        return narrow.select(F.col(key).alias("_dk"), F.col("_dord").alias("_dfirst")).limit(0)
+
+    def cond(big, keys):
+        return big[key].eqNullSafe(keys["_dk"]) if nulls_equal else big[key] == keys["_dk"]
+
+    dup_rows = join_keyset(narrow, counted, cond, how="left_semi")
+    return dup_rows.groupBy(F.col(key).alias("_dk")).agg(F.min("_dord").alias("_dfirst"))
 
 
 def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
