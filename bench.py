@@ -41,13 +41,14 @@ def main() -> None:
     spark = session.build(master=f"local[{CPUS}]", shuffle_partitions=int(CPUS) * 2, app="lakehold-bench")
     qs = queries()
 
-    def run_pipeline(sf_dir):
+    def run_pipeline(sf_dir, gate=None):
         root = tempfile.mkdtemp(prefix="lakehold-bench-")
         lake = Lake(spark, root)
         src = td.load_all(spark, sf_dir)
         events = src.pop("access_events")
+        kw = {} if gate is None else {"gate_threshold": gate}
         t = time.time()
-        res = J.run_pipeline(spark, lake, src, events, as_of=td.AS_OF)
+        res = J.run_pipeline(spark, lake, src, events, as_of=td.AS_OF, **kw)
         return time.time() - t, res["status"]
 
     # warm-up: JIT, class loading, file listing caches
@@ -66,14 +67,22 @@ def main() -> None:
             runs.append(time.time() - t)
         timings[name] = round(statistics.median(runs), 3)
 
+    # default gate (0.95): the dirty test tables block Gold, as the contract says they should
     pipe, status = [], None
     for _ in range(REPEAT):
         sec, status = run_pipeline(SF_DIR)
         pipe.append(sec)
-    full = round(statistics.median(pipe), 3)
+    timings["full_pipeline_gate_default"] = round(statistics.median(pipe), 3)
+    # the whole path including Gold, as in the baseline's full runs (gate at 0.5)
+    pipe_gold, status_gold = [], None
+    for _ in range(REPEAT):
+        sec, status_gold = run_pipeline(SF_DIR, gate=0.5)
+        pipe_gold.append(sec)
+    full = round(statistics.median(pipe_gold), 3)
     timings["full_pipeline"] = full
     print(json.dumps({"metric": "full_pipeline_median", "value": full, "unit": "sec",
-                      "queries": timings, "sf": _sf_label(SF_DIR), "pipeline_status": status,
+                      "queries": timings, "sf": _sf_label(SF_DIR), "pipeline_status": status_gold,
+                      "pipeline_status_gate_default": status, "gold_gate_threshold": 0.5,
                       "spark_version": spark.version, "cpus": int(CPUS),
                       "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
                       "repeat": REPEAT}))

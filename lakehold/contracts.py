@@ -52,7 +52,7 @@ class Rule:
     param: object = None
 
     def __post_init__(self):
-        if self.kind not in RULE_KINDS:
+        if self.kind not in globals()["RULE_KINDS"]:
             raise ValueError(f"unknown rule kind {self.kind!r} on column {self.column!r}")
         if self.kind == "in_range" and len(self.param) != 2:
             raise ValueError("in_range needs (lo, hi)")

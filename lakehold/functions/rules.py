@@ -65,6 +65,17 @@ STATELESS: dict[str, Callable[..., Column]] = {
 KEYED = ("unique", "fk")
 
 
+def register_rule(kind: str, fn: Callable[..., Column]) -> None:
+    """Extension point: add a stateless rule ``fn(df, contract, rule, as_of) -> Column``
+    (``True`` = the row breaks the rule). Contracts may then use ``kind``."""
+    from lakehold import contracts
+    if kind in KEYED:
+        raise ValueError(f"{kind!r} is a built-in keyed rule")
+    STATELESS[kind] = fn
+    if kind not in contracts.RULE_KINDS:
+        contracts.RULE_KINDS = contracts.RULE_KINDS + (kind,)
+
+
 def as_of_for(as_of, dataset: str):
     """``as_of`` may be one instant or a mapping dataset -> instant."""
     if isinstance(as_of, dict):

@@ -137,10 +137,13 @@ def catalog_summary(profiles: DataFrame, meta: DataFrame, layer: str = "silver")
                     F.coalesce(F.col("n_columns"), F.lit(0)).cast("long").alias("n_columns")))
 
 
-def catalog_columns(spark: SparkSession, contracts: dict[str, Contract] | None = None) -> DataFrame:
-    """Column dictionary from the contracts: dataset, column, type, personal data flag."""
+def catalog_columns(spark: SparkSession, contracts: dict[str, Contract] | None = None,
+                    dataset: str | None = None) -> DataFrame:
+    """Column dictionary from the contracts: dataset, column, type, personal data flag;
+    optionally only one dataset."""
     contracts = contracts or CONTRACTS
     rows = [(c.name, col, t, col in c.pii, c.domain, c.owner)
             for c in contracts.values() for col, t in c.columns]
-    return spark.createDataFrame(
+    df = spark.createDataFrame(
         rows, "dataset string, column string, type string, pii boolean, domain string, owner string")
+    return df.where(F.col("dataset") == dataset) if dataset else df

@@ -405,6 +405,17 @@ def reprocess(spark: SparkSession, lake: Lake, dataset: str, as_of=None) -> dict
             "run_id": run.run_id}
 
 
+# ---- history ----------------------------------------------------------------------------------
+
+def history(spark: SparkSession, lake: Lake, limit: int = 50) -> DataFrame:
+    """The last ``limit`` run records, newest first; unparsable lines are dropped first."""
+    return M.last_runs(lake.read_json("logs", "runs", M.RUN_SCHEMA), limit)
+
+
+def alerts(spark: SparkSession, lake: Lake) -> DataFrame:
+    return lake.read_json("logs", "alerts", M.ALERT)
+
+
 # ---- health ----------------------------------------------------------------------------------
 
 def health(spark: SparkSession, lake: Lake, as_of_ts: str | None = None) -> dict:

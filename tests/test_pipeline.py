@@ -134,3 +134,25 @@ def test_csv_lake_and_raw_csv(spark, tmp_path):
     assert raw.count() == books.count() and raw.where("_corrupt_record is not null").count() == 0
     lake.write(books, "silver", "books")
     assert lake.read("silver", "books").count() == books.count()
+
+
+def test_history_last_n_and_malformed_lines(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    src, events = _sources(spark)
+    books = {"books": src["books"]}
+    for _ in range(3):
+        J.run_pipeline(spark, lake, books, None, as_of=td.AS_OF, gate_threshold=0.0)
+    # a broken line in the log is skipped
+    os.makedirs(lake.path("logs", "runs"), exist_ok=True)
+    with open(os.path.join(lake.path("logs", "runs"), "part-broken.json"), "w") as f:
+        f.write("{not json\n")
+    h = J.history(spark, lake, 2).collect()
+    assert len(h) == 2 and h[0]["ts"] >= h[1]["ts"]
+    assert J.history(spark, lake, 50).count() == 3
+
+
+def test_dictionary_filter(spark):
+    from lakehold.operators.profile import catalog_columns
+    d = catalog_columns(spark, dataset="readers").collect()
+    assert {r["column"] for r in d} == {"reader_id", "name", "email", "city", "signup_date"}
+    assert {r["column"] for r in d if r["pii"]} == {"name", "email"}

@@ -155,3 +155,16 @@ def test_valid_and_invalid_partition_input(spark):
         n = fl.df.count()
         v, i = fl.valid().count(), fl.invalid().count()
         assert v + i == n
+
+
+def test_register_custom_rule(spark):
+    from lakehold.functions.rules import register_rule
+
+    def positive(df, c, rule, as_of):
+        return F.col(rule.column) <= 0
+
+    register_rule("positive", positive)
+    c = Contract(name="t", description="", domain="", kind="", columns=(("v", "int"),),
+                 rules=(Rule("positive", "v"),))
+    df = spark.createDataFrame([(1,), (0,), (-3,)], "v long")
+    assert Q.flag(df, c).invalid().count() == 2
