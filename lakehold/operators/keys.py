@@ -18,18 +18,24 @@ def order_struct(columns: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in columns])
 
 
-def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool = False) -> DataFrame:
-    """Keys with more than one row and the smallest order tuple per key (nulls sort first).
+def _narrow(df: DataFrame, key: str, order: list[str], nulls_equal: bool) -> DataFrame:
+    base = df if nulls_equal else df.where(F.col(key).isNotNull())
+    return base.select(F.col(key), order_struct(order).alias("_dord"))
 
-    Two steps, so the expensive part only sees duplicated keys: (1) count rows per key --
-    a hash aggregate on the key alone, partially aggregated per task; (2) the lexicographic
-    minimum of the order tuple (a sort-based aggregate, structs are not hash-aggregable)
-    over the rows of keys counted more than once, selected by a size-checked semi-join."""
+
+def duplicate_key_counts(df: DataFrame, key: str, nulls_equal: bool = False) -> DataFrame:
+    """Keys with more than one row: a hash aggregate on the key alone, partially
+    aggregated per task, so a hot key costs one row per task."""
     base = df if nulls_equal else df.where(F.col(key).isNotNull())
-    narrow = base.select(F.col(key), order_struct(order).alias("_dord"))
-    counts = (narrow.groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn"))
-              .where(F.col("_dn") > 1).select("_dk"))
-    counted = measured(counts)
+    return (base.groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn"))
+            .where(F.col("_dn") > 1).select("_dk"))
+
+
+def duplicate_firsts(df: DataFrame, key: str, order: list[str], counted, nulls_equal: bool = False) -> DataFrame:
+    """Smallest order tuple (nulls first) per duplicated key. ``counted`` is the measured
+    result of ``duplicate_key_counts``; only rows of those keys reach the sort-based
+    aggregate (structs are not hash-aggregable)."""
+    narrow = _narrow(df, key, order, nulls_equal)
     if counted[2] == 0:
         return narrow.select(F.col(key).alias("_dk"), F.col("_dord").alias("_dfirst")).limit(0)
 
@@ -40,6 +46,13 @@ def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool
     return dup_rows.groupBy(F.col(key).alias("_dk")).agg(F.min("_dord").alias("_dfirst"))
 
 
+def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool = False) -> DataFrame:
+    """Keys with more than one row and the smallest order tuple per key: hash-count the keys
+    first, then the lexicographic minimum over the duplicated keys' rows only."""
+    counted = measured(duplicate_key_counts(df, key, nulls_equal))
+    return duplicate_firsts(df, key, order, counted, nulls_equal)
+
+
 def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
                         nulls_equal: bool = False, dups=None) -> DataFrame:
     """``flag`` is true for every row of a key except its first by ``order``.

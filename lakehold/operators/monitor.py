@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakehold.functions.dates import ntz_seconds
 from lakehold.contracts import (FRESHNESS_MAX_HOURS, QUALITY_ALERT_PASS_RATE,
                                 QUALITY_GATE_MIN_PASS_RATE, VOLUME_DRIFT_TOLERANCE)
 
@@ -89,10 +90,10 @@ def run_health(runs: DataFrame, gold_ok: bool | None = None, missing_tables: lis
     run's start -- above ``max_age_hours`` -> alert), quality (rate < gate -> critical,
     < alert_rate -> alert), Gold reachable and layer tables present when given; overall is
     the worst item."""
-    ts = F.to_timestamp("ts")
+    ts = F.col("ts").try_cast("timestamp_ntz")
     nxt = F.lead(ts).over(Window.orderBy("ts", "run_id"))
-    check_at = F.lit(as_of_ts).cast("timestamp") if as_of_ts else F.coalesce(nxt, ts)
-    age_h = (F.unix_timestamp(check_at) - F.unix_timestamp(ts)) / 3600.0
+    check_at = F.lit(as_of_ts).try_cast("timestamp_ntz") if as_of_ts else F.coalesce(nxt, ts)
+    age_h = (ntz_seconds(check_at) - ntz_seconds(ts)) / 3600.0
     rate = F.col("stages")[stage]["quality_rate"]
     status_item = F.when(F.col("status") == SUCCESS, "ok").otherwise("critical")
     fresh_item = F.when(age_h > max_age_hours, "alert").otherwise("ok")

@@ -31,16 +31,26 @@ def _family(dt: T.DataType) -> str:
     return "v_text"
 
 
-def _typed_pair(df: DataFrame, name: str):
+_SQL_TYPES = {"v_long": "BIGINT", "v_double": "DOUBLE", "v_ts": "TIMESTAMP_NTZ", "v_text": "STRING"}
+
+
+def _typed_pair_sql(df: DataFrame, name: str) -> str:
+    """``named_struct(column, v_long, v_double, v_ts, v_text)`` for one column, as SQL text
+    (one expression for the whole unpivot keeps plan construction to a single call)."""
     dt = df.schema[name].dataType
     fam = _family(dt)
-    c = F.col(f"`{name}`")
+    ref = "`" + name.replace("`", "``") + "`"
+    if isinstance(dt, T.BinaryType):
+        ref = f"base64({ref})"
+    elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        ref = f"to_json({ref})"
     if fam == "v_double":
-        c = F.when(F.isnan(c.cast("double")), F.lit(None)).otherwise(c)  # NaN counts as missing
-    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
-        c = F.to_json(c) if not isinstance(dt, T.BinaryType) else F.base64(c)
-    vals = [(c.cast(t) if k == fam else F.lit(None).cast(t)).alias(k) for k, t in _FAMILIES.items()]
-    return F.struct(F.lit(name).alias("column"), *vals)
+        ref = f"CASE WHEN isnan(CAST({ref} AS DOUBLE)) THEN NULL ELSE {ref} END"  # NaN counts as missing
+    lit = "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    fields = [f"'column', {lit}"]
+    for k, t in _SQL_TYPES.items():
+        fields.append(f"'{k}', CAST({ref if k == fam else 'NULL'} AS {t})")
+    return "named_struct(" + ", ".join(fields) + ")"
 
 
 def _as_text(df: DataFrame, name: str):
@@ -77,7 +87,7 @@ def profile(df: DataFrame, layer: str, dataset: str, exact: bool = True,
         if shuffled:
             # (column, value) pairs with the value kept in its own type family -- no text
             # formatting of numbers; one struct shape so all columns share one explode
-            pairs = F.explode(F.array(*[_typed_pair(df, c) for c in shuffled])).alias("p")
+            pairs = F.expr("explode(array(" + ", ".join(_typed_pair_sql(df, c) for c in shuffled) + "))").alias("p")
             per_value = (df.select(pairs).select("p.*")
                          .groupBy("column", *_FAMILIES).agg(F.count(F.lit(1)).alias("cnt")))
             is_null = F.lit(True)

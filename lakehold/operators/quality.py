@@ -14,7 +14,8 @@ from lakehold.contracts import (MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RAT
                                 Rule)
 from lakehold.functions.rules import STATELESS, as_of_for
 from lakehold.operators.joins import measured
-from lakehold.operators.keys import duplicate_keys, fk_keyset, with_duplicate_flag, with_fk_flag
+from lakehold.operators.keys import (duplicate_firsts, duplicate_key_counts, fk_keyset,
+                                    with_duplicate_flag, with_fk_flag)
 
 FAILED = "_failed_rules"
 
@@ -61,23 +62,27 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None) -> Fl
     missing = frozenset(i for i, r in enumerate(c.rules) if r.column not in present)
     order = keep_first_order(df, c)
 
-    # key sets of the keyed rules are independent: materialise them concurrently
-    keysets = {}
+    # key sets of the keyed rules are independent: materialise them concurrently, in two
+    # phases (duplicate-key counts with the fk orphan sets, then the duplicates' first rows)
+    from lakehold.plans.parallel import run_all
+    phase1 = {}
     for i, r in enumerate(c.rules):
         if i in missing:
             continue
         if r.kind == "unique":
-            keysets[i] = duplicate_keys(df, r.column, order)
+            phase1[i] = duplicate_key_counts(df, r.column)
         elif r.kind == "fk":
             target, target_col = r.param
             ref = refs.get(target)
             if ref is not None and target_col in ref.columns:
-                keysets[i] = fk_keyset(df, r.column, ref, target_col)
-    if keysets:
-        from lakehold.plans.parallel import run_all
-        idx = list(keysets)
-        done = run_all([(lambda k=keysets[i]: measured(k)) for i in idx])
-        keysets = dict(zip(idx, done))
+                phase1[i] = fk_keyset(df, r.column, ref, target_col)
+    idx = list(phase1)
+    done = dict(zip(idx, run_all([(lambda k=phase1[i]: measured(k)) for i in idx])))
+    uniq = [i for i in idx if c.rules[i].kind == "unique"]
+    firsts = run_all([(lambda i=i: measured(duplicate_firsts(df, c.rules[i].column, order, done[i])))
+                      for i in uniq])
+    keysets = {i: done[i] for i in idx if i not in uniq}
+    keysets.update(dict(zip(uniq, firsts)))
 
     out = df
     stateless = {}
