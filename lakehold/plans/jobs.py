@@ -276,35 +276,56 @@ def rebuild_gold(spark: SparkSession, lake: Lake) -> bool:
 
 # ---- governance ----------------------------------------------------------------------------
 
-def governance(run: Run, exact: bool = True) -> DataFrame:
-    """Profile Bronze (this run's batches) and Silver, schema drift of Bronze, catalogue."""
-    t0 = time.time()
+def _profile_layer(run: Run, layer: str, exact: bool) -> list:
     lake = run.lake
-    parts, bronze = [], {}
-    for layer in ("bronze", "silver"):
-        for ds in ALL_DATASETS:
-            if not lake.exists(layer, ds):
-                continue
-            df = (lake.read_bronze(ds, bronze_runs_for_silver(lake, ds)).drop("run_id")
-                  if layer == "bronze" else lake.read("silver", ds))
-            if layer == "bronze":
-                bronze[ds] = df
-            c = CONTRACTS[ds]
-            # Silver keys passed not_null + unique: distinct = rows
-            uniq = (c.key,) if layer == "silver" and c.key and c.dedup_is_noop() else ()
-            parts.append(P.profile(df, layer, ds, exact, known_unique=uniq))
-    from lakehold.plans.parallel import run_all
+    parts, tables = [], {}
+    for ds in ALL_DATASETS:
+        if not lake.exists(layer, ds):
+            continue
+        df = (lake.read_bronze(ds, bronze_runs_for_silver(lake, ds)).drop("run_id")
+              if layer == "bronze" else lake.read("silver", ds))
+        tables[ds] = df
+        c = CONTRACTS[ds]
+        # Silver keys passed not_null + unique: distinct = rows
+        uniq = (c.key,) if layer == "silver" and c.key and c.dedup_is_noop() else ()
+        parts.append(P.profile(df, layer, ds, exact, known_unique=uniq))
     prof = None
     for p in parts:
         prof = p if prof is None else prof.unionByName(p)
-    tasks = [lambda: lake.write(P.catalog_columns(run.spark), "catalog", "columns")]
     if prof is not None:
-        tasks.append(lambda: lake.write(prof, "catalog", "profile"))
-    run_all(tasks)
-    for ds, kind, col in P.drift_items(bronze):
+        # one partition directory per layer, so the two layers are written independently
+        lake.write(prof.drop("layer"), "catalog", f"profile/layer={layer}")
+    return list(tables.items())
+
+
+def governance_bronze(run: Run, exact: bool = True) -> None:
+    """Profile of this run's Bronze input and schema drift against the contracts."""
+    t0 = time.time()
+    tables = dict(_profile_layer(run, "bronze", exact))
+    for ds, kind, col in P.drift_items(tables):
         run.alert("WARN", f"schema drift: [{ds}] {kind} column {col}")
-    run.stage("governance", duration_s=time.time() - t0)
-    return prof
+    run.stage("governance_bronze", duration_s=time.time() - t0)
+
+
+def governance_silver(run: Run, exact: bool = True) -> None:
+    """Profile of Silver and the column dictionary."""
+    t0 = time.time()
+    _profile_layer(run, "silver", exact)
+    run.lake.write(P.catalog_columns(run.spark), "catalog", "columns")
+    run.stage("governance_silver", duration_s=time.time() - t0)
+
+
+def governance(run: Run, exact: bool = True) -> DataFrame:
+    """Profile Bronze (this run's batches) and Silver, schema drift of Bronze, catalogue."""
+    from lakehold.plans.parallel import run_all
+    run_all([lambda: governance_bronze(run, exact), lambda: governance_silver(run, exact)])
+    return read_profile(run.lake)
+
+
+def read_profile(lake: Lake) -> DataFrame:
+    """Long-form profile: layer, dataset, column, rows, null_pct, n_distinct."""
+    return lake.spark.read.parquet(lake.path("catalog", "profile")).select(
+        "layer", "dataset", "column", "rows", "null_pct", "n_distinct")
 
 
 # ---- run record ---------------------------------------------------------------------------------
@@ -338,8 +359,10 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame]
                  event_archive: str | None = None) -> dict:
     """Full run: ingest -> Silver -> gate -> Gold -> governance -> run record.
     A failed gate leaves Gold as it was (Silver is written); status ``blocked_quality_gate``."""
+    from concurrent.futures import ThreadPoolExecutor
     run = Run(spark, lake, as_of=as_of, gate_threshold=gate_threshold, salt=salt)
     config = {"format": lake.fmt, "gate_threshold": gate_threshold}
+    pool = ThreadPoolExecutor(max_workers=2)
     try:
         if sources:
             ingest_batch(run, sources)
@@ -347,19 +370,27 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame]
             ingest_events(run, events)
         if event_dir is not None:
             drain_event_queue(run, event_dir, event_archive)
+        # Bronze profiling only reads Bronze: it overlaps with the Silver stage
+        bronze_gov = pool.submit(governance_bronze, run, profile_exact)
         res = silver_job(run)
-        if not res["gate_ok"]:
-            governance(run, profile_exact)
-            rec = finish(run, M.BLOCKED, config)
-            return {"status": M.BLOCKED, "run_id": run.run_id, "silver": res, "record": rec}
-        gold = gold_job(run)
-        governance(run, profile_exact)
-        rec = finish(run, M.SUCCESS, config)
-        return {"status": M.SUCCESS, "run_id": run.run_id, "silver": res, "gold": gold, "record": rec}
+        silver_gov = pool.submit(governance_silver, run, profile_exact)
+        status, gold = M.BLOCKED, None
+        if res["gate_ok"]:
+            gold = gold_job(run)      # overlaps with Silver profiling
+            status = M.SUCCESS
+        bronze_gov.result()
+        silver_gov.result()
+        rec = finish(run, status, config)
+        out = {"status": status, "run_id": run.run_id, "silver": res, "record": rec}
+        if gold is not None:
+            out["gold"] = gold
+        return out
     except Exception as exc:  # the run is recorded as failed, then the error propagates
         run.alert("CRITICAL", f"run failed: {type(exc).__name__}: {exc}"[:500])
         finish(run, M.FAILED, config)
         raise
+    finally:
+        pool.shutdown(wait=True)
 
 
 # ---- reprocess quarantine -----------------------------------------------------------------------
