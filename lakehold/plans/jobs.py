@@ -29,6 +29,11 @@ from lakehold.operators.silver import to_silver
 from lakehold.sources.lake import Lake, TableMissing, new_run_id
 
 REPROCESS_SUFFIX = "_rp"
+# Persist the flagged Bronze frame (it feeds Silver and quarantine) only below this stored
+# input size. Above it the quarantine write recomputes the scan and the flags -- a columnar
+# re-read of the input is cheaper than row-serialised blocks of every row, and the split is
+# deterministic (stored ordinal, literal as_of, materialised key sets).
+PERSIST_FLAGGED_MAX_BYTES = 32 * 1024 ** 3
 
 
 def _now() -> _dt.datetime:
@@ -188,7 +193,9 @@ def _silver_dataset(run: Run, ds: str, refs: dict) -> dict:
     lake, c = run.lake, CONTRACTS[ds]
     bronze = read_bronze_for_silver(lake, ds)
     fl = Q.flag(bronze, c, refs, run.as_of)
-    fl.df = fl.df.persist(StorageLevel.MEMORY_AND_DISK)
+    persist = lake.bytes_of("bronze", ds, bronze_runs_for_silver(lake, ds)) <= PERSIST_FLAGGED_MAX_BYTES
+    if persist:
+        fl.df = fl.df.persist(StorageLevel.MEMORY_AND_DISK)
     obs = Observation(f"silver_{ds}_{run.run_id}")
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.size(F.col(Q.FAILED)) > 0).alias("n_invalid")]
     aggs += [F.count_if(F.col(n)).alias(n) for n in fl.flag_cols]
@@ -200,7 +207,8 @@ def _silver_dataset(run: Run, ds: str, refs: dict) -> dict:
     n, n_bad, n_out = counts["n"], counts["n_invalid"], int(obs_out.get["n"])
     if n_bad:
         lake.write_quarantine(QR.quarantine_rows(fl, SILVER_REASON, run.run_id, run.ts), ds)
-    fl.df.unpersist()
+    if persist:
+        fl.df.unpersist()
     run.edge(f"bronze/{ds}", f"silver/{ds}", "silver", n_out)
     rate = 1.0 if n == 0 else (n - n_bad) / n
     rules = [{"rule": r.kind, "column": r.column,

@@ -143,6 +143,18 @@ class Lake:
         bronze = with_control_columns(spread(df), source, run_id, run_ts)
         bronze.write.mode("append").partitionBy("run_id").parquet(self.path("bronze", name))
 
+    def bytes_of(self, layer: str, name: str, partitions: list[str] | None = None,
+                 column: str = "run_id") -> int:
+        """Stored size of a table (or of some of its partitions), from the file system."""
+        base = self.path(layer, name)
+        paths = [f"{base}/{column}={p}" for p in partitions] if partitions else [base]
+        total = 0
+        for path in paths:
+            fs, p = self._fs(path)
+            if fs.exists(p):
+                total += int(fs.getContentSummary(p).getLength())
+        return total
+
     def bronze_runs(self, name: str) -> list[str]:
         return self.list_partitions("bronze", name)
 
