@@ -71,15 +71,18 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     key = c.key
     if key is None:
         return fl
-    # first row per key in Bronze, for the keys present among the candidates only
+    # first row per key in Bronze, for the keys present among the candidates only; both
+    # key sets are size-checked before any broadcast
     order = Q.keep_first_order(bronze.select(*keep), c)
+    from lakehold.operators.joins import join_keyset, measured
     from lakehold.operators.keys import order_struct
-    cand_keys = cand.select(F.col(key).alias("_ck")).where(F.col("_ck").isNotNull()).distinct()
-    firsts = (bronze.select(*keep).join(cand_keys, F.col(key) == F.col("_ck"), "left_semi")
-              .groupBy(F.col(key).alias("_fk")).agg(F.min(order_struct(order)).alias("_ffirst")))
+    cand_keys = measured(cand.select(F.col(key).alias("_ck")).where(F.col("_ck").isNotNull()).distinct())
+    in_bronze = join_keyset(bronze.select(*keep), cand_keys, lambda b, k: b[key] == k["_ck"], how="left_semi") \
+        if cand_keys[2] else bronze.select(*keep).limit(0)
+    firsts = in_bronze.groupBy(F.col(key).alias("_fk")).agg(F.min(order_struct(order)).alias("_ffirst"))
     i = next(i for i, r in enumerate(c.rules) if r.kind == "unique")
     flag_col = fl.flag_cols[i]
-    df = fl.df.join(firsts, F.col(key) == F.col("_fk"), "left")
+    df = join_keyset(fl.df, firsts, lambda b, k: b[key] == k["_fk"])
     not_first = (F.col(key).isNotNull() & F.col("_ffirst").isNotNull()
                  & ~order_struct(order).eqNullSafe(F.col("_ffirst")))
     df = df.withColumn(flag_col, F.col(flag_col) | F.coalesce(not_first, F.lit(False))).drop("_fk", "_ffirst")
