@@ -43,6 +43,15 @@ class Chain:
             self._flagged[name] = Q.flag(self.raw(name), CONTRACTS[name], self.refs, self.as_of)
         return self._flagged[name]
 
+    def flag_all(self, names=ALL_DATASETS) -> None:
+        """Flag several datasets concurrently (their key-set jobs overlap)."""
+        from lakehold.plans.parallel import run_all
+        todo = [n for n in names if n not in self._flagged]
+        _ = self.refs
+        for n, fl in zip(todo, run_all([(lambda n=n: Q.flag(self.raw(n), CONTRACTS[n], self.refs, self.as_of))
+                                         for n in todo])):
+            self._flagged[n] = fl
+
     def silver(self, name: str) -> DataFrame:
         if name not in self._silver:
             fl = self.flagged(name)
@@ -51,13 +60,16 @@ class Chain:
         return self._silver[name]
 
     def silver_all(self) -> dict[str, DataFrame]:
+        self.flag_all()
         return {n: self.silver(n) for n in ALL_DATASETS}
 
     def gold(self, name: str) -> DataFrame:
+        self.flag_all(G.GOLD_INPUTS[name])
         s = {n: self.silver(n) for n in G.GOLD_INPUTS[name]}
         return G.gold_tables(s, only=(name,))[name]
 
     def dataset_reports(self) -> DataFrame:
+        self.flag_all()
         out = None
         for n in ALL_DATASETS:
             r = Q.dataset_report(self.flagged(n))
@@ -65,6 +77,7 @@ class Chain:
         return out
 
     def rule_reports(self) -> DataFrame:
+        self.flag_all()
         out = None
         for n in ALL_DATASETS:
             r = Q.rule_report(self.flagged(n))

@@ -49,6 +49,7 @@ def _union(frames):
 
 def _violations(spark, sf_dir, kind: str) -> DataFrame:
     ch = Chain(spark, sf_dir)
+    ch.flag_all([ds for ds in ALL_DATASETS if any(r.kind == kind for r in CONTRACTS[ds].rules)])
     frames = []
     for ds in ALL_DATASETS:
         c = CONTRACTS[ds]
@@ -132,6 +133,7 @@ def valid_rows(spark, sf_dir):
 @query("quarantine_rows", O.with_chain(O.quarantine_rows_body(SILVER_REASON)))
 def quarantine_rows(spark, sf_dir):
     ch = Chain(spark, sf_dir)
+    ch.flag_all()
     return _union(quarantine_view(ch.flagged(ds), SILVER_REASON) for ds in ALL_DATASETS)
 
 

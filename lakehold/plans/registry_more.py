@@ -55,6 +55,8 @@ def _profile_body(layers=("bronze", "silver")) -> str:
 
 
 def _profiles(ch: Chain, layers=("bronze", "silver")):
+    if "silver" in layers:
+        ch.flag_all()
     frames = []
     for ds in ALL_DATASETS:
         if "bronze" in layers:
@@ -103,6 +105,7 @@ def _reprocessed(ch: Chain):
 
 
 def _quarantine_tables(ch: Chain) -> dict:
+    ch.flag_all()
     out = {ds: QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS) for ds in ALL_DATASETS}
     again = QR.quarantine_rows(_reprocessed(ch), REPROCESS_REASON, BATCH_2, RUN_TS)
     out["loans"] = out["loans"].unionByName(again, allowMissingColumns=True)
