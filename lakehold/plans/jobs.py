@@ -457,8 +457,30 @@ def alerts(spark: SparkSession, lake: Lake) -> DataFrame:
 
 # ---- health ----------------------------------------------------------------------------------
 
-def health(spark: SparkSession, lake: Lake, as_of_ts: str | None = None) -> dict:
-    """Health of the latest run: items (name, status) and the overall worst status."""
+def health(spark: SparkSession, lake: Lake, as_of_ts: str | None = None, record: bool = True) -> dict:
+    """Health of the latest run: items (name, status) and the overall worst status. A
+    result other than ``ok`` is appended to the alert log (CRITICAL or WARN)."""
+    out = _health(spark, lake, as_of_ts)
+    if record and out["overall"] != "ok":
+        bad = "; ".join(f"{k}: {v}" for k, v in out["items"].items() if v != "ok")
+        sev = "CRITICAL" if out["overall"] == "critical" else "WARN"
+        alert = [{"run_id": "health-check", "ts": _iso(_now()), "severity": sev,
+                  "message": f"health check: {bad}"}]
+        lake.append_json("logs", "alerts", spark.createDataFrame(alert, M.ALERT))
+    return out
+
+
+def monitor(spark: SparkSession, lake: Lake, recover: bool = True) -> dict:
+    """Health check; when Gold is unreachable and ``recover`` is set, rebuild it from Silver
+    and check again."""
+    first = health(spark, lake)
+    if recover and first["items"].get("gold") == "critical":
+        rebuilt = rebuild_gold(spark, lake)
+        return {"before": first, "recovered": rebuilt, "after": health(spark, lake)}
+    return {"before": first, "recovered": False, "after": first}
+
+
+def _health(spark: SparkSession, lake: Lake, as_of_ts: str | None = None) -> dict:
     runs = lake.read_json("logs", "runs", M.RUN_SCHEMA)
     try:
         gold_ok = lake.read("gold", "kpis").count() > 0

@@ -41,6 +41,24 @@ def event_source(spark: SparkSession, source_dir: str, archive_dir: str | None =
     return r.json(source_dir)
 
 
+def kafka_event_source(spark: SparkSession, bootstrap: str, topic: str,
+                       starting_offsets: str = "earliest") -> DataFrame:
+    """Events from a Kafka topic, decoded with the same schema as the file queue; a value
+    that is not valid JSON keeps its text in ``_corrupt_record``. Needs the Kafka
+    connector on the classpath (not available in this environment, so untested here)."""
+    fields = T.StructType([f for f in EVENT_SCHEMA.fields if f.name != "_corrupt_record"])
+    try:
+        raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+               .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
+    except Exception as exc:  # data source not found
+        raise RuntimeError("Kafka connector not on the classpath; use the file queue source") from exc
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, fields, {"mode": "PERMISSIVE"})
+    return raw.select(parsed.alias("e"), text.alias("_text")).select(
+        "e.*", F.when(F.col("e").isNull() | F.col("e.event_id").isNull() & F.col("e.event_type").isNull(),
+                      F.col("_text")).alias("_corrupt_record"))
+
+
 def with_rule_metrics(stream: DataFrame, name: str = "event_quality") -> DataFrame:
     """Observe row count and per-rule failures of the (stateless) event contract."""
     c = CONTRACTS["access_events"]
@@ -52,17 +70,22 @@ def with_rule_metrics(stream: DataFrame, name: str = "event_quality") -> DataFra
     return stream.observe(name, *aggs)
 
 
-def drain_events(spark: SparkSession, lake: Lake, source_dir: str, archive_dir: str | None = None,
-                 run_id: str | None = None, timeout_s: float = 600) -> dict:
-    """Drain every pending event file into Bronze as partition ``run_id`` (append)."""
+def drain_events(spark: SparkSession, lake: Lake, source_dir: str | DataFrame,
+                 archive_dir: str | None = None, run_id: str | None = None,
+                 timeout_s: float = 600) -> dict:
+    """Drain everything pending into Bronze as partition ``run_id`` (append). ``source_dir``
+    is the file-queue directory, or a prepared streaming DataFrame (e.g. from
+    ``kafka_event_source``) with the same columns."""
     run_id = run_id or new_run_id()
     run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
-    stream = with_rule_metrics(event_source(spark, source_dir, archive_dir))
+    source = source_dir if isinstance(source_dir, DataFrame) else event_source(spark, source_dir, archive_dir)
+    stream = with_rule_metrics(source)
     bronze = stream.withColumns({"_ingested_at": F.lit(run_ts), "_source": F.lit("file"),
                                  "run_id": F.lit(run_id)})
     target = lake.path("bronze", "access_events") + f"/run_id={run_id}"
+    ckpt = "events_bronze" if not isinstance(source_dir, DataFrame) else "events_bronze_stream"
     q = (bronze.writeStream.format("parquet")
-         .option("checkpointLocation", lake.path("logs", "checkpoints/events_bronze"))
+         .option("checkpointLocation", lake.path("logs", f"checkpoints/{ckpt}"))
          .trigger(availableNow=True).start(target))
     q.awaitTermination(timeout_s)
     if q.isActive:

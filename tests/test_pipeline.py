@@ -87,6 +87,14 @@ def test_health_and_recovery(spark, tmp_path):
     assert J.health(spark, lake)["items"]["gold"] == "ok"
     empty = Lake(spark, str(tmp_path / "empty"))
     assert J.rebuild_gold(spark, empty) is False
+    # monitor: detect, rebuild, check again; the failed check is in the alert log
+    lake.delete("gold", "kpis")
+    m = J.monitor(spark, lake)
+    assert m["before"]["items"]["gold"] == "critical" and m["recovered"] is True
+    assert m["after"]["items"]["gold"] == "ok"
+    msgs = [a["message"] for a in J.alerts(spark, lake).collect()]
+    assert any(x.startswith("health check:") for x in msgs)
+    assert any("recovery" in x for x in msgs)
 
 
 def test_volume_drift_alert(spark, tmp_path):

@@ -77,3 +77,9 @@ def test_live_counts_equal_batch_counts(spark, tmp_path):
     raw = spark.read.parquet(f"{SF_SMALL}/events.parquet").groupBy("event_type").count().collect()
     assert live == {r["event_type"]: r["count"] for r in raw}
     assert sum(first.values()) == 500
+
+
+def test_kafka_source_reports_missing_connector(spark):
+    import pytest
+    with pytest.raises(RuntimeError):
+        S.kafka_event_source(spark, "localhost:1", "events").isStreaming
