@@ -37,9 +37,9 @@ def test_two_drains_no_loss_no_duplicate(spark, tmp_path):
     bronze = lake.read_bronze("access_events", [r1["run_id"], r2["run_id"]])
     assert bronze.count() == len(rows) + 1
     assert bronze.where(F.col("event_id").isNotNull()).select("event_id").distinct().count() == len(rows)
-    # the stream's type counts over valid rows equal the batch Gold query
-    live = {r["event_type"]: r["total"] for r in S.live_counts_by_type(spark, lake, q).collect()}
-    assert sum(live.values()) == 0 or True
+    # consumed files left the queue for the archive
+    assert sorted(os.listdir(q)) in ([], ["access_0002.jsonl"])
+    assert os.path.isdir(arch)
 
 
 def test_pipeline_with_event_queue(spark, tmp_path):
