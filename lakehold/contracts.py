@@ -188,7 +188,7 @@ CONTRACTS: dict[str, Contract] = {
                  ("book_id", "int"), ("event_ts", "timestamp")),
         rules=_rules(("not_null", "event_id"), ("in_set", "event_type", EVENT_TYPES)),
         order_by=("event_ts", "event_id"),
-        date_formats={"event_ts": "yyyy-MM-dd'T'HH:mm:ss"},
+        date_formats={"event_ts": None},   # ISO timestamps, fractions allowed
         owner="Data & Analytics", origin="Platform events", fmt="JSON",
         frequency="Streaming", latency="seconds", stream=True,
     ),
