@@ -224,6 +224,8 @@ def silver_job(run: Run, datasets=ALL_DATASETS) -> dict:
     t0 = time.time()
     lake = run.lake
     present = [d for d in datasets if lake.exists("bronze", d)]
+    from lakehold.session import size_shuffle
+    size_shuffle(run.spark, sum(lake.bytes_of("bronze", d, bronze_runs_for_silver(lake, d)) for d in present))
     refs = {n: lake.read_bronze(n, bronze_runs_for_silver(lake, n))
             for n in BATCH_DATASETS if lake.exists("bronze", n)}
     outs = run_all([(lambda d=d: _silver_dataset(run, d, refs)) for d in present])

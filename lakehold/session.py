@@ -75,3 +75,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="lakehold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``input_bytes`` gets ~128 MB
+    per partition (AQE coalesces small ones at runtime); never lowers a configured value."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current

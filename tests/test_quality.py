@@ -182,3 +182,22 @@ def test_dates_do_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     for k in keys:
         assert before[k] == after[k], k
+
+
+def test_partial_dates_are_not_dates(spark):
+    from lakehold.operators.silver import normalise_dates
+    df = spark.createDataFrame([(1, "2024"), (2, "2024-01"), (3, "2024-02-30"), (4, "2024-02-29"),
+                                (5, "24-01-01")], "reader_id long, signup_date string")
+    got = {r["reader_id"]: r["signup_date"] for r in normalise_dates(df, CONTRACTS["readers"]).collect()}
+    assert got[1] is None and got[2] is None and got[3] is None and got[5] is None
+    assert str(got[4]) == "2024-02-29 00:00:00"
+
+
+def test_size_shuffle_never_lowers(spark):
+    from lakehold.session import size_shuffle
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffle(spark, 10) == before
+    try:
+        assert size_shuffle(spark, 300 * 128 * 1024 * 1024) == max(before, 300)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))
