@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 # Broadcast only below this measured size; above it the join shuffles (AQE splits skew).
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_CACHED_AQE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
 
 def _width(dtype: T.DataType) -> int:
@@ -30,6 +31,10 @@ def row_bytes(schema: T.StructType) -> int:
 def measured(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool, int]:
     """Materialise a derived key set once (persisted, recomputable from lineage if an
     executor is lost), count it, and say whether it is small enough to broadcast."""
+    spark = df.sparkSession
+    if spark.conf.get(_CACHED_AQE, "false") != "true":
+        # let AQE coalesce / split the shuffles inside cached plans too (no effect on results)
+        spark.conf.set(_CACHED_AQE, "true")
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(df)
     n = df.count()

@@ -22,6 +22,7 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
 }
