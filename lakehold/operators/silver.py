@@ -4,7 +4,6 @@ the contract does not already guarantee a unique, non-null key."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakehold.contracts import Contract
 from lakehold.functions.dates import lenient_timestamp

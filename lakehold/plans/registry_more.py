@@ -8,7 +8,6 @@ from lakehold.contracts import (ALL_DATASETS, CONTRACTS, QUALITY_GATE_MIN_PASS_R
                                 SILVER_REASON)
 from lakehold.operators import monitor as M
 from lakehold.operators import profile as P
-from lakehold.operators import quality as Q
 from lakehold.operators import quarantine as QR
 from lakehold.plans import oracle as O
 from lakehold.plans import replay as RP
