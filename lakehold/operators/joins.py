@@ -41,6 +41,17 @@ def measured(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataF
     return df, n * row_bytes(df.schema) <= max_bytes, n
 
 
+def sized(df: DataFrame, n_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool, int]:
+    """Like ``measured`` for a derived set whose row count is already known (e.g. one row
+    per key counted earlier): persisted lazily, no counting job."""
+    spark = df.sparkSession
+    if spark.conf.get(_CACHED_AQE, "false") != "true":
+        spark.conf.set(_CACHED_AQE, "true")
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df, n_rows * row_bytes(df.schema) <= max_bytes, n_rows
+
+
 def join_keyset(big: DataFrame, keys, cond, how: str = "left",
                 max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` with a derived key set: broadcast when its measured size is small,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakehold.contracts import (MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract,
                                 Rule)
 from lakehold.functions.rules import STATELESS, as_of_for
-from lakehold.operators.joins import measured
+from lakehold.operators.joins import measured, sized
 from lakehold.operators.keys import (duplicate_firsts, duplicate_key_counts, fk_keyset,
                                     with_duplicate_flag, with_fk_flag)
 
@@ -79,10 +79,11 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None) -> Fl
     idx = list(phase1)
     done = dict(zip(idx, run_all([(lambda k=phase1[i]: measured(k)) for i in idx])))
     uniq = [i for i in idx if c.rules[i].kind == "unique"]
-    firsts = run_all([(lambda i=i: measured(duplicate_firsts(df, c.rules[i].column, order, done[i])))
-                      for i in uniq])
     keysets = {i: done[i] for i in idx if i not in uniq}
-    keysets.update(dict(zip(uniq, firsts)))
+    for i in uniq:
+        # one row per duplicated key: its size is known from the count, no second job
+        firsts = duplicate_firsts(df, c.rules[i].column, order, done[i])
+        keysets[i] = sized(firsts, done[i][2])
 
     out = df
     stateless = {}

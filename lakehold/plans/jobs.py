@@ -202,11 +202,14 @@ def _silver_dataset(run: Run, ds: str, refs: dict) -> dict:
     observed = Q.Flagged(fl.df.observe(obs, *aggs), c, fl.rules, fl.flag_cols, fl.missing)
     silver = to_silver(observed.valid().select(*fl.data_columns()), c, run.salt)
     obs_out = Observation(f"silver_out_{ds}_{run.run_id}")
-    lake.write(silver.observe(obs_out, F.count(F.lit(1)).alias("n")), "silver", ds)
+    from lakehold.plans.parallel import run_all
+    # Silver and quarantine are written concurrently; with the flagged frame persisted,
+    # each cached partition is computed once and shared by both writes (an empty
+    # quarantine writes no partition)
+    run_all([lambda: lake.write(silver.observe(obs_out, F.count(F.lit(1)).alias("n")), "silver", ds),
+             lambda: lake.write_quarantine(QR.quarantine_rows(fl, SILVER_REASON, run.run_id, run.ts), ds)])
     counts = obs.get
     n, n_bad, n_out = counts["n"], counts["n_invalid"], int(obs_out.get["n"])
-    if n_bad:
-        lake.write_quarantine(QR.quarantine_rows(fl, SILVER_REASON, run.run_id, run.ts), ds)
     if persist:
         fl.df.unpersist()
     run.edge(f"bronze/{ds}", f"silver/{ds}", "silver", n_out)
