@@ -384,9 +384,10 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame]
         if event_dir is not None:
             drain_event_queue(run, event_dir, event_archive)
         # Bronze profiling only reads Bronze: it overlaps with the Silver stage
-        bronze_gov = pool.submit(governance_bronze, run, profile_exact)
+        from lakehold.plans.parallel import wrap
+        bronze_gov = pool.submit(wrap(lambda: governance_bronze(run, profile_exact)))
         res = silver_job(run)
-        silver_gov = pool.submit(governance_silver, run, profile_exact)
+        silver_gov = pool.submit(wrap(lambda: governance_silver(run, profile_exact)))
         status, gold = M.BLOCKED, None
         if res["gate_ok"]:
             gold = gold_job(run)      # overlaps with Silver profiling
