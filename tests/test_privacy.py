@@ -38,3 +38,45 @@ def test_no_pii_unchanged(spark):
     df = spark.createDataFrame([(1, "X", "Poesia")], "book_id long, title string, genre string")
     out = apply_pii(df, CONTRACTS["books"])
     assert out.columns == df.columns
+
+
+def _mask_spec(s):
+    """The masking rule stated in plain Python."""
+    if s is None or "@" not in s:
+        return s
+    local, domain = s.split("@", 1)
+    return local[:2] + "*" * max(len(local) - 2, 1) + "@" + domain
+
+
+def test_mask_matches_rule_on_random_strings(spark):
+    from hypothesis import given, settings, HealthCheck
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("ab.@_-x9 ") + ["é", "ß", "中", "😀"])
+    strings = st.one_of(st.none(), st.text(alphabet, max_size=12))
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(strings, min_size=1, max_size=60))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, e string")
+        got = {r[0]: r[1] for r in df.select("i", mask_email(F.col("e"))).collect()}
+        for i, v in enumerate(values):
+            assert got[i] == _mask_spec(v), (v, got[i])
+
+    check()
+
+
+def test_pseudonym_matches_hashlib_on_random_strings(spark):
+    from hypothesis import given, settings, HealthCheck
+    from hypothesis import strategies as st
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.one_of(st.none(), st.text(max_size=20)), min_size=1, max_size=40))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v string")
+        got = {r[0]: r[1] for r in df.select("i", pseudonym(F.col("v"), "k")).collect()}
+        for i, v in enumerate(values):
+            want = None if v is None else hashlib.sha256(("k" + v).encode("utf-8")).hexdigest()[:16]
+            assert got[i] == want
+
+    check()

@@ -201,3 +201,38 @@ def test_size_shuffle_never_lowers(spark):
         assert size_shuffle(spark, 300 * 128 * 1024 * 1024) == max(before, 300)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_rules_match_python_statement_on_random_tables(spark):
+    """Random small tables (null keys, duplicates, out-of-set and out-of-range values): the
+    Spark flags equal a plain-Python statement of each rule."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    c = Contract(name="t", description="", domain="", kind="",
+                 columns=(("k", "int"), ("v", "int"), ("s", "string"), ("seq", "int")),
+                 rules=(Rule("not_null", "k"), Rule("unique", "k"), Rule("in_range", "v", (1, 5)),
+                        Rule("in_set", "s", ("a", "b"))),
+                 order_by=("seq",))
+    row = st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.integers(-2, 8)),
+                    st.one_of(st.none(), st.sampled_from(["a", "b", "c"])))
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=40))
+    def check(rows):
+        data = [(k, v, s, 1000 - i) for i, (k, v, s) in enumerate(rows)]   # order differs from input order
+        df = spark.createDataFrame(data, "k long, v long, s string, seq long")
+        fl = Q.flag(df, c)
+        got = {r["seq"]: tuple(r[n] for n in fl.flag_cols) for r in fl.df.collect()}
+        first = {}
+        for k, v, s, seq in sorted(data, key=lambda t: t[3]):
+            if k is not None and k not in first:
+                first[k] = seq
+        for k, v, s, seq in data:
+            want = (k is None,
+                    k is not None and first[k] != seq,
+                    v is not None and (v < 1 or v > 5),
+                    s is not None and s not in ("a", "b"))
+            assert got[seq] == want, (k, v, s, seq)
+
+    check()
