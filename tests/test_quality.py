@@ -236,3 +236,25 @@ def test_rules_match_python_statement_on_random_tables(spark):
             assert got[seq] == want, (k, v, s, seq)
 
     check()
+
+
+def test_fk_matches_python_statement_on_random_tables(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    c = Contract(name="t", description="", domain="", kind="", columns=(("id", "int"), ("r", "int")),
+                 rules=(Rule("fk", "r", ("refs", "rid")),))
+    keys = st.one_of(st.none(), st.integers(0, 9))
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(keys, min_size=1, max_size=40), st.lists(keys, max_size=12))
+    def check(facts, ref):
+        df = spark.createDataFrame([(i, k) for i, k in enumerate(facts)], "id long, r long")
+        refs = {"refs": spark.createDataFrame([(k,) for k in ref], "rid long")}
+        fl = Q.flag(df, c, refs)
+        got = {r["id"]: r[fl.flag_cols[0]] for r in fl.df.collect()}
+        valid = {k for k in ref if k is not None}
+        for i, k in enumerate(facts):
+            assert got[i] == (k is not None and k not in valid)
+
+    check()
