@@ -265,3 +265,13 @@ SELECT source, target, process, rows, ts, run_id FROM (
   FROM edges) e WHERE rn = 1"""))
 def lineage_latest(spark, sf_dir):
     return M.lineage_latest(RP.replay_lineage(Chain(spark, sf_dir)))
+
+
+# ---- streaming ---------------------------------------------------------------------------------
+
+@query("stream_events_by_type",
+       "SELECT event_type, count(*) AS total FROM events GROUP BY event_type")
+def stream_events_by_type(spark, sf_dir):
+    """T5: the events table consumed as a stream, stateful count per type (complete mode)."""
+    from lakehold.streaming.events import stream_counts_by_type
+    return stream_counts_by_type(spark, sf_dir)

@@ -120,3 +120,30 @@ def live_counts_by_type(spark: SparkSession, lake: Lake, source_dir: str, timeou
         q.stop()
         raise TimeoutError("live count did not finish")
     return spark.read.parquet(target)
+
+
+def stream_counts_by_type(spark: SparkSession, table_dir: str, table: str = "events",
+                          max_files_per_trigger: int = 1, timeout_s: float = 600) -> DataFrame:
+    """The given ``events`` table read as a stream (file source on its directory), counted
+    per type with state (complete mode). Each trigger replaces a Parquet snapshot under the
+    session's checkpoint folder (idempotent); the snapshot is returned as a DataFrame."""
+    import uuid
+
+    from lakehold.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream_counts_{uuid.uuid4().hex[:12]}"
+    schema = spark.read.parquet(f"{table_dir.rstrip('/')}/{table}.parquet").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+              .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(table_dir))
+    counts = stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("total"))
+    target = base + "/snapshot"
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(target)
+
+    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("stream did not finish")
+    return spark.read.parquet(target)

@@ -18,13 +18,13 @@ def test_entry_runs_and_has_rows(spark):
 def test_every_oracle_key_is_a_query():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 50
+    assert len(q) >= 53
     # only schema-level drift has no SQL twin
     assert set(q) - set(o) == {"schema_drift"}
 
 
 @pytest.mark.parametrize("key", ["top_books", "quality_rule_report", "quarantine_listing", "volume_drift",
-                                 "profile_columns", "reprocess_valid"])
+                                 "profile_columns", "reprocess_valid", "stream_events_by_type"])
 def test_query_matches_oracle_on_smallest_tables(spark, key):
     from conftest import SF_SMALL
     con = duckdb.connect()
