@@ -152,8 +152,9 @@ def catalog_columns(spark: SparkSession, contracts: dict[str, Contract] | None =
     """Column dictionary from the contracts: dataset, column, type, personal data flag;
     optionally only one dataset."""
     contracts = contracts or CONTRACTS
-    rows = [(c.name, col, t, col in c.pii, c.domain, c.owner)
+    rows = [(c.name, col, t, col in c.pii, c.domain, c.owner, c.origin, c.fmt, c.frequency, c.latency)
             for c in contracts.values() for col, t in c.columns]
     df = spark.createDataFrame(
-        rows, "dataset string, column string, type string, pii boolean, domain string, owner string")
+        rows, "dataset string, column string, type string, pii boolean, domain string, owner string, "
+              "origin string, format string, frequency string, latency string")
     return df.where(F.col("dataset") == dataset) if dataset else df
