@@ -49,7 +49,8 @@ def main() -> None:
            "materialised once and counted before the join decision; it then appears as the build side "
            "of a `BroadcastHashJoin` only because its measured size is small.",
            "- Duplicate detection: `HashAggregate` count per key first; the `SortAggregate` (lexicographic "
-           "min of the order tuple) runs only after a `LeftSemi` join with the duplicated keys. No `Window`.",
+           "min of the order tuple) runs only after a `LeftSemi` join with the duplicated keys. No `Window` "
+           "over data keys; the one `Window` below (volume_drift) orders run records, one row per run.",
            "- Gold: `HashAggregate` per `book_id` (partial + final) *below* the join with books.",
            "- Scans: `PushedFilters` and `ReadSchema` carry only the needed columns and predicates.",
            "- `Exchange` right above a scan of a fact table = round-robin spread of a single-row-group "
