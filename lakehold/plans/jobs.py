@@ -337,7 +337,7 @@ def governance(run: Run, exact: bool = True) -> DataFrame:
 
 def read_profile(lake: Lake) -> DataFrame:
     """Long-form profile: layer, dataset, column, rows, null_pct, n_distinct."""
-    return lake.spark.read.parquet(lake.path("catalog", "profile")).select(
+    return lake._reader().load(lake.path("catalog", "profile")).select(
         "layer", "dataset", "column", "rows", "null_pct", "n_distinct")
 
 

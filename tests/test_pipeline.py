@@ -165,3 +165,14 @@ def test_dictionary_filter(spark):
     d = catalog_columns(spark, dataset="readers").collect()
     assert {r["column"] for r in d} == {"reader_id", "name", "email", "city", "signup_date"}
     assert {r["column"] for r in d if r["pii"]} == {"name", "email"}
+
+
+def test_csv_lake_full_run(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), fmt="csv")
+    src, events = _sources(spark)
+    res = J.run_pipeline(spark, lake, {"books": src["books"], "loans": src["loans"]}, None,
+                         as_of=td.AS_OF, gate_threshold=0.0)
+    assert res["status"] == M.SUCCESS
+    assert lake.read("gold", "top_books").count() == 20
+    prof = J.read_profile(lake)
+    assert prof.where("layer = 'silver' AND dataset = 'books'").count() == 5
