@@ -51,6 +51,10 @@ def lenient_timestamp(df: DataFrame, column: str, fmt: str | None) -> Column:
         return c.cast("timestamp_ntz")
     text = c.cast("string")
     shape = _shape_regex(fmt) if fmt else None
+    if shape is not None and not any(t in fmt for t in ("HH", "mm", "ss")):
+        # a date-only pattern also takes a full ISO date-time (CSV exports write those);
+        # partial dates such as 2024 or 2024-01 still do not parse
+        shape = shape[:-1] + r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
     if shape is None:
         if fmt is None:
             return text.try_cast("timestamp_ntz")

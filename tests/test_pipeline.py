@@ -176,3 +176,22 @@ def test_csv_lake_full_run(spark, tmp_path):
     assert lake.read("gold", "top_books").count() == 20
     prof = J.read_profile(lake)
     assert prof.where("layer = 'silver' AND dataset = 'books'").count() == 5
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from lakehold.__main__ import main
+    root = str(tmp_path / "lake")
+    lake = Lake(spark, root)
+    src, events = _sources(spark)
+    for ds in ("readers", "books", "loans", "ratings"):
+        src[ds].coalesce(1).write.option("header", True).csv(lake.path("raw", f"{ds}.csv"))
+    # one instant for every dataset: readers registered after it fail not_future, hence gate 0
+    assert main(["pipeline", "--lake", root, "--gate", "0.0", "--as-of", "2001-01-01 00:00:00"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["status"] == M.SUCCESS
+    assert main(["listing", "--lake", root]) == 0
+    listing = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert {r["dataset"] for r in listing} >= {"loans", "readers"}
+    assert main(["reprocess", "loans", "--lake", root, "--as-of", "2002-01-01 00:00:00"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["returned"] > 0
+    assert main(["health", "--lake", root]) == 0

@@ -258,3 +258,11 @@ def test_fk_matches_python_statement_on_random_tables(spark):
             assert got[i] == (k is not None and k not in valid)
 
     check()
+
+
+def test_date_only_pattern_takes_iso_datetime(spark):
+    from lakehold.operators.silver import normalise_dates
+    df = spark.createDataFrame([(1, "1996-03-13T00:00:00.000"), (2, "1996-03-13 10:20:30"), (3, "1996-03")],
+                               "reader_id long, signup_date string")
+    got = {r["reader_id"]: r["signup_date"] for r in normalise_dates(df, CONTRACTS["readers"]).collect()}
+    assert str(got[1]) == "1996-03-13 00:00:00" and str(got[2]) == "1996-03-13 10:20:30" and got[3] is None
