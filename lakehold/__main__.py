@@ -48,7 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     lake = Lake(spark, a.lake, a.format)
 
     if a.command == "pipeline":
-        sources = {ds: lake.read_raw_csv(ds, CONTRACTS[ds].spark_schema()).drop("_corrupt_record")
+        # a malformed line keeps its text in _corrupt_record through Bronze into quarantine
+        sources = {ds: lake.read_raw_csv(ds, CONTRACTS[ds].spark_schema())
                    for ds in BATCH_DATASETS if lake.exists("raw", f"{ds}.csv")}
         try:
             res = J.run_pipeline(spark, lake, sources, None, as_of=a.as_of,
