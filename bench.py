@@ -72,17 +72,17 @@ def main() -> None:
     for _ in range(REPEAT):
         sec, status = run_pipeline(SF_DIR)
         pipe.append(sec)
-    timings["full_pipeline_gate_default"] = round(statistics.median(pipe), 3)
+    timings["full_job_gate_default"] = round(statistics.median(pipe), 3)
     # the whole path including Gold, as in the baseline's full runs (gate at 0.5)
     pipe_gold, status_gold = [], None
     for _ in range(REPEAT):
         sec, status_gold = run_pipeline(SF_DIR, gate=0.5)
         pipe_gold.append(sec)
     full = round(statistics.median(pipe_gold), 3)
-    timings["full_pipeline"] = full
-    print(json.dumps({"metric": "full_pipeline_median", "value": full, "unit": "sec",
-                      "queries": timings, "sf": _sf_label(SF_DIR), "pipeline_status": status_gold,
-                      "pipeline_status_gate_default": status, "gold_gate_threshold": 0.5,
+    timings["full_job"] = full
+    print(json.dumps({"metric": "full_job_median", "value": full, "unit": "sec",
+                      "queries": timings, "sf": _sf_label(SF_DIR), "job_status": status_gold,
+                      "job_status_gate_default": status, "gold_gate_threshold": 0.5,
                       "spark_version": spark.version, "cpus": int(CPUS),
                       "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
                       "repeat": REPEAT}))

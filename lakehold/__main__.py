@@ -1,6 +1,6 @@
 """Command line: ``python -m lakehold <command> --lake ROOT ...`` (or through spark-submit).
 
-  pipeline   ingest raw CSVs (<lake>/raw/<dataset>.csv) and the event queue, Silver, gate,
+  run        ingest raw CSVs (<lake>/raw/<dataset>.csv) and the event queue, Silver, gate,
              Gold, governance; exit code 0 for success or a blocked gate, 1 on failure
   reprocess  re-check the pending quarantine batches of one dataset
   listing    quarantine listing per dataset
@@ -26,7 +26,7 @@ def _session(master: str | None):
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="lakehold")
-    p.add_argument("command", choices=["pipeline", "reprocess", "listing", "health"])
+    p.add_argument("command", choices=["run", "reprocess", "listing", "health"])
     p.add_argument("dataset", nargs="?")
     p.add_argument("--lake", required=True, help="lake root (local path or Hadoop URI)")
     p.add_argument("--master", default=None)
@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session(a.master)
     lake = Lake(spark, a.lake, a.format)
 
-    if a.command == "pipeline":
+    if a.command == "run":
         # a malformed line keeps its text in _corrupt_record through Bronze into quarantine
         sources = {ds: lake.read_raw_csv(ds, CONTRACTS[ds].spark_schema())
                    for ds in BATCH_DATASETS if lake.exists("raw", f"{ds}.csv")}

@@ -186,7 +186,7 @@ def test_command_line(spark, tmp_path, capsys):
     for ds in ("readers", "books", "loans", "ratings"):
         src[ds].coalesce(1).write.option("header", True).csv(lake.path("raw", f"{ds}.csv"))
     # one instant for every dataset: readers registered after it fail not_future, hence gate 0
-    assert main(["pipeline", "--lake", root, "--gate", "0.0", "--as-of", "2001-01-01 00:00:00"]) == 0
+    assert main(["run", "--lake", root, "--gate", "0.0", "--as-of", "2001-01-01 00:00:00"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["status"] == M.SUCCESS
     assert main(["listing", "--lake", root]) == 0
