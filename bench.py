@@ -1,7 +1,7 @@
-"""Benchmark: headline queries and the full pipeline job on $BENCH_SF_DIR.
+"""Benchmark: headline queries and the full job on $BENCH_SF_DIR.
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}. ``value`` is the
-full pipeline (ingest -> Silver -> gate -> Gold -> governance, with writes), median of
+full job (ingest -> Silver -> gate -> Gold -> governance, with writes), median of
 $BENCH_REPEAT runs on a warm session. Each query is forced with the ``noop`` sink (the
 whole plan runs, nothing is collected to the driver).
 """

@@ -195,3 +195,16 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["reprocess", "loans", "--lake", root, "--as-of", "2002-01-01 00:00:00"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["returned"] > 0
     assert main(["health", "--lake", root]) == 0
+
+
+def test_raw_csv_malformed_line_is_kept(spark, tmp_path):
+    from lakehold.contracts import CONTRACTS
+    lake = Lake(spark, str(tmp_path / "lake"))
+    os.makedirs(lake.path("raw", "books.csv"))
+    with open(os.path.join(lake.path("raw", "books.csv"), "part-0.csv"), "w") as f:
+        f.write("book_id,title,author,genre,year\n1,T,A,SMALL,2000\n2,U,B,LARGE\nx,V,C,MEDIUM,1999\n")
+    raw = lake.read_raw_csv("books", CONTRACTS["books"].spark_schema()).cache()
+    rows = {r["title"]: r for r in raw.collect()}
+    assert rows["T"]["_corrupt_record"] is None and rows["T"]["book_id"] == 1
+    assert rows["U"]["_corrupt_record"] is not None         # a field short
+    assert rows["V"]["book_id"] is None                      # unparsable id -> null, fails not_null
