@@ -28,6 +28,7 @@ class Flagged:
     rules: tuple
     flag_cols: list
     missing: frozenset   # indexes of rules whose column is absent
+    shuffles: bool = False   # some keyed rule joins its key set with a shuffle (not broadcast)
 
     def valid(self) -> DataFrame:
         return self.df.where(F.size(F.col(FAILED)) == 0)
@@ -105,7 +106,8 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None) -> Fl
         F.array(*[F.when(F.col(n), F.lit(r.name)) for n, r in zip(flag_cols, c.rules)]),
         lambda x: x.isNotNull())
     out = out.withColumn(FAILED, failed)
-    return Flagged(out, c, c.rules, flag_cols, missing)
+    shuffles = any(ks[2] > 0 and not ks[1] for ks in keysets.values())
+    return Flagged(out, c, c.rules, flag_cols, missing, shuffles)
 
 
 def _rule_detail(fl: Flagged, i: int, r: Rule) -> str:

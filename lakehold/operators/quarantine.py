@@ -89,7 +89,7 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     failed = F.filter(F.array(*[F.when(F.col(n), F.lit(r.name)) for n, r in zip(fl.flag_cols, c.rules)]),
                       lambda x: x.isNotNull())
     df = df.withColumn(Q.FAILED, failed)
-    return Q.Flagged(df, c, fl.rules, fl.flag_cols, fl.missing)
+    return Q.Flagged(df, c, fl.rules, fl.flag_cols, fl.missing, fl.shuffles)
 
 
 def merge_into_bronze(bronze: DataFrame, returned: DataFrame) -> DataFrame:

@@ -29,10 +29,11 @@ from lakehold.operators.silver import to_silver
 from lakehold.sources.lake import Lake, TableMissing, new_run_id
 
 REPROCESS_SUFFIX = "_rp"
-# Persist the flagged Bronze frame (it feeds Silver and quarantine) only below this stored
-# input size. Above it the quarantine write recomputes the scan and the flags -- a columnar
-# re-read of the input is cheaper than row-serialised blocks of every row, and the split is
-# deterministic (stored ordinal, literal as_of, materialised key sets).
+# The flagged Bronze frame feeds Silver and quarantine. When every key set is broadcast the
+# flags are a map-only pass over a pruned columnar scan: recomputing it for the second write
+# is cheaper than caching every row. When a key-set join shuffles, the frame is persisted --
+# up to this stored input size; above it the second write recomputes too. Either way the
+# split is deterministic (stored ordinal, literal as_of, materialised key sets).
 PERSIST_FLAGGED_MAX_BYTES = 32 * 1024 ** 3
 
 
@@ -189,17 +190,18 @@ def read_bronze_for_silver(lake: Lake, name: str) -> DataFrame:
 def _silver_dataset(run: Run, ds: str, refs: dict) -> dict:
     """Validate one dataset's Bronze input, write Silver and quarantine. The report counts
     come from an Observation on the Silver write (placed before the valid/invalid split,
-    so it sees every row); the flagged frame is persisted for the quarantine write."""
+    so it sees every row); see PERSIST_FLAGGED_MAX_BYTES for when the flagged frame is kept."""
     lake, c = run.lake, CONTRACTS[ds]
     bronze = read_bronze_for_silver(lake, ds)
     fl = Q.flag(bronze, c, refs, run.as_of)
-    persist = lake.bytes_of("bronze", ds, bronze_runs_for_silver(lake, ds)) <= PERSIST_FLAGGED_MAX_BYTES
+    persist = fl.shuffles and \
+        lake.bytes_of("bronze", ds, bronze_runs_for_silver(lake, ds)) <= PERSIST_FLAGGED_MAX_BYTES
     if persist:
         fl.df = fl.df.persist(StorageLevel.MEMORY_AND_DISK)
     obs = Observation(f"silver_{ds}_{run.run_id}")
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.size(F.col(Q.FAILED)) > 0).alias("n_invalid")]
     aggs += [F.count_if(F.col(n)).alias(n) for n in fl.flag_cols]
-    observed = Q.Flagged(fl.df.observe(obs, *aggs), c, fl.rules, fl.flag_cols, fl.missing)
+    observed = Q.Flagged(fl.df.observe(obs, *aggs), c, fl.rules, fl.flag_cols, fl.missing, fl.shuffles)
     silver = to_silver(observed.valid().select(*fl.data_columns()), c, run.salt)
     obs_out = Observation(f"silver_out_{ds}_{run.run_id}")
     from lakehold.plans.parallel import run_all
