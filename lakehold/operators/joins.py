@@ -28,7 +28,7 @@ def row_bytes(schema: T.StructType) -> int:
     return 16 + sum(_width(f.dataType) for f in schema.fields)
 
 
-def measured(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool, int]:
+def measured(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool, int]:
     """Materialise a derived key set once (persisted, recomputable from lineage if an
     executor is lost), count it, and say whether it is small enough to broadcast."""
     spark = df.sparkSession
@@ -38,10 +38,11 @@ def measured(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataF
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(df)
     n = df.count()
-    return df, n * row_bytes(df.schema) <= max_bytes, n
+    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    return df, n * row_bytes(df.schema) <= limit, n
 
 
-def sized(df: DataFrame, n_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool, int]:
+def sized(df: DataFrame, n_rows: int, max_bytes: int | None = None) -> tuple[DataFrame, bool, int]:
     """Like ``measured`` for a derived set whose row count is already known (e.g. one row
     per key counted earlier): persisted lazily, no counting job."""
     spark = df.sparkSession
@@ -49,11 +50,12 @@ def sized(df: DataFrame, n_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> t
         spark.conf.set(_CACHED_AQE, "true")
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(df)
-    return df, n_rows * row_bytes(df.schema) <= max_bytes, n_rows
+    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    return df, n_rows * row_bytes(df.schema) <= limit, n_rows
 
 
 def join_keyset(big: DataFrame, keys, cond, how: str = "left",
-                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                max_bytes: int | None = None) -> DataFrame:
     """Join ``big`` with a derived key set: broadcast when its measured size is small,
     otherwise a shuffle join (skewed partitions of ``big`` are split by AQE).
     ``keys`` is a DataFrame or the result of ``measured`` (already materialised)."""
