@@ -39,3 +39,41 @@ def test_results_equal_without_any_broadcast(spark):
             spark.conf.set(k, v)
     for k in KEYS:
         assert got[k] == want[k], k
+
+
+def test_pipeline_without_broadcast_matches(spark, tmp_path):
+    from lakehold.plans import jobs as J
+    from lakehold.sources import testdata as td
+    from lakehold.sources.lake import Lake
+
+    def run(root):
+        lake = Lake(spark, root)
+        src = td.load_all(spark, SF_SMALL)
+        ev = src.pop("access_events")
+        res = J.run_pipeline(spark, lake, src, ev, as_of=td.AS_OF, gate_threshold=0.5)
+        out = {t: sorted(map(repr, (tuple(r) for r in lake.read("gold", t).collect())))
+               for t in ("top_books", "usage_by_genre", "rating_by_book", "kpis")}
+        out["quarantine"] = sorted(map(repr, (tuple(r) for r in
+                                              lake.read_quarantine("loans").select("loan_id", "_failed_rules").collect())))
+        return res, out
+
+    _, want = run(str(tmp_path / "a"))
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in confs}
+    limit = joins.MAX_BROADCAST_BYTES
+    joins.release()
+    spark.catalog.clearCache()
+    try:
+        joins.MAX_BROADCAST_BYTES = 0
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        res, got = run(str(tmp_path / "b"))   # key-set joins shuffle: the flagged frame is persisted
+    finally:
+        joins.release()
+        spark.catalog.clearCache()
+        joins.MAX_BROADCAST_BYTES = limit
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert res["status"] == "success"
+    assert got == want
