@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # respect the advisory size when coalescing (no swarm of tiny tasks on a busy cluster)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # runtime (measured) size under which AQE turns a shuffle join into a broadcast
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
