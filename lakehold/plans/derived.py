@@ -19,10 +19,18 @@ from lakehold.operators.silver import to_silver
 from lakehold.sources import testdata as td
 
 
+# adapters built by joins (lineitem x orders, customer x nation): every rule job would redo
+# the join, so their output is materialised once per chain with a reliable checkpoint in
+# the session's shared checkpoint folder (lineage cut; recoverable after executor loss)
+MATERIALISED = ("readers", "loans", "ratings")
+
+
 class Chain:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of=None, salt: str = DEFAULT_SALT):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of=None, salt: str = DEFAULT_SALT,
+                 materialise: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialise = materialise
         self.as_of = td.AS_OF if as_of is None else as_of
         self.salt = salt
         self._raw: dict[str, DataFrame] = {}
@@ -31,7 +39,12 @@ class Chain:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = td.ADAPTERS[name](self.spark, self.sf_dir)
+            df = td.ADAPTERS[name](self.spark, self.sf_dir)
+            if self.materialise and name in MATERIALISED:
+                from lakehold.session import ensure_checkpoint_dir
+                ensure_checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            self._raw[name] = df
         return self._raw[name]
 
     @cached_property
