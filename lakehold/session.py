@@ -66,8 +66,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it to shared storage; only when it is unset (tests, local runs)
-    do we pick a folder of our own.
+    The cluster sets it to shared storage. Only a local session, whose executors are this
+    machine, may go without: it gets a folder of its own. On a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lakehold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
