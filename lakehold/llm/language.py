@@ -258,7 +258,7 @@ def identify(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     return predict(docs, learn(docs, max_docs)).withColumn("held_out", held_out())
 
 
-def accepted(docs: DataFrame, least_score: float = 0.5, max_docs: int = MAX_DOCS) -> DataFrame:
+def accepted(docs: DataFrame, least_score: float = 0.25, max_docs: int = MAX_DOCS) -> DataFrame:
     """The rows of ``docs``, all columns kept, that have a language.
 
     Texts that are ``und``, or whose main language scores below ``least_score``, go.
