@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -22,11 +25,16 @@ def parts(n_bytes: int, per_part: int) -> int:
 
 
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], schema: str) -> DataFrame:
-    """``mapInArrow`` for functions that yield dicts of column -> list."""
+    """``mapInArrow`` for functions that yield dicts of column -> list.
+
+    Record batches of long texts are kept small, unless the session says otherwise.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     out = to_arrow_schema(StructType.fromDDL(schema))
+    if df.sparkSession.conf.get(BATCH, None) is None:
+        df.sparkSession.conf.set(BATCH, BATCH_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in fn(batches):

@@ -78,11 +78,8 @@ def pages_to_arc(pages: DataFrame, stamp: str = "20200101000000") -> DataFrame:
     The page id travels as an HTTP header of the archived response.
     """
     def render(batches) -> Iterator[dict]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
         for n, batch in enumerate(slices(batches, "html")):
-            name, docs = f"pages-{part:06d}-{n:06d}.arc", []
+            name, docs = f"pages-{batch.column('part')[0].as_py():06d}-{n:06d}.arc", []
             for key, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
                 payload = (html or "").encode()
                 head = f"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {len(payload)}\r\n"
@@ -90,7 +87,7 @@ def pages_to_arc(pages: DataFrame, stamp: str = "20200101000000") -> DataFrame:
                 docs.append((url, "text/html", head.encode() + b"\r\n" + payload))
             yield {"archive": [name], "content": [arc_bytes(name, 1 + n % 2, stamp, docs)]}
 
-    return mapped(pages.select("page_id", "url", "html"), render, "archive string, content binary")
+    return mapped(pages.select(F.spark_partition_id().alias("part"), "page_id", "url", "html"), render, "archive string, content binary")
 
 
 def read_arc_files(spark: SparkSession, path: str) -> DataFrame:

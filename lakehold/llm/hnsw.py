@@ -11,8 +11,8 @@ Equal vectors of a shard are one node with its member ids in ascending order, so
 crowd the graph nor get lost: ties go to the smaller id.
 
 Defined cases. Vectors that are null, zero or hold null or non-finite components take no part.
-Only vectors of equal length are neighbours. A repeated vec_id counts once for each of its distinct
-vectors. With fewer candidates than asked for, all are returned. Empty tables give no rows.
+Only vectors of equal length are neighbours. Repeated rows count once; of a vec_id with several
+vectors the nearest counts. With fewer candidates than asked for, all are returned. Empty tables give no rows.
 """
 from __future__ import annotations
 
@@ -174,15 +174,14 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, links: int = L
     def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         dim, shard = (x.as_py() for x in key)
         ids, matrix = rows.column("vec_id").to_numpy(), _matrix(rows.column("embedding"), dim).astype(kind)
-        order = np.argsort(ids, kind="stable")
-        matrix = matrix[order] + kind(0)  # no negative zeros: equal vectors have equal bytes
+        matrix = matrix + kind(0)  # no negative zeros: equal vectors have equal bytes
         raw = np.ascontiguousarray(matrix).view(np.dtype((np.void, matrix.dtype.itemsize * dim))).ravel()
         _, first, of = np.unique(raw, return_index=True, return_inverse=True)
-        by = np.argsort(of, kind="stable")
-        start = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(first))))).astype("<i8")
         distinct = matrix[first]
+        pairs = np.unique(np.stack((of, ids), 1), axis=0)  # members of a node in ascending order, repeated rows once
+        start = np.concatenate(([0], np.cumsum(np.bincount(pairs[:, 0], minlength=len(first))))).astype("<i8")
         g = Graph(distinct, links).build(seed=shard * 65_537 + dim, width=width)
-        row = {"dim": dim, "shard": shard, "n": len(distinct), "members": ids[order][by].astype("<i8").tobytes(),
+        row = {"dim": dim, "shard": shard, "n": len(distinct), "members": pairs[:, 1].astype("<i8").tobytes(),
                "member_start": start.tobytes(), "vectors": distinct.tobytes(), "levels": g.levels.tobytes(),
                "neighbours": [x.astype("<i4").tobytes() for x in g.neighbours], "entry": g.entry}
         return pa.Table.from_pylist([row], schema=out)
@@ -231,23 +230,24 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, count: int
                 q, found = [], []
                 asked = np.frombuffer(row["asked"], kind).reshape(-1, row["dim"])
                 for own, vector in zip(np.frombuffer(row["ids"], "<i8").tolist(), asked, strict=True):
-                    left = count
                     nodes, scores = g.nearest(vector, count + 1, width)
-                    best = []
+                    best: dict[int, float] = {}
                     for node, score in zip(nodes.tolist(), scores.tolist(), strict=True):
-                        if left <= 0 and score > best[-1][1]:
+                        if len(best) >= count and score > last:
                             break
-                        ids = [x for x in members[start[node]:min(start[node] + count + 1, start[node + 1])].tolist() if x != own]
-                        best += [(x, score) for x in ids]
-                        left -= len(ids)
-                    found += best
+                        last = score
+                        for x in members[start[node]:min(start[node] + count + 1, start[node + 1])].tolist():
+                            if x != own:
+                                best.setdefault(x, score)
+                    found += best.items()
                     q += [own] * len(best)
                 yield {"query_id": q, "vec_id": [x for x, _ in found], "score": [s for _, s in found]}
 
     answers = mapped(meet.select("dim", "n", "members", "member_start", "vectors", "levels", "neighbours", "entry",
                                  "ids", "asked"), answer, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).select(
+    nearest = answers.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # of ids with several vectors
+    return nearest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).select(
         "query_id", "rank", "vec_id", "score")
 
 

@@ -153,19 +153,16 @@ def compare_with_next(docs: DataFrame, partition_bytes: int = 32 << 20) -> DataF
                 yield _columns(rows)
 
     def ends(batches) -> Iterator[dict]:
-        from pyspark import TaskContext
-
         first = last = None
         for batch in batches:
             if batch.num_rows:
                 first = first or batch.slice(0, 1).to_pylist()[0]
                 last = batch.slice(batch.num_rows - 1).to_pylist()[0]
         if first:
-            part = TaskContext.get().partitionId()
-            yield {"part": [part, part], "end": [0, 1], "doc_id": [first["doc_id"], last["doc_id"]],
+            yield {"part": [first["part"], first["part"]], "end": [0, 1], "doc_id": [first["doc_id"], last["doc_id"]],
                    "text": [first["text"], last["text"]]}
 
-    edges = mapped(ordered, ends, "part long, end int, doc_id long, text string")
+    edges = mapped(ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text"), ends, "part long, end int, doc_id long, text string")
     # the order of the partitions alone, without texts; the last is followed by the first
     by = Window.orderBy("part")
     every = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -9,8 +9,8 @@ sums are of whole numbers, so they do not depend on the order of the rows, and r
 
 Rates are then rounded into copies: within blocks of about 500 documents of one source, largest
 first, a document's fractional copy is taken when the words owed reach half its size. The words
-owed pass from document to document, so a block misses its share by a few words only. Blocks are
-dealt by a hash of the document, so a source with a third of all rows is as many blocks as it needs.
+owed pass from document to document, and what is left at the end goes to the document whose size
+fits best, so a block misses its share by a few words only. Blocks are dealt by a hash of the document, so a source with a third of all rows is as many blocks as it needs.
 
 Defined cases. Null text has size 0; such documents get one copy and count for nothing. A source
 whose target is its ceiling takes every document ``most`` times; one whose target is 0 takes only
@@ -19,6 +19,7 @@ own. Empty tables give no rows.
 """
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,6 +125,16 @@ def copies(sizes: DataFrame, most: int = 2, total_share: float = 1.5) -> DataFra
             extra = whole < most and rate > whole and 2 * owed >= size
             owed -= size * extra
             taken.append(whole + extra)
+        # what is still owed, in blocks of few documents: one copy more or less of the document that fits best
+        copies, size = np.array(taken), np.array(rows.column("size").to_pylist())
+        while len(size):
+            change = np.concatenate((np.where(copies < most, size, 0), np.where(copies > 0, -size, 0)))
+            best = int(np.abs(owed - change).argmin())
+            if abs(owed - change[best]) >= abs(owed) - 0.5:
+                break
+            owed -= change[best]
+            copies[best % len(size)] += 1 if best < len(size) else -1
+        taken = copies.tolist()
         return rows.drop_columns("block").append_column("copies", pa.array(taken, pa.int32()))
 
     return rated.groupBy("source", "block").applyInArrow(
