@@ -29,11 +29,14 @@ MISSING_COLUMN_DETAIL = "column missing"
 SILVER_REASON = "rejected_silver"
 REPROCESS_REASON = "still_invalid_after_reprocess"
 REPROCESS_SOURCE = "reprocess"
-# Test-table values: allowed event types and genres (see FIXTURES.md)
-EVENT_TYPES = ("view", "click", "purchase", "signup")
-GENRES = ("STANDARD", "SMALL", "LARGE", "ECONOMY", "MEDIUM")
+CORRUPT_RULE = "well_formed:_corrupt_record"   # a source line with the wrong number of fields
+GENRES = ("Romance", "Ficcao Cientifica", "Fantasia", "Tecnico", "Biografia", "Historia", "Infantil", "Poesia")
+EVENT_TYPES = ("busca", "clique", "visualizacao")
 YEAR_RANGE = (1450, 2026)
 RATING_RANGE = (1, 5)
+# ---------------------------------------------------------------------------
+# End of fixed values.
+# ---------------------------------------------------------------------------
 
 # declared type -> Spark type. ``date`` stays text until Silver parses it.
 DECLARED_TYPES = {
@@ -80,19 +83,12 @@ class Rule:
 @dataclass(frozen=True)
 class Contract:
     name: str
-    description: str
-    domain: str
-    kind: str
     columns: tuple                       # ((column, declared type), ...)
     rules: tuple                         # (Rule, ...)
-    pii: tuple = ()                      # personal-data columns
-    order_by: tuple = ()                 # keep-first order (total per key)
+    pii: dict = field(default_factory=dict)            # personal-data column -> policy (functions.privacy)
+    order_by: tuple = ()                 # keep-first order before arrival; empty: arrival alone
     date_formats: dict = field(default_factory=dict)   # column -> parse pattern
-    owner: str = ""
-    origin: str = ""
-    fmt: str = ""
-    frequency: str = ""
-    latency: str = ""
+    about: dict = field(default_factory=dict)          # governance facts: domain, owner, origin, format, frequency, latency
     stream: bool = False
 
     @property
@@ -122,77 +118,64 @@ def _rules(*items) -> tuple:
     return tuple(Rule(*i) for i in items)
 
 
-CONTRACTS: dict[str, Contract] = {
-    "readers": Contract(
+def _about(domain: str, owner: str, origin: str, layout: str, frequency: str, latency: str) -> dict:
+    return {"domain": domain, "owner": owner, "origin": origin, "format": layout, "frequency": frequency, "latency": latency}
+
+
+CONTRACTS: dict[str, Contract] = {c.name: c for c in (
+    Contract(
         name="readers",
-        description="Registered readers of the library.",
-        domain="Readers", kind="Master data",
         columns=(("reader_id", "int"), ("name", "string"), ("email", "string"),
                  ("city", "string"), ("signup_date", "date")),
-        pii=("name", "email"),
+        pii={"name": "pseudonym_column", "email": "mask_email"},
         rules=_rules(("not_null", "reader_id"), ("unique", "reader_id"),
                      ("not_null", "email"), ("regex", "email", EMAIL_PATTERN),
                      ("not_future", "signup_date")),
         date_formats={"signup_date": "yyyy-MM-dd"},
-        owner="Registration & Support", origin="Registration system", fmt="CSV",
-        frequency="Daily batch", latency="24 h",
+        about=_about("people", "lake team", "raw/readers", "text with a header line", "with every run", "one run"),
     ),
-    "books": Contract(
+    Contract(
         name="books",
-        description="Catalogue of titles (reference data).",
-        domain="Collection", kind="Master data",
         columns=(("book_id", "int"), ("title", "string"), ("author", "string"),
                  ("isbn", "string"), ("genre", "string"), ("publisher", "string"),
                  ("year", "int")),
         rules=_rules(("not_null", "book_id"), ("unique", "book_id"),
                      ("not_null", "title"), ("in_range", "year", YEAR_RANGE),
                      ("in_set", "genre", GENRES)),
-        owner="Collection Curation", origin="Cataloguing system", fmt="CSV",
-        frequency="Weekly batch", latency="7 days",
+        about=_about("titles", "lake team", "raw/books", "text with a header line", "with every run", "one run"),
     ),
-    "loans": Contract(
+    Contract(
         name="loans",
-        description="Loan transactions.",
-        domain="Loans", kind="Transactional",
         columns=(("loan_id", "int"), ("reader_id", "int"), ("book_id", "int"),
                  ("loan_date", "date"), ("return_date", "date")),
         rules=_rules(("not_null", "loan_id"), ("unique", "loan_id"),
                      ("fk", "reader_id", ("readers", "reader_id")),
                      ("fk", "book_id", ("books", "book_id")),
                      ("not_future", "loan_date")),
-        order_by=("loan_date", "l_suppkey", "l_extendedprice", "book_id", "l_quantity"),
         date_formats={"loan_date": "yyyy-MM-dd", "return_date": "yyyy-MM-dd"},
-        owner="Circulation / Operations", origin="Transactional system", fmt="CSV",
-        frequency="Daily batch", latency="24 h",
+        about=_about("activity", "lake team", "raw/loans", "text with a header line", "with every run", "one run"),
     ),
-    "ratings": Contract(
+    Contract(
         name="ratings",
-        description="Ratings left after reading.",
-        domain="Loans", kind="Transactional",
         columns=(("rating_id", "int"), ("reader_id", "int"), ("book_id", "int"),
                  ("rating", "int"), ("comment", "string"), ("rating_date", "date")),
         rules=_rules(("not_null", "rating_id"), ("unique", "rating_id"),
                      ("in_range", "rating", RATING_RANGE),
                      ("fk", "reader_id", ("readers", "reader_id")),
                      ("fk", "book_id", ("books", "book_id"))),
-        order_by=("rating_date", "l_suppkey", "l_extendedprice"),
         date_formats={"rating_date": "yyyy-MM-dd"},
-        owner="Circulation / Operations", origin="Rating module", fmt="CSV",
-        frequency="Daily batch", latency="24 h",
+        about=_about("activity", "lake team", "raw/ratings", "text with a header line", "with every run", "one run"),
     ),
-    "access_events": Contract(
+    Contract(
         name="access_events",
-        description="Access events: views, clicks, purchases, sign-ups.",
-        domain="Analytics", kind="Event (streaming)",
         columns=(("event_id", "string"), ("reader_id", "int"), ("event_type", "string"),
                  ("book_id", "int"), ("event_ts", "timestamp")),
         rules=_rules(("not_null", "event_id"), ("in_set", "event_type", EVENT_TYPES)),
-        order_by=("event_ts", "event_id"),
         date_formats={"event_ts": None},   # ISO timestamps, fractions allowed
-        owner="Data & Analytics", origin="Platform events", fmt="JSON",
-        frequency="Streaming", latency="seconds", stream=True,
+        about=_about("activity", "lake team", "event queue", "JSON lines", "whenever drained", "one micro-batch"),
+        stream=True,
     ),
-}
+)}
 
 BATCH_DATASETS = ("readers", "books", "loans", "ratings")
 STREAM_DATASETS = ("access_events",)

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from lakehold.contracts import PSEUDONYM_HEX_CHARS, Contract
 
-DEFAULT_SALT = "lakehold-pii-salt"
+TEST_SALT = "lakehold-pii-salt"   # of the queries over the test tables only
 
 
 def salt() -> str:
-    return os.environ.get("PII_SALT", DEFAULT_SALT)
+    """The secret of this installation; pseudonyms under a known salt could be guessed."""
+    if not os.environ.get("PII_SALT"):
+        raise RuntimeError("set PII_SALT: pseudonyms need a secret salt")
+    return os.environ["PII_SALT"]
 
 
 def pseudonym(c: Column, salt_value: str | None = None) -> Column:
@@ -37,23 +40,12 @@ def mask_email(c: Column) -> Column:
 
 
 def apply_pii(df: DataFrame, c: Contract, salt_value: str | None = None) -> DataFrame:
-    """Policy per personal-data column: ``email`` masked in place; ``name`` replaced by a new
-    ``name_pseudo`` column at the end; any other personal column pseudonymised in place.
-    Absent columns are skipped; a contract without personal data leaves ``df`` unchanged."""
-    if not c.pii:
-        return df
-    replace: dict[str, Column] = {}
-    append: list[Column] = []
-    drop: list[str] = []
-    for col in c.pii:
-        if col not in df.columns:
-            continue
-        if col == "email":
-            replace[col] = mask_email(F.col(col))
-        elif col == "name":
-            append.append(pseudonym(F.col(col), salt_value).alias(f"{col}_pseudo"))
-            drop.append(col)
-        else:
-            replace[col] = pseudonym(F.col(col), salt_value)
-    cols = [replace.get(n, F.col(n)).alias(n) for n in df.columns if n not in drop]
-    return df.select(*cols, *append)
+    """Each personal-data column by the policy its contract declares: ``mask_email`` and
+    ``pseudonym`` in place; ``pseudonym_column`` drops the column and appends ``<column>_pseudo``.
+    Absent columns are skipped."""
+    here = {col: policy for col, policy in c.pii.items() if col in df.columns}
+    in_place = {"mask_email": lambda col: mask_email(F.col(col)),
+                "pseudonym": lambda col: pseudonym(F.col(col), salt_value)}
+    moved = [col for col, policy in here.items() if policy == "pseudonym_column"]
+    kept = [(in_place[here[n]](n) if n in here else F.col(n)).alias(n) for n in df.columns if n not in moved]
+    return df.select(*kept, *[pseudonym(F.col(n), salt_value).alias(f"{n}_pseudo") for n in moved]) if here else df

@@ -1,78 +1,21 @@
-"""Join helpers with an explicit size check before any broadcast."""
+"""Joins with derived key sets.
+
+A key set (duplicated keys, orphan keys) is written to the shared folder first. Its size is then
+known from its files, and Catalyst broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``
+of real bytes; beyond that the join shuffles and AQE splits skewed partitions. A written set is
+computed once, survives lost executors and is shared by all plans that use it.
+"""
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Broadcast only below this measured size; above it the join shuffles (AQE splits skew).
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-_CACHED_AQE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-
-
-def _width(dtype: T.DataType) -> int:
-    if isinstance(dtype, T.StructType):
-        return sum(_width(f.dataType) for f in dtype.fields) + 8
-    if isinstance(dtype, T.StringType):
-        return 32
-    if isinstance(dtype, (T.ArrayType, T.MapType)):
-        return 64
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.BooleanType,
-                          T.DateType)):
-        return 4
-    return 8
-
-
-def row_bytes(schema: T.StructType) -> int:
-    return 16 + sum(_width(f.dataType) for f in schema.fields)
-
-
-def measured(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool, int]:
-    """Materialise a derived key set once (persisted, recomputable from lineage if an
-    executor is lost), count it, and say whether it is small enough to broadcast."""
-    spark = df.sparkSession
-    if spark.conf.get(_CACHED_AQE, "false") != "true":
-        # let AQE coalesce / split the shuffles inside cached plans too (no effect on results)
-        spark.conf.set(_CACHED_AQE, "true")
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    n = df.count()
-    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    return df, n * row_bytes(df.schema) <= limit, n
-
-
-def sized(df: DataFrame, n_rows: int, max_bytes: int | None = None) -> tuple[DataFrame, bool, int]:
-    """Like ``measured`` for a derived set whose row count is already known (e.g. one row
-    per key counted earlier): persisted lazily, no counting job."""
-    spark = df.sparkSession
-    if spark.conf.get(_CACHED_AQE, "false") != "true":
-        spark.conf.set(_CACHED_AQE, "true")
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    return df, n_rows * row_bytes(df.schema) <= limit, n_rows
-
 
-def join_keyset(big: DataFrame, keys, cond, how: str = "left",
-                max_bytes: int | None = None) -> DataFrame:
-    """Join ``big`` with a derived key set: broadcast when its measured size is small,
-    otherwise a shuffle join (skewed partitions of ``big`` are split by AQE).
-    ``keys`` is a DataFrame or the result of ``measured`` (already materialised)."""
-    keys, small, n = keys if isinstance(keys, tuple) else measured(keys, max_bytes)
-    if n == 0 and how == "left":
-        # nothing to match: keep the plan a plain scan, add the right side's columns as nulls
-        return big.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in keys.schema.fields])
-    if n == 0 and how == "left_anti":
-        return big
-    right = F.broadcast(keys) if small else keys
-    return big.join(right, cond(big, keys), how)
+from lakehold.sources.scratch import materialise
 
 
-_PERSISTED: list[DataFrame] = []
+def key_set(df: DataFrame) -> DataFrame:
+    return materialise(df, "keys")
 
 
-def release() -> None:
-    """Unpersist key sets materialised by ``measured`` (end of a job)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+def join_keyset(big: DataFrame, keys: DataFrame, cond, how: str = "left") -> DataFrame:
+    """Join ``big`` with a key set; ``cond(big, keys)`` gives the join condition."""
+    return big.join(keys, cond(big, keys), how)

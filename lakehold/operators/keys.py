@@ -1,77 +1,68 @@
 """Rules that need other rows: keep-first duplicates and foreign-key membership.
 
-Both avoid a window over the key (a key holding a third of the rows would land in one
-task). Instead a partially aggregated key set is built first -- keys that occur more
-than once, or foreign keys absent from the reference -- and joined back. That set is
-usually small and broadcast after a size check; when it is not, the join shuffles and
-AQE splits skewed partitions.
+Neither uses a window over the key (a key holding a third of the rows would land in one task). A
+partially aggregated key set is built first -- keys that occur more than once, or foreign keys
+absent from the reference -- and joined back (see ``joins``).
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.operators.joins import join_keyset, measured
+from lakehold.operators.joins import join_keyset, key_set
+
+# where a row stood in its source: run, file, block of the file, row number
+ARRIVAL = ("_arrival_run", "_file", "_block", "_ordinal")
 
 
 def order_struct(columns: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in columns])
 
 
-def _narrow(df: DataFrame, key: str, order: list[str], nulls_equal: bool) -> DataFrame:
-    base = df if nulls_equal else df.where(F.col(key).isNotNull())
-    return base.select(F.col(key), order_struct(order).alias("_dord"))
-
+def with_position(df: DataFrame) -> DataFrame:
+    """Rows numbered in scan order, where no stored position is present. ``df`` has to be a stored
+    table or a scan: its rows must come in the same order each time it is read."""
+    return df if "_ordinal" in df.columns else df.withColumn("_ordinal", F.monotonically_increasing_id())
 
-def duplicate_key_counts(df: DataFrame, key: str, nulls_equal: bool = False) -> DataFrame:
-    """Keys with more than one row: a hash aggregate on the key alone, partially
-    aggregated per task, so a hot key costs one row per task."""
-    base = df if nulls_equal else df.where(F.col(key).isNotNull())
-    return (base.groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn"))
-            .where(F.col("_dn") > 1).select("_dk"))
 
+def arrival_order(df: DataFrame, first: tuple = ()) -> list[str]:
+    """Columns that order the rows of a key totally: ``first`` where present, then arrival."""
+    return [c for c in (*first, *ARRIVAL) if c in df.columns]
 
-def duplicate_firsts(df: DataFrame, key: str, order: list[str], counted, nulls_equal: bool = False) -> DataFrame:
-    """Smallest order tuple (nulls first) per duplicated key. ``counted`` is the measured
-    result of ``duplicate_key_counts``; only rows of those keys reach the sort-based
-    aggregate (structs are not hash-aggregable)."""
-    narrow = _narrow(df, key, order, nulls_equal)
-    if counted[2] == 0:
-        return narrow.select(F.col(key).alias("_dk"), F.col("_dord").alias("_dfirst")).limit(0)
 
-    def cond(big, keys):
-        return big[key].eqNullSafe(keys["_dk"]) if nulls_equal else big[key] == keys["_dk"]
-
-    dup_rows = join_keyset(narrow, counted, cond, how="left_semi")
-    return dup_rows.groupBy(F.col(key).alias("_dk")).agg(F.min("_dord").alias("_dfirst"))
+def _matches(key: str, nulls_equal: bool):
+    return lambda big, keys: big[key].eqNullSafe(keys["_dk"]) if nulls_equal else big[key] == keys["_dk"]
 
 
 def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool = False) -> DataFrame:
-    """Keys with more than one row and the smallest order tuple per key: hash-count the keys
-    first, then the lexicographic minimum over the duplicated keys' rows only."""
-    counted = measured(duplicate_key_counts(df, key, nulls_equal))
-    return duplicate_firsts(df, key, order, counted, nulls_equal)
-
+    """Keys with more than one row and the smallest order tuple (nulls first) per key.
 
-def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
-                        nulls_equal: bool = False, dups=None) -> DataFrame:
-    """``flag`` is true for every row of a key except its first by ``order``.
-    Null keys never fail unless ``nulls_equal`` (then nulls form one group).
-    ``dups`` may carry the key set already materialised (see ``joins.measured``)."""
-    dups = dups if dups is not None else duplicate_keys(df, key, order, nulls_equal)
+    Keys are counted first: a hash aggregate, so a hot key costs one row per task. Only rows of
+    duplicated keys reach the sort-based minimum (structs are not hash-aggregable)."""
+    some = df if nulls_equal else df.where(F.col(key).isNotNull())
+    counted = key_set(some.groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn")).where("_dn > 1").select("_dk"))
+    narrow = some.select(F.col(key), order_struct(order).alias("_dord"))
+    rows = join_keyset(narrow, counted, _matches(key, nulls_equal), "left_semi")
+    return rows.groupBy(F.col(key).alias("_dk")).agg(F.min("_dord").alias("_dfirst"))
 
-    def cond(big, keys):
-        return big[key].eqNullSafe(keys["_dk"]) if nulls_equal else big[key] == keys["_dk"]
 
-    out = join_keyset(df, dups, cond)
+def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
+                        nulls_equal: bool = False, dups: DataFrame | None = None) -> DataFrame:
+    """``flag`` is true for every row of a key except its first by ``order``, which has to be total
+    (see ``arrival_order``). Null keys never fail unless ``nulls_equal`` (then nulls form one
+    group). ``dups`` may carry the written key set."""
+    dups = dups if dups is not None else key_set(duplicate_keys(df, key, order, nulls_equal))
+    out = join_keyset(df, dups, _matches(key, nulls_equal))
     is_dup = F.col("_dfirst").isNotNull() & ~order_struct(order).eqNullSafe(F.col("_dfirst"))
     return out.withColumn(flag, F.coalesce(is_dup, F.lit(False))).drop("_dk", "_dfirst")
 
 
 def dedup_keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Keep the first row per key by ``order``; null keys count as one key."""
-    return (with_duplicate_flag(df, key, order, "_is_dup", nulls_equal=True)
-            .where(~F.col("_is_dup")).drop("_is_dup"))
+    """Keep the first row per key by ``order``, then by position; null keys count as one key."""
+    placed = with_position(df)
+    order = [c for c in order if c not in ARRIVAL] + arrival_order(placed)
+    kept = with_duplicate_flag(placed, key, order, "_is_dup", nulls_equal=True).where(~F.col("_is_dup"))
+    return kept.select(*df.columns)
 
 
 def orphan_keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
@@ -83,16 +74,10 @@ def orphan_keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str) ->
     return keys.join(ref_keys, "_ok", "left_anti")
 
 
-def fk_keyset(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
-    return orphan_keys(df, column, ref, ref_column).withColumn("_orphan", F.lit(True))
-
-
-def with_fk_flag(df: DataFrame, column: str, ref: DataFrame | None, ref_column: str,
-                 flag: str, orphans=None) -> DataFrame:
-    """``flag`` is true when ``column`` is not null and absent from ``ref.ref_column``.
-    A missing reference, or one without that column, fails nothing."""
-    if ref is None or ref_column not in ref.columns:
+def with_fk_flag(df: DataFrame, column: str, orphans: DataFrame | None, flag: str) -> DataFrame:
+    """``flag`` is true when ``column`` holds one of ``orphans``; null passes."""
+    if orphans is None:
         return df.withColumn(flag, F.lit(False))
-    orphans = orphans if orphans is not None else fk_keyset(df, column, ref, ref_column)
-    out = join_keyset(df, orphans, lambda big, keys: big[column] == keys["_ok"])
+    named = orphans.select("_ok", F.lit(True).alias("_orphan"))
+    out = join_keyset(df, named, lambda big, keys: big[column] == keys["_ok"])
     return out.withColumn(flag, F.coalesce(F.col("_orphan"), F.lit(False))).drop("_ok", "_orphan")

@@ -21,7 +21,8 @@ STAGE = T.StructType([
     T.StructField("quarantined", T.LongType()), T.StructField("invalid_detected", T.LongType())])
 ALERT = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("ts", T.StringType()),
-    T.StructField("severity", T.StringType()), T.StructField("message", T.StringType())])
+    T.StructField("severity", T.StringType()), T.StructField("message", T.StringType()),
+    T.StructField("context", T.MapType(T.StringType(), T.StringType()))])
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("ts", T.StringType()),
     T.StructField("status", T.StringType()), T.StructField("duration_s", T.DoubleType()),
@@ -59,21 +60,26 @@ def last_runs(runs: DataFrame, n: int) -> DataFrame:
     return runs.orderBy(F.desc("ts"), F.desc("run_id")).limit(n)
 
 
-def volume_drift(runs: DataFrame, stage: str = "ingest_batch",
+def _source():
+    """What a run covers: the replayed dataset, or null for runs over all datasets."""
+    return F.col("config")["source"]
+
+
+def volume_drift(runs: DataFrame, stages: tuple = ("ingest_batch", "ingest_stream", "silver"),
                  tolerance: float = VOLUME_DRIFT_TOLERANCE) -> DataFrame:
-    """Each run's ``rows_out`` of ``stage`` against the last earlier *successful* run:
+    """Each run's ``rows_out`` of every stage against the last earlier *successful* run's:
     drift = |now - prev| / prev, warn when drift > tolerance; no previous value or 0 -> no check.
 
-    A window over the whole history ordered by time; the history is one row per run,
-    so this is one small sorted partition, not a data-sized one."""
-    w = Window.orderBy("ts", "run_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = F.col("stages")[stage]["rows_out"]
-    prev_ok = F.last(F.when(F.col("status") == SUCCESS, rows), ignorenulls=True).over(w)
-    base = runs.where(rows.isNotNull()).select("run_id", "ts", "status", rows.alias("rows"),
-                                               prev_ok.alias("prev_rows"))
+    The window runs over one source's history of one stage: one row per run."""
+    w = Window.partitionBy("source", "stage").orderBy("ts", "run_id").rowsBetween(Window.unboundedPreceding, -1)
+    per_stage = [F.struct(F.lit(s).alias("stage"), F.col("stages")[s]["rows_out"].alias("rows")) for s in stages]
+    base = runs.select("run_id", "ts", "status", _source().alias("source"), F.explode(F.array(*per_stage)).alias("s")).select(
+        "run_id", "ts", "status", "source", "s.stage", "s.rows").where("rows is not null")
+    prev = F.last(F.when(F.col("status") == SUCCESS, F.col("rows")), ignorenulls=True).over(w)
+    base = base.withColumn("prev_rows", prev)
     drift = F.when(F.col("prev_rows").isNull() | (F.col("prev_rows") == 0), F.lit(None).cast("double")) \
         .otherwise(F.abs(F.col("rows") - F.col("prev_rows")) / F.col("prev_rows"))
-    return base.select("run_id", "ts", "status", "rows", "prev_rows", drift.alias("drift"),
+    return base.select("run_id", "ts", "status", "stage", "rows", "prev_rows", drift.alias("drift"),
                        F.coalesce(drift > F.lit(tolerance), F.lit(False)).alias("warn"))
 
 
@@ -81,17 +87,17 @@ def _status_rank(c):
     return F.when(c == "critical", 2).when(c == "alert", 1).otherwise(0)
 
 
-def run_health(runs: DataFrame, gold_ok: bool | None = None, missing_tables: list[str] | None = None,
+def run_health(runs: DataFrame, gold_ok: bool | None = None, missing_tables: dict[str, list] | None = None,
                as_of_ts: str | None = None, gate: float = QUALITY_GATE_MIN_PASS_RATE,
                alert_rate: float = QUALITY_ALERT_PASS_RATE,
                max_age_hours: float = FRESHNESS_MAX_HOURS, stage: str = "silver") -> DataFrame:
     """Health items per run, as seen when the run is checked:
     last status (critical unless success), freshness (age at ``as_of_ts`` -- or at the next
     run's start -- above ``max_age_hours`` -> alert), quality (rate < gate -> critical,
-    < alert_rate -> alert), Gold reachable and layer tables present when given; overall is
-    the worst item."""
+    < alert_rate -> alert), Gold reachable, and each layer's tables present (``missing_tables``:
+    layer -> tables that are not) when given; overall is the worst item."""
     ts = F.col("ts").try_cast("timestamp_ntz")
-    nxt = F.lead(ts).over(Window.orderBy("ts", "run_id"))
+    nxt = F.lead(ts).over(Window.partitionBy(_source()).orderBy("ts", "run_id"))
     check_at = F.lit(as_of_ts).try_cast("timestamp_ntz") if as_of_ts else F.coalesce(nxt, ts)
     age_h = (ntz_seconds(check_at) - ntz_seconds(ts)) / 3600.0
     rate = F.col("stages")[stage]["quality_rate"]
@@ -103,11 +109,11 @@ def run_health(runs: DataFrame, gold_ok: bool | None = None, missing_tables: lis
              quality_item.alias("quality")]
     if gold_ok is not None:
         items.append(F.lit("ok" if gold_ok else "critical").alias("gold"))
-    if missing_tables is not None:
-        items.append(F.lit("alert" if missing_tables else "ok").alias("layers"))
+    for layer, missing in (missing_tables or {}).items():
+        items.append(F.lit("alert" if missing else "ok").alias(layer))
     out = runs.select("run_id", "ts", "status", age_h.alias("age_hours"),
                       rate.alias("quality_rate"), *items)
-    names = [i for i in ("last_run", "freshness", "quality", "gold", "layers") if i in out.columns]
+    names = [i for i in ("last_run", "freshness", "quality", "gold", *(missing_tables or {})) if i in out.columns]
     worst = F.greatest(*[_status_rank(F.col(n)) for n in names])
     overall = F.when(worst == 2, "critical").when(worst == 1, "alert").otherwise("ok")
     return out.withColumn("overall", overall)

@@ -1,9 +1,9 @@
 """Table profiles, schema drift and the catalogue summary.
 
-The profile of a table (rows, null share, exact distinct non-null values per column) is
-one unpivot and two aggregations: (column, value) counts first -- partially aggregated
-per task, so a hot value costs one row per task -- then per column. No per-column pass,
-no Expand of n distinct aggregates. ``exact=False`` swaps in HyperLogLog in one pass.
+The profile of a table has rows, null share and exact distinct non-null values per column. Each
+column is a plan of its own: a narrow scan of that column and a count per value -- partially
+aggregated per task, so a hot value costs one row per task -- all of them one union. Columns known
+to be unique skip the shuffle. ``exact=False`` swaps in HyperLogLog, in one pass over all columns.
 """
 from __future__ import annotations
 
@@ -16,145 +16,106 @@ from lakehold.operators.quality import round_half_up
 
 PROFILE_SCHEMA = "layer string, dataset string, column string, rows long, null_pct double, n_distinct long"
 
+# bookkeeping columns (arrival position, provenance) are not profiled
+INTERNAL = ("_ordinal", "_file", "_block", "_arrival_run", "_origin_run", "_origin_ordinal", "run_id")
 
-_FAMILIES = {"v_long": T.LongType(), "v_double": T.DoubleType(), "v_ts": T.TimestampNTZType(),
-             "v_text": T.StringType()}
 
-
-def _family(dt: T.DataType) -> str:
-    if isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
-        return "v_long"
-    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return "v_double"
-    if isinstance(dt, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        return "v_ts"
-    return "v_text"
-
-
-_SQL_TYPES = {"v_long": "BIGINT", "v_double": "DOUBLE", "v_ts": "TIMESTAMP_NTZ", "v_text": "STRING"}
-
-
-def _typed_pair_sql(df: DataFrame, name: str) -> str:
-    """``named_struct(column, v_long, v_double, v_ts, v_text)`` for one column, as SQL text
-    (one expression for the whole unpivot keeps plan construction to a single call)."""
-    dt = df.schema[name].dataType
-    fam = _family(dt)
-    ref = "`" + name.replace("`", "``") + "`"
-    if isinstance(dt, T.BinaryType):
-        ref = f"base64({ref})"
-    elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
-        ref = f"to_json({ref})"
-    if fam == "v_double":
-        ref = f"CASE WHEN isnan(CAST({ref} AS DOUBLE)) THEN NULL ELSE {ref} END"  # NaN counts as missing
-    lit = "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    fields = [f"'column', {lit}"]
-    for k, t in _SQL_TYPES.items():
-        fields.append(f"'{k}', CAST({ref if k == fam else 'NULL'} AS {t})")
-    return "named_struct(" + ", ".join(fields) + ")"
-
-
-def _as_text(df: DataFrame, name: str):
-    c = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        c = F.when(F.isnan(c), F.lit(None)).otherwise(c)  # NaN counts as missing
-    return c.cast("string")
-
-
-# internal bookkeeping columns (arrival position, provenance) are not profiled
-INTERNAL = ("_ordinal", "_arrival_run", "_arrival_ordinal", "_origin_run", "_origin_ordinal", "run_id")
+def _value(df: DataFrame, name: str):
+    """A column as profiled: NaN counts as missing, nested values compare as JSON."""
+    c, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(c), c)
+    return F.to_json(c) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else c
 
 
 def profile(df: DataFrame, layer: str, dataset: str, exact: bool = True,
             known_unique: tuple = ()) -> DataFrame:
-    """Profile rows of ``df``. ``known_unique`` names columns whose non-null values are
-    distinct by construction (a Silver key that passed ``unique``): their distinct count
-    is their non-null count, so they skip the (column, value) shuffle."""
-    df = df.drop(*[c for c in INTERNAL if c in df.columns])
-    cols = df.columns
-    if not exact:
-        aggs = [F.count(F.lit(1)).alias("_rows")]
-        for i, c in enumerate(cols):
-            v = _as_text(df, c)
-            aggs += [F.count_if(v.isNull()).alias(f"_n{i}"), F.approx_count_distinct(v).alias(f"_d{i}")]
-        wide = df.agg(*aggs)
-        rows = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("nulls"),
-                         F.col(f"_d{i}").alias("n_distinct")) for i, c in enumerate(cols)]
-        long = wide.select("_rows", F.explode(F.array(*rows)).alias("p")).select(
-            F.col("_rows").alias("rows"), "p.column", "p.nulls", "p.n_distinct")
-    else:
-        shuffled = [c for c in cols if c not in known_unique]
-        parts = []
-        if shuffled:
-            # (column, value) pairs with the value kept in its own type family -- no text
-            # formatting of numbers; one struct shape so all columns share one explode
-            pairs = F.expr("explode(array(" + ", ".join(_typed_pair_sql(df, c) for c in shuffled) + "))").alias("p")
-            per_value = (df.select(pairs).select("p.*")
-                         .groupBy("column", *_FAMILIES).agg(F.count(F.lit(1)).alias("cnt")))
-            is_null = F.lit(True)
-            for fam in _FAMILIES:
-                is_null = is_null & F.col(fam).isNull()
-            parts.append(per_value.groupBy("column").agg(
-                F.sum("cnt").alias("rows"),
-                F.sum(F.when(is_null, F.col("cnt")).otherwise(0)).alias("nulls"),
-                F.count_if(~is_null).alias("n_distinct")))
-        uniq = [c for c in cols if c in known_unique]
-        if uniq:
-            aggs = [F.count(F.lit(1)).alias("_rows")]
-            for i, c in enumerate(uniq):
-                aggs.append(F.count_if(_as_text(df, c).isNull()).alias(f"_n{i}"))
-            rows = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("nulls")) for i, c in enumerate(uniq)]
-            parts.append(df.agg(*aggs).select("_rows", F.explode(F.array(*rows)).alias("p")).select(
-                F.col("_rows").alias("rows"), "p.column", "p.nulls",
-                (F.col("_rows") - F.col("p.nulls")).alias("n_distinct")))
-        long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    null_pct = F.when(F.col("rows") == 0, F.lit(0.0)).otherwise(F.col("nulls") / F.col("rows"))
+    """Profile rows of ``df``, one per column, also of an empty table. ``known_unique`` names columns
+    whose non-null values are distinct by construction (a Silver key that passed ``unique``)."""
+    cols = [c for c in df.columns if c not in INTERNAL]
+    wide_aggs = [F.count(F.lit(1)).alias("rows")]
+    wide = [c for c in cols if not exact or c in known_unique]
+    for i, c in enumerate(wide):
+        v = _value(df, c)
+        wide_aggs += [F.count(v).alias(f"n{i}"), (F.count(v) if c in known_unique else F.approx_count_distinct(v)).alias(f"d{i}")]
+    parts = []
+    if wide:
+        rows = [F.struct(F.lit(c).alias("column"), F.col("rows"), F.col(f"n{i}").alias("filled"), F.col(f"d{i}").alias("n_distinct"))
+                for i, c in enumerate(wide)]
+        parts.append(df.agg(*wide_aggs).select(F.explode(F.array(*rows)).alias("p")).select("p.*"))
+    for c in cols:
+        if c not in wide:
+            counts = df.groupBy(_value(df, c).alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
+            parts.append(counts.agg(
+                F.coalesce(F.sum("cnt"), F.lit(0)).alias("rows"),
+                F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("cnt"))), F.lit(0)).alias("filled"),
+                F.count("v").alias("n_distinct")).select(F.lit(c).alias("column"), "*"))
+    long = parts[0]
+    for part in parts[1:]:
+        long = long.unionByName(part)
+    null_pct = F.when(F.col("rows") == 0, F.lit(0.0)).otherwise((F.col("rows") - F.col("filled")) / F.col("rows"))
     return long.select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "column",
                        F.col("rows").cast("long").alias("rows"),
                        round_half_up(null_pct, 4).alias("null_pct"),
                        F.col("n_distinct").cast("long").alias("n_distinct"))
 
 
-def drift_items(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
+def drift_items(tables: dict[str, DataFrame], contracts: dict[str, Contract] | None = None) -> list[tuple[str, str, str]]:
     """Contract columns absent from the table (``missing``) and table columns absent from
     the contract (``unexpected``); control columns (``_``) ignored. Read from schemas only."""
+    contracts = contracts or CONTRACTS
     rows = []
     for ds, df in tables.items():
-        expected = set(CONTRACTS[ds].column_names)
+        expected = set(contracts[ds].column_names)
         present = {c for c in df.columns if not c.startswith("_") and c != "run_id"}
         rows += [(ds, "missing", c) for c in sorted(expected - present)]
         rows += [(ds, "unexpected", c) for c in sorted(present - expected)]
     return rows
 
 
-def schema_drift(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    return spark.createDataFrame(drift_items(tables), "dataset string, kind string, column string")
+def schema_drift(tables: dict[str, DataFrame], contracts: dict[str, Contract] | None = None) -> DataFrame | None:
+    """dataset, kind, column and the rows concerned: those without a missing column's value, those
+    with a value in an unexpected one. None where there is no drift."""
+    out = None
+    for ds, df in tables.items():
+        items = [(kind, c) for d, kind, c in drift_items({ds: df}, contracts)]
+        if not items:
+            continue
+        aggs = [(F.count(F.lit(1)) if kind == "missing" else F.count(F.col(f"`{c}`"))).alias(f"n{i}") for i, (kind, c) in enumerate(items)]
+        rows = [F.struct(F.lit(ds).alias("dataset"), F.lit(kind).alias("kind"), F.lit(c).alias("column"), F.col(f"n{i}").alias("n_rows"))
+                for i, (kind, c) in enumerate(items)]
+        part = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("d")).select("d.*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-def contract_metadata(spark: SparkSession, contracts: dict[str, Contract] | None = None) -> DataFrame:
-    """One row per contract (a bounded, declared list)."""
-    contracts = contracts or CONTRACTS
-    rows = [(c.name, c.domain, c.owner, c.origin, c.fmt, c.frequency) for c in contracts.values()]
-    return spark.createDataFrame(
-        rows, "dataset string, domain string, owner string, origin string, format string, frequency string")
+META = ("domain", "owner", "origin", "format", "frequency")
 
 
-def catalog_summary(profiles: DataFrame, meta: DataFrame, layer: str = "silver") -> DataFrame:
-    """Datasets with owner and source metadata and the number of profiled columns."""
-    per_ds = (profiles.where(F.col("layer") == layer)
-              .groupBy("dataset").agg(F.count(F.lit(1)).alias("n_columns")))
-    return (meta.join(per_ds, "dataset", "left")
-            .select("dataset", "domain", "owner", "origin", "format", "frequency",
-                    F.coalesce(F.col("n_columns"), F.lit(0)).cast("long").alias("n_columns")))
+def catalog_summary(tables: dict[str, DataFrame], contracts: dict[str, Contract] | None = None) -> DataFrame:
+    """Per dataset: governance facts of its contract, the columns of its table (from the schema) and
+    its rows (one count). A dataset without a table has neither."""
+    contracts = contracts or CONTRACTS
+    spark = next(iter(tables.values())).sparkSession
+    out = None
+    for name, c in contracts.items():
+        facts = [F.lit(name).alias("dataset"), *[F.lit(c.about.get(k, "")).alias(k) for k in META]]
+        df = tables.get(name)
+        rows = (df.agg(F.count(F.lit(1)).alias("n_rows")) if df is not None
+                else spark.range(1).select(F.lit(0).cast("long").alias("n_rows")))
+        part = rows.select(*facts, F.lit(len(df.columns) if df is not None else 0).cast("long").alias("n_columns"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def catalog_columns(spark: SparkSession, contracts: dict[str, Contract] | None = None,
                     dataset: str | None = None) -> DataFrame:
-    """Column dictionary from the contracts: dataset, column, type, personal data flag;
-    optionally only one dataset."""
+    """Column dictionary from the contracts: dataset, column, type, personal data flag and the
+    dataset's governance facts; optionally only one dataset."""
     contracts = contracts or CONTRACTS
-    rows = [(c.name, col, t, col in c.pii, c.domain, c.owner, c.origin, c.fmt, c.frequency, c.latency)
+    facts = (*META, "latency")
+    rows = [(c.name, col, t, col in c.pii, *[c.about.get(k, "") for k in facts])
             for c in contracts.values() for col, t in c.columns]
-    df = spark.createDataFrame(
-        rows, "dataset string, column string, type string, pii boolean, domain string, owner string, "
-              "origin string, format string, frequency string, latency string")
+    df = spark.createDataFrame(rows, "dataset string, column string, type string, pii boolean, "
+                               + ", ".join(f"{k} string" for k in facts))
     return df.where(F.col("dataset") == dataset) if dataset else df

@@ -10,12 +10,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.contracts import (MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract,
-                                Rule)
+from lakehold.contracts import CORRUPT_RULE, MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract, Rule
 from lakehold.functions.rules import STATELESS, as_of_for
-from lakehold.operators.joins import measured, sized
-from lakehold.operators.keys import (duplicate_firsts, duplicate_key_counts, fk_keyset,
-                                    with_duplicate_flag, with_fk_flag)
+from lakehold.operators.joins import key_set
+from lakehold.operators.keys import arrival_order, duplicate_keys, orphan_keys, with_duplicate_flag, with_fk_flag, with_position
 
 FAILED = "_failed_rules"
 
@@ -28,7 +26,6 @@ class Flagged:
     rules: tuple
     flag_cols: list
     missing: frozenset   # indexes of rules whose column is absent
-    shuffles: bool = False   # some keyed rule joins its key set with a shuffle (not broadcast)
 
     def valid(self) -> DataFrame:
         return self.df.where(F.size(F.col(FAILED)) == 0)
@@ -39,75 +36,65 @@ class Flagged:
     def data_columns(self) -> list[str]:
         return [c for c in self.df.columns if c not in self.flag_cols and c != FAILED]
 
+    def public_columns(self) -> list[str]:
+        """Data columns without the control columns."""
+        return [c for c in self.data_columns() if not c.startswith("_")]
 
-def keep_first_order(df: DataFrame, c: Contract) -> list[str]:
-    """Keep-first order: the contract's order, then the Bronze ordinal when present;
-    without either, every non-control column (a total order up to identical rows)."""
-    order = [o for o in c.order_by if o in df.columns]
-    if "_arrival_run" in df.columns and "_arrival_ordinal" in df.columns:
-        order += ["_arrival_run", "_arrival_ordinal"]
-    elif "_ordinal" in df.columns:
-        order.append("_ordinal")
-    if not order:
-        order = [x for x in df.columns if not x.startswith("_")]
-    return order
+    def on(self, df: DataFrame) -> Flagged:
+        """The same flags over another copy of the rows."""
+        return Flagged(df, self.contract, self.rules, self.flag_cols, self.missing)
 
 
-def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None) -> Flagged:
-    """Evaluate every rule of ``c`` on ``df``. ``refs`` maps dataset -> DataFrame for fk
-    rules; ``as_of`` is the instant for ``not_future`` (one value or dataset -> value)."""
+def failed_array(df: DataFrame, flag_cols: list, rules: tuple):
+    names = [F.when(F.col(n), F.lit(r.name)) for n, r in zip(flag_cols, rules)]
+    if "_corrupt_record" in df.columns:
+        names.append(F.when(F.col("_corrupt_record").isNotNull(), F.lit(CORRUPT_RULE)))
+    return F.filter(F.array(*names), lambda x: x.isNotNull())
+
+
+def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds: set | None = None) -> Flagged:
+    """Evaluate the rules of ``c`` on ``df``. ``refs`` maps dataset -> DataFrame for fk rules;
+    ``as_of`` is the instant for ``not_future`` (one value or dataset -> value). ``kinds`` limits the
+    work to rules of these kinds; the others count as passed.
+
+    Key sets are only built for the keyed rules asked for; without any, the flags are one projection
+    of the scan."""
+    from lakehold.plans.parallel import run_all
+
     refs = refs or {}
     as_of = as_of_for(as_of, c.name)
-    present = set(df.columns)
     flag_cols = [f"_rule_{i}" for i in range(len(c.rules))]
-    missing = frozenset(i for i, r in enumerate(c.rules) if r.column not in present)
-    order = keep_first_order(df, c)
-
-    # key sets of the keyed rules are independent: materialise them concurrently, in two
-    # phases (duplicate-key counts with the fk orphan sets, then the duplicates' first rows)
-    from lakehold.plans.parallel import run_all
-    phase1 = {}
-    for i, r in enumerate(c.rules):
+    missing = frozenset(i for i, r in enumerate(c.rules) if r.column not in df.columns)
+    asked = [i for i, r in enumerate(c.rules) if kinds is None or r.kind in kinds]
+    df = with_position(df) if any(c.rules[i].kind == "unique" for i in asked) else df
+    order = arrival_order(df, c.order_by)
+
+    sets = {}
+    for i in asked:
+        r = c.rules[i]
         if i in missing:
             continue
         if r.kind == "unique":
-            phase1[i] = duplicate_key_counts(df, r.column)
-        elif r.kind == "fk":
-            target, target_col = r.param
-            ref = refs.get(target)
-            if ref is not None and target_col in ref.columns:
-                phase1[i] = fk_keyset(df, r.column, ref, target_col)
-    idx = list(phase1)
-    done = dict(zip(idx, run_all([(lambda k=phase1[i]: measured(k)) for i in idx])))
-    uniq = [i for i in idx if c.rules[i].kind == "unique"]
-    keysets = {i: done[i] for i in idx if i not in uniq}
-    for i in uniq:
-        # one row per duplicated key: its size is known from the count, no second job
-        firsts = duplicate_firsts(df, c.rules[i].column, order, done[i])
-        keysets[i] = sized(firsts, done[i][2])
-
-    out = df
-    stateless = {}
+            sets[i] = lambda r=r: key_set(duplicate_keys(df, r.column, order))
+        elif r.kind == "fk" and (ref := refs.get(r.param[0])) is not None and r.param[1] in ref.columns:
+            sets[i] = lambda r=r, ref=ref: key_set(orphan_keys(df, r.column, ref, r.param[1]))
+    sets = dict(zip(sets, run_all(list(sets.values()))))   # independent of each other
+
+    out, stateless = df, {}
     for i, r in enumerate(c.rules):
         name = flag_cols[i]
-        if i in missing:
+        if i not in asked:
+            stateless[name] = F.lit(False)
+        elif i in missing:
             stateless[name] = F.lit(True)
         elif r.kind == "unique":
-            out = with_duplicate_flag(out, r.column, order, name, dups=keysets[i])
+            out = with_duplicate_flag(out, r.column, order, name, dups=sets[i])
         elif r.kind == "fk":
-            target, target_col = r.param
-            out = with_fk_flag(out, r.column, refs.get(target), target_col, name,
-                               orphans=keysets.get(i))
+            out = with_fk_flag(out, r.column, sets.get(i), name)
         else:
             stateless[name] = F.coalesce(STATELESS[r.kind](df, c, r, as_of), F.lit(False))
-    if stateless:
-        out = out.withColumns(stateless)
-    failed = F.filter(
-        F.array(*[F.when(F.col(n), F.lit(r.name)) for n, r in zip(flag_cols, c.rules)]),
-        lambda x: x.isNotNull())
-    out = out.withColumn(FAILED, failed)
-    shuffles = any(ks[2] > 0 and not ks[1] for ks in keysets.values())
-    return Flagged(out, c, c.rules, flag_cols, missing, shuffles)
+    out = out.withColumns(stateless) if stateless else out
+    return Flagged(out.withColumn(FAILED, failed_array(out, flag_cols, c.rules)), c, c.rules, flag_cols, missing)
 
 
 def _rule_detail(fl: Flagged, i: int, r: Rule) -> str:

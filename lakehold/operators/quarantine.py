@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from lakehold.contracts import Contract
 from lakehold.operators import quality as Q
+from lakehold.operators.joins import join_keyset, key_set
+from lakehold.operators.keys import arrival_order, order_struct
 from lakehold.operators.silver import drop_control
 
 
 def quarantine_rows(fl: Q.Flagged, reason: str, run_id: str, at: str) -> DataFrame:
     """Sink shape: the input row (control columns included) + ``_reason``,
-    ``_failed_rules`` (array<string>), ``_quarantined_at``, ``run_id``."""
-    data = [c for c in fl.data_columns() if c not in ("run_id", "_bronze_run_id")]
-    cols = fl.df.columns
-    origin = (F.col("_bronze_run_id") if "_bronze_run_id" in cols
-              else F.col("run_id") if "run_id" in cols else F.lit(None).cast("string"))
+    ``_failed_rules`` (array<string>), ``_quarantined_at``, ``run_id``. ``_bronze_run_id`` and
+    ``_ordinal`` say which row of which Bronze run it was at first."""
+    data = [c for c in fl.data_columns() if c not in ("run_id", "_bronze_run_id", "_arrival_run")]
+    origin = next((F.col(c) for c in ("_bronze_run_id", "_arrival_run", "run_id") if c in fl.df.columns),
+                  F.lit(None).cast("string"))
     return fl.invalid().select(*data, origin.alias("_bronze_run_id"), F.lit(reason).alias("_reason"),
                                F.col(Q.FAILED), F.lit(at).alias("_quarantined_at"),
                                F.lit(run_id).alias("run_id"))
@@ -54,42 +56,40 @@ def pending(batch_df: DataFrame, ledger: DataFrame) -> DataFrame:
 def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict, as_of) -> Q.Flagged:
     """Re-validate quarantined rows under the current rules.
 
-    - The same row quarantined by several runs is taken once (``distinct``), so its copies
-      cannot fail ``unique`` against each other.
-    - ``unique`` is judged against Bronze: a quarantined row passes only if it is the first
-      row of its key in Bronze, so a later duplicate never comes back just because its
-      earlier twin is not in quarantine.
+    - Equal data rows, from one run or several, are one candidate, of the latest run that
+      quarantined it.
+    - ``unique`` is judged within that run's Bronze snapshot: a candidate passes if one of its
+      copies is the first row of its key there, so a later duplicate never comes back just because
+      its earlier twin is not in quarantine.
     - fk uses the Bronze reference tables.
     """
-    data_cols = [x for x in bronze.columns if not x.startswith("_") and x != "run_id"]
-    has_ordinal = "_ordinal" in bronze.columns and "_ordinal" in quarantined.columns
-    keep = data_cols + (["_ordinal"] if has_ordinal else [])
-    extra = ["_bronze_run_id"] if "_bronze_run_id" in quarantined.columns else []
-    # the same Bronze row quarantined by several runs is one candidate
-    cand = quarantined.select(*keep, *extra).distinct()
-    fl = Q.flag(cand, c, refs, as_of)
+    data = [x for x in bronze.columns if not x.startswith("_") and x != "run_id"]
+    run = F.coalesce(F.col("_bronze_run_id"), F.lit("")) if "_bronze_run_id" in quarantined.columns else F.lit("")
+    place = F.col("_ordinal") if "_ordinal" in quarantined.columns else F.lit(None).cast("long")
+    copies = quarantined.select(*data, run.alias("_bronze_run_id"), place.alias("_ordinal"))
     key = c.key
     if key is None:
-        return fl
-    # first row per key in Bronze, for the keys present among the candidates only; both
-    # key sets are size-checked before any broadcast
-    order = Q.keep_first_order(bronze.select(*keep), c)
-    from lakehold.operators.joins import join_keyset, measured
-    from lakehold.operators.keys import order_struct
-    cand_keys = measured(cand.select(F.col(key).alias("_ck")).where(F.col("_ck").isNotNull()).distinct())
-    in_bronze = join_keyset(bronze.select(*keep), cand_keys, lambda b, k: b[key] == k["_ck"], how="left_semi") \
-        if cand_keys[2] else bronze.select(*keep).limit(0)
-    firsts = in_bronze.groupBy(F.col(key).alias("_fk")).agg(F.min(order_struct(order)).alias("_ffirst"))
-    i = next(i for i, r in enumerate(c.rules) if r.kind == "unique")
-    flag_col = fl.flag_cols[i]
-    df = join_keyset(fl.df, firsts, lambda b, k: b[key] == k["_fk"])
-    not_first = (F.col(key).isNotNull() & F.col("_ffirst").isNotNull()
-                 & ~order_struct(order).eqNullSafe(F.col("_ffirst")))
-    df = df.withColumn(flag_col, F.col(flag_col) | F.coalesce(not_first, F.lit(False))).drop("_fk", "_ffirst")
-    failed = F.filter(F.array(*[F.when(F.col(n), F.lit(r.name)) for n, r in zip(fl.flag_cols, c.rules)]),
-                      lambda x: x.isNotNull())
-    df = df.withColumn(Q.FAILED, failed)
-    return Q.Flagged(df, c, fl.rules, fl.flag_cols, fl.missing, fl.shuffles)
+        copies = copies.withColumn("_first", F.lit(True))
+    else:
+        # the first row per key and run in Bronze, for the candidates' keys only
+        asked = key_set(copies.select(F.col(key).alias("_ck")).where("_ck is not null").distinct())
+        rows = join_keyset(bronze, asked, lambda b, k: b[key] == k["_ck"], "left_semi")
+        of_run = F.col("run_id") if "run_id" in bronze.columns else F.lit("")
+        order = arrival_order(bronze, c.order_by)
+        firsts = rows.groupBy(F.col(key).alias("_ck"), of_run.alias("_cr")).agg(
+            F.min(order_struct(order)).getField("_ordinal").alias("_cf"))
+        copies = copies.join(key_set(firsts), (F.col(key) == F.col("_ck")) & (F.col("_bronze_run_id") == F.col("_cr")), "left")
+        copies = copies.withColumn("_first", F.col(key).isNull() | F.coalesce(F.col("_cf") == F.col("_ordinal"), F.lit(False)))
+    latest = F.max(F.struct("_bronze_run_id", "_first", (-F.col("_ordinal")).alias("_back")))
+    cand = copies.groupBy(*data).agg(latest.alias("_pick")).select(
+        *data, F.nullif(F.col("_pick._bronze_run_id"), F.lit("")).alias("_bronze_run_id"),
+        (-F.col("_pick._back")).alias("_ordinal"), F.col("_pick._first").alias("_first"))
+    fl = Q.flag(cand, c, refs, as_of, {r.kind for r in c.rules} - {"unique"})
+    df = fl.df
+    for i, r in enumerate(c.rules):
+        if r.kind == "unique":
+            df = df.withColumn(fl.flag_cols[i], ~F.col("_first"))
+    return fl.on(df.withColumn(Q.FAILED, Q.failed_array(df, fl.flag_cols, fl.rules)).drop("_first"))
 
 
 def merge_into_bronze(bronze: DataFrame, returned: DataFrame) -> DataFrame:

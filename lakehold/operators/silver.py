@@ -9,7 +9,6 @@ from lakehold.contracts import Contract
 from lakehold.functions.dates import lenient_timestamp
 from lakehold.functions.privacy import apply_pii
 from lakehold.operators.keys import dedup_keep_first
-from lakehold.operators.quality import keep_first_order
 
 
 def drop_control(df: DataFrame) -> DataFrame:
@@ -26,10 +25,9 @@ def normalise_dates(df: DataFrame, c: Contract) -> DataFrame:
 
 def to_silver(valid: DataFrame, c: Contract, salt: str | None = None,
               force_dedup: bool = False) -> DataFrame:
-    order = keep_first_order(valid, c)
     key = c.key
     if key and key in valid.columns and (force_dedup or not c.dedup_is_noop()):
-        valid = dedup_keep_first(valid, key, order)
+        valid = dedup_keep_first(valid, key, [o for o in c.order_by if o in valid.columns])
     out = drop_control(valid)
     out = normalise_dates(out, c)
     return apply_pii(out, c, salt)

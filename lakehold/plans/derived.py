@@ -7,75 +7,68 @@ FK references are the raw (Bronze) tables, never Silver.
 """
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehold.contracts import ALL_DATASETS, BATCH_DATASETS, CONTRACTS
-from lakehold.functions.privacy import DEFAULT_SALT
+from lakehold.contracts import ALL_DATASETS
+from lakehold.functions.privacy import TEST_SALT
 from lakehold.operators import gold as G
 from lakehold.operators import quality as Q
 from lakehold.operators.silver import to_silver
+from lakehold.plans.parallel import run_all
+from lakehold.session import configure
 from lakehold.sources import testdata as td
 
 
-# adapters built by joins (lineitem x orders, customer x nation): every rule job would redo
-# the join, so their output is materialised once per chain with a reliable checkpoint in
-# the session's shared checkpoint folder (lineage cut; recoverable after executor loss)
-MATERIALISED = ("readers", "loans", "ratings")
-
-
 class Chain:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of=None, salt: str = DEFAULT_SALT,
-                 materialise: bool = True):
-        self.spark = spark
+    """All steps are lazy plans that start at the table scans, so each query reads the columns it
+    uses; only key sets (duplicated keys, orphans) are written on the way."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of=None, salt: str = TEST_SALT):
+        self.spark = configure(spark)
         self.sf_dir = sf_dir
-        self.materialise = materialise
         self.as_of = td.AS_OF if as_of is None else as_of
         self.salt = salt
         self._raw: dict[str, DataFrame] = {}
         self._flagged: dict[str, Q.Flagged] = {}
         self._silver: dict[str, DataFrame] = {}
 
-    def raw(self, name: str) -> DataFrame:
+    def raw(self, name: str, columns=None) -> DataFrame:
+        if columns is not None:
+            return td.ADAPTERS[name](self.spark, self.sf_dir, columns)
         if name not in self._raw:
-            df = td.ADAPTERS[name](self.spark, self.sf_dir)
-            if self.materialise and name in MATERIALISED:
-                from lakehold.session import ensure_checkpoint_dir
-                ensure_checkpoint_dir(self.spark)
-                df = df.checkpoint(eager=True)
-            self._raw[name] = df
+            self._raw[name] = td.ADAPTERS[name](self.spark, self.sf_dir)
         return self._raw[name]
 
-    @cached_property
+    @property
     def refs(self) -> dict[str, DataFrame]:
-        return {n: self.raw(n) for n in BATCH_DATASETS if n in ("readers", "books")}
+        """The referenced keys; plans only, read when a foreign key is checked."""
+        return {"readers": self.raw("readers", {"reader_id"}), "books": self.raw("books", {"book_id"})}
+
+    def _flag(self, name: str) -> Q.Flagged:
+        return Q.flag(self.raw(name), td.CONTRACTS[name], self.refs, self.as_of)
 
     def flagged(self, name: str) -> Q.Flagged:
         if name not in self._flagged:
-            self._flagged[name] = Q.flag(self.raw(name), CONTRACTS[name], self.refs, self.as_of)
+            self._flagged[name] = self._flag(name)
         return self._flagged[name]
 
     def flag_all(self, names=ALL_DATASETS) -> None:
         """Flag several datasets concurrently (their key-set jobs overlap)."""
-        from lakehold.plans.parallel import run_all
         todo = [n for n in names if n not in self._flagged]
-        _ = self.refs
-        for n, fl in zip(todo, run_all([(lambda n=n: Q.flag(self.raw(n), CONTRACTS[n], self.refs, self.as_of))
-                                         for n in todo])):
-            self._flagged[n] = fl
+        self._flagged.update(zip(todo, run_all([(lambda n=n: self._flag(n)) for n in todo])))
+
+    def violations(self, name: str, kind: str) -> Q.Flagged:
+        """Only the rules of one kind, over the columns that they and the report need."""
+        c = td.CONTRACTS[name]
+        columns = {c.row_key, *(r.column for r in c.rules if r.kind == kind), *(c.order_by if kind == "unique" else ())}
+        return Q.flag(self.raw(name, columns), c, self.refs if kind == "fk" else {}, self.as_of, {kind})
 
     def silver(self, name: str) -> DataFrame:
         if name not in self._silver:
-            fl = self.flagged(name)
-            valid = fl.valid().select(*fl.data_columns())
-            self._silver[name] = to_silver(valid, CONTRACTS[name], self.salt)
+            self._silver[name] = to_silver(self.flagged(name).valid().select(*self.flagged(name).data_columns()),
+                                           td.CONTRACTS[name], self.salt)
         return self._silver[name]
 
-    def silver_all(self) -> dict[str, DataFrame]:
-        self.flag_all()
-        return {n: self.silver(n) for n in ALL_DATASETS}
-
     def gold(self, name: str) -> DataFrame:
         self.flag_all(G.GOLD_INPUTS[name])
         s = {n: self.silver(n) for n in G.GOLD_INPUTS[name]}

@@ -1,19 +1,21 @@
 """Pipeline jobs over a ``Lake``: batch ingest, Silver (validate, quarantine, mask), quality
 gate, Gold, governance, run record. Each stage is lazy DataFrame plans ended by writes.
 
-Stage hand-over goes through written tables (Bronze, Silver), so a lost executor only
-recomputes a partition of the current stage. The flagged Bronze frame feeds three
-outputs (report, quarantine, Silver); it is persisted once and recomputation of a lost
-block is deterministic (stored ordinal, fixed ``as_of``).
+Stage hand-over goes through written tables (Bronze, flagged rows, Silver), so a lost executor only
+recomputes a partition of the current stage. Rows are flagged once, into a scratch table of the
+shared folder; the report, Silver and quarantine are read from there. A run's partitions are
+replaced when the run is repeated.
 """
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakehold.contracts import (ALL_DATASETS, BATCH_DATASETS, CONTRACTS,
@@ -24,17 +26,14 @@ from lakehold.operators import monitor as M
 from lakehold.operators import profile as P
 from lakehold.operators import quality as Q
 from lakehold.operators import quarantine as QR
-from lakehold.operators.joins import join_keyset, release
+from lakehold.operators.joins import join_keyset, key_set
 from lakehold.operators.silver import to_silver
+from lakehold.plans.parallel import run_all, wrap
+from lakehold.session import sized_shuffles
 from lakehold.sources.lake import Lake, TableMissing, new_run_id
+from lakehold.sources.scratch import materialise
 
 REPROCESS_SUFFIX = "_rp"
-# The flagged Bronze frame feeds Silver and quarantine. When every key set is broadcast the
-# flags are a map-only pass over a pruned columnar scan: recomputing it for the second write
-# is cheaper than caching every row. When a key-set join shuffles, the frame is persisted --
-# up to this stored input size; above it the second write recomputes too. Either way the
-# split is deterministic (stored ordinal, literal as_of, materialised key sets).
-PERSIST_FLAGGED_MAX_BYTES = 32 * 1024 ** 3
 
 
 def _now() -> _dt.datetime:
@@ -55,6 +54,8 @@ class Run:
     as_of: object = None                  # instant or dataset -> instant for not_future
     gate_threshold: float = QUALITY_GATE_MIN_PASS_RATE
     salt: str | None = None
+    contracts: dict = field(default_factory=lambda: CONTRACTS)
+    flagged: dict = field(default_factory=dict)   # dataset -> flagged rows of this run's own Bronze
     stages: dict = field(default_factory=dict)
     alerts: list = field(default_factory=list)
     edges: list = field(default_factory=list)
@@ -74,9 +75,12 @@ class Run:
                              "quality_rate": quality_rate, "quarantined": int(quarantined),
                              "invalid_detected": invalid_detected}
 
-    def alert(self, severity: str, message: str):
-        self.alerts.append({"run_id": self.run_id, "ts": _iso(_now()), "severity": severity,
-                            "message": message})
+    def alert(self, severity: str, message: str, **context):
+        """Appended to the alert log at once: a run that dies later has still raised it."""
+        raised = {"run_id": self.run_id, "ts": _iso(_now()), "severity": severity, "message": message,
+                  "context": {k: str(v) for k, v in context.items()}}
+        self.alerts.append(raised)
+        self.lake.append_json("logs", "alerts", self.spark.createDataFrame([raised], M.ALERT))
 
     def edge(self, source: str, target: str, process: str, rows: int):
         self.edges.append((source, target, process, int(rows), _iso(_now()), self.run_id,
@@ -85,24 +89,42 @@ class Run:
 
 # ---- ingest ----------------------------------------------------------------------------
 
+def _flag_bronze(run: Run, ds: str, bronze: DataFrame, refs: dict) -> Q.Flagged:
+    """Rows of one dataset flagged against its contract, written once."""
+    fl = Q.flag(bronze, run.contracts[ds], refs, run.as_of)
+    return fl.on(materialise(fl.df, f"flagged-{ds}"))
+
+
+def _report(fl: Q.Flagged) -> dict:
+    """Rows, invalid rows, pass rate (1.0 without rows) and failures per rule of a flagged table."""
+    counts = Q.summary_counts(fl).first()
+    n, bad = counts["n"], counts["n_invalid"]
+    return {"rows_in": n, "quarantined": bad, "pass_rate": 1.0 if n == 0 else (n - bad) / n,
+            "rules": [{"rule": r.kind, "column": r.column, "failed": int(n if i in fl.missing else counts[fl.flag_cols[i]])}
+                      for i, r in enumerate(fl.rules)]}
+
+
 def ingest_batch(run: Run, sources: dict[str, DataFrame]) -> dict[str, int]:
-    """Land each batch source in Bronze as this run's partition (append-only). The row
-    count comes from an Observation on the same write, not from a second job."""
-    from lakehold.plans.parallel import run_all
+    """Land each batch source in Bronze as this run's partition, then report its quality against
+    the references as they came. The flagged rows are kept for Silver."""
     t0 = time.time()
+    lake = run.lake
     names = [n for n in BATCH_DATASETS if n in sources]
-
-    def land(name):
-        obs = Observation(f"ingest_{name}_{run.run_id}")
-        df = sources[name].observe(obs, F.count(F.lit(1)).alias("n"))
-        run.lake.write_bronze(df, name, f"raw/{name}", run.run_id, run.ts)
-        return int(obs.get["n"])
-
-    counts = dict(zip(names, run_all([(lambda n=n: land(n)) for n in names])))
+    counts = dict(zip(names, run_all([
+        (lambda n=n: lake.write_bronze(sources[n], n, f"raw/{n}", run.run_id, run.ts)) for n in names])))
+    refs = {n: lake.read_bronze(n, bronze_runs_for_silver(lake, n)) for n in BATCH_DATASETS if lake.bronze_runs(n)}
+    with sized_shuffles(run.spark, sum(lake.bytes_of("bronze", n, [run.run_id]) for n in names)):
+        run.flagged.update(zip(names, run_all([
+            (lambda n=n: _flag_bronze(run, n, read_bronze_for_silver(lake, n), refs)) for n in names])))
+        reports = dict(zip(names, run_all([(lambda n=n: _report(run.flagged[n])) for n in names])))
     for name in names:
         run.edge(f"raw/{name}", f"bronze/{name}", "ingest_batch", counts[name])
+        if not counts[name]:
+            run.alert("WARN", "a batch source came without rows", dataset=name)
     total = sum(counts.values())
-    run.stage("ingest_batch", total, total, time.time() - t0)
+    run.stage("ingest_batch", total, total, time.time() - t0,
+              round(min((r["pass_rate"] for r in reports.values()), default=1.0), 4),
+              invalid_detected=sum(r["quarantined"] for r in reports.values()))
     check_volume_drift(run, "ingest_batch", total)
     return counts
 
@@ -110,14 +132,12 @@ def ingest_batch(run: Run, sources: dict[str, DataFrame]) -> dict[str, int]:
 def ingest_events(run: Run, events: DataFrame, source: str = "file") -> int:
     """Land one drain of events in Bronze (batch form of the streaming path)."""
     t0 = time.time()
-    obs = Observation("ingest_events")
-    df = events.observe(obs, F.count(F.lit(1)).alias("n"))
-    run.lake.write_bronze(df, "access_events", source, run.run_id, run.ts)
-    n = int(obs.get["n"])
+    n = run.lake.write_bronze(events, "access_events", source, run.run_id, run.ts)
     if n == 0:
-        run.alert("WARN", "no access events to consume")
+        run.alert("WARN", "the event queue was empty", dataset="access_events")
     run.edge("stream/access_events", "bronze/access_events", "event_consumer", n)
     run.stage("ingest_stream", n, n, time.time() - t0)
+    check_volume_drift(run, "ingest_stream", n)
     return n
 
 
@@ -125,13 +145,12 @@ def drain_event_queue(run: Run, source_dir: str, archive_dir: str | None = None)
     """Streaming drain of the event file queue into this run's Bronze partition."""
     from lakehold.streaming.events import drain_events
     t0 = time.time()
-    res = drain_events(run.spark, run.lake, source_dir, archive_dir, run_id=run.run_id)
-    n = res["rows"]
+    res = drain_events(run.spark, run.lake, source_dir, archive_dir, run_id=run.run_id, contract=run.contracts["access_events"])
+    n, m = res["rows"], res["metrics"]
     if n == 0:
-        run.alert("WARN", "no access events to consume")
+        run.alert("WARN", "the event queue was empty", dataset="access_events")
     else:
         run.edge("stream/access_events", "bronze/access_events", "event_consumer", n)
-    m = res["metrics"]
     bad = max(m.get("not_null:event_id", 0), m.get("in_set:event_type", 0))
     run.stage("ingest_stream", n, n, time.time() - t0,
               None if n == 0 else round(1 - bad / n, 4), 0, m.get("malformed", 0))
@@ -150,7 +169,7 @@ def check_volume_drift(run: Run, stage: str, rows: int,
     before = prev[0]["r"]
     drift = abs(rows - before) / before
     if drift > tolerance:
-        run.alert("WARN", f"volume drift in '{stage}': {before} -> {rows} ({drift:.0%})")
+        run.alert("WARN", f"rows of stage {stage} moved by {drift:.0%}", stage=stage, rows=rows, before=before)
 
 
 # ---- silver ------------------------------------------------------------------------------
@@ -168,86 +187,59 @@ def bronze_runs_for_silver(lake: Lake, name: str) -> list[str]:
 
 def read_bronze_for_silver(lake: Lake, name: str) -> DataFrame:
     """Bronze input of Silver. A returned row replaces its original when both are read
-    (anti-join on the original's run and ordinal -- a small, size-checked key set); rows
-    keep their arrival position (original run, ordinal) for keep-first."""
+    (anti-join on the original's run and position); rows keep their arrival position (original
+    run, position) for keep-first."""
     runs = bronze_runs_for_silver(lake, name)
     df = lake.read_bronze(name, runs)
-    if "_ordinal" not in df.columns:   # streamed events: the contract order is total
-        return df
     if "_origin_run" not in df.columns:
-        return df.withColumns({"_arrival_run": F.col("run_id"), "_arrival_ordinal": F.col("_ordinal")})
-    returned = (df.where(F.col("_origin_run").isNotNull())
-                .select(F.col("_origin_run").alias("_xr"), F.col("_origin_ordinal").alias("_xo"))
-                .where(F.col("_xr").isin(runs)))
-    kept = join_keyset(df, returned,
-                       lambda big, keys: (big["run_id"] == keys["_xr"]) & (big["_ordinal"] == keys["_xo"]),
-                       how="left_anti")
-    return kept.withColumns({
+        return df.withColumn("_arrival_run", F.col("run_id"))
+    # a row that two reprocessing runs returned comes back once
+    own = df.where(F.col("_origin_run").isNull())
+    back = df.where(F.col("_origin_run").isNotNull())
+    latest = back.groupBy("_origin_run", "_origin_ordinal").agg(F.max("run_id").alias("run_id"))
+    back = back.join(latest, ["_origin_run", "_origin_ordinal", "run_id"], "left_semi")
+    returned = key_set(back.select(F.col("_origin_run").alias("_xr"), F.col("_origin_ordinal").alias("_xo")))
+    kept = join_keyset(own, returned, lambda big, keys: (big["run_id"] == keys["_xr"]) & (big["_ordinal"] == keys["_xo"]), "left_anti")
+    return kept.unionByName(back).withColumns({
         "_arrival_run": F.coalesce(F.col("_origin_run"), F.col("run_id")),
-        "_arrival_ordinal": F.coalesce(F.col("_origin_ordinal"), F.col("_ordinal"))})
+        "_ordinal": F.coalesce(F.col("_origin_ordinal"), F.col("_ordinal"))})
 
 
 def _silver_dataset(run: Run, ds: str, refs: dict) -> dict:
-    """Validate one dataset's Bronze input, write Silver and quarantine. The report counts
-    come from an Observation on the Silver write (placed before the valid/invalid split,
-    so it sees every row); see PERSIST_FLAGGED_MAX_BYTES for when the flagged frame is kept."""
-    lake, c = run.lake, CONTRACTS[ds]
-    bronze = read_bronze_for_silver(lake, ds)
-    fl = Q.flag(bronze, c, refs, run.as_of)
-    persist = fl.shuffles and \
-        lake.bytes_of("bronze", ds, bronze_runs_for_silver(lake, ds)) <= PERSIST_FLAGGED_MAX_BYTES
-    if persist:
-        fl.df = fl.df.persist(StorageLevel.MEMORY_AND_DISK)
-    obs = Observation(f"silver_{ds}_{run.run_id}")
-    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.size(F.col(Q.FAILED)) > 0).alias("n_invalid")]
-    aggs += [F.count_if(F.col(n)).alias(n) for n in fl.flag_cols]
-    observed = Q.Flagged(fl.df.observe(obs, *aggs), c, fl.rules, fl.flag_cols, fl.missing, fl.shuffles)
-    silver = to_silver(observed.valid().select(*fl.data_columns()), c, run.salt)
-    obs_out = Observation(f"silver_out_{ds}_{run.run_id}")
-    from lakehold.plans.parallel import run_all
-    # Silver and quarantine are written concurrently; with the flagged frame persisted,
-    # each cached partition is computed once and shared by both writes (an empty
-    # quarantine writes no partition)
-    run_all([lambda: lake.write(silver.observe(obs_out, F.count(F.lit(1)).alias("n")), "silver", ds),
-             lambda: lake.write_quarantine(QR.quarantine_rows(fl, SILVER_REASON, run.run_id, run.ts), ds)])
-    counts = obs.get
-    n, n_bad, n_out = counts["n"], counts["n_invalid"], int(obs_out.get["n"])
-    if persist:
-        fl.df.unpersist()
+    """Validate one dataset's Bronze input, write Silver and quarantine, both from the flagged rows."""
+    lake, c = run.lake, run.contracts[ds]
+    fl = run.flagged.get(ds) or _flag_bronze(run, ds, read_bronze_for_silver(lake, ds), refs)
+    report = _report(fl)
+    silver = to_silver(fl.valid().select(*fl.data_columns()), c, run.salt)
+    writes = [lambda: lake.write(silver, "silver", ds)]
+    if report["quarantined"]:
+        writes.append(lambda: lake.write_quarantine(QR.quarantine_rows(fl, SILVER_REASON, run.run_id, run.ts), ds, run.run_id))
+    run_all(writes)
+    n_out = lake.read("silver", ds).count()
     run.edge(f"bronze/{ds}", f"silver/{ds}", "silver", n_out)
-    rate = 1.0 if n == 0 else (n - n_bad) / n
-    rules = [{"rule": r.kind, "column": r.column,
-              "failed": int(counts[fl.flag_cols[i]]) if i not in fl.missing else int(n)}
-             for i, r in enumerate(c.rules)]
-    return {"rows_in": n, "rows_out": n_out, "quarantined": n_bad, "pass_rate": rate, "rules": rules}
+    return {**report, "rows_out": n_out}
 
 
 def silver_job(run: Run, datasets=ALL_DATASETS) -> dict:
     """Silver for every dataset with Bronze input (datasets processed concurrently), then
     the quality gate: worst pass rate strictly below the threshold blocks Gold."""
-    from lakehold.plans.parallel import run_all
     t0 = time.time()
     lake = run.lake
-    present = [d for d in datasets if lake.exists("bronze", d)]
-    from lakehold.session import size_shuffle
-    size_shuffle(run.spark, sum(lake.bytes_of("bronze", d, bronze_runs_for_silver(lake, d)) for d in present))
-    refs = {n: lake.read_bronze(n, bronze_runs_for_silver(lake, n))
-            for n in BATCH_DATASETS if lake.exists("bronze", n)}
-    outs = run_all([(lambda d=d: _silver_dataset(run, d, refs)) for d in present])
+    present = [d for d in datasets if lake.bronze_runs(d)]
+    refs = {n: lake.read_bronze(n, bronze_runs_for_silver(lake, n)) for n in BATCH_DATASETS if lake.bronze_runs(n)}
+    with sized_shuffles(run.spark, sum(lake.bytes_of("bronze", d, bronze_runs_for_silver(lake, d)) for d in present)):
+        outs = run_all([(lambda d=d: _silver_dataset(run, d, refs)) for d in present])
     result = {"datasets": dict(zip(present, outs)), "gate_ok": True}
-    release()
     worst = min((d["pass_rate"] for d in result["datasets"].values()), default=1.0)
     result["worst_rate"] = worst
     if worst < run.gate_threshold:
         result["gate_ok"] = False
-        run.alert("CRITICAL", f"quality gate failed: worst rate {worst:.2%} < {run.gate_threshold:.2%}")
+        run.alert("CRITICAL", f"gold not built: pass rate {worst:.2%} is below the gate of {run.gate_threshold:.2%}",
+                  rate=worst, gate=run.gate_threshold)
     d = result["datasets"].values()
     run.stage("silver", sum(x["rows_in"] for x in d), sum(x["rows_out"] for x in d),
               time.time() - t0, round(worst, 4), sum(x["quarantined"] for x in d),
               sum(x["quarantined"] for x in d))
-    if "ingest_batch" in run.stages:
-        run.stages["ingest_batch"]["invalid_detected"] = sum(
-            x["quarantined"] for k, x in result["datasets"].items() if k in BATCH_DATASETS)
     return result
 
 
@@ -257,35 +249,33 @@ def gold_job(run: Run) -> dict[str, int]:
     """Six Gold tables + kpis from Silver. A table whose inputs are missing is skipped."""
     t0 = time.time()
     lake = run.lake
-    silver = {d: lake.read("silver", d) for d in ALL_DATASETS if lake.exists("silver", d)}
+    silver = {d: lake.read("silver", d) for d in ALL_DATASETS if lake.has_rows_of("silver", d)}
     if not silver:
         raise TableMissing("no Silver table to build Gold from")
-    from lakehold.plans.parallel import run_all
     tables = G.gold_tables(silver)
 
     def build(name):
-        obs = Observation(f"gold_{name}_{run.run_id}")
-        lake.write(tables[name].observe(obs, F.count(F.lit(1)).alias("n")), "gold", name)
-        return int(obs.get["n"])
+        lake.write(tables[name], "gold", name)
+        return lake.read("gold", name).count()
 
-    produced = dict(zip(tables, run_all([(lambda n=n: build(n)) for n in tables])))
+    with sized_shuffles(run.spark, sum(lake.bytes_of("silver", d) for d in silver)):
+        produced = dict(zip(tables, run_all([(lambda n=n: build(n)) for n in tables])))
     for name in tables:
         run.edge("silver/*", f"gold/{name}", "gold", produced[name])
     for name in G.GOLD_QUERIES:
         if name not in produced:
-            run.alert("WARN", f"skipped gold/{name}: input table missing")
+            run.alert("WARN", "a Gold table was left out for want of its Silver tables", table=name)
     run.stage("gold", 0, sum(produced.values()), time.time() - t0)
     return produced
 
 
 def rebuild_gold(spark: SparkSession, lake: Lake) -> bool:
     """Recovery: rebuild Gold from Silver; False when no Silver table exists."""
-    if not any(lake.exists("silver", d) for d in ALL_DATASETS):
+    if not any(lake.has_rows_of("silver", d) for d in ALL_DATASETS):
         return False
     run = Run(spark, lake)
     gold_job(run)
-    run.alert("INFO", "recovery: Gold rebuilt from Silver")
-    _write_alerts(run)
+    run.alert("INFO", "Gold was built again from Silver")
     return True
 
 
@@ -295,12 +285,12 @@ def _profile_layer(run: Run, layer: str, exact: bool) -> list:
     lake = run.lake
     parts, tables = [], {}
     for ds in ALL_DATASETS:
-        if not lake.exists(layer, ds):
+        if not (lake.bronze_runs(ds) if layer == "bronze" else lake.has_rows_of(layer, ds)):
             continue
         df = (lake.read_bronze(ds, bronze_runs_for_silver(lake, ds)).drop("run_id")
               if layer == "bronze" else lake.read("silver", ds))
         tables[ds] = df
-        c = CONTRACTS[ds]
+        c = run.contracts[ds]
         # Silver keys passed not_null + unique: distinct = rows
         uniq = (c.key,) if layer == "silver" and c.key and c.dedup_is_noop() else ()
         parts.append(P.profile(df, layer, ds, exact, known_unique=uniq))
@@ -317,8 +307,11 @@ def governance_bronze(run: Run, exact: bool = True) -> None:
     """Profile of this run's Bronze input and schema drift against the contracts."""
     t0 = time.time()
     tables = dict(_profile_layer(run, "bronze", exact))
-    for ds, kind, col in P.drift_items(tables):
-        run.alert("WARN", f"schema drift: [{ds}] {kind} column {col}")
+    for ds in tables:
+        drift = {kind: ",".join(c for _, k, c in P.drift_items({ds: tables[ds]}, run.contracts) if k == kind)
+                 for kind in ("missing", "unexpected")}
+        if any(drift.values()):
+            run.alert("WARN", f"schema drift in {ds}", dataset=ds, **drift)
     run.stage("governance_bronze", duration_s=time.time() - t0)
 
 
@@ -326,13 +319,12 @@ def governance_silver(run: Run, exact: bool = True) -> None:
     """Profile of Silver and the column dictionary."""
     t0 = time.time()
     _profile_layer(run, "silver", exact)
-    run.lake.write(P.catalog_columns(run.spark), "catalog", "columns")
+    run.lake.write(P.catalog_columns(run.spark, run.contracts), "catalog", "columns")
     run.stage("governance_silver", duration_s=time.time() - t0)
 
 
 def governance(run: Run, exact: bool = True) -> DataFrame:
     """Profile Bronze (this run's batches) and Silver, schema drift of Bronze, catalogue."""
-    from lakehold.plans.parallel import run_all
     run_all([lambda: governance_bronze(run, exact), lambda: governance_silver(run, exact)])
     return read_profile(run.lake)
 
@@ -345,21 +337,13 @@ def read_profile(lake: Lake) -> DataFrame:
 
 # ---- run record ---------------------------------------------------------------------------------
 
-def _write_alerts(run: Run) -> None:
-    if run.alerts:
-        df = run.spark.createDataFrame(run.alerts, M.ALERT)
-        run.lake.append_json("logs", "alerts", df)
-
-
 def finish(run: Run, status: str, config: dict | None = None) -> dict:
     record = {"run_id": run.run_id, "ts": run.ts, "status": status,
               "duration_s": round(time.time() - run.started, 3),
               "config": {k: str(v) for k, v in (config or {}).items()},
               "stages": run.stages, "alerts": run.alerts}
-    from lakehold.plans.parallel import run_all
     spark, lake = run.spark, run.lake
-    tasks = [lambda: lake.append_json("logs", "runs", spark.createDataFrame([record], M.RUN_SCHEMA)),
-             lambda: _write_alerts(run)]
+    tasks = [lambda: lake.append_json("logs", "runs", spark.createDataFrame([record], M.RUN_SCHEMA))]
     if run.edges:
         tasks.append(lambda: lake.append_json("logs", "lineage",
                                               spark.createDataFrame(run.edges, M.LINEAGE_SCHEMA)))
@@ -371,11 +355,11 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame]
                  events: DataFrame | None = None, as_of=None,
                  gate_threshold: float = QUALITY_GATE_MIN_PASS_RATE, salt: str | None = None,
                  profile_exact: bool = True, event_dir: str | None = None,
-                 event_archive: str | None = None) -> dict:
+                 event_archive: str | None = None, contracts: dict | None = None) -> dict:
     """Full run: ingest -> Silver -> gate -> Gold -> governance -> run record.
     A failed gate leaves Gold as it was (Silver is written); status ``blocked_quality_gate``."""
     from concurrent.futures import ThreadPoolExecutor
-    run = Run(spark, lake, as_of=as_of, gate_threshold=gate_threshold, salt=salt)
+    run = Run(spark, lake, as_of=as_of, gate_threshold=gate_threshold, salt=salt, contracts=contracts or CONTRACTS)
     config = {"format": lake.fmt, "gate_threshold": gate_threshold}
     pool = ThreadPoolExecutor(max_workers=2)
     try:
@@ -386,7 +370,6 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame]
         if event_dir is not None:
             drain_event_queue(run, event_dir, event_archive)
         # Bronze profiling only reads Bronze: it overlaps with the Silver stage
-        from lakehold.plans.parallel import wrap
         bronze_gov = pool.submit(wrap(lambda: governance_bronze(run, profile_exact)))
         res = silver_job(run)
         silver_gov = pool.submit(wrap(lambda: governance_silver(run, profile_exact)))
@@ -402,7 +385,7 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame]
             out["gold"] = gold
         return out
     except Exception as exc:  # the run is recorded as failed, then the error propagates
-        run.alert("CRITICAL", f"run failed: {type(exc).__name__}: {exc}"[:500])
+        run.alert("CRITICAL", f"the run ended early: {exc}", error=type(exc).__name__)
         finish(run, M.FAILED, config)
         raise
     finally:
@@ -411,40 +394,41 @@ def run_pipeline(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame]
 
 # ---- reprocess quarantine -----------------------------------------------------------------------
 
-def reprocess(spark: SparkSession, lake: Lake, dataset: str, as_of=None) -> dict:
+def reprocess(spark: SparkSession, lake: Lake, dataset: str, as_of=None, contracts: dict | None = None) -> dict:
     """Re-check pending quarantine batches of ``dataset`` under the current rules with the
     Bronze tables as references. Rows that pass are appended to Bronze as their own run
     (``_source = reprocess``); rows that still fail go back to quarantine with a new reason;
-    handled batches are recorded in the ledger."""
-    c = CONTRACTS[dataset]
-    run = Run(spark, lake, run_id=new_run_id() + REPROCESS_SUFFIX, as_of=as_of)
-    if not lake.exists("quarantine", dataset):
-        return {"returned": 0, "still_invalid": 0, "batches": []}
+    handled batches are recorded in the ledger.
+
+    The run id comes from the batches and the latest ingest run, and every write replaces that run's
+    partition: a run that died half-way is repeated without returning a row twice."""
+    c = (contracts or CONTRACTS)[dataset]
+    nothing = {"returned": 0, "still_invalid": 0, "batches": []}
+    if not lake.list_partitions("quarantine", dataset):
+        return nothing
     q = lake.read_quarantine(dataset)
-    pend = QR.pending(QR.batches(q, dataset), lake.read_ledger()).select("run_id").collect()
-    batch_ids = sorted(r["run_id"] for r in pend)
+    pending = key_set(QR.pending(QR.batches(q, dataset), lake.read_ledger()).select("run_id"))
+    batch_ids = sorted(r["run_id"] for r in pending.collect())   # one per run
     if not batch_ids:
-        return {"returned": 0, "still_invalid": 0, "batches": []}
-    q = q.where(F.col("run_id").isin(batch_ids))
-    origins = sorted(r["_bronze_run_id"] for r in q.select("_bronze_run_id").distinct().collect()
-                     if r["_bronze_run_id"] is not None)
-    bronze = lake.read_bronze(dataset, origins)
-    refs = {n: lake.read_bronze(n, bronze_runs_for_silver(lake, n))
-            for n in BATCH_DATASETS if lake.exists("bronze", n)}
-    fl = QR.recheck(q, bronze, c, refs, run.as_of)
-    fl.df = fl.df.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = Q.summary_counts(fl).collect()[0]
-    n, n_bad = counts["n"], counts["n_invalid"]
-    data = [x for x in fl.data_columns() if x not in ("_ordinal", "_bronze_run_id")]
-    returned = fl.valid().select(*data, F.col("_bronze_run_id").alias("_origin_run"),
-                                 F.col("_ordinal").alias("_origin_ordinal"))
-    if n - n_bad:
-        lake.write_bronze(returned, dataset, REPROCESS_SOURCE, run.run_id, run.ts)
-        run.edge(f"quarantine/{dataset}", f"bronze/{dataset}", "reprocess", n - n_bad)
-    if n_bad:
-        lake.write_quarantine(QR.quarantine_rows(fl, REPROCESS_REASON, run.run_id, run.ts), dataset)
-    fl.df.unpersist()
-    release()
+        return nothing
+    ingested = [r for r in lake.bronze_runs(dataset) if not r.endswith(REPROCESS_SUFFIX)]
+    mark = hashlib.sha256("|".join(batch_ids).encode()).hexdigest()[:8]
+    run = Run(spark, lake, run_id=f"{ingested[-1] if ingested else new_run_id()}_{mark}{REPROCESS_SUFFIX}", as_of=as_of)
+    with sized_shuffles(spark, lake.bytes_of("quarantine", dataset) + lake.bytes_of("bronze", dataset)):
+        q = q.join(pending, "run_id", "left_semi")
+        bronze = lake.read_bronze(dataset, ingested or None)
+        refs = {n: lake.read_bronze(n, bronze_runs_for_silver(lake, n)) for n in BATCH_DATASETS if lake.bronze_runs(n)}
+        fl = QR.recheck(q, bronze, c, refs, run.as_of)
+        fl = fl.on(materialise(fl.df, f"recheck-{dataset}"))
+        counts = Q.summary_counts(fl).first()
+        n, n_bad = counts["n"], counts["n_invalid"]
+        if n - n_bad:
+            returned = fl.valid().select(*fl.public_columns(), F.col("_bronze_run_id").alias("_origin_run"),
+                                         F.col("_ordinal").alias("_origin_ordinal"))
+            lake.write_bronze(returned, dataset, REPROCESS_SOURCE, run.run_id, run.ts)
+            run.edge(f"quarantine/{dataset}", f"bronze/{dataset}", "reprocess", n - n_bad)
+        if n_bad:
+            lake.write_quarantine(QR.quarantine_rows(fl, REPROCESS_REASON, run.run_id, run.ts), dataset, run.run_id)
     lake.record_processed(dataset, batch_ids, run.run_id, run.ts)
     if run.edges:
         lake.append_json("logs", "lineage", spark.createDataFrame(run.edges, M.LINEAGE_SCHEMA))
@@ -470,37 +454,41 @@ def health(spark: SparkSession, lake: Lake, as_of_ts: str | None = None, record:
     result other than ``ok`` is appended to the alert log (CRITICAL or WARN)."""
     out = _health(spark, lake, as_of_ts)
     if record and out["overall"] != "ok":
-        bad = "; ".join(f"{k}: {v}" for k, v in out["items"].items() if v != "ok")
-        sev = "CRITICAL" if out["overall"] == "critical" else "WARN"
-        alert = [{"run_id": "health-check", "ts": _iso(_now()), "severity": sev,
-                  "message": f"health check: {bad}"}]
-        lake.append_json("logs", "alerts", spark.createDataFrame(alert, M.ALERT))
+        bad = {k: v for k, v in out["items"].items() if v != "ok"}
+        raised = {"run_id": "health-check", "ts": _iso(_now()), "severity": "CRITICAL" if out["overall"] == "critical" else "WARN",
+                  "message": "health check: " + ", ".join(f"{k} {v}" for k, v in bad.items()), "context": bad}
+        lake.append_json("logs", "alerts", spark.createDataFrame([raised], M.ALERT))
     return out
 
 
 def monitor(spark: SparkSession, lake: Lake, recover: bool = True) -> dict:
-    """Health check; when Gold is unreachable and ``recover`` is set, rebuild it from Silver
-    and check again."""
+    """Health check; when anything is wrong and ``recover`` is set, rebuild Gold from Silver and
+    check again."""
     first = health(spark, lake)
-    if recover and first["items"].get("gold") == "critical":
+    if recover and first["overall"] != "ok":
         rebuilt = rebuild_gold(spark, lake)
         return {"before": first, "recovered": rebuilt, "after": health(spark, lake)}
     return {"before": first, "recovered": False, "after": first}
 
 
+def _gold_readable(lake: Lake) -> bool:
+    """Whether Gold's headline table can be read through; any fault of it counts as no."""
+    try:
+        return len(lake.read("gold", "kpis").collect()) > 0   # five rows
+    except (TableMissing, PySparkException, Py4JJavaError):
+        return False
+
+
 def _health(spark: SparkSession, lake: Lake, as_of_ts: str | None = None) -> dict:
     runs = lake.read_json("logs", "runs", M.RUN_SCHEMA)
-    try:
-        gold_ok = lake.read("gold", "kpis").count() > 0
-    except TableMissing:
-        gold_ok = False
-    missing = [f"{layer}/{d}" for layer in ("bronze", "silver") for d in ALL_DATASETS
-               if not lake.exists(layer, d)]
-    latest = M.last_runs(runs, 1)
-    rows = M.run_health(latest, gold_ok, missing, as_of_ts or _iso(_now())).collect()
+    gold_ok = _gold_readable(lake)
+    missing = {"bronze": [d for d in ALL_DATASETS if not lake.bronze_runs(d)],
+               "silver": [d for d in ALL_DATASETS if not lake.has_rows_of("silver", d)]}
+    named = [f"{layer}/{d}" for layer, tables in missing.items() for d in tables]
+    rows = M.run_health(M.last_runs(runs, 1), gold_ok, missing, as_of_ts or _iso(_now())).collect()
     if not rows:
         return {"overall": "critical", "items": {"pipeline": "critical", "gold": "ok" if gold_ok else "critical"},
-                "missing": missing}
+                "missing": named}
     r = rows[0].asDict()
-    items = {k: r[k] for k in ("last_run", "freshness", "quality", "gold", "layers")}
-    return {"overall": r["overall"], "items": items, "missing": missing, "run_id": r["run_id"]}
+    items = {k: r[k] for k in ("last_run", "freshness", "quality", "gold", *missing)}
+    return {"overall": r["overall"], "items": items, "missing": named, "run_id": r["run_id"]}

@@ -5,8 +5,9 @@ The adapter views mirror ``lakehold.sources.testdata``; flags mirror the contrac
 """
 from __future__ import annotations
 
-from lakehold.contracts import EMAIL_PATTERN, EVENT_TYPES, GENRES
-from lakehold.functions.privacy import DEFAULT_SALT
+from lakehold.contracts import EMAIL_PATTERN
+from lakehold.functions.privacy import TEST_SALT
+from lakehold.sources.testdata import EVENT_TYPES, GENRES
 
 
 def _q(values) -> str:
@@ -15,7 +16,7 @@ def _q(values) -> str:
 
 ADAPTERS = """
 a_readers AS (
-  SELECT c_custkey AS reader_id, c_name AS name,
+  SELECT CASE WHEN c_custkey % 257 = 10 THEN NULL ELSE c_custkey END AS reader_id, c_name AS name,
     CASE WHEN c_custkey % 97 = 5 THEN concat('c', c_custkey, '_at_ex.com')
          WHEN c_custkey % 89 = 7 THEN NULL
          ELSE concat(lower(replace(c_name, '#', '.')), '@ex', c_nationkey, '.com') END AS email,
@@ -24,21 +25,26 @@ a_readers AS (
          WHEN c_custkey % 103 = 4 THEN '2999-01-01'
          ELSE concat(2019 + c_custkey % 3, '-', lpad(CAST(1 + c_custkey % 12 AS VARCHAR), 2, '0'),
                      '-', lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0')) END AS signup_date
-  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey CROSS JOIN (VALUES (0), (1)) d(copy)
+  WHERE copy = 0 OR c_custkey % 251 = 9),
 a_books AS (
-  SELECT p_partkey AS book_id, p_name AS title, p_brand AS author, p_type AS genre,
+  SELECT CASE WHEN p_partkey % 263 = 12 THEN NULL ELSE p_partkey END AS book_id, p_name AS title, p_brand AS author, p_type AS genre,
     CAST(CASE WHEN p_partkey % 83 = 2 THEN 3000 ELSE 1950 + p_partkey % 77 END AS BIGINT) AS year
-  FROM part),
+  FROM part CROSS JOIN (VALUES (0), (1)) d(copy) WHERE copy = 0 OR p_partkey % 241 = 11),
 a_loans AS (
-  SELECT l_orderkey * 8 + l_linenumber AS loan_id,
+  SELECT CASE WHEN l_orderkey % 307 = 5 THEN NULL ELSE l_orderkey * 8 + l_linenumber END AS loan_id,
     CASE WHEN l_orderkey % 100 = 1 THEN o_custkey + 1000000 ELSE o_custkey END AS reader_id,
-    CASE WHEN l_orderkey % 91 = 2 THEN NULL ELSE l_partkey END AS book_id,
+    CASE WHEN l_orderkey % 91 = 2 THEN NULL WHEN l_orderkey % 113 = 7 THEN l_partkey + 10000000 ELSE l_partkey END AS book_id,
     l_shipdate AS loan_date, l_suppkey, l_extendedprice, l_quantity
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey CROSS JOIN (VALUES (0), (1)) d(copy)
+  WHERE copy = 0 OR l_orderkey % 211 = 3),
 a_ratings AS (
-  SELECT l_orderkey * 8 + l_linenumber AS rating_id, o_custkey AS reader_id, l_partkey AS book_id,
+  SELECT CASE WHEN l_orderkey % 311 = 6 THEN NULL ELSE l_orderkey * 8 + l_linenumber END AS rating_id,
+    CASE WHEN l_orderkey % 100 = 2 THEN o_custkey + 1000000 ELSE o_custkey END AS reader_id,
+    CASE WHEN l_orderkey % 127 = 9 THEN l_partkey + 10000000 ELSE l_partkey END AS book_id,
     CAST(l_quantity AS BIGINT) % 7 AS rating, l_shipdate AS rating_date, l_suppkey, l_extendedprice
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'),
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey CROSS JOIN (VALUES (0), (1)) d(copy)
+  WHERE copy = 0 OR l_orderkey % 199 = 4),
 a_events AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, user_id AS reader_id, event_type,
     CAST(json_extract_string(props, '$.k') AS BIGINT) AS book_id, ts AS event_ts, props
@@ -50,39 +56,39 @@ def flags(as_of_loans: str = "2001-01-01 00:00:00", as_of_readers: str = "2026-0
 f_readers AS (
   SELECT *,
     reader_id IS NULL AS r0,
-    reader_id IS NOT NULL AND row_number() OVER (PARTITION BY reader_id ORDER BY reader_id) > 1 AS r1,
+    reader_id IS NOT NULL AND rk > 1 AS r1,
     email IS NULL AS r2,
     email IS NOT NULL AND NOT regexp_matches(email, '{EMAIL_PATTERN}') AS r3,
     coalesce(try_strptime(signup_date, '%Y-%m-%d') > TIMESTAMP '{as_of_readers}', false) AS r4
-  FROM a_readers),
+  FROM (SELECT *, row_number() OVER (PARTITION BY reader_id ORDER BY reader_id) AS rk FROM a_readers) t),
 f_books AS (
   SELECT *,
     book_id IS NULL AS r0,
-    book_id IS NOT NULL AND row_number() OVER (PARTITION BY book_id ORDER BY book_id) > 1 AS r1,
+    book_id IS NOT NULL AND rk > 1 AS r1,
     title IS NULL AS r2,
     year IS NOT NULL AND (year < 1450 OR year > 2026) AS r3,
     genre IS NOT NULL AND genre NOT IN ({_q(GENRES)}) AS r4
-  FROM a_books),
+  FROM (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY book_id) AS rk FROM a_books) t),
 f_loans AS (
   SELECT *,
     loan_id IS NULL AS r0,
-    loan_id IS NOT NULL AND row_number() OVER (PARTITION BY loan_id ORDER BY loan_date NULLS FIRST,
-      l_suppkey NULLS FIRST, l_extendedprice NULLS FIRST, book_id NULLS FIRST, l_quantity NULLS FIRST) > 1 AS r1,
+    loan_id IS NOT NULL AND rk > 1 AS r1,
     reader_id IS NOT NULL AND reader_id NOT IN (SELECT reader_id FROM a_readers WHERE reader_id IS NOT NULL) AS r2,
     book_id IS NOT NULL AND book_id NOT IN (SELECT book_id FROM a_books WHERE book_id IS NOT NULL) AS r3,
     coalesce(loan_date > TIMESTAMP '{as_of_loans}', false) AS r4
-  FROM a_loans),
+  FROM (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY loan_date NULLS FIRST,
+      l_suppkey NULLS FIRST, l_extendedprice NULLS FIRST, book_id NULLS FIRST, l_quantity NULLS FIRST) AS rk FROM a_loans) t),
 f_ratings AS (
   SELECT *,
     rating_id IS NULL AS r0,
-    rating_id IS NOT NULL AND row_number() OVER (PARTITION BY rating_id ORDER BY rating_date NULLS FIRST,
-      l_suppkey NULLS FIRST, l_extendedprice NULLS FIRST) > 1 AS r1,
+    rating_id IS NOT NULL AND rk > 1 AS r1,
     rating IS NOT NULL AND (rating < 1 OR rating > 5) AS r2,
     reader_id IS NOT NULL AND reader_id NOT IN (SELECT reader_id FROM a_readers WHERE reader_id IS NOT NULL) AS r3,
     book_id IS NOT NULL AND book_id NOT IN (SELECT book_id FROM a_books WHERE book_id IS NOT NULL) AS r4
-  FROM a_ratings),
+  FROM (SELECT *, row_number() OVER (PARTITION BY rating_id ORDER BY rating_date NULLS FIRST,
+      l_suppkey NULLS FIRST, l_extendedprice NULLS FIRST) AS rk FROM a_ratings) t),
 f_events AS (
-  SELECT *,
+  SELECT *, 1 AS rk,
     event_id IS NULL AS r0,
     event_type IS NOT NULL AND event_type NOT IN ({_q(EVENT_TYPES)}) AS r1
   FROM a_events)"""
@@ -94,11 +100,11 @@ def mask_email_sql(col: str) -> str:
             f"repeat('*', greatest({at} - 3, 1)) || substr({col}, {at}) ELSE {col} END")
 
 
-def pseudonym_sql(col: str, salt: str = DEFAULT_SALT) -> str:
+def pseudonym_sql(col: str, salt: str = TEST_SALT) -> str:
     return f"CASE WHEN {col} IS NULL THEN NULL ELSE substr(sha256('{salt}' || CAST({col} AS VARCHAR)), 1, 16) END"
 
 
-def silver(salt: str = DEFAULT_SALT) -> str:
+def silver(salt: str = TEST_SALT) -> str:
     return f"""
 s_readers AS (
   SELECT reader_id, {mask_email_sql('email')} AS email, city,
@@ -175,6 +181,11 @@ def dataset_report_sql() -> str:
         + dataset_report_body() + ") d")
 
 
+def ingest_report_sql() -> str:
+    return with_chain("SELECT dataset, total_rows, invalid_rows, floor(pass_rate * 10000 + 0.5) / 10000 AS pass_rate_4dp FROM (\n"
+                      + dataset_report_body() + ") d WHERE dataset <> 'access_events'")
+
+
 def failed_rules_sql(rules) -> str:
     return "concat_ws(',', " + ", ".join(
         f"CASE WHEN r{i} THEN '{kind}:{col}' END" for i, (kind, col, _) in enumerate(rules)) + ")"

@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakehold.contracts import ALL_DATASETS, CONTRACTS, SILVER_REASON
-from lakehold.functions.privacy import DEFAULT_SALT, mask_email, pseudonym
+from lakehold.contracts import ALL_DATASETS, BATCH_DATASETS, SILVER_REASON
+from lakehold.functions.privacy import TEST_SALT, mask_email, pseudonym
 from lakehold.operators import gold as G
 from lakehold.operators import quality as Q
 from lakehold.operators.keys import dedup_keep_first
@@ -20,6 +20,7 @@ from lakehold.plans import oracle as O
 from lakehold.plans.derived import Chain
 from lakehold.sources import testdata as td
 from lakehold.sources.lake import with_control_columns
+from lakehold.sources.testdata import CONTRACTS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,17 +50,17 @@ def _union(frames):
 
 def _violations(spark, sf_dir, kind: str) -> DataFrame:
     ch = Chain(spark, sf_dir)
-    ch.flag_all([ds for ds in ALL_DATASETS if any(r.kind == kind for r in CONTRACTS[ds].rules)])
     frames = []
     for ds in ALL_DATASETS:
         c = CONTRACTS[ds]
+        if not any(r.kind == kind for r in c.rules):
+            continue
+        fl = ch.violations(ds, kind)
         for i, r in enumerate(c.rules):
-            if r.kind != kind:
-                continue
-            fl = ch.flagged(ds)
-            frames.append(fl.df.where(F.col(fl.flag_cols[i])).select(
-                F.lit(ds).alias("dataset"), F.lit(r.kind).alias("rule"), F.lit(r.column).alias("column"),
-                F.col(c.row_key).cast("string").alias("row_key")))
+            if r.kind == kind:
+                frames.append(fl.df.where(F.col(fl.flag_cols[i])).select(
+                    F.lit(ds).alias("dataset"), F.lit(r.kind).alias("rule"), F.lit(r.column).alias("column"),
+                    F.col(c.row_key).cast("string").alias("row_key")))
     return _union(frames)
 
 
@@ -127,7 +128,7 @@ def quality_gate(spark, sf_dir):
     "FROM f_loans WHERE NOT " + O.any_failed(5)))
 def valid_rows(spark, sf_dir):
     fl = Chain(spark, sf_dir).flagged("loans")
-    return fl.valid().select(*fl.data_columns())
+    return fl.valid().select(*fl.public_columns())
 
 
 @query("quarantine_rows", O.with_chain(O.quarantine_rows_body(SILVER_REASON)))
@@ -179,12 +180,12 @@ def silver_dates(spark, sf_dir):
 @query("bronze_control_columns", O.with_chain(
     f"SELECT *, '{RUN_TS}' AS _ingested_at, 'raw/readers' AS _source, '{RUN_ID}' AS run_id FROM a_readers"))
 def bronze_control_columns(spark, sf_dir):
-    return with_control_columns(td.readers(spark, sf_dir), "raw/readers", RUN_ID, RUN_TS, ordinal=False)
+    return with_control_columns(td.readers(spark, sf_dir), "raw/readers", RUN_ID, RUN_TS).drop("_ordinal")
 
 
 @query("silver_projection", O.with_chain("SELECT * FROM a_loans"))
 def silver_projection(spark, sf_dir):
-    bronze = with_control_columns(td.loans(spark, sf_dir), "raw/loans", RUN_ID, RUN_TS, ordinal=True)
+    bronze = with_control_columns(td.loans(spark, sf_dir), "raw/loans", RUN_ID, RUN_TS)
     return drop_control(bronze.drop("run_id"))
 
 
@@ -194,7 +195,35 @@ def silver_projection(spark, sf_dir):
     "l_extendedprice NULLS FIRST, book_id NULLS FIRST, l_quantity NULLS FIRST) AS rn FROM a_loans) t WHERE rn = 1"))
 def dedup_keep_first_q(spark, sf_dir):
     loans = td.loans(spark, sf_dir)
-    return dedup_keep_first(loans, "loan_id", list(CONTRACTS["loans"].order_by))
+    return dedup_keep_first(loans, "loan_id", list(CONTRACTS["loans"].order_by)).drop("_ordinal")
+
+
+@query("bronze_first_per_key", O.with_chain(
+    "SELECT 'readers' AS dataset, CAST(reader_id AS VARCHAR) AS row_key, count(*) AS n_rows FROM a_readers "
+    "WHERE reader_id IS NOT NULL GROUP BY reader_id UNION ALL "
+    "SELECT 'books', CAST(book_id AS VARCHAR), count(*) FROM a_books WHERE book_id IS NOT NULL GROUP BY book_id UNION ALL "
+    "SELECT 'loans', CAST(loan_id AS VARCHAR), count(*) FROM a_loans WHERE loan_id IS NOT NULL GROUP BY loan_id UNION ALL "
+    "SELECT 'ratings', CAST(rating_id AS VARCHAR), count(*) FROM a_ratings WHERE rating_id IS NOT NULL GROUP BY rating_id"))
+def bronze_first_per_key(spark, sf_dir):
+    """By arrival order alone one row of each key stays, and all its rows are accounted for."""
+    frames = []
+    for ds in BATCH_DATASETS:
+        key = CONTRACTS[ds].key
+        rows = td.ADAPTERS[ds](spark, sf_dir, {key}).where(F.col(key).isNotNull())
+        n = rows.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n_rows"))
+        first = dedup_keep_first(rows, key, [])
+        frames.append(first.join(n, first[key] == n["k"]).select(
+            F.lit(ds).alias("dataset"), F.col(key).cast("string").alias("row_key"), "n_rows"))
+    return _union(frames)
+
+
+@query("ingest_report", O.ingest_report_sql())
+def ingest_report(spark, sf_dir):
+    """What ingest reports: per batch dataset, against raw references, rows, invalid rows and rate."""
+    ch = Chain(spark, sf_dir)
+    ch.flag_all(BATCH_DATASETS)
+    return _union(Q.dataset_report(ch.flagged(ds)) for ds in BATCH_DATASETS).select(
+        "dataset", "total_rows", "invalid_rows", "pass_rate_4dp")
 
 
 @query("fk_orphans", O.with_chain(
@@ -224,7 +253,7 @@ def fk_orphans(spark, sf_dir):
     f"SELECT reader_id, {O.pseudonym_sql('name')} AS name_pseudo FROM a_readers"))
 def pii_pseudonym(spark, sf_dir):
     r = td.readers(spark, sf_dir)
-    return r.select("reader_id", pseudonym(F.col("name"), DEFAULT_SALT).alias("name_pseudo"))
+    return r.select("reader_id", pseudonym(F.col("name"), TEST_SALT).alias("name_pseudo"))
 
 
 @query("pii_email_mask", O.with_chain(

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakehold.contracts import (ALL_DATASETS, CONTRACTS, QUALITY_GATE_MIN_PASS_RATE, REPROCESS_REASON,
-                                SILVER_REASON)
+from lakehold.contracts import ALL_DATASETS, QUALITY_GATE_MIN_PASS_RATE, REPROCESS_REASON, SILVER_REASON
 from lakehold.operators import monitor as M
 from lakehold.operators import profile as P
 from lakehold.operators import quarantine as QR
@@ -14,6 +13,8 @@ from lakehold.plans import replay as RP
 from lakehold.plans.derived import Chain
 from lakehold.plans.registry import RUN_TS, _union, query
 from lakehold.sources import testdata as td
+from lakehold.sources.scratch import materialise
+from lakehold.sources.testdata import CONTRACTS
 
 BATCH_1 = "batch-0001"   # Silver quarantine of the replayed run
 BATCH_2 = "batch-0002"   # re-quarantine by the reprocess run
@@ -53,15 +54,15 @@ def _profile_body(layers=("bronze", "silver")) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _profiles(ch: Chain, layers=("bronze", "silver")):
-    if "silver" in layers:
-        ch.flag_all()
+def _profiles(ch: Chain):
+    """Each layer's tables are written once, and every column profiled from there."""
+    ch.flag_all()
     frames = []
     for ds in ALL_DATASETS:
-        if "bronze" in layers:
-            frames.append(P.profile(ch.raw(ds), "bronze", ds))
-        if "silver" in layers:
-            frames.append(P.profile(ch.silver(ds), "silver", ds))
+        c = CONTRACTS[ds]
+        unique = (c.key,) if c.key and c.dedup_is_noop() else ()
+        frames.append(P.profile(materialise(ch.raw(ds), "profile"), "bronze", ds))
+        frames.append(P.profile(materialise(ch.silver(ds), "profile"), "silver", ds, known_unique=unique))
     return _union(frames)
 
 
@@ -70,26 +71,38 @@ def profile_columns(spark, sf_dir):
     return _profiles(Chain(spark, sf_dir))
 
 
-@query("schema_drift")
+def _drift_sql() -> str:
+    parts = []
+    for (layer, ds, cte), cols in PROFILE_COLUMNS.items():
+        if layer == "bronze":
+            declared = set(CONTRACTS[ds].column_names)
+            parts += [f"SELECT '{ds}' AS dataset, 'missing' AS kind, '{c}' AS \"column\", count(*) AS n_rows FROM {cte}"
+                      for c in sorted(declared - set(cols))]
+            parts += [f"SELECT '{ds}', 'unexpected', '{c}', count({c}) FROM {cte}" for c in sorted(set(cols) - declared)]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("schema_drift", O.with_chain(_drift_sql()))
 def schema_drift(spark, sf_dir):
-    """Contract vs. delivered columns of every source table (schema only; rows-only check)."""
-    return P.schema_drift(spark, td.load_all(spark, sf_dir))
+    """Contract against delivered columns of every source table, with the rows concerned."""
+    ch = Chain(spark, sf_dir)
+    return P.schema_drift({ds: ch.raw(ds) for ds in ALL_DATASETS}, CONTRACTS)
 
 
-def _meta_values() -> str:
-    rows = ", ".join(f"('{c.name}', '{c.domain}', '{c.owner}', '{c.origin}', '{c.fmt}', '{c.frequency}')"
-                     for c in CONTRACTS.values())
-    return f"(VALUES {rows}) m(dataset, domain, owner, origin, format, frequency)"
+def _catalog_sql() -> str:
+    parts = []
+    for (layer, ds, cte), cols in PROFILE_COLUMNS.items():
+        if layer == "silver":
+            facts = ", ".join(f"'{CONTRACTS[ds].about[k]}' AS {k}" for k in P.META)
+            parts.append(f"SELECT '{ds}' AS dataset, {facts}, CAST({len(cols)} AS BIGINT) AS n_columns, count(*) AS n_rows FROM {cte}")
+    return "\nUNION ALL\n".join(parts)
 
 
-@query("catalog_summary", O.with_chain(
-    "SELECT m.dataset, m.domain, m.owner, m.origin, m.format, m.frequency, "
-    "CAST(coalesce(p.n_columns, 0) AS BIGINT) AS n_columns FROM " + _meta_values() +
-    " LEFT JOIN (SELECT dataset, count(*) AS n_columns FROM (" + _profile_body(("silver",)) +
-    ") x GROUP BY dataset) p ON p.dataset = m.dataset"))
+@query("catalog_summary", O.with_chain(_catalog_sql()))
 def catalog_summary(spark, sf_dir):
     ch = Chain(spark, sf_dir)
-    return P.catalog_summary(_profiles(ch, ("silver",)), P.contract_metadata(spark))
+    ch.flag_all()
+    return P.catalog_summary({ds: ch.silver(ds) for ds in ALL_DATASETS}, CONTRACTS)
 
 
 # ---- quarantine lifecycle and reprocessing ---------------------------------------------------
@@ -97,62 +110,98 @@ def catalog_summary(spark, sf_dir):
 LATER = "2002-01-01 00:00:00"
 
 
-def _reprocessed(ch: Chain):
-    """Loans quarantined by the replayed run, re-checked with a later ``as_of``."""
-    q = QR.quarantine_rows(ch.flagged("loans"), SILVER_REASON, BATCH_1, RUN_TS)
-    return QR.recheck(q, ch.raw("loans"), CONTRACTS["loans"], ch.refs, td.LATER_AS_OF)
+def _reprocessed(ch: Chain) -> dict:
+    """Rows of every dataset quarantined by the replayed run, re-checked with a later ``as_of``."""
+    ch.flag_all()
+    out = {}
+    for ds in ALL_DATASETS:
+        q = QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS)
+        out[ds] = QR.recheck(q, ch.raw(ds), CONTRACTS[ds], ch.refs, td.LATER_AS_OF)
+    return out
 
 
 def _quarantine_tables(ch: Chain) -> dict:
-    ch.flag_all()
-    out = {ds: QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS) for ds in ALL_DATASETS}
-    again = QR.quarantine_rows(_reprocessed(ch), REPROCESS_REASON, BATCH_2, RUN_TS)
-    out["loans"] = out["loans"].unionByName(again, allowMissingColumns=True)
+    again = _reprocessed(ch)
+    out = {}
+    for ds in ALL_DATASETS:
+        first = QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS)
+        out[ds] = first.unionByName(QR.quarantine_rows(again[ds], REPROCESS_REASON, BATCH_2, RUN_TS), allowMissingColumns=True)
     return out
 
 
-LOAN_COLS = "loan_id, reader_id, book_id, loan_date, l_suppkey, l_extendedprice, l_quantity"
-RECHECK_SQL = f"""
-cand AS (SELECT DISTINCT {LOAN_COLS}, r0, r1, r2, r3 FROM f_loans WHERE {O.any_failed(5)}),
-rechk AS (SELECT *, coalesce(loan_date > TIMESTAMP '{LATER}', false) AS r4 FROM cand)"""
+def _data_columns(ds: str) -> str:
+    return ", ".join(PROFILE_COLUMNS["bronze", ds, next(c for _, d, c in PROFILE_COLUMNS if d == ds)])
+
+
+def _recheck_sql() -> str:
+    """Per dataset: one candidate of equal quarantined rows, flagged again with the later instant."""
+    parts = []
+    for ds, cte, key, rules in O.RULES:
+        columns = _data_columns(ds)
+        again = []
+        for i, (kind, _, _) in enumerate(rules):
+            if kind == "unique":
+                again.append(f"{key} IS NOT NULL AND min(rk) > 1 AS r{i}")
+            elif ds == "loans" and kind == "not_future":
+                again.append(f"coalesce(loan_date > TIMESTAMP '{LATER}', false) AS r{i}")
+            else:
+                again.append(f"bool_or(r{i}) AS r{i}")
+        parts.append(f"c_{ds} AS (SELECT {columns}, {', '.join(again)} FROM {cte} WHERE {O.any_failed(len(rules))} GROUP BY {columns})")
+    return ",\n".join(parts)
+
+
+RECHECK_SQL = _recheck_sql()
 
 
 def _chain_plus(extra: str, body: str) -> str:
     return ("WITH " + O.ADAPTERS + "," + O.flags() + "," + O.silver() + "," + extra + "\n" + body)
 
 
-_LOAN_RULES = O.RULES[2][3]
+def _each(select) -> str:
+    """``select(dataset, cte, key, rules)`` of every dataset's candidates, united."""
+    return "\nUNION ALL\n".join(select(ds, f"c_{ds}", key, rules) for ds, _, key, rules in O.RULES)
+
+
+STILL_INVALID = _each(lambda ds, cte, key, rules: (
+    f"SELECT '{ds}' AS dataset, CAST({key} AS VARCHAR) AS row_key, {O.failed_rules_sql(rules)} AS failed_rules, "
+    f"'{REPROCESS_REASON}' AS reason FROM {cte} WHERE {O.any_failed(len(rules))}"))
 Q_ALL_SQL = RECHECK_SQL + f""",
 q_all AS (
   SELECT dataset, row_key, failed_rules, reason, '{BATCH_1}' AS run_id FROM (
     {O.quarantine_rows_body(SILVER_REASON)}) s
   UNION ALL
-  SELECT 'loans', CAST(loan_id AS VARCHAR), {O.failed_rules_sql(_LOAN_RULES)}, '{REPROCESS_REASON}', '{BATCH_2}'
-  FROM rechk WHERE {O.any_failed(5)})"""
+  SELECT dataset, row_key, failed_rules, reason, '{BATCH_2}' FROM (
+    {STILL_INVALID}) t)"""
 
 
-@query("reprocess_valid", _chain_plus(RECHECK_SQL, f"SELECT {LOAN_COLS} FROM rechk WHERE NOT {O.any_failed(5)}"))
+@query("reprocess_valid", _chain_plus(RECHECK_SQL, _each(lambda ds, cte, key, rules: (
+    f"SELECT '{ds}' AS dataset, CAST({key} AS VARCHAR) AS row_key FROM {cte} WHERE NOT {O.any_failed(len(rules))}"))))
 def reprocess_valid(spark, sf_dir):
-    fl = _reprocessed(Chain(spark, sf_dir))
-    return fl.valid().select(*[c for c in fl.data_columns() if not c.startswith("_")])
+    return _union(fl.valid().select(F.lit(ds).alias("dataset"), F.col(CONTRACTS[ds].row_key).cast("string").alias("row_key"))
+                  for ds, fl in _reprocessed(Chain(spark, sf_dir)).items())
 
 
-@query("reprocess_invalid", _chain_plus(
-    RECHECK_SQL, f"SELECT 'loans' AS dataset, CAST(loan_id AS VARCHAR) AS row_key, "
-                 f"{O.failed_rules_sql(_LOAN_RULES)} AS failed_rules, '{REPROCESS_REASON}' AS reason "
-                 f"FROM rechk WHERE {O.any_failed(5)}"))
+@query("reprocess_invalid", _chain_plus(RECHECK_SQL, STILL_INVALID))
 def reprocess_invalid(spark, sf_dir):
-    return QR.quarantine_view(_reprocessed(Chain(spark, sf_dir)), REPROCESS_REASON)
+    return _union(QR.quarantine_view(fl, REPROCESS_REASON) for fl in _reprocessed(Chain(spark, sf_dir)).values())
+
 
+def _merge_sql(ds: str, cte: str, key: str, rules) -> str:
+    columns, bronze = _data_columns(ds), next(c for layer, d, c in PROFILE_COLUMNS if (layer, d) == ("bronze", ds))
+    return (f"SELECT '{ds}' AS dataset, CAST({key} AS VARCHAR) AS row_key, count(*) AS n_rows FROM (SELECT {columns} FROM {bronze} UNION "
+            f"SELECT {columns} FROM {cte} WHERE NOT {O.any_failed(len(rules))}) u GROUP BY {key}")
 
-@query("reprocess_merge", _chain_plus(
-    RECHECK_SQL, f"SELECT DISTINCT * FROM (SELECT {LOAN_COLS} FROM a_loans UNION ALL "
-                 f"SELECT {LOAN_COLS} FROM rechk WHERE NOT {O.any_failed(5)}) u"))
+
+@query("reprocess_merge", _chain_plus(RECHECK_SQL, _each(_merge_sql)))
 def reprocess_merge(spark, sf_dir):
+    """Bronze after the returned rows were merged: different rows per key."""
     ch = Chain(spark, sf_dir)
-    fl = _reprocessed(ch)
-    returned = fl.valid().select(*[c for c in fl.data_columns() if not c.startswith("_")])
-    return QR.merge_into_bronze(ch.raw("loans"), returned)
+    frames = []
+    for ds, fl in _reprocessed(ch).items():
+        merged = QR.merge_into_bronze(ch.raw(ds), fl.valid().select(*fl.public_columns()))
+        frames.append(merged.groupBy(F.col(CONTRACTS[ds].row_key).cast("string").alias("row_key")).agg(
+            F.count(F.lit(1)).alias("n_rows")).select(F.lit(ds).alias("dataset"), "row_key", "n_rows"))
+    return _union(frames)
 
 
 @query("quarantine_listing", _chain_plus(Q_ALL_SQL, """
@@ -169,12 +218,12 @@ def quarantine_listing(spark, sf_dir):
 
 @query("quarantine_pending", _chain_plus(Q_ALL_SQL, f"""
 SELECT dataset, run_id, count(*) AS n_rows FROM q_all
-WHERE NOT (dataset = 'loans' AND run_id = '{BATCH_1}') GROUP BY dataset, run_id"""))
+WHERE NOT (dataset IN ('loans', 'books') AND run_id = '{BATCH_1}') GROUP BY dataset, run_id"""))
 def quarantine_pending(spark, sf_dir):
     tables = _quarantine_tables(Chain(spark, sf_dir))
     batches = _union(QR.batches(df, ds) for ds, df in tables.items())
-    # the reprocess run handled the loans batch of the first run
-    ledger = spark.createDataFrame([("loans", BATCH_1, BATCH_2, RUN_TS)], "dataset string, run_id string, "
+    # the reprocess run handled two batches of the first run
+    ledger = spark.createDataFrame([(ds, BATCH_1, BATCH_2, RUN_TS) for ds in ("loans", "books")], "dataset string, run_id string, "
                                    "processed_by string, processed_at string")
     return QR.pending(batches, ledger)
 
@@ -191,17 +240,20 @@ def _month_sql(ds: str, cte: str, ts_expr: str, n_rules: int) -> str:
             f"FROM {cte} GROUP BY 1, 2, 3")
 
 
-READERS_TS = "try_strptime(signup_date, '%Y-%m-%d')"
+MONTHS_SQL = "\n  UNION ALL ".join((
+    _month_sql("readers", "f_readers", "try_strptime(signup_date, '%Y-%m-%d')", 5),
+    _month_sql("books", "f_books", "CAST(NULL AS TIMESTAMP)", 5), _month_sql("loans", "f_loans", "loan_date", 5),
+    _month_sql("ratings", "f_ratings", "rating_date", 5), _month_sql("access_events", "f_events", "event_ts", 2)))
 RUNS_SQL = f"""
-rm AS ({_month_sql('readers', 'f_readers', READERS_TS, 5)}),
-runs AS (SELECT 'readers-' || month AS run_id, ts, n, n_bad, CAST(n - n_bad AS DOUBLE) / n AS rate,
+rm AS ({MONTHS_SQL}),
+runs AS (SELECT ds || '-' || month AS run_id, ds, ts, n, n_bad, CAST(n - n_bad AS DOUBLE) / n AS rate,
   floor(CAST(n - n_bad AS DOUBLE) / n * 10000 + 0.5) / 10000 AS rate4,
   CASE WHEN CAST(n - n_bad AS DOUBLE) / n >= {GATE} THEN 'success' ELSE 'blocked_quality_gate' END AS status
   FROM rm)"""
 
 
 def _runs(spark, sf_dir):
-    return RP.replay_runs(Chain(spark, sf_dir), "readers")
+    return RP.replay_runs(Chain(spark, sf_dir))
 
 
 @query("run_history", _chain_plus(RUNS_SQL, """
@@ -213,17 +265,19 @@ def run_history(spark, sf_dir):
 
 @query("alert_history", _chain_plus(RUNS_SQL, f"""
 SELECT run_id, ts, 'CRITICAL' AS severity,
-  'quality gate failed: worst rate ' || printf('%.4f', rate4) || ' < {GATE}' AS message
+  'pass rate ' || printf('%.4f', rate4) || ' is below the gate of {GATE}' AS message
 FROM runs WHERE status <> 'success'"""))
 def alert_history(spark, sf_dir):
     return M.alert_history(_runs(spark, sf_dir))
 
 
 @query("volume_drift", _chain_plus(RUNS_SQL, """,
-d AS (SELECT run_id, ts, status, n AS rows,
-  last_value(CASE WHEN status = 'success' THEN n END IGNORE NULLS)
-    OVER (ORDER BY ts, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_rows FROM runs)
-SELECT run_id, ts, status, rows, prev_rows,
+st AS (SELECT run_id, ds, ts, status, CASE WHEN ds = 'access_events' THEN 'ingest_stream' ELSE 'ingest_batch' END AS stage, n AS rows FROM runs
+  UNION ALL SELECT run_id, ds, ts, status, 'silver', n - n_bad FROM runs),
+d AS (SELECT *,
+  last_value(CASE WHEN status = 'success' THEN rows END IGNORE NULLS)
+    OVER (PARTITION BY ds, stage ORDER BY ts, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_rows FROM st)
+SELECT run_id, ts, status, stage, rows, prev_rows,
   CASE WHEN prev_rows IS NULL OR prev_rows = 0 THEN NULL ELSE abs(rows - prev_rows) / CAST(prev_rows AS DOUBLE) END AS drift,
   coalesce(CASE WHEN prev_rows IS NULL OR prev_rows = 0 THEN NULL
                 ELSE abs(rows - prev_rows) / CAST(prev_rows AS DOUBLE) > 0.5 END, false) AS warn
@@ -233,7 +287,7 @@ def volume_drift(spark, sf_dir):
 
 
 @query("run_health", _chain_plus(RUNS_SQL, f""",
-h AS (SELECT *, (epoch(coalesce(lead(CAST(ts AS TIMESTAMP)) OVER (ORDER BY ts, run_id), CAST(ts AS TIMESTAMP)))
+h AS (SELECT *, (epoch(coalesce(lead(CAST(ts AS TIMESTAMP)) OVER (PARTITION BY ds ORDER BY ts, run_id), CAST(ts AS TIMESTAMP)))
                  - epoch(CAST(ts AS TIMESTAMP))) / 3600.0 AS age_hours FROM runs),
 i AS (SELECT run_id, ts, status, age_hours, rate4 AS quality_rate,
   CASE WHEN status = 'success' THEN 'ok' ELSE 'critical' END AS last_run,
@@ -249,11 +303,10 @@ def run_health(spark, sf_dir):
 
 
 LINEAGE_SQL = f"""
-mm AS ({_month_sql('readers', 'f_readers', READERS_TS, 5)}
-  UNION ALL {_month_sql('loans', 'f_loans', 'loan_date', 5)}
-  UNION ALL {_month_sql('ratings', 'f_ratings', 'rating_date', 5)}),
+mm AS ({MONTHS_SQL}),
 edges AS (
-  SELECT 'raw/' || ds AS source, 'bronze/' || ds AS target, 'ingest_batch' AS process, n AS rows, ts,
+  SELECT 'raw/' || ds AS source, 'bronze/' || ds AS target,
+         CASE WHEN ds = 'access_events' THEN 'event_consumer' ELSE 'ingest_batch' END AS process, n AS rows, ts,
          ds || '-' || month AS run_id, 0 AS seq FROM mm
   UNION ALL
   SELECT 'bronze/' || ds, 'silver/' || ds, 'silver', n - n_bad, ts, ds || '-' || month, 1 FROM mm)"""
@@ -274,4 +327,4 @@ def lineage_latest(spark, sf_dir):
 def stream_events_by_type(spark, sf_dir):
     """T5: the events table consumed as a stream, stateful count per type (complete mode)."""
     from lakehold.streaming.events import stream_counts_by_type
-    return stream_counts_by_type(spark, sf_dir)
+    return stream_counts_by_type(spark, f"{sf_dir.rstrip('/')}/events.parquet")

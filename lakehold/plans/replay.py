@@ -9,22 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.contracts import CONTRACTS, QUALITY_GATE_MIN_PASS_RATE
+from lakehold.contracts import ALL_DATASETS, BATCH_DATASETS, QUALITY_GATE_MIN_PASS_RATE
 from lakehold.functions.dates import lenient_timestamp
 from lakehold.operators import monitor as M
 from lakehold.operators import quality as Q
 from lakehold.plans.derived import Chain
+from lakehold.sources.testdata import CONTRACTS
 
-# dataset -> date column that assigns a row to a monthly run
-REPLAY_DATE = {"readers": "signup_date", "loans": "loan_date", "ratings": "rating_date"}
+# dataset -> date column that assigns a row to a monthly run; books have none: one undated run
+REPLAY_DATE = {"readers": "signup_date", "loans": "loan_date", "ratings": "rating_date", "access_events": "event_ts"}
 
 
 def monthly_counts(ch: Chain, dataset: str) -> DataFrame:
     """Per monthly run: rows and invalid rows (one aggregation over the flagged table)."""
     fl = ch.flagged(dataset)
     c = CONTRACTS[dataset]
-    col = REPLAY_DATE[dataset]
-    ts = lenient_timestamp(fl.df, col, c.date_formats.get(col))
+    col = REPLAY_DATE.get(dataset)
+    ts = lenient_timestamp(fl.df, col, c.date_formats.get(col)) if col else F.lit(None).cast("timestamp_ntz")
     month = F.coalesce(F.date_format(ts, "yyyy-MM"), F.lit("undated"))
     run_ts = F.coalesce(F.date_format(F.add_months(F.trunc(ts, "month"), 1), "yyyy-MM-dd'T'HH:mm:ss"),
                         F.lit("9999-12-31T00:00:00"))
@@ -32,9 +33,17 @@ def monthly_counts(ch: Chain, dataset: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size(F.col(Q.FAILED)) > 0).alias("n_bad")))
 
 
-def replay_runs(ch: Chain, dataset: str = "readers",
-                gate: float = QUALITY_GATE_MIN_PASS_RATE) -> DataFrame:
-    """Run records (``monitor.RUN_SCHEMA`` shape) for the monthly replay of ``dataset``."""
+def replay_runs(ch: Chain, datasets=ALL_DATASETS, gate: float = QUALITY_GATE_MIN_PASS_RATE) -> DataFrame:
+    """Run records (``monitor.RUN_SCHEMA`` shape) for the monthly replay of every dataset."""
+    ch.flag_all(datasets)
+    out = None
+    for dataset in datasets:
+        part = _replay_dataset(ch, dataset, gate)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _replay_dataset(ch: Chain, dataset: str, gate: float) -> DataFrame:
     m = monthly_counts(ch, dataset)
     rate = (F.col("n") - F.col("n_bad")) / F.col("n")
     rate4 = Q.round_half_up(rate, 4)
@@ -42,31 +51,33 @@ def replay_runs(ch: Chain, dataset: str = "readers",
         F.col("n").cast("long").alias("rows_in"), rows_out.cast("long").alias("rows_out"),
         F.lit(None).cast("double").alias("duration_s"), q.alias("quality_rate"),
         qbad.cast("long").alias("quarantined"), inv.cast("long").alias("invalid_detected"))
+    ingest = "ingest_batch" if dataset in BATCH_DATASETS else "ingest_stream"
     stages = F.create_map(
-        F.lit("ingest_batch"), stage(F.col("n"), F.lit(None).cast("double"), F.lit(0), F.col("n_bad")),
+        F.lit(ingest), stage(F.col("n"), F.lit(None).cast("double"), F.lit(0), F.col("n_bad")),
         F.lit("silver"), stage(F.col("n") - F.col("n_bad"), rate4, F.col("n_bad"), F.col("n_bad")))
     ok = rate >= F.lit(gate)
     run_id = F.concat(F.lit(f"{dataset}-"), F.col("month"))
     gate_alert = F.struct(run_id.alias("run_id"), F.col("ts"), F.lit("CRITICAL").alias("severity"),
-                          F.concat(F.lit("quality gate failed: worst rate "),
-                                   F.format_string("%.4f", rate), F.lit(f" < {gate}")).alias("message"))
-    alerts = F.when(ok, F.array().cast("array<struct<run_id:string,ts:string,severity:string,message:string>>")) \
-        .otherwise(F.array(gate_alert))
+                          F.concat(F.lit("pass rate "), F.format_string("%.4f", rate4), F.lit(f" is below the gate of {gate}")).alias("message"),
+                          F.create_map(F.lit("dataset"), F.lit(dataset)).alias("context"))
+    none = F.array().cast("array<struct<run_id:string,ts:string,severity:string,message:string,context:map<string,string>>>")
     return m.select(run_id.alias("run_id"), "ts",
                     F.when(ok, F.lit(M.SUCCESS)).otherwise(F.lit(M.BLOCKED)).alias("status"),
                     F.lit(None).cast("double").alias("duration_s"),
                     F.create_map(F.lit("source"), F.lit(dataset)).alias("config"),
-                    stages.alias("stages"), alerts.alias("alerts"))
+                    stages.alias("stages"), F.when(ok, none).otherwise(F.array(gate_alert)).alias("alerts"))
 
 
-def replay_lineage(ch: Chain, datasets=("readers", "loans", "ratings")) -> DataFrame:
+def replay_lineage(ch: Chain, datasets=ALL_DATASETS) -> DataFrame:
     """Lineage edges of every monthly run: raw -> bronze (rows) and bronze -> silver (valid)."""
+    ch.flag_all(datasets)
     out = None
     for ds in datasets:
         m = monthly_counts(ch, ds)
         run_id = F.concat(F.lit(f"{ds}-"), F.col("month"))
+        ingest = "ingest_batch" if ds in BATCH_DATASETS else "event_consumer"
         e1 = m.select(F.lit(f"raw/{ds}").alias("source"), F.lit(f"bronze/{ds}").alias("target"),
-                      F.lit("ingest_batch").alias("process"), F.col("n").cast("long").alias("rows"),
+                      F.lit(ingest).alias("process"), F.col("n").cast("long").alias("rows"),
                       "ts", run_id.alias("run_id"), F.lit(0).cast("long").alias("seq"))
         e2 = m.select(F.lit(f"bronze/{ds}").alias("source"), F.lit(f"silver/{ds}").alias("target"),
                       F.lit("silver").alias("process"), (F.col("n") - F.col("n_bad")).cast("long").alias("rows"),

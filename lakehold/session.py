@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,15 +52,10 @@ def build(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "lak
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the base settings to an existing session without overriding runtime-set ones."""
+    """Fill in the base settings that can change at run time and that nobody has set."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.ui."):
-            continue
-        try:
-            if spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
+        if spark.conf.isModifiable(k) and spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     return spark
 
 
@@ -83,15 +79,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
-def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``input_bytes`` gets ~128 MB
-    per partition (AQE coalesces small ones at runtime); never lowers a configured value."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Within the block, enough shuffle partitions for ``input_bytes`` of (compressed) input at about
+    128 MB each; AQE coalesces small ones. Never below what is configured, which comes back after."""
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    # rows in a shuffle take a few times the room of their columnar files
+    wanted = -(-4 * int(input_bytes) // TARGET_PARTITION_BYTES)
+    if wanted > int(configured):
+        spark.conf.set(key, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)

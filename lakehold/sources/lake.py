@@ -5,7 +5,7 @@ Paths are Hadoop paths (local, HDFS, object store); all IO goes through Spark.
 - Quarantine is one table per dataset, partitioned by ``run_id``; a ledger records the
   batches already reprocessed.
 - Silver and Gold tables are replaced per run.
-- Run records, alerts and lineage edges are appended as JSON lines.
+- Run records, alerts, lineage edges and the ledger are appended as JSON lines.
 """
 from __future__ import annotations
 
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from lakehold.contracts import STREAM_DATASETS
+from lakehold.operators.keys import with_position
+
 LAYERS = ("raw", "bronze", "silver", "gold", "quarantine", "catalog", "logs")
 
 
@@ -29,16 +32,18 @@ def new_run_id(now: _dt.datetime | None = None) -> str:
     return f"{now:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}"
 
 
-def with_control_columns(df: DataFrame, source: str, run_id: str, run_ts: str,
-                         ordinal: bool = True) -> DataFrame:
-    """Bronze copy of ``df``: unchanged data plus ``_ingested_at``, ``_source``, ``run_id``
-    and (optionally) ``_ordinal``, the arrival order used for keep-first. The ordinal is
-    taken in the same job that writes the rows, so it is stored, never recomputed."""
+def with_control_columns(df: DataFrame, source: str, run_id: str, run_ts: str) -> DataFrame:
+    """Bronze copy of ``df``: unchanged data plus ``_ingested_at``, ``_source``, ``run_id`` and where
+    each row stood in its source (``_ordinal``, and ``_file`` and ``_block`` of a file scan), the
+    arrival order used for keep-first. The position is taken on the scan, before anything moves a
+    row, and stored with it; positions that ``df`` brings along stay."""
+    if "_ordinal" not in df.columns:
+        try:
+            df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+        except AnalysisException:   # not a file scan: the order of its partitions is all there is
+            pass
     cols = {"_ingested_at": F.lit(run_ts), "_source": F.lit(source)}
-    if ordinal:
-        cols["_ordinal"] = F.monotonically_increasing_id()
-    cols["run_id"] = F.lit(run_id)
-    return df.withColumns(cols)
+    return with_position(df).withColumns({**cols, "run_id": F.lit(run_id)})
 
 
 class Lake:
@@ -81,16 +86,19 @@ class Lake:
                 out.append(n.split("=", 1)[1])
         return sorted(out)
 
-    @staticmethod
-    def _has_data(fs, path) -> bool:
-        """A partition counts once it holds a data file (an empty stream drain leaves only
-        the sink's commit log)."""
+    def _has_data(self, fs, path) -> bool:
+        """Whether a data file lies below (an unfinished write leaves only temporary ones)."""
         for st in fs.listStatus(path):
             n = st.getPath().getName()
-            if not n.startswith(("_", ".")):
+            if not n.startswith(("_", ".")) and (st.isFile() or self._has_data(fs, st.getPath())):
                 return True
         return False
 
+    def has_rows_of(self, layer: str, name: str) -> bool:
+        """Whether a table holds data files, of no row maybe: a folder alone is no table."""
+        fs, p = self._fs(self.path(layer, name))
+        return bool(fs.exists(p)) and self._has_data(fs, p)
+
     # ---- generic tables ----------------------------------------------------------------
     def _reader(self):
         r = self.spark.read
@@ -102,10 +110,10 @@ class Lake:
         path = self.path(layer, name)
         try:
             if not self.exists(layer, name):
-                raise TableMissing(f"table missing: {layer}/{name} ({path})")
+                raise TableMissing(f"no {layer} data for {name} at {path}")
             return self._reader().load(path)
         except AnalysisException as exc:
-            raise TableMissing(f"table missing: {layer}/{name} ({path})") from exc
+            raise TableMissing(f"no {layer} data for {name} at {path}") from exc
 
     def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
               partition_by: list[str] | None = None) -> None:
@@ -122,26 +130,32 @@ class Lake:
         """CSV with a header. Columns are matched to the contract *by name* (a source that
         lost or gained columns is not mis-aligned); declared types are applied leniently
         (``try_cast``: unparsable -> null); an empty field is null; a line with the wrong
-        number of fields keeps its text in ``_corrupt_record``."""
+        number of fields keeps its text in ``_corrupt_record``, which fails every contract."""
         path = self.path("raw", f"{name}.csv")
         header = self.spark.read.option("header", True).csv(path).columns
         text = T.StructType([T.StructField(h, T.StringType(), True) for h in header]
                             + [T.StructField("_corrupt_record", T.StringType(), True)])
         raw = (self.spark.read.option("header", True).option("mode", "PERMISSIVE")
                .option("columnNameOfCorruptRecord", "_corrupt_record").schema(text).csv(path))
+        raw = with_position(raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                                       F.col("_metadata.file_block_start").alias("_block")))
         declared = {f.name: f.dataType for f in schema.fields}
         cols = []
         for h in header:
             t = declared.get(h)
             cols.append(F.col(h).try_cast(t).alias(h) if t is not None and not isinstance(t, T.StringType)
                         else F.col(h))
-        return raw.select(*cols, "_corrupt_record")
+        return raw.select(*cols, "_corrupt_record", "_file", "_block", "_ordinal")
 
     # ---- bronze -----------------------------------------------------------------------------
-    def write_bronze(self, df: DataFrame, name: str, source: str, run_id: str, run_ts: str) -> None:
-        from lakehold.sources.layout import spread
-        bronze = with_control_columns(spread(df), source, run_id, run_ts)
-        bronze.write.mode("append").partitionBy("run_id").parquet(self.path("bronze", name))
+    def write_bronze(self, df: DataFrame, name: str, source: str, run_id: str, run_ts: str) -> int:
+        """Write a run's partition, replacing what an earlier attempt of the run left; the number of
+        rows, from the written files. A source without rows gives a partition without rows."""
+        path = f"{self.path('bronze', name)}/run_id={run_id}"
+        if name in STREAM_DATASETS:   # next to drained micro-batches, at their depth
+            path += "/drain_batch=-1"
+        with_control_columns(df, source, run_id, run_ts).drop("run_id").write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path).count()
 
     def bytes_of(self, layer: str, name: str, partitions: list[str] | None = None,
                  column: str = "run_id") -> int:
@@ -163,24 +177,23 @@ class Lake:
         the scan to those runs."""
         runs = run_ids or self.bronze_runs(name)[-1:]
         if not runs:
-            raise TableMissing(f"table missing: bronze/{name}")
+            raise TableMissing(f"no bronze data for {name}")
         base = self.path("bronze", name)
-        reader = self.spark.read.option("basePath", base)
-        if len(runs) > 1:
-            # runs may differ in columns (returned rows carry provenance, stream drains a
-            # corrupt-record column): merge footers only when several runs are read
-            reader = reader.option("mergeSchema", "true")
+        # runs may differ in columns: returned rows carry provenance, drains are cut by batch
+        reader = self.spark.read.option("basePath", base).option("mergeSchema", "true")
         # list only the selected run partitions, not the table's whole history
-        return reader.parquet(*[f"{base}/run_id={r}" for r in runs])
+        return reader.parquet(*[f"{base}/run_id={r}" for r in runs]).drop("drain_batch")
 
     # ---- quarantine -------------------------------------------------------------------------
-    def write_quarantine(self, rows: DataFrame, name: str) -> None:
-        rows.write.mode("append").partitionBy("run_id").parquet(self.path("quarantine", name))
+    def write_quarantine(self, rows: DataFrame, name: str, run_id: str) -> None:
+        """Write a run's quarantine partition, replacing what an earlier attempt of the run left."""
+        rows.drop("run_id").write.mode("overwrite").parquet(f"{self.path('quarantine', name)}/run_id={run_id}")
 
     def read_quarantine(self, name: str) -> DataFrame:
-        if not self.exists("quarantine", name):
-            raise TableMissing(f"table missing: quarantine/{name}")
-        return self.spark.read.parquet(self.path("quarantine", name))
+        """All batches; a column that came with a later one is null in the others."""
+        if not self.list_partitions("quarantine", name):
+            raise TableMissing(f"no quarantine data for {name}")
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path("quarantine", name))
 
     LEDGER_SCHEMA = T.StructType([T.StructField("dataset", T.StringType()),
                                   T.StructField("run_id", T.StringType()),
@@ -190,19 +203,18 @@ class Lake:
     def record_processed(self, name: str, run_ids: list[str], by_run: str, at: str) -> None:
         rows = [(name, r, by_run, at) for r in run_ids]
         df = self.spark.createDataFrame(rows, self.LEDGER_SCHEMA)
-        df.coalesce(1).write.mode("append").json(self.path("quarantine", "_ledger"))
+        self.append_json("quarantine", "_ledger", df)
 
     def read_ledger(self) -> DataFrame:
-        if not self.exists("quarantine", "_ledger"):
-            return self.spark.createDataFrame([], self.LEDGER_SCHEMA)
-        return self.spark.read.schema(self.LEDGER_SCHEMA).json(self.path("quarantine", "_ledger"))
+        return self.read_json("quarantine", "_ledger", self.LEDGER_SCHEMA)
 
     # ---- logs ------------------------------------------------------------------------------
     def append_json(self, layer: str, name: str, df: DataFrame) -> None:
-        df.coalesce(1).write.mode("append").json(self.path(layer, name))
+        """Append records as a folder of their own: writers of one log do not meet in one."""
+        df.coalesce(1).write.json(f"{self.path(layer, name)}/{uuid.uuid4().hex}")
 
     def read_json(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
         if not self.exists(layer, name):
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema).option("mode", "DROPMALFORMED")
+        return (self.spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true")
                 .json(self.path(layer, name)))

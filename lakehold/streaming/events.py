@@ -4,11 +4,13 @@
   skipped by the JSON reader; a malformed line is kept with its text in ``_corrupt_record``
   and null fields, so Silver's ``not_null(event_id)`` quarantines it -- nothing is lost
   and nothing crashes the drain.
-- Drain: ``trigger(availableNow=True)`` processes everything pending and stops; the
-  checkpoint makes each file count once across drains (exactly-once with the file sink's
-  commit log). ``cleanSource=archive`` moves consumed files to an archive directory
-  outside the source path.
-- In-stream validation is report-only: rule counts are observed metrics of the stream.
+- Drain: ``trigger(availableNow=True)`` processes everything pending and stops, whatever time
+  it takes. Each micro-batch is one partition of Bronze, named by the batch id of the query's
+  checkpoint. A batch that is replayed, because its commit was lost, first removes what any run
+  wrote for that id: each event is in Bronze once. ``cleanSource=archive`` moves consumed files
+  to an archive directory outside the source path.
+- In-stream validation is report-only: rows and rule failures of each batch, counted from what
+  it wrote.
 - Live counts by type: stateful aggregation, state = one row per event type.
 """
 from __future__ import annotations
@@ -19,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakehold.contracts import CONTRACTS
+from lakehold.contracts import CONTRACTS, Contract
 from lakehold.functions.rules import STATELESS
-from lakehold.sources.lake import Lake, new_run_id
+from lakehold.sources.lake import Lake, new_run_id, with_control_columns
+from lakehold.sources.scratch import new_path
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()), T.StructField("reader_id", T.LongType()),
@@ -59,91 +62,78 @@ def kafka_event_source(spark: SparkSession, bootstrap: str, topic: str,
                       F.col("_text")).alias("_corrupt_record"))
 
 
-def with_rule_metrics(stream: DataFrame, name: str = "event_quality") -> DataFrame:
-    """Observe row count and per-rule failures of the (stateless) event contract."""
-    c = CONTRACTS["access_events"]
+def rule_counts(batch: DataFrame, c: Contract) -> dict[str, int]:
+    """Rows, failures of each (stateless) event rule, and malformed lines."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for r in c.rules:
-        flag = F.coalesce(STATELESS[r.kind](stream, c, r, None), F.lit(False))
-        aggs.append(F.count_if(flag).alias(f"{r.kind}:{r.column}"))
+        aggs.append(F.count_if(F.coalesce(STATELESS[r.kind](batch, c, r, None), F.lit(False))).alias(f"{r.kind}:{r.column}"))
     aggs.append(F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"))
-    return stream.observe(name, *aggs)
+    return batch.agg(*aggs).first().asDict()
 
 
 def drain_events(spark: SparkSession, lake: Lake, source_dir: str | DataFrame,
                  archive_dir: str | None = None, run_id: str | None = None,
-                 timeout_s: float = 600) -> dict:
-    """Drain everything pending into Bronze as partition ``run_id`` (append). ``source_dir``
-    is the file-queue directory, or a prepared streaming DataFrame (e.g. from
-    ``kafka_event_source``) with the same columns."""
+                 contract: Contract = CONTRACTS["access_events"]) -> dict:
+    """Drain everything pending into Bronze as partition ``run_id``. ``source_dir`` is the
+    file-queue directory, or a prepared streaming DataFrame (e.g. from ``kafka_event_source``) with
+    the same columns."""
     run_id = run_id or new_run_id()
     run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
-    source = source_dir if isinstance(source_dir, DataFrame) else event_source(spark, source_dir, archive_dir)
-    stream = with_rule_metrics(source)
-    bronze = stream.withColumns({"_ingested_at": F.lit(run_ts), "_source": F.lit("file"),
-                                 "run_id": F.lit(run_id)})
-    target = lake.path("bronze", "access_events") + f"/run_id={run_id}"
-    ckpt = "events_bronze" if not isinstance(source_dir, DataFrame) else "events_bronze_stream"
-    q = (bronze.writeStream.format("parquet")
-         .option("checkpointLocation", lake.path("logs", f"checkpoints/{ckpt}"))
-         .trigger(availableNow=True).start(target))
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("event drain did not finish")
+    prepared = isinstance(source_dir, DataFrame)
+    source = source_dir if prepared else event_source(spark, source_dir, archive_dir)
     metrics: dict[str, int] = {}
-    for p in q.recentProgress:
-        row = p.observedMetrics.get("event_quality")
-        if row is None:
-            continue
-        for k, v in row.asDict().items():
-            metrics[k] = metrics.get(k, 0) + int(v or 0)
-    rows = metrics.get("rows", 0)
-    return {"run_id": run_id, "rows": rows, "metrics": metrics, "batches": len(q.recentProgress)}
-
-
-def live_counts_by_type(spark: SparkSession, lake: Lake, source_dir: str, timeout_s: float = 600) -> DataFrame:
-    """Stateful count per event type over everything received so far (complete mode);
-    each trigger replaces the Gold snapshot, an idempotent write."""
-    stream = event_source(spark, source_dir)
+    batches: list[int] = []
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        for run in lake.bronze_runs("access_events"):
+            lake.delete("bronze", f"access_events/run_id={run}/drain_batch={batch_id}")
+        target = f"{lake.path('bronze', 'access_events')}/run_id={run_id}/drain_batch={batch_id}"
+        placed = with_control_columns(batch, "stream" if prepared else "file", run_id, run_ts).drop("run_id")
+        placed.write.mode("overwrite").parquet(target)
+        for k, v in rule_counts(spark.read.parquet(target), contract).items():
+            metrics[k] = metrics.get(k, 0) + int(v)
+        batches.append(batch_id)
+
+    (source.writeStream.foreachBatch(land)
+     .option("checkpointLocation", lake.path("logs", f"checkpoints/{'events_bronze_stream' if prepared else 'events_bronze'}"))
+     .trigger(availableNow=True).start().awaitTermination())
+    return {"run_id": run_id, "rows": metrics.get("rows", 0), "metrics": metrics, "batches": len(batches)}
+
+
+def _counted(stream: DataFrame, target: str, checkpoint: str) -> None:
+    """Count a stream by event type with state (complete mode); each trigger replaces the snapshot
+    at ``target``, an idempotent write."""
     counts = stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("total"))
-    target = lake.path("gold", "events_by_type_live")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(target)
 
-    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", lake.path("logs", "checkpoints/events_by_type"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("live count did not finish")
-    return spark.read.parquet(target)
-
-
-def stream_counts_by_type(spark: SparkSession, table_dir: str, table: str = "events",
-                          max_files_per_trigger: int = 1, timeout_s: float = 600) -> DataFrame:
-    """The given ``events`` table read as a stream (file source on its directory), counted
-    per type with state (complete mode). Each trigger replaces a Parquet snapshot under the
-    session's checkpoint folder (idempotent); the snapshot is returned as a DataFrame."""
-    import uuid
-
-    from lakehold.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/stream_counts_{uuid.uuid4().hex[:12]}"
-    schema = spark.read.parquet(f"{table_dir.rstrip('/')}/{table}.parquet").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-              .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(table_dir))
-    counts = stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("total"))
-    target = base + "/snapshot"
+    (counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+COUNTS = "event_type string, total long"
+
+
+def live_counts_by_type(spark: SparkSession, lake: Lake, source_dir: str) -> DataFrame:
+    """Count per event type over everything received so far; empty before the first event."""
+    _counted(event_source(spark, source_dir), lake.path("gold", "events_by_type_live"), lake.path("logs", "checkpoints/events_by_type"))
+    if not lake.exists("gold", "events_by_type_live"):
+        return spark.createDataFrame([], COUNTS)
+    return lake.spark.read.schema(COUNTS).parquet(lake.path("gold", "events_by_type_live"))
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
 
-    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
-    return spark.read.parquet(target)
+def stream_counts_by_type(spark: SparkSession, table: str) -> DataFrame:
+    """A stored events table, one file or a folder of any number of them, read as a stream and
+    counted per type. The snapshot lies below the session's shared folder."""
+    target = new_path(spark, "stream-counts")
+    folder, _, name = table.rstrip("/").rpartition("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    single = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isFile()
+    reader = spark.readStream.schema(spark.read.parquet(table).schema)
+    stream = reader.option("pathGlobFilter", name).parquet(folder) if single else reader.parquet(table)
+    _counted(stream, f"{target}/snapshot", f"{target}/checkpoint")
+    snapshot = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/snapshot")
+    if not snapshot.getFileSystem(spark._jsc.hadoopConfiguration()).exists(snapshot):
+        return spark.createDataFrame([], COUNTS)
+    return spark.read.schema(COUNTS).parquet(f"{target}/snapshot")

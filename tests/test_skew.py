@@ -2,8 +2,8 @@
 whole key into one task (no Window over the key; partial aggregation before shuffles)."""
 from pyspark.sql import functions as F
 
-from lakehold.contracts import CONTRACTS
 from lakehold.operators import quality as Q
+from lakehold.sources.testdata import CONTRACTS
 from lakehold.operators.keys import dedup_keep_first
 
 

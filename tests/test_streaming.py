@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, run_pipeline
 from lakehold.operators import monitor as M
 from lakehold.plans import jobs as J
 from lakehold.plans.derived import Chain
@@ -24,14 +24,15 @@ def _write(path, rows, extra=""):
 
 def test_two_drains_no_loss_no_duplicate(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
+    contract = td.CONTRACTS["access_events"]
     q, arch = str(tmp_path / "queue"), str(tmp_path / "archive")
     os.makedirs(q)
     rows = spark.read.parquet(f"{SF_SMALL}/events.parquet").orderBy("event_id").collect()
     _write(os.path.join(q, "access_0001.jsonl"), rows[:600], "{broken\n")
-    r1 = S.drain_events(spark, lake, q, arch)
+    r1 = S.drain_events(spark, lake, q, arch, contract=contract)
     _write(os.path.join(q, "access_0002.jsonl"), rows[600:])
-    r2 = S.drain_events(spark, lake, q, arch)
-    r3 = S.drain_events(spark, lake, q, arch)
+    r2 = S.drain_events(spark, lake, q, arch, contract=contract)
+    r3 = S.drain_events(spark, lake, q, arch, contract=contract)
     assert (r1["rows"], r2["rows"], r3["rows"]) == (601, len(rows) - 600, 0)
     assert r1["metrics"]["malformed"] == 1
     bronze = lake.read_bronze("access_events", [r1["run_id"], r2["run_id"]])
@@ -50,7 +51,7 @@ def test_pipeline_with_event_queue(spark, tmp_path):
     _write(os.path.join(q, "access_0001.jsonl"), rows, "{broken\n")
     src = td.load_all(spark, SF_SMALL)
     src.pop("access_events")
-    res = J.run_pipeline(spark, lake, src, None, as_of=td.AS_OF, gate_threshold=0.5, event_dir=q)
+    res = run_pipeline(spark, lake, src, None, as_of=td.AS_OF, gate_threshold=0.5, event_dir=q)
     ev = res["silver"]["datasets"]["access_events"]
     assert ev["rows_in"] == len(rows) + 1
     # malformed line quarantined by not_null(event_id); valid events equal the batch Silver
@@ -60,9 +61,9 @@ def test_pipeline_with_event_queue(spark, tmp_path):
     want = {r["event_type"]: r["total"] for r in Chain(spark, SF_SMALL).gold("events_by_type").collect()}
     assert got == want
     # an empty drain warns and leaves Bronze as it was
-    res2 = J.run_pipeline(spark, lake, None, None, as_of=td.AS_OF, gate_threshold=0.5, event_dir=q)
+    res2 = run_pipeline(spark, lake, None, None, as_of=td.AS_OF, gate_threshold=0.5, event_dir=q)
     assert res2["record"]["stages"]["ingest_stream"]["rows_in"] == 0
-    assert any(a["message"] == "no access events to consume" for a in res2["record"]["alerts"])
+    assert any(a["message"] == "the event queue was empty" for a in res2["record"]["alerts"])
 
 
 def test_live_counts_equal_batch_counts(spark, tmp_path):
