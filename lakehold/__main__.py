@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
                                  gate_threshold=QUALITY_GATE_MIN_PASS_RATE if a.gate is None else a.gate,
                                  event_dir=a.event_dir, event_archive=a.event_archive)
         except Exception as exc:  # recorded as a failed run by the job
-            print(json.dumps({"status": M.FAILED, "error": str(exc)[:500]}))
+            print(json.dumps({"status": M.FAILED, "error": str(exc)}))
             return 1
         print(json.dumps({"status": res["status"], "run_id": res["run_id"],
                           "worst_rate": res["silver"]["worst_rate"]}))
@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "listing":
         rows = []
         for ds in CONTRACTS:
-            if lake.exists("quarantine", ds):
+            if lake.list_partitions("quarantine", ds):
                 rows += [r.asDict() for r in QR.listing(lake.read_quarantine(ds), ds).collect()]
         print(json.dumps(rows))
         return 0

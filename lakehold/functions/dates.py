@@ -70,8 +70,9 @@ def ntz_seconds(c: Column) -> Column:
 
 
 def month_text(c: Column) -> Column:
-    """Year-month label ``yyyy-MM``."""
-    return F.date_format(c, "yyyy-MM")
+    """Year-month label ``yyyy-MM`` of a TIMESTAMP_NTZ; formatting it would go through the session's
+    time zone."""
+    return F.substring(c.cast("string"), 1, 7)
 
 
 def as_of_literal(value) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehold.contracts import ALL_DATASETS, BATCH_DATASETS, QUALITY_GATE_MIN_PASS_RATE
-from lakehold.functions.dates import lenient_timestamp
+from lakehold.functions.dates import lenient_timestamp, month_text
 from lakehold.operators import monitor as M
 from lakehold.operators import quality as Q
 from lakehold.plans.derived import Chain
@@ -26,8 +26,8 @@ def monthly_counts(ch: Chain, dataset: str) -> DataFrame:
     c = CONTRACTS[dataset]
     col = REPLAY_DATE.get(dataset)
     ts = lenient_timestamp(fl.df, col, c.date_formats.get(col)) if col else F.lit(None).cast("timestamp_ntz")
-    month = F.coalesce(F.date_format(ts, "yyyy-MM"), F.lit("undated"))
-    run_ts = F.coalesce(F.date_format(F.add_months(F.trunc(ts, "month"), 1), "yyyy-MM-dd'T'HH:mm:ss"),
+    month = F.coalesce(month_text(ts), F.lit("undated"))
+    run_ts = F.coalesce(F.concat(F.add_months(F.trunc(ts, "month"), 1).cast("string"), F.lit("T00:00:00")),
                         F.lit("9999-12-31T00:00:00"))
     return (fl.df.groupBy(month.alias("month"), run_ts.alias("ts"))
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size(F.col(Q.FAILED)) > 0).alias("n_bad")))
