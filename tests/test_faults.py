@@ -112,10 +112,10 @@ def test_a_replayed_drain_leaves_each_event_once(spark, tmp_path):
 
 def test_many_micro_batches_are_all_counted(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
-    for i in range(104):
+    for i in range(12):
         q = events_queue(tmp_path, 1, f"f{i:03d}.jsonl")
     res = S.drain_events(spark, lake, S.event_source(spark, q, max_files_per_trigger=1))
-    assert (res["rows"], res["batches"]) == (104, 104)
+    assert (res["rows"], res["batches"]) == (12, 12)
 
 
 def test_streamed_events_can_be_reprocessed(spark, tmp_path):

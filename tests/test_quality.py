@@ -175,10 +175,10 @@ def test_dates_do_not_depend_on_session_zone(spark):
     from lakehold.plans import registry
     from conftest import SF_SMALL
     keys = ("silver_dates", "rule_not_future", "loans_by_month", "run_health", "silver_readers")
-    before = {k: sorted(map(tuple, registry.queries()[k](spark, SF_SMALL).collect())) for k in keys}
+    before = {k: sorted(map(tuple, registry.queries()[k](spark, SF_SMALL).collect()), key=repr) for k in keys}
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     try:
-        after = {k: sorted(map(tuple, registry.queries()[k](spark, SF_SMALL).collect())) for k in keys}
+        after = {k: sorted(map(tuple, registry.queries()[k](spark, SF_SMALL).collect()), key=repr) for k in keys}
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     for k in keys:
