@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -51,70 +50,104 @@ SCRIPTS = {
 # ---- end of fixed values ----
 
 
-@lru_cache(maxsize=1 << 16)
-def script(letter: str) -> str:
-    c = ord(letter)
-    return next((name for name, ranges in SCRIPTS.items() if any(a <= c <= b for a, b in ranges)), "other")
-
-
-def letters(word: str) -> str:
-    return "".join(filter(str.isalpha, word.lower()))
-
-
-def grams(word: str) -> list[str]:
-    """Letter pairs and triples with word ends; words of up to five letters also whole."""
-    w = f"^{word}$"
-    return [w[i:i + 2] for i in range(len(w) - 1)] + [w[i:i + 3] for i in range(len(w) - 2)] + [f"={word}"] * (len(word) <= 5)
+def script(letter: int) -> int:
+    """The number of a code point's script, in the order of SCRIPTS; the next number for others."""
+    return next((i for i, ranges in enumerate(SCRIPTS.values()) if any(a <= letter <= b for a, b in ranges)), len(SCRIPTS))
+
+
+class Alphabet:
+    """Script number of each code point, -1 where it is no letter; filled as code points appear."""
+
+    def __init__(self):
+        self.of = np.full(0x110000, -2, np.int8)
+
+    def __call__(self, points: np.ndarray) -> np.ndarray:
+        for c in np.unique(points[self.of[points] == -2]).tolist():
+            self.of[c] = script(c) if chr(c).isalpha() else -1
+        return self.of[points]
+
+
+# a gram is one 64-bit code: two or three code points of 21 bits, or a hash of a short word with the top bit set
+POINT, START, END, SHORT = np.uint64(21), 1, 2, 5
+WHOLE = np.uint64(1 << 63)
+
+
+def grams(words: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, word numbers) of all grams, then (script, word number) of all letters.
+
+    Words are lower-cased and reduced to their letters. Grams are letter pairs and triples with
+    word ends, and words of up to five letters whole."""
+    points = np.frombuffer("\n".join(words).lower().encode("utf-32-le"), np.uint32)
+    scripts = alphabet(points)
+    letter = scripts >= 0
+    of = np.cumsum(points == 10)[letter]
+    size = np.bincount(of, minlength=len(words))
+    some = np.flatnonzero(size)
+    # every word with letters as: start, letters, end
+    begin = np.cumsum(size[some] + 2) - size[some] - 2
+    line = np.full(int((size[some] + 2).sum()), END, np.uint64)
+    line[begin] = START
+    rank = np.zeros(len(words), np.int64)
+    rank[some] = np.arange(len(some))
+    line[np.arange(len(of)) + 2 * rank[of] + 1] = points[letter]
+    word = np.repeat(some, size[some] + 2)
+    two = word[:-1] == word[1:]
+    three = word[:-2] == word[2:]
+    pair = (line[:-1] << POINT) | line[1:]
+    triple = (line[:-2] << (POINT + POINT)) | pair[1:]
+    short = np.flatnonzero(size[some] <= SHORT)
+    whole = np.zeros(len(short), np.uint64)
+    for j in range(1, SHORT + 1):
+        inside = size[some[short]] >= j
+        whole[inside] = (whole[inside] + line[begin[short][inside] + j]) * np.uint64(0x9E3779B97F4A7C15)
+    return (np.concatenate((pair[two], triple[three], whole | WHOLE)),
+            np.concatenate((word[:-1][two], word[:-2][three], some[short])), scripts[letter], of)
 
 
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
+def _order(codes: np.ndarray) -> np.ndarray:
+    """0 for pairs, 1 for triples, 2 for whole words: each is a distribution of its own."""
+    return (codes >= np.uint64(1 << 42)).astype(int) + (codes >= WHOLE)
+
+
 class Model:
-    """Gram scores by language, and the share of each script in a language's letters."""
+    """Gram scores by language, and which languages use a script."""
 
-    def __init__(self, counts: dict[str, Counter], scripts: dict[str, Counter]):
+    def __init__(self, counts: dict[str, dict[int, int]], scripts: dict[str, dict[int, int]]):
         self.languages = sorted(counts)
-        self.index = {}
-        known = sorted(set().union(*counts.values())) if counts else []
-        table = np.zeros((len(known), len(self.languages)))
-        for k, lang in enumerate(self.languages):
-            # pairs, triples and words have a total each: every order is a distribution of its own
-            total = Counter()
-            for g, c in counts[lang].items():
-                total[self._order(g)] += c
-            size = Counter(map(self._order, known))
-            own = counts[lang]
-            table[:, k] = [np.log((own[g] + 0.5) / (total[self._order(g)] + 0.5 * size[self._order(g)])) for g in known]
-        self.table = (table - table.max(1, keepdims=True)).astype(np.float32) if known else table.astype(np.float32)
-        self.index = {g: i for i, g in enumerate(known)}
-        self.uses = {}
+        self.codes = np.unique(np.array([c for own in counts.values() for c in own], np.uint64))
+        order = _order(self.codes)
+        table = np.zeros((len(self.codes), len(self.languages)))
         for k, lang in enumerate(self.languages):
-            all_letters = sum(scripts[lang].values())
-            for s, c in scripts[lang].items():
-                if c >= 0.005 * all_letters:
-                    self.uses.setdefault(s, np.zeros(len(self.languages), bool))[k] = True
-
-    @staticmethod
-    def _order(gram: str) -> int:
-        return 0 if gram[0] == "=" and len(gram) != 1 else len(gram)
-
-    def word(self, word: str) -> tuple[np.ndarray, int]:
-        """Scores of a word by language, best 0, and its number of letters."""
-        w = letters(word)
-        flat = np.zeros(len(self.languages), np.float32)
-        if not w:
-            return flat, 0
-        candidates = np.zeros(len(flat), bool)
-        for s in set(map(script, w)):
-            candidates |= self.uses.get(s, False)
-        rows = [i for g in grams(w) if (i := self.index.get(g)) is not None]
-        scores = self.table[rows].sum(0) if rows else flat
-        if candidates.any():
-            scores = np.where(candidates, scores, -np.inf)
-            return np.maximum(scores - scores.max(), -MOST).astype(np.float32), len(w)
-        return flat, len(w)
+            codes = np.array(list(counts[lang]), np.uint64)
+            own = np.zeros(len(self.codes))
+            own[np.searchsorted(self.codes, codes)] = list(counts[lang].values())
+            total, size = np.bincount(order, own, 3), np.bincount(order, minlength=3)
+            table[:, k] = np.log((own + 0.5) / (total + 0.5 * size)[order])
+        self.table = (table - table.max(1, keepdims=True)).astype(np.float32) if table.size else table.astype(np.float32)
+        self.uses = np.array([[scripts[lang].get(s, 0) >= 0.005 * max(1, sum(scripts[lang].values())) for lang in self.languages]
+                              for s in range(len(SCRIPTS) + 1)], bool).reshape(len(SCRIPTS) + 1, -1)
+
+    def words(self, words: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of words by language, best 0, and their numbers of letters."""
+        n, k = len(words), len(self.languages)
+        if not n or not k:
+            return np.zeros((n, max(1, k)), np.float32), np.zeros(n, np.int64)
+        codes, of, scripts, letter_of = grams(words, alphabet)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        known = self.codes[at] == codes
+        rows, of = at[known], of[known]
+        scores = np.stack([np.bincount(of, self.table[rows, j], n) for j in range(k)], 1)
+        candidates = np.zeros((n, k), bool)
+        for s in np.unique(scripts).tolist():
+            candidates[letter_of[scripts == s]] |= self.uses[s]
+        scores = np.where(candidates, scores, -np.inf)
+        some = candidates.any(1)
+        scores[~some] = 0
+        return np.maximum(scores - scores.max(1, keepdims=True), -MOST).astype(np.float32), np.bincount(letter_of, minlength=n)
 
 
 def learn(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
@@ -131,24 +164,24 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
         for batch in slices(batches, "text"):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 seen.setdefault(lang, Counter()).update((text or "").split())
-        total: Counter = Counter()
+        alphabet = Alphabet()
         for lang, counted in seen.items():
-            for word, n in counted.items():
-                if w := letters(word):
-                    for g in grams(w):
-                        total[lang, "g", g] += n
-                    for s in map(script, w):
-                        total[lang, "s", s] += n
-        rows = list(total.items())
-        yield {"lang": [k[0] for k, _ in rows], "kind": [k[1] for k, _ in rows], "name": [k[2] for k, _ in rows],
-               "n": [n for _, n in rows]}
-
-    found = mapped(sample.select("lang", "text"), count, "lang string, kind string, name string, n long").groupBy(
-        "lang", "kind", "name").agg(F.sum("n").alias("n"))
+            if not counted:
+                continue
+            times = np.array(list(counted.values()), np.int64)
+            codes, of, scripts, letter_of = grams(list(counted), alphabet)
+            code, which = np.unique(codes, return_inverse=True)
+            letters = np.bincount(scripts.astype(int), times[letter_of], len(SCRIPTS) + 1)
+            yield {"lang": [lang] * (len(code) + len(letters)), "gram": [True] * len(code) + [False] * len(letters),
+                   "code": code.view(np.int64).tolist() + list(range(len(letters))),
+                   "n": np.concatenate((np.bincount(which, times[of], len(code)), letters)).astype(np.int64).tolist()}
+
+    found = mapped(sample.select("lang", "text"), count, "lang string, gram boolean, code long, n long").groupBy(
+        "lang", "gram", "code").agg(F.sum("n").alias("n"))
     # what comes back is bounded by the alphabet's triples and the short words of a bounded sample
-    counts, scripts = {lang: Counter() for lang in number}, {lang: Counter() for lang in number}
-    for lang, kind, name, n in found.where("n > 1").collect():
-        (counts if kind == "g" else scripts)[lang][name] = n
+    counts, scripts = {lang: {} for lang in number}, {lang: {} for lang in number}
+    for lang, gram, code, n in found.where("n > 1 or not gram").collect():
+        (counts if gram else scripts)[lang][code % (1 << 64)] = n
     return Model(counts, scripts)
 
 
@@ -186,25 +219,6 @@ def viterbi(scores: np.ndarray, words: list[np.ndarray], switch: float = SWITCH)
     return out
 
 
-class _Words(dict):
-    """Word -> row of the score table, filled as words appear."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
-        self.scores, self.sizes = np.zeros((1024, max(1, len(model.languages))), np.float32), np.zeros(1024, np.int64)
-
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.sizes):
-            self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
-            self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
-        scores, self.sizes[row] = self.model.word(word)
-        self.scores[row] = scores if len(scores) else 0
-        self[word] = row
-        return row
-
-
 class Labeller:
     """Labels lists of texts; keeps the scores of words it has seen, up to a number of them.
 
@@ -213,15 +227,25 @@ class Labeller:
     """
 
     def __init__(self, model: Model, switch: float = SWITCH, most_words: int = 400_000):
-        self.model, self.switch, self.most, self.words = model, switch, most_words, _Words(model)
+        self.model, self.switch, self.most, self.alphabet = model, switch, most_words, Alphabet()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, (self.scores, self.sizes) = {}, self.model.words([], self.alphabet)
 
     def __call__(self, texts: list[str | None]) -> Iterator[tuple[str, float, list[dict]]]:
         names = self.model.languages
-        if len(self.words) > self.most:
-            self.words = _Words(self.model)
-        get = self.words.__getitem__
-        rows = [np.array(list(map(get, text.split())), np.int32) if text and names else np.zeros(0, np.int32) for text in texts]
-        table, sizes = self.words.scores, self.words.sizes
+        if len(self.known) > self.most:
+            self._forget()
+        words = [text.split() if text and names else [] for text in texts]
+        new = list(set().union(*words).difference(self.known))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        scores, sizes = self.model.words(new, self.alphabet)
+        self.scores, self.sizes = np.concatenate((self.scores, scores)), np.concatenate((self.sizes, sizes))
+        get = self.known.__getitem__
+        rows = [np.array(list(map(get, ws)), np.int32) for ws in words]
+        del words
+        table, sizes = self.scores, self.sizes
         for row, path in zip(rows, viterbi(table, rows, self.switch), strict=True):
             weight = sizes[row]
             total = int(weight.sum())
@@ -244,7 +268,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
 
     def label(batches) -> Iterator[dict]:
         labels = Labeller(shared.value, switch)
-        for batch in slices(batches, "text", 16 << 20):
+        for batch in slices(batches, "text", 8 << 20):
             found = list(labels(batch.column("text").to_pylist()))
             yield {"doc_id": batch.column("doc_id"), "lang_pred": [x for x, _, _ in found],
                    "score": [x for _, x, _ in found], "spans": [x for _, _, x in found]}
@@ -269,7 +293,7 @@ def accepted(docs: DataFrame, least_score: float = 0.25, max_docs: int = MAX_DOC
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = Labeller(shared.value)
-        for batch in slices(batches, "text", 16 << 20):
+        for batch in slices(batches, "text", 8 << 20):
             yield batch.filter(pa.array([lang != UND and score >= least_score
                                          for lang, score, _ in labels(batch.column("text").to_pylist())], pa.bool_()))
 
