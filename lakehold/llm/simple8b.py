@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakehold.llm._base import mapped, parts, slices, total_bytes
+from lakehold.sources.scratch import materialise
 
 # ---- fixed values of the code: how many ids of how many bits a selector packs ----
 PACKED = {2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5), 7: (10, 6), 8: (8, 7),
@@ -54,22 +55,33 @@ def pack(ids: np.ndarray) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint64)
     limits = np.array([(1 << bits) - 1 for _, bits in PACKED.values()], np.uint64)
-    kind = np.searchsorted(limits, ids)  # the narrowest selector that an id fits, 14: none
+    kind = np.searchsorted(limits, ids).astype(np.int8)  # the narrowest selector that an id fits, 14: none
+    padded_kind = np.concatenate((kind, np.zeros(60, np.int8)))  # the end of the ids may leave slots empty
     step, chosen = np.ones(n, np.int64), np.full(n, ESCAPE, np.int8)
-    at = np.arange(n)
+    # from wide ids to narrow ones: where a selector fits, all wider ones do
+    fit = np.arange(n)
     for k, (selector, (count, _)) in reversed(list(enumerate(PACKED.items()))):
-        wide = np.concatenate(([0], np.cumsum(kind > k, dtype=np.int64)))
-        fits = wide[np.minimum(at + count, n)] == wide[:-1]  # the end of the ids may leave slots empty
-        step[fits], chosen[fits] = np.minimum(count, n - at[fits]), selector
+        if kind.max() > k:
+            if len(fit) * count > 2 * n:
+                over = np.zeros(n + 61, np.int32)
+                np.cumsum(padded_kind > k, out=over[1:])
+                fit = fit[over[fit + count] == over[fit]]
+            else:
+                fit = fit[(padded_kind[fit[:, None] + np.arange(count)] <= k).all(1)]
+            if not len(fit):
+                break
+        step[fit], chosen[fit] = count, selector
+    at = np.arange(n)
+    step = np.minimum(step, n - at)
     edges = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True])))
     run = np.repeat(edges[1:], np.diff(edges)) - at
     long = (run > step) & (run <= RUN_MOST) & (ids < np.uint64(1 << RUN_ID_BITS))
     step[long], chosen[long] = run[long], RUN
 
-    starts, i, steps = [], 0, step.tolist()
+    starts, i, after = [], 0, (at + step).tolist()
     while i < n:
         starts.append(i)
-        i += steps[i]
+        i = after[i]
     first = np.array(starts, np.int64)
     how = chosen[first]
     width = 1 + (how == ESCAPE)
@@ -80,9 +92,8 @@ def pack(ids: np.ndarray) -> np.ndarray:
         of = first[how == selector]
         if len(of):
             word = np.full(len(of), selector, np.uint64) << np.uint64(60)
-            used = step[of]
             for j in range(count):
-                word |= np.where(j < used, padded[of + j], np.uint64(0)) << np.uint64(j * bits)
+                word |= padded[of + j] << np.uint64(j * bits)
             out[slot[how == selector]] = word
     of = first[how == RUN]
     out[slot[how == RUN]] = (np.uint64(RUN) << np.uint64(60)) | (step[of].astype(np.uint64) << np.uint64(RUN_ID_BITS)) | ids[of]
@@ -177,45 +188,65 @@ class WordEncoder:
     A byte-level tokenizer starts a new piece at a space between two other characters, whatever
     stands around; so each word with its leading space can be encoded on its own, and repeated words
     once. A closing comma or full stop after a letter is likewise a piece of its own. Texts with
-    other white space next to a space are given to the tokenizer whole.
+    other white space next to a space, special tokens or very long words are given to the tokenizer
+    whole. New words go to the tokenizer as one text.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 700_000):
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._known, self._most = Tokenizer.from_file(path), {}, most
-        self._odd = re.compile(r"\s \s|^ \s|\s $|^ $")
-
-    def _encode(self, units: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self._tokenizer = Tokenizer.from_file(path)
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._beside = re.compile(r"\s \s|^ \s|\s $|^ $")
+        self._most, self._after, self._first = most, {}, {}  # words after a space; words at a text's start
+        self._edges = {""}  # words that start or end with white space
+        # of each id: whether its token starts with a space
+        vocabulary = self._tokenizer.get_vocab()
+        self._starts = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._starts[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_after_space(self, words: list[str]) -> list[bytes]:
+        """Words with a space before each, in one text: a token with a space starts each word."""
+        if not words:
+            return []
+        text = "".join([" " + w for w in words])
+        ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (np.flatnonzero(self._starts[ids]) * 4).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self._known) > self._most:
-            self._known.clear()
-        known, cut = self._known, []
-        for text in texts:
-            if not text or self._odd.search(text):
-                cut.append(None)
-            else:
-                words = text.split(" ")
-                if len(text) > 64 * len(words):  # long runs without a space are not worth keeping
-                    cut.append(None)
-                    continue
-                cut.append([words[0], *[" " + w for w in words[1:]]] if words[0] else [" " + w for w in words[1:]])
-        missing = list({w for words in cut if words for w in words}.difference(known))
-        stems = {w: w[:-1] for w in missing if w[-1] in ",." and len(w) > 2 and w[-2].isalpha()}
-        new = list({stems.get(w, w) for w in missing}.difference(known) | ({",", "."} - known.keys()))
-        if new:
-            known.update(zip(new, self._encode(new), strict=True))
-        for w, stem in stems.items():
-            known[w] = known[stem] + known[w[-1]]
-        get = known.__getitem__
-        return [b"".join(map(get, words)) if words else self._encode([text])[0] if text else b""
+        if len(self._after) + len(self._first) > self._most:
+            self._after, self._first = {}, {}
+        after, first, edges = self._after, self._first, self._edges
+        cut = [text.split(" ") if text and not any(t in text for t in self._special) else None for text in texts]
+        new = set().union(*filter(None, cut)).difference(after)
+        edges.update([w for w in new if w.strip() is not w])
+        for i, words in enumerate(cut):
+            if words and (len(texts[i]) > 64 * len(words) or not edges.isdisjoint(words) and self._beside.search(texts[i])):
+                cut[i] = None
+        heads = list({words[0] for words in cut if words}.difference(first, [""]))
+        first[""] = b""
+        first.update(zip(heads, self._encode(heads), strict=True))
+        stems = {w: w[:-1] for w in new if len(w) > 1 and w[-1] in ",." and w[-2].isalpha()}
+        units = new.difference(stems).union(stems.values()).difference(after)
+        # words that start or end with white space would join up with their neighbours
+        alone = list(units.intersection(edges))
+        after.update(zip(alone, self._encode([" " + w for w in alone]), strict=True))
+        rest = list(units.difference(alone))
+        after.update(zip(rest, self._encode_after_space(rest), strict=True))
+        if stems:
+            closing = dict(zip(",.", self._encode([",", "."]), strict=True))
+            after.update({w: after[stem] + closing[w[-1]] for w, stem in stems.items()})
+        get = after.__getitem__
+        return [first[words[0]] + b"".join(map(get, words[1:])) if words else self._encode([text])[0] if text else b""
                 for text, words in zip(texts, cut, strict=True)]
 
 
@@ -242,9 +273,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def build(batches) -> Iterator[dict]:
-        from pyspark import TaskContext
-
-        part, number, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer)
+        part, number, encode = 0, 0, encoder(tokenizer)
         docs_, counts, held, size = [], [], [], 0
 
         def flush() -> dict:
@@ -252,7 +281,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return {"file": [file_bytes(part, number, docs_, counts, ids)]}
 
         for batch in slices(batches, "text", 1 << 20):
-            texts = batch.column("text").to_pylist()
+            texts, part = batch.column("text").to_pylist(), batch.column("part")[0].as_py()
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts), strict=True):
                 coded = ids + end
                 docs_.append(doc)
@@ -265,7 +294,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if docs_:
             yield flush()
 
-    mapped(ordered, build, "file binary").select(F.col("file").cast("string").alias("value")).write.option(
+    mapped(ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text"), build, "file binary").select(F.col("file").cast("string").alias("value")).write.option(
         "lineSep", END_MARK).option("maxRecordsPerFile", 1).text(path)
 
 
@@ -273,11 +302,6 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per document of the files below ``path``: doc_id, start, n_tokens, ids_crc32."""
     files = spark.read.format("binaryFile").load(path).select("content")
 
-    def heads(batches) -> Iterator[dict]:
-        for batch in batches:
-            found = [File(c.as_py()) for c in batch.column("content") if len(c.as_buffer())]
-            yield {"part": [f.part for f in found], "number": [f.number for f in found], "n_ids": [f.n_ids for f in found]}
-
     def rows(batches) -> Iterator[dict]:
         for batch in batches:
             for content in batch.column("content"):
@@ -292,13 +316,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                        "local": starts.tolist(), "n_tokens": counts.tolist(),
                        "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]}
 
+    found = materialise(mapped(files, rows, "part long, number long, doc_id long, local long, n_tokens long, ids_crc32 long"),
+                        "token-files")
     # where each file starts: running sums of file sizes within a part, and of parts
-    sizes = mapped(files, heads, "part long, number long, n_ids long")
+    sizes = found.groupBy("part", "number").agg(F.sum("n_tokens").alias("n_ids"))
     before = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = sizes.withColumn("in_part", before(Window.partitionBy("part").orderBy("number"))).join(
         sizes.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).select(
             "part", before(Window.orderBy("part")).alias("of_part")), "part").select(
         "part", "number", (F.col("in_part") + F.col("of_part")).alias("base"))
-    found = mapped(files, rows, "part long, number long, doc_id long, local long, n_tokens long, ids_crc32 long")
     return found.join(base, ["part", "number"]).select(
         "doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
