@@ -5,7 +5,11 @@ digests, a section groups paragraphs, and the root covers the sections. Equal ro
 texts. Where roots differ, descending into the children that differ locates the edit.
 
 Sections end at a blank line, or after a paragraph whose digest is divisible by four: the cuts
-depend on what the text says, so they fall in step again after an edit.
+depend on what the text says, so they fall in step again after an edit. Sentences end at ``. `` and
+at the ends of other kinds and scripts (see END); within one, a leaf ends after a word with an even
+hash, of four to eight words. Words of over 16 code points, such as text without spaces, count as
+several: their parts of three to eight code points end where the last three have a hash divisible by four.
+Leaves keep their separators, so texts are equal where roots are.
 
 The fingerprint is ``root:sections``: the root in hex, and the tree below it with every leaf as four
 base64 characters, ``.`` closing a paragraph and ``/`` a section. The likeness of two fingerprints is
@@ -14,14 +18,18 @@ sections, then equal leaves of the other paragraphs (Dice, with repeats).
 
 Defined cases. Null text is empty; an empty text has a root of its own and no leaf. Two texts
 without leaves are alike (1), one without and one with are not (0). Repeated branches pair off one
-to one. Very long texts are one tree; nothing is cut off.
+to one. Very long texts are one tree; nothing is cut off. An edit smaller than a leaf changes the
+whole leaf: up to eight words without a sentence end may have no leaf in common with what they become.
 """
 from __future__ import annotations
 
 import hashlib
+import re
+import zlib
 from base64 import b64encode
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,21 +37,81 @@ from pyspark.sql import functions as F
 from lakehold.llm._base import mapped, parts, slices, total_bytes
 
 LEAF_BYTES = 3  # of each digest in the printed fingerprint
+LEAST_WORDS, MOST_WORDS = 4, 8  # of a leaf that ends within a sentence
+WORD_POINTS, LEAST_POINTS, MOST_POINTS = 16, 3, 8  # code points of a word, and of a part of a longer one
+
+STOPS, OTHER_STOPS = ".?!\u2026", "\u3002\uff0e\uff61\uff01\uff1f\u0964\u0965\u061f\u06d4\u0589\u1362\u104b"
+SIGN = re.compile(f"[{STOPS}{OTHER_STOPS}]")
+END = re.compile(rf"[{STOPS}]+[\"'\u201d\u2019)\]]*\s+|[{OTHER_STOPS}]+\s*")
 
 
 def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+@lru_cache(1 << 18)
+def _hash(word: str) -> int:
+    return zlib.crc32(word.rstrip(" ").encode()) >> 7
+
+
+def _units(words: list[str]) -> Iterator[str]:
+    """Words with the spaces that follow them, those of over WORD_POINTS code points in parts."""
+    for at, word in enumerate(words, 1):
+        start = 0
+        if len(word) > WORD_POINTS:
+            for i in range(LEAST_POINTS, len(word)):
+                n = i - start
+                if n >= LEAST_POINTS and (n == MOST_POINTS or not _hash(word[i - 3:i]) & 3):
+                    yield word[start:i]
+                    start = i
+        yield word[start:] + " " if at < len(words) else word[start:]
+
+
+def _runs(sentence: str) -> list[str]:
+    """Parts of LEAST_WORDS to MOST_WORDS words; the last may have fewer."""
+    units, space = sentence.split(" "), " "
+    if max(map(len, units)) > WORD_POINTS:
+        units, space = list(_units(units)), ""
+    out, start, n = [], 0, len(units)
+    while n - start > LEAST_WORDS:
+        end = start + LEAST_WORDS
+        while end < n and end - start < MOST_WORDS and _hash(units[end - 1]) & 1:
+            end += 1
+        if end == n:
+            break
+        out.append(space.join(units[start:end]) + space)
+        start = end
+    out.append(space.join(units[start:]) if start else sentence)
+    return out
+
+
+def _leaves(sentence: str) -> list[bytes]:
+    """Digests of a sentence's leaves; all but the last end in a line feed, which no sentence holds."""
+    at, found = 0, []
+    for end in END.finditer(sentence) if SIGN.search(sentence) else ():
+        if end.end() < len(sentence):
+            found += _runs(sentence[at:end.end()])
+            at = end.end()
+    found += _runs(sentence[at:] if at else sentence)
+    return [_digest(x.encode() + b"\n") for x in found[:-1]] + [_digest(found[-1].encode())]
+
+
 class Tree:
     """root (bytes); sections: list of (digest, paragraphs: list of (digest, leaves: list of digests))."""
 
-    __slots__ = ("n_leaves", "root", "sections")
+    __slots__ = ("leaves_of", "n_leaves", "root", "sections")
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, *known: Tree):
+        """``known`` trees save digesting their sentences again."""
         self.sections, paragraphs = [], []
+        self.leaves_of = own = {}
         for line in text.split("\n"):
-            leaves = [_digest(s.encode()) for s in line.split(". ")] if line else []
+            leaves = []
+            for sentence in line.split(". ") if line else ():
+                found = own.get(sentence)
+                if found is None:
+                    found = own[sentence] = next((t.leaves_of[sentence] for t in known if sentence in t.leaves_of), None) or _leaves(sentence)
+                leaves += found
             digest = _digest(b"P" + b"".join(leaves))
             paragraphs.append((digest, leaves))
             if not line or not digest[-1] & 3:
@@ -107,7 +175,7 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 def _compare(doc_id, text: str, tree: Tree, next_text: str, next_tree: Tree) -> tuple:
     changed = edited(text, next_text)
-    own = tree if changed == text else Tree(changed)
+    own = tree if changed == text else Tree(changed, tree, next_tree)
     return (doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), tree.fingerprint(), own.fingerprint(),
             likeness(tree, own), likeness(tree, next_tree))
 

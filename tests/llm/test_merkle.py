@@ -35,6 +35,41 @@ def test_likeness_without_leaves():
     assert M.likeness(M.Tree(""), M.Tree("a")) == 0
 
 
+def words(seed, n):
+    return " ".join(hashlib.sha256(f"{seed} {i}".encode()).hexdigest()[:3 + i % 5] for i in range(n))
+
+
+@pytest.mark.parametrize("text", [
+    words(1, 400), "word " * 400, "x" * 5000, " " * 300, "".join(chr(0x4E00 + i * i % 9973) for i in range(2000)),
+    "\u3002".join(words(i, 3).replace(" ", "") for i in range(60)), "\u0964 ".join(words(i, 3) for i in range(60)),
+    "? ".join(words(i, 3) for i in range(60)), "! ".join(words(i, 3) for i in range(60))])
+def test_half_of_a_text_without_full_stops_is_found(text):
+    a, b, other = M.Tree(text), M.Tree(M.edited(text, words(2, 3000))), M.Tree(words(3, 400))
+    assert 0.4 < M.likeness(a, b) < 0.7  # leaves of words are longer than those of repeated signs
+    assert M.likeness(a, other) < 0.02
+
+
+def test_a_long_word_moves_no_other_cuts():
+    text = words(1, 200)
+    assert M.likeness(M.Tree(text), M.Tree(text + " " + "y" * 40)) > 0.9
+
+
+def test_a_word_inside_a_long_paragraph_is_located():
+    text = words(1, 400)
+    at = text.split(" ")
+    changed = " ".join([*at[:200], "anotherword", "andmore", *at[200:]])
+    gone, new = M.differing(M.Tree(text), M.Tree(changed))
+    assert 1 <= gone.total() <= 6 and 1 <= new.total() <= 6
+    assert M.likeness(M.Tree(text), M.Tree(changed)) > 0.9
+
+
+def test_cuts_keep_separators():
+    a = words(1, 12)
+    texts = [a, a.replace(" ", "  ", 1), a.replace(" ", "\t"), a.replace(" ", ". ", 5), a.replace(" ", " . ", 5), a.replace(" ", "? "),
+             a.replace(" ", "?  "), a.replace(" ", "?"), a.replace(" ", ".\n"), a + " ", a + ". ", a + "? "]
+    assert len({M.Tree(t).root for t in texts}) == len(texts)
+
+
 def expected(rows):
     out, rows = {}, sorted(rows)
     for i, (doc, text) in enumerate(rows):
