@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakehold.llm._base import mapped, parts, slices
-from lakehold.sources.scratch import materialise
+from lakehold.sources.scratch import materialise, new_path
 
 # ---- fixed values of the two formats ----
 ARC_FIELDS = {
@@ -75,19 +75,26 @@ def arc_bytes(name: str, version: int, stamp: str, docs: list[tuple[str | None,
 def pages_to_arc(pages: DataFrame, stamp: str = "20200101000000") -> DataFrame:
     """(page_id, url, html) -> ARC files as rows (archive, content), of about 4 MB, both versions in turn.
 
-    The page id travels as an HTTP header of the archived response.
+    The page id travels as an HTTP header of the archived response. The rows are stored, gzipped, in the
+    shared folder: names and offsets follow the layout of the scan, which may differ from one planning
+    to the next, and record ids follow names and offsets.
     """
     def render(batches) -> Iterator[dict]:
         for n, batch in enumerate(slices(batches, "html")):
-            name, docs = f"pages-{batch.column('part')[0].as_py():06d}-{n:06d}.arc", []
+            name, docs = f"pages-{batch.column('part')[0].as_py():06d}-{n:06d}.arc.gz", []
             for key, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
                 payload = (html or "").encode()
                 head = f"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {len(payload)}\r\n"
                 head += f"{KEY_HEADER}: {key}\r\n" if key is not None else ""
                 docs.append((url, "text/html", head.encode() + b"\r\n" + payload))
-            yield {"archive": [name], "content": [arc_bytes(name, 1 + n % 2, stamp, docs)]}
-
-    return mapped(pages.select(F.spark_partition_id().alias("part"), "page_id", "url", "html"), render, "archive string, content binary")
+            yield {"archive": [name], "content": [gzip.compress(arc_bytes(name, 1 + n % 2, stamp, docs), 3, mtime=0)]}
+
+    files = mapped(pages.select(F.spark_partition_id().alias("part"), "page_id", "url", "html"), render, "archive string, content binary")
+    path = new_path(pages.sparkSession, "arc")
+    # rows are large: the writer looks at its buffer after each
+    files.write.option("parquet.page.size.row.check.min", 1).option("parquet.block.size.row.check.min", 1).option(
+        "parquet.enable.dictionary", "false").option("compression", "none").parquet(path)
+    return pages.sparkSession.read.schema(files.schema).parquet(path)
 
 
 def read_arc_files(spark: SparkSession, path: str) -> DataFrame:

@@ -50,6 +50,26 @@ def test_empty_table_and_null_keys(spark, tmp_path):
     assert sorted((r["warc_type"], r["key"], r["refers_to"]) for r in got) == [("response", 2, None), ("revisit", None, 2)]
 
 
+def test_another_layout_of_the_scan_changes_no_id(spark, tmp_path):
+    """The scan is split anew between the two passes over the records, as when executors come or go."""
+    source = str(tmp_path / "pages")
+    spark.createDataFrame([(i, f"http://a/{i}", "y" * 300, "", 0) for i in range(40)], PAGES).repartition(4).write.parquet(source)
+    size, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    old = {k: spark.conf.get(k) for k in (size, cost)}
+    pages = spark.read.parquet(source)
+    records = A.from_arc(A.pages_to_arc(pages))
+    seen = []
+    try:
+        for n in ("128m", "1k"):
+            spark.conf.set(size, n)
+            spark.conf.set(cost, n)
+            seen.append(sorted(r["record_id"] for r in records.select("record_id").collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert seen[0] == seen[1] and len(set(seen[0])) == 40
+
+
 def test_repeated_pages(spark, tmp_path):
     path = str(tmp_path / "w")
     A.write_warc(A.from_arc(A.pages_to_arc(spark.createDataFrame([(2, "http://a/", "y" * 300, "", 0)] * 3, PAGES))), path)
