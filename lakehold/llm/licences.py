@@ -7,12 +7,17 @@ template. A held-out part calibrates it: one temperature fits the probabilities,
 below the probability that all but one in a thousand corpus paragraphs stay under is unknown. A
 predicted family is confirmed by the share of its best template's word bigrams in the paragraph.
 
+Notices inside longer paragraphs, and those wrapped over lines, are found by the same model in
+windows of 4, 8, 16 and 24 words that slide over the whole text. The threshold is set for paragraphs
+and windows are many, so a window counts only where two thirds of a template are in it, and nothing
+it shares with a better match. It is reported with the lines that the matched words stand in.
+
 Scoring is one pass over the texts in place; nothing is shuffled. The model is of fixed size.
 
 Defined cases. Null and empty texts have no paragraph. Every document gives one row; documents
 without a licence have family null, an empty list and score 0. The family of a document is that of
 its best confirmed paragraph, the first of equals. Repeated rows repeat. Very long paragraphs are
-scored whole. Without corpus paragraphs the model learns from the notices and fixed negatives alone.
+scored whole and in windows. Without corpus paragraphs the model learns from the notices and fixed negatives alone.
 """
 from __future__ import annotations
 
@@ -29,7 +34,9 @@ from lakehold.llm._base import mapped, slices
 
 FEATURE_BITS, MAX_PARAGRAPHS, VARIANTS = 14, 4000, 60
 FEATURES = 1 << FEATURE_BITS
-CONFIRM = 0.5
+CONFIRM, CONFIRM_WINDOW = 0.5, 2 / 3
+WINDOWS = {4: 1, 8: 2, 16: 4, 24: 6}  # words of a window: words from one to the next
+WINDOW_CHUNK = 1 << 15  # words whose sums are held at a time
 
 # ---- fixed values: usual notices of the licence families ----
 TEMPLATES = {
@@ -77,18 +84,22 @@ class Features:
 
     def __call__(self, paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(feature numbers, paragraph numbers), in order of the paragraphs."""
+        return self.of_words([WORD.findall(p.lower()) for p in paragraphs])[:2]
+
+    def of_words(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As above, of words; then the feature of each word, and of it and the next of all words."""
         if len(self.hashes) > self.most:
             self.hashes.clear()
-        words = [WORD.findall(p.lower()) for p in paragraphs]
         get = self.hashes.__getitem__
         h = np.array([x for ws in words for x in map(get, ws)], np.uint64)
         of = np.repeat(np.arange(len(words)), np.array([len(ws) for ws in words], np.int64))
         pair = ((h[:-1] * _A) ^ h[1:]) * _B
         inside = of[:-1] == of[1:]
-        found = np.concatenate((h * _A, pair[inside])) >> np.uint64(64 - FEATURE_BITS)
+        shift = np.uint64(64 - FEATURE_BITS)
+        found = np.concatenate((h * _A, pair[inside])) >> shift
         both = np.concatenate((of, of[:-1][inside]))
         order = np.argsort(both, kind="stable")
-        return found[order].astype(np.int64), both[order]
+        return found[order].astype(np.int64), both[order], (h * _A >> shift).astype(np.int64), (pair >> shift).astype(np.int64)
 
 
 def bigrams(paragraph: str) -> set[str]:
@@ -105,6 +116,15 @@ def template_share(paragraph: str, family: str | None = None) -> float:
     return max((len(t & own) / len(t) for f, ts in _TEMPLATE_GRAMS.items() if family in (None, f) for t in ts), default=0.0)
 
 
+def matched(words: list[str], family: str) -> tuple[float, int, int]:
+    """The share of the family's best template among the words' bigrams, and the first and last word of it."""
+    grams = list(map(" ".join, zip(words, words[1:], strict=False))) or words
+    best = max(_TEMPLATE_GRAMS[family], key=lambda t: len(t.intersection(grams)) / len(t))
+    at = [i for i, g in enumerate(grams) if g in best]
+    share = len(best.intersection(grams)) / len(best)
+    return (share, at[0], min(at[-1] + 1, len(words) - 1)) if at else (0.0, 0, len(words) - 1)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -127,6 +147,29 @@ class Classifier:
         return _softmax(self.logits(features, of, n) / self.temperature)
 
 
+    def windows(self, single: np.ndarray, pair: np.ndarray, end: np.ndarray, rank: np.ndarray) -> list[tuple[int, int]]:
+        """(first word, word after the last) of the windows that may reach the threshold.
+
+        ``end`` is the word after the last of each word's text, ``rank`` a word's number in its text.
+        """
+        out, n = set(), len(single)
+        # 1 - p0 >= least needs a class that is so far above class 0
+        need = (np.log(self.least / max(1 - self.least, 1e-12)) - np.log(self.weights.shape[1] - 1)) * self.temperature - 1e-3
+        for base in range(0, n, WINDOW_CHUNK):
+            stop = min(n, base + WINDOW_CHUNK)
+            last = min(n, stop + max(WINDOWS))
+            ones, twos = (np.zeros((last - base + 1, self.weights.shape[1])) for _ in range(2))
+            np.cumsum(self.weights[single[base:last]], axis=0, dtype=np.float64, out=ones[1:])
+            np.cumsum(self.weights[pair[base:last - 1]], axis=0, dtype=np.float64, out=twos[1:last - base])
+            for size, step in WINDOWS.items():
+                a = np.flatnonzero(rank[base:stop] % step == 0)
+                b = np.minimum(a + size, end[base + a] - base)
+                z = (ones[b] - ones[a] + twos[b - 1] - twos[a]) / np.sqrt(2 * (b - a) - 1)[:, None] + self.weights[-1]
+                some = z[:, 1:].max(1) - z[:, 0] >= need
+                out.update(zip((a[some] + base).tolist(), (b[some] + base).tolist(), strict=True))
+        return sorted(out)
+
+
 def _variants(notice: str, others: list[str], rng: random.Random, n: int) -> list[str]:
     """A notice with words dropped, changed or added, and in other letter cases."""
     words, out = notice.split(" "), [notice, notice.upper(), notice.lower()]
@@ -211,16 +254,48 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
         for batch in slices(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             lines = [(i, j, line) for i, t in enumerate(texts) for j, line in enumerate(t.split("\n")) if line]
-            p = model.probabilities(*features([line for _, _, line in lines]), len(lines))
+            words = [WORD.findall(line.lower()) for _, _, line in lines]
+            numbers, of, single, pair = features.of_words(words)
+            p = model.probabilities(numbers, of, len(lines))
             hits: dict[int, list[dict]] = {}
+            taken: dict[int, list[tuple[int, int]]] = {}  # by text: first and last word of each confirmed match
+            first = np.cumsum([0, *map(len, words)])  # word of each line
+
+            def hit(i: int, at: int, to: int, k: int, score: float, share: float, confirm: float) -> dict:
+                """A hit in lines ``at`` to ``to``."""
+                before = texts[i].split("\n")
+                start = sum(len(x) + 1 for x in before[:lines[at][1]])
+                return {"paragraph": lines[at][1], "start": start,
+                        "end": start + len("\n".join(before[lines[at][1]:lines[to][1] + 1])), "family": FAMILIES[k],
+                        "score": score, "template_share": share, "confirmed": share >= confirm}
+
             for at in np.flatnonzero(1 - p[:, 0] >= model.least).tolist():
-                i, j, line = lines[at]
                 k = 1 + int(p[at, 1:].argmax())
-                share = template_share(line, FAMILIES[k])
-                start = sum(len(x) + 1 for x in texts[i].split("\n")[:j])
-                hits.setdefault(i, []).append({
-                    "paragraph": j, "start": start, "end": start + len(line), "family": FAMILIES[k],
-                    "score": float(p[at, k]), "template_share": share, "confirmed": share >= CONFIRM})
+                share = template_share(lines[at][2], FAMILIES[k])
+                hits.setdefault(lines[at][0], []).append(hit(lines[at][0], at, at, k, float(p[at, k]), share, CONFIRM))
+                if share >= CONFIRM:
+                    _, a, b = matched(words[at], FAMILIES[k])
+                    taken.setdefault(lines[at][0], []).append((int(first[at]) + a, int(first[at]) + b))
+
+            flat = [w for ws in words for w in ws]
+            of_word = np.repeat(np.arange(len(words)), np.diff(first))
+            text_of = np.array([i for i, _, _ in lines], np.int64)[of_word]
+            begin, end = (np.searchsorted(text_of, text_of, side) for side in ("left", "right"))
+            spans = model.windows(single, pair, end, np.arange(len(flat)) - begin)
+            parts = [flat[a:b] for a, b in spans]
+            q = model.probabilities(*features.of_words(parts)[:2], len(parts))
+            found = []
+            for m in np.flatnonzero(1 - q[:, 0] >= model.least).tolist():
+                k = 1 + int(q[m, 1:].argmax())
+                share, a, b = matched(parts[m], FAMILIES[k])
+                if share >= CONFIRM_WINDOW:
+                    found.append((-share, -float(q[m, k]), spans[m][0] + a, spans[m][0] + b, k))
+            for share, score, a, b, k in sorted(found):
+                i = int(text_of[a])
+                if all(b < x or y < a for x, y in taken.get(i, ())):
+                    taken.setdefault(i, []).append((a, b))
+                    hits.setdefault(i, []).append(hit(i, int(of_word[a]), int(of_word[b]), k, -score, -share, CONFIRM_WINDOW))
+                    hits[i].sort(key=lambda x: x["start"])
             best = [max((h for h in hits.get(i, []) if h["confirmed"]), key=lambda h: h["score"], default=None) for i in range(len(texts))]
             yield {"doc_id": batch.column("doc_id"), "family": [h and h["family"] for h in best],
                    "score": [h["score"] if h else 0.0 for h in best],

@@ -42,6 +42,30 @@ def test_held_out_variants_and_unknown_text():
     assert sum(1 - row[0] < model.least for row in p) >= 4
 
 
+def test_notices_inside_long_and_wrapped_paragraphs(spark):
+    prose = " ".join(f"the house of word{i % 40} was near a river and" for i in range(17)).split(" ")[:150]
+    rows, want = [], {}
+    for family, notices in L.TEMPLATES.items():
+        for notice in notices:
+            k, words = len(want), notice.split(" ")
+            rows += [(2 * k, " ".join([*prose, notice, *prose])), (2 * k + 1, "Some words\n" + "\n".join(
+                " ".join(words[i:i + 4]) for i in range(0, len(words), 4)) + "\nand other words")]
+            want[k] = family
+    rows += [(-1, " ".join([*prose, "Released under the MIT License. All rights reserved.", *prose])), (-2, " ".join([*prose, *prose])),
+             (-3, " ".join([*prose, "it was released under the name of a river and all rights of way", *prose]))]
+    corpus = [(1000 + i, f"Some words {i} about the house and the work of version {i}.") for i in range(300)]
+    model = L.fit([text for _, text in corpus + rows[:2]])
+    texts = dict(rows)
+    got = {r["doc_id"]: r for r in L.scan(plain.docs(spark, [(*r, None, None) for r in rows]), model).collect()}
+    for doc, text in rows:
+        found = {n["family"] for n in got[doc]["notices"] if n["confirmed"]}
+        expect = {-1: {"MIT", "reserved"}, -2: set(), -3: set()}.get(doc, {want.get(doc // 2)})
+        assert found == expect, text
+        for n in got[doc]["notices"]:
+            assert 0 <= n["start"] < n["end"] <= len(texts[doc])
+            assert (n["start"] == 0 or text[n["start"] - 1] == "\n") and (n["end"] == len(text) or text[n["end"]] == "\n")
+
+
 def test_defined_cases(spark):
     df = plain.docs(spark, [(1, None, None, None), (2, "", None, None), (3, "All rights reserved.", None, None), (3, "All rights reserved.", None, None),
                             (None, "x\n\nReleased under the MIT License.\nAll rights reserved.", None, None), (4, "word " * 20_000, None, None)])
