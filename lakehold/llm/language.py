@@ -131,11 +131,11 @@ class Model:
         self.uses = np.array([[scripts[lang].get(s, 0) >= 0.005 * max(1, sum(scripts[lang].values())) for lang in self.languages]
                               for s in range(len(SCRIPTS) + 1)], bool).reshape(len(SCRIPTS) + 1, -1)
 
-    def words(self, words: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of words by language, best 0, and their numbers of letters."""
+    def words(self, words: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores of words by language, best 0, their numbers of letters, and of letters in a script that a language uses."""
         n, k = len(words), len(self.languages)
         if not n or not k:
-            return np.zeros((n, max(1, k)), np.float32), np.zeros(n, np.int64)
+            return np.zeros((n, max(1, k)), np.float32), np.zeros(n, np.int64), np.zeros(n, np.int64)
         codes, of, scripts, letter_of = grams(words, alphabet)
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         known = self.codes[at] == codes
@@ -147,7 +147,8 @@ class Model:
         scores = np.where(candidates, scores, -np.inf)
         some = candidates.any(1)
         scores[~some] = 0
-        return np.maximum(scores - scores.max(1, keepdims=True), -MOST).astype(np.float32), np.bincount(letter_of, minlength=n)
+        return (np.maximum(scores - scores.max(1, keepdims=True), -MOST).astype(np.float32), np.bincount(letter_of, minlength=n),
+                np.bincount(letter_of[self.uses.any(1)[scripts]], minlength=n))
 
 
 def learn(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
@@ -231,26 +232,30 @@ class Labeller:
         self._forget()
 
     def _forget(self) -> None:
-        self.known, (self.scores, self.sizes) = {}, self.model.words([], self.alphabet)
+        self.known, (self.scores, self.sizes, self.learned) = {}, self.model.words([], self.alphabet)
 
     def __call__(self, texts: list[str | None]) -> Iterator[tuple[str, float, list[dict]]]:
+        return (found[:3] for found in self.judged(texts))
+
+    def judged(self, texts: list[str | None]) -> Iterator[tuple[str, float, list[dict], float]]:
+        """As a call, and the share of the letters that are in a script of a learned language."""
         names = self.model.languages
         if len(self.known) > self.most:
             self._forget()
         words = [text.split() if text and names else [] for text in texts]
         new = list(set().union(*words).difference(self.known))
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        scores, sizes = self.model.words(new, self.alphabet)
-        self.scores, self.sizes = np.concatenate((self.scores, scores)), np.concatenate((self.sizes, sizes))
+        self.scores, self.sizes, self.learned = map(np.concatenate, zip(
+            (self.scores, self.sizes, self.learned), self.model.words(new, self.alphabet), strict=True))
         get = self.known.__getitem__
         rows = [np.array(list(map(get, ws)), np.int32) for ws in words]
         del words
-        table, sizes = self.scores, self.sizes
+        table, sizes, learned = self.scores, self.sizes, self.learned
         for row, path in zip(rows, viterbi(table, rows, self.switch), strict=True):
             weight = sizes[row]
             total = int(weight.sum())
             if not total:
-                yield UND, 0.0, []
+                yield UND, 0.0, [], 0.0
                 continue
             by = np.bincount(path, weight, minlength=len(names))
             k = int(by.argmax())
@@ -259,7 +264,7 @@ class Labeller:
             sure = 1 / (1 + np.exp(min(50.0, rival - sums[k])))
             cuts = (np.flatnonzero(np.diff(path)) + 1).tolist()
             spans = [{"first": a, "last": b - 1, "lang": names[path[a]]} for a, b in zip([0, *cuts], [*cuts, len(path)], strict=True)]
-            yield names[k], float(by[k] / total * sure), spans
+            yield names[k], float(by[k] / total * sure), spans, int(learned[row].sum()) / total
 
 
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
@@ -285,7 +290,8 @@ def identify(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 def accepted(docs: DataFrame, least_score: float = 0.25, max_docs: int = MAX_DOCS) -> DataFrame:
     """The rows of ``docs``, all columns kept, that have a language.
 
-    Texts that are ``und``, or whose main language scores below ``least_score``, go.
+    Texts that are ``und``, or whose main language scores below ``least_score``, go. So do those with
+    most letters in scripts that no learned language uses: they score alike for all languages.
     """
     import pyarrow as pa
 
@@ -294,7 +300,7 @@ def accepted(docs: DataFrame, least_score: float = 0.25, max_docs: int = MAX_DOC
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = Labeller(shared.value)
         for batch in slices(batches, "text", 8 << 20):
-            yield batch.filter(pa.array([lang != UND and score >= least_score
-                                         for lang, score, _ in labels(batch.column("text").to_pylist())], pa.bool_()))
+            yield batch.filter(pa.array([lang != UND and score >= least_score and learned >= 0.5
+                                         for lang, score, _, learned in labels.judged(batch.column("text").to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -57,6 +57,16 @@ def test_defined_cases(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["lang_pred"] != "und"}
 
 
+def test_texts_in_scripts_that_were_not_learned_are_not_accepted(spark):
+    rows = [(k, "the cat and the dog were in this house", "en", 0.0, 0) for k in range(30)]
+    asked = {100: "ελληνικά και άλλα λόγια", 101: "ελληνικά και άλλα λόγια with this", 102: "собака 中文 हिन्दी",
+             103: "the house with ελληνικά and dogs", 104: "the dog"}
+    docs = spark.createDataFrame(rows + [(i, t, None, 0.0, 0) for i, t in asked.items()], SCHEMA)
+    assert {r["doc_id"] for r in L.accepted(docs).collect()} == {*range(30), 103, 104}
+    labels = {r["doc_id"]: r for r in L.identify(docs).collect()}
+    assert all(labels[i]["lang_pred"] == "en" and labels[i]["score"] > 0 for i in asked)
+
+
 def test_learning_ignores_held_out_and_other_columns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     from pyspark.sql import functions as F
