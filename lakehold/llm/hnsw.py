@@ -39,15 +39,19 @@ class Graph:
 
     def __init__(self, vectors: np.ndarray, links: int = LINKS):
         self.vectors, self.links = vectors, links
-        self._near = vectors.astype(np.float32)
-        self._norms = np.einsum("ij,ij->i", self._near, self._near)
+        self.centre = vectors.mean(0, dtype=np.float64) if len(vectors) else 0.0
+        self._near = self._centred(vectors)
         self.levels = np.zeros(len(vectors), np.int8)
         self.neighbours: list[np.ndarray] = []  # by level: [n, links or twice that], padded with -1
         self.entry = 0
 
+    def _centred(self, vectors: np.ndarray) -> np.ndarray:
+        return (vectors - self.centre).astype(np.float32)
+
     def _distances(self, q: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-        """Squared distances, less the constant square of ``q``."""
-        return self._norms[nodes] - 2 * (self._near[nodes] @ q)
+        """Squared distances, from differences: norms and products cancel where vectors lie close."""
+        apart = self._near[nodes] - q
+        return np.einsum("ij,ij->i", apart, apart)
 
     def _search(self, q: np.ndarray, entries: list[tuple[float, int]], width: int, level: int) -> list[tuple[float, int]]:
         """The ``width`` nearest that a best-first walk on one level finds, nearest first."""
@@ -76,9 +80,6 @@ class Graph:
         nodes = np.array([x for _, x in found])
         if len(nodes) <= most // 2:
             return nodes.tolist()
-        near = self._near[nodes]
-        norms = self._norms[nodes]
-        between = norms[:, None] + norms[None, :] - 2 * (near @ near.T)
         least = np.full(len(nodes), np.inf, np.float32)
         mine = np.array([d for d, _ in found], np.float32)
         chosen, passed = [], []
@@ -87,14 +88,11 @@ class Graph:
                 chosen.append(i)
                 if len(chosen) == most:
                     break
-                np.minimum(least, between[i], out=least)
+                np.minimum(least, self._distances(self._near[nodes[i]], nodes), out=least)
             else:
                 passed.append(i)
         return nodes[(chosen + passed)[:most]].tolist()
 
-    def _offset(self, node: int) -> float:
-        return float(self._norms[node])
-
     def build(self, seed: int, width: int = BUILD_WIDTH) -> Graph:
         n = len(self.vectors)
         draws = np.random.default_rng(seed).random(n)
@@ -111,10 +109,8 @@ class Graph:
                     entries = self._search(q, entries, 1, k)
                 for k in range(min(top, level), -1, -1):
                     entries = self._search(q, entries, width, k)
-                    # _choose compares with distances between nodes: give it whole squares
-                    found = [(d + self._offset(node), x) for d, x in entries]
                     most, links = self.links, self.neighbours[k]
-                    for x in self._choose(found, most):
+                    for x in self._choose(entries, most):
                         links[node, counts[k][node]] = x
                         counts[k][node] += 1
                         if counts[k][x] < links.shape[1]:
@@ -122,7 +118,7 @@ class Graph:
                             counts[k][x] += 1
                         else:
                             around = np.append(links[x], node)
-                            d = self._distances(self._near[x], around) + self._norms[x]
+                            d = self._distances(self._near[x], around)
                             order = np.argsort(d, kind="stable")
                             kept = self._choose(list(zip(d[order].tolist(), around[order].tolist(), strict=True)), links.shape[1])
                             links[x, :] = -1
@@ -134,7 +130,7 @@ class Graph:
 
     def nearest(self, q: np.ndarray, count: int, width: int = SEARCH_WIDTH) -> tuple[np.ndarray, np.ndarray]:
         """(nodes, exact distances in double precision) of about ``width`` nearest nodes, nearest first."""
-        near = q.astype(np.float32)
+        near = self._centred(q)
         entries = [(float(self._distances(near, np.array([self.entry]))[0]), self.entry)]
         for k in range(len(self.neighbours) - 1, 0, -1):
             entries = self._search(near, entries, 1, k)

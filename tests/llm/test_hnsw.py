@@ -45,6 +45,19 @@ def test_recall_over_several_shards(spark):
     assert all(abs(d - exact[q, i]) < 1e-12 for q in found for d, i in found[q] if (q, i) in exact)
 
 
+def test_near_copies_far_from_the_origin():
+    """Distances within the group are far below what norms and products resolve in single precision."""
+    rng = np.random.default_rng(4)
+    vectors = (rng.normal(size=(1200, 24)) * 10).astype(np.float32)
+    vectors[:400] = 100 + 1e-3 * rng.normal(size=(400, 24))
+    g = hnsw.Graph(vectors).build(seed=1)
+    right = 0
+    for q in range(0, 400, 10):
+        exact = ((vectors.astype(float) - vectors[q].astype(float)) ** 2).sum(1)
+        right += len(set(g.nearest(vectors[q], 10)[0][:10].tolist()) & set(np.argsort(exact, kind="stable")[:10].tolist()))
+    assert right >= 0.95 * 400
+
+
 def test_copies_and_defined_cases(spark):
     rows = [(i, [1.0, 2.0]) for i in range(0, 40)] + [(100, [5.0, 5.0]), (101, [5.0, 4.0]), (50, [0.0, 0.0]), (51, None),
             (52, [1.0, None]), (53, [float("nan"), 1.0]), (54, [float("inf"), 1.0]), (200, [1.0, 2.0, 3.0]), (201, [1.0, 2.0, 4.0]),
