@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehold.llm import arc_warc, hnsw, language, licences, merkle, mixing, ngram_rtree, piece_bpe, redirects, simple8b
+from lakehold.llm import arc_warc, bond_negatives, hnsw, language, licences, merkle, mixing, ngram_rtree, piece_bpe, redirects, simple8b
 from lakehold.llm._base import table
 from lakehold.sources.scratch import new_path
 
@@ -67,9 +67,13 @@ def op10_ngram_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_rtree.link_components(table(spark, sf_dir, "documents"), width=3, num=9, den=10)
 
 
+def op13_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bond_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 OPERATORS = [op1_arc_to_warc, op2_hnsw, op3_simple8b, op4_language_viterbi, op5_redirect_equivalence,
              op6_merkle_fingerprint, op7_entropy_balancing, op8_licence_classifier, op9_piece_prefix_table,
-             op10_ngram_rtree]
+             op10_ngram_rtree, op13_bond_negatives]
 
 ORACLE = {
     "op1_arc_to_warc": """
@@ -79,6 +83,20 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id
   FROM (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
     sha256(coalesce(html, '')) AS payload_digest FROM pages) p) q""",
+    "op13_bond_negatives": """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+    CAST(list_sum(list_transform(list_zip(a.parts, b.parts), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.parts) = len(b.parts) WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE own = label QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND n.own <> n.label AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER w <= 3
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)""",
 }
 
 
