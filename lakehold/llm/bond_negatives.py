@@ -190,17 +190,18 @@ def _packs(anchors: DataFrame) -> DataFrame:
     return mapped(dealt.select("dim", "label", "vec_id", "mark", "parts", "positives"), pack, PACKS)
 
 
-def _past(blocks: DataFrame, packs: DataFrame, answer, schema: str) -> DataFrame:
+def _past(blocks: DataFrame, packs: DataFrame, tasks: int, answer, schema: str) -> DataFrame:
     """Each block once, then the packs dealt to it, through ``answer(block, own id, mark, label, vector, positives)``.
 
-    ``answer`` returns lists of values, which follow anchor_id and mark in ``schema``.
+    ``answer`` returns lists of values, which follow anchor_id and mark in ``schema``. The number of ``tasks`` is
+    given, since bytes say little about the work of a block and would have blocks merged.
     """
     none = lambda **kinds: [F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()]
     first = blocks.select("dim", "block", F.lit(0).alias("side"), "ids", "labels", "columns", "least", "most",
                           *none(marks="binary", vectors="binary", positives="array<array<bigint>>"))
     then = packs.select("dim", "block", F.lit(1).alias("side"), "ids", "labels",
                         *none(columns="array<binary>", least="binary", most="binary"), "marks", "vectors", "positives")
-    met = first.unionByName(then).repartition("dim", "block").sortWithinPartitions("dim", "block", "side")
+    met = first.unionByName(then).repartition(tasks, "dim", "block").sortWithinPartitions("dim", "block", "side")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches) -> Iterator[dict]:
@@ -242,7 +243,7 @@ def mine(vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int
     rows = usable(vectors, scale, shift_every, labels)
     blocks = materialise(build_blocks(rows, block_rows), "bond-blocks")
     anchors = rows.where(F.col("vec_id") % every == 0)
-    key = ["anchor_id", "mark"]
+    key, tasks = ["anchor_id", "mark"], max(1, blocks.count())
 
     def nearest(block: Block, own: int, label: int, q: np.ndarray, scores: None) -> list[list]:
         found, score = block.best(q, own, label, positives)
@@ -250,7 +251,7 @@ def mine(vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int
 
     # pass 1: packs meet the blocks that hold their labels
     packs = materialise(_packs(anchors.withColumn("positives", F.lit(None).cast("array<long>"))), "bond-anchors")
-    found = _past(blocks, _meets(packs, blocks), nearest, "anchor_id long, mark long, positive_id long, positive_score long")
+    found = _past(blocks, _meets(packs, blocks), tasks, nearest, "anchor_id long, mark long, positive_id long, positive_score long")
     order = Window.partitionBy(*key).orderBy(F.desc("positive_score"), "positive_id")
     best = materialise(found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= positives).drop("place"), "bond-positives")
 
@@ -267,7 +268,7 @@ def mine(vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int
     ready = _packs(anchors.withColumnRenamed("vec_id", "anchor_id").join(scores, key).withColumnRenamed("anchor_id", "vec_id"))
     spans = materialise(blocks.groupBy("dim").agg(F.min("block").alias("lo"), F.max("block").alias("hi")), "bond-spans")
     everywhere = ready.join(spans, "dim").withColumn("block", F.explode(F.sequence("lo", "hi")))
-    hard = _past(blocks, everywhere, harder, "anchor_id long, mark long, positive_score long, negative_id long, negative_score long")
+    hard = _past(blocks, everywhere, tasks, harder, "anchor_id long, mark long, positive_score long, negative_id long, negative_score long")
     order = Window.partitionBy(*key, "positive_score").orderBy(F.desc("negative_score"), "negative_id")
     ranked = hard.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)
     return best.join(ranked, [*key, "positive_score"]).select(

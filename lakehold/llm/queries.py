@@ -95,8 +95,8 @@ p AS (SELECT * FROM s WHERE own = label QUALIFY row_number() OVER (PARTITION BY
 SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
   p.score AS positive_score, n.score AS negative_score
 FROM p JOIN s n ON n.anchor_id = p.anchor_id AND n.own <> n.label AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
-QUALIFY row_number() OVER w <= 3
-WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)""",
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 3""",
 }
 
 
