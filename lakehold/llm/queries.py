@@ -85,11 +85,11 @@ FROM (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION
     sha256(coalesce(html, '')) AS payload_digest FROM pages) p) q""",
     "op13_bond_negatives": """
 WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS parts
   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
-    CAST(list_sum(list_transform(list_zip(a.parts, b.parts), z -> z[1] * z[2])) AS BIGINT) AS score
+    CAST(list_sum([z[1] * z[2] FOR z IN list_zip(a.parts, b.parts)]) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.parts) = len(b.parts) WHERE a.vec_id % 50 = 0),
 p AS (SELECT * FROM s WHERE own = label QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
 SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
