@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehold.llm import arc_warc, bond_negatives, hnsw, language, licences, merkle, mixing, ngram_rtree, piece_bpe, redirects, simple8b, variant_trie
+from lakehold.llm import arc_warc, bond_negatives, disclosure, hnsw, language, licences, merkle, mixing, ngram_rtree, piece_bpe, redirects, simple8b, variant_trie
 from lakehold.llm._base import table
 from lakehold.sources.scratch import new_path
 
@@ -67,6 +67,10 @@ def op10_ngram_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_rtree.link_components(table(spark, sf_dir, "documents"), width=3, num=9, den=10)
 
 
+def op11_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.report(table(spark, sf_dir, "documents"))
+
+
 def op12_variant_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_trie.variants(table(spark, sf_dir, "documents"))
 
@@ -77,7 +81,7 @@ def op13_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = [op1_arc_to_warc, op2_hnsw, op3_simple8b, op4_language_viterbi, op5_redirect_equivalence,
              op6_merkle_fingerprint, op7_entropy_balancing, op8_licence_classifier, op9_piece_prefix_table,
-             op10_ngram_rtree, op12_variant_trie, op13_bond_negatives]
+             op10_ngram_rtree, op11_disclosure, op12_variant_trie, op13_bond_negatives]
 
 ORACLE = {
     "op1_arc_to_warc": """
