@@ -186,20 +186,22 @@ def find(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, least: float = GENERALISE_AT) -> DataFrame:
     """entity, term, share: the pairs whose term discloses ``least`` or more of the entity."""
-    seen = found.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.entity", "c.terms").distinct()
+    texts = float(found.select("text_key").distinct().count())
+    known = F.log2(F.lit(texts) / F.col("df_e"))
+    share = lambda df_t: F.log2(F.col("df_te") * F.lit(texts) / (F.col(df_t) * F.col("df_e"))) / known
+    seen = found.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.entity", F.col("c.terms.value").alias("terms"))
     entities = seen.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
-    together = seen.select("text_key", "entity", F.explode("terms.value").alias("term")).select(
-        "text_key", "entity", F.lower("term").alias("term")).distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_te"))
-    pairs = materialise(together.where(F.col("df_te") >= support).join(entities, "entity"), "disclosure-pairs")
+    near = seen.select("text_key", "entity", F.explode("terms").alias("term")).withColumn("term", F.lower("term"))
+    together = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_te")).where(F.col("df_te") >= support)
+    # the texts with t in a context of any entity are a part of those with t: a term too frequent there is out
+    around = near.select("text_key", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_near"))
+    pairs = materialise(together.join(entities, "entity").join(around, "term").where((known > 0) & (share("df_near") >= least)), "disclosure-pairs")
     asked = materialise(pairs.select("term").distinct(), "disclosure-terms")
     # only the terms asked for are counted; the join is a broadcast or a shuffle by the size of the written table
     words = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(
         F.xxhash64("text").alias("text_key"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}+"), F.lit(0)))).alias("term"))
     terms = words.join(asked, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    texts = found.select("text_key").distinct().count()
-    shared = F.log2(F.col("df_te") * F.lit(float(texts)) / (F.col("df_t") * F.col("df_e")))
-    known = F.log2(F.lit(float(texts)) / F.col("df_e"))
-    return pairs.join(terms, "term").where(known > 0).select("entity", "term", (shared / known).alias("share")).where(F.col("share") >= least)
+    return pairs.join(terms, "term").select("entity", "term", share("df_t").alias("share")).where(F.col("share") >= least)
 
 
 def scan(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
