@@ -9,9 +9,6 @@ if ROOT not in sys.path:
 
 os.environ.setdefault("PII_SALT", "salt-of-the-tests")
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,10 +20,3 @@ def spark():
 @pytest.fixture()
 def lake_root(tmp_path):
     return str(tmp_path / "lake")
-
-
-def run_pipeline(*args, **kw):
-    """The full job under the contracts of the test tables."""
-    from lakehold.plans import jobs
-    from lakehold.sources.testdata import CONTRACTS
-    return jobs.run_pipeline(*args, contracts=CONTRACTS, **kw)

@@ -27,7 +27,7 @@ def test_every_oracle_key_is_a_query():
                                  "profile_columns", "reprocess_valid", "stream_events_by_type", "schema_drift", "ingest_report",
                                  "catalog_summary", "reprocess_merge", "bronze_first_per_key", "run_health"])
 def test_query_matches_oracle_on_smallest_tables(spark, key):
-    from conftest import SF_SMALL
+    from lakehold_suite import SF_SMALL
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")

@@ -7,7 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, run_pipeline
+from lakehold_suite import SF_SMALL, run_pipeline
 from lakehold.contracts import CONTRACTS, CORRUPT_RULE
 from lakehold.operators import profile as P
 from lakehold.operators import quality as Q

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, run_pipeline
+from lakehold_suite import SF_SMALL, run_pipeline
 from lakehold.operators import monitor as M
 from lakehold.plans import jobs as J
 from lakehold.sources import testdata as td

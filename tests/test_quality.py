@@ -149,7 +149,7 @@ def test_in_set_null_passes(spark):
 
 def test_valid_and_invalid_partition_input(spark):
     from lakehold.plans.derived import Chain
-    from conftest import SF_SMALL
+    from lakehold_suite import SF_SMALL
     ch = Chain(spark, SF_SMALL)
     for ds in ("loans", "ratings", "readers"):
         fl = ch.flagged(ds)
@@ -173,7 +173,7 @@ def test_register_custom_rule(spark):
 
 def test_dates_do_not_depend_on_session_zone(spark):
     from lakehold.plans import registry
-    from conftest import SF_SMALL
+    from lakehold_suite import SF_SMALL
     keys = ("silver_dates", "rule_not_future", "loans_by_month", "run_health", "silver_readers")
     before = {k: sorted(map(tuple, registry.queries()[k](spark, SF_SMALL).collect()), key=repr) for k in keys}
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")

@@ -2,7 +2,7 @@
 join shuffles, nothing is broadcast, and the results are the same."""
 from contextlib import contextmanager
 
-from conftest import SF_SMALL, run_pipeline
+from lakehold_suite import SF_SMALL, run_pipeline
 from lakehold.plans.registry import queries
 
 KEYS = ["rule_unique", "rule_fk", "dedup_keep_first", "silver_loans", "quality_rule_report", "top_books",
