@@ -1,7 +1,7 @@
 """N-gram Jaccard join over a count-vector R-tree, and the components of its links.
 
 A document's set is its distinct word shingles, as 64-bit hashes. Equal sets are one class from the
-start (by a 128-bit digest), so copies are never paired. Two classes link when
+start (by a 64-bit digest, as the shingles), so copies are never paired. Two classes link when
 ``den * intersection >= num * union``.
 
 *Count vectors.* A set's shingles are hashed into ``DIMENSIONS`` groups; the group counts are its
@@ -20,11 +20,16 @@ empty groups leave these out, and still meet any partner in a group that is not
 more join the shards of their empty groups as well. Size classes overlap, so that a pair of
 unequal sizes meets in the larger one's.
 
-*Large shards.* A shard of many near copies is cut into blocks of ``BLOCK`` members, and each pair of
-blocks is a unit of work of its own. The first pass emits of each unit's surviving pairs a maximum
-spanning forest (by bounded similarity), not all pairs. These are verified and joined to components;
-the second pass emits every surviving pair between members of different components, so that no
-link that matters is lost.
+*Large shards.* Members of a shard lie in blocks of ``BLOCK``. The first pass takes each block with the next one
+only, so that a member occurs twice at most, however large the shard is, and emits of each such unit's surviving pairs a maximum
+spanning forest (by bounded similarity). These are verified and joined to components, which contracts groups of near
+copies. The second pass looks at shards whose members still lie in several components: large components have blocks of
+their own, small ones share blocks, and pairs of blocks meet unless both hold one and the same component. It emits every
+surviving pair between members of different components, so that no link that matters is lost.
+
+*One exchange.* Shard keys are hashes, most of which occur once. They are exchanged once, as (shard, class, size), sorted
+within tasks, and what a stream over the sorted rows finds in shards of one class is dropped there. Points and texts are fetched
+for the classes that remain.
 
 Defined cases. Null texts and texts without words have an empty set, link with nothing and are
 their own component. Texts with fewer words than a shingle have one shingle, their whole word
@@ -49,7 +54,7 @@ from lakehold.llm._graph import components
 from lakehold.sources.scratch import materialise
 
 DIMENSIONS, LEAF, BLOCK = 64, 32, 1024
-SLOTS = 1 << 22  # of the bitmap that preselects documents for verification
+SLOTS = 1 << 16, 1 << 27  # least and most of the bitmap that preselects documents for verification
 
 # odd 64-bit multipliers that spread bits
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -133,10 +138,22 @@ class Bands:
 
 
 def point(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount(((hashes * _B) >> np.uint64(58)).astype(np.int64), minlength=DIMENSIONS).astype("<u4")
+    """Group counts; a byte each where they fit."""
+    counts = np.bincount(((hashes * _B) >> np.uint64(58)).astype(np.int64), minlength=DIMENSIONS)
+    return counts.astype("<u4" if counts.max() > 255 else "u1")
+
+
+def points_of(stored: list[bytes]) -> np.ndarray:
+    wide = {len(p) for p in stored} != {DIMENSIONS}
+    rows = [np.frombuffer(p, "u1" if len(p) == DIMENSIONS else "<u4") for p in stored] if wide else [np.frombuffer(b"".join(stored), "u1")]
+    return (np.stack(rows) if wide and rows else np.concatenate(rows or [np.zeros(0, "u1")])).reshape(-1, DIMENSIONS).astype(np.int32)
+
 
+def digest(hashes: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
-SKETCH = "doc_id long, n_shingles long, set_key binary, point binary, signatures array<long>"
+
+SKETCH = "doc_id long, n_shingles long, class long, point binary, signatures array<long>"
 
 
 def sketch(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -148,7 +165,7 @@ def sketch(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
             keys = [bands.signatures(s) if len(s) else np.zeros(0, np.int64) for s in sets]
             ends = np.cumsum([0, *map(len, keys)])
             yield {"doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
-                   "set_key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                   "class": [digest(s) if len(s) else None for s in sets],
                    "point": [point(s).tobytes() if len(s) else None for s in sets],
                    "signatures": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))}
 
@@ -225,18 +242,17 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarr
 
 def unit_pairs(ids: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, label: np.ndarray,
                num: int, den: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of one unit of a shard: a spanning forest, or (``whole``) all between labels."""
-    if len(ids) == 2:
-        a, b = np.array([0]), np.array([1])
-        overlap = int(np.minimum(points[0], points[1]).sum())
-        if overlap * (num + den) < num * int(sizes[0] + sizes[1]):
-            a = b = a[:0]
-    else:
-        tree = RTree(points, sizes, num, den)
-        a, b = tree.pairs()
-    crossing = side.min() != side.max()
+    """Candidate pairs of one unit of a shard.
+
+    A spanning forest of the pairs that have a member on side 0; or (``whole``) all pairs between labels, which lie on
+    different sides if the unit has two.
+    """
+    tree = RTree(points, sizes, num, den)
+    a, b = tree.pairs()
     fine = (label[a] != label[b]) & (ids[a] != ids[b])
-    if crossing:  # pairs on one side belong to that block's own unit
+    if not whole:
+        fine &= (side[a] == 0) | (side[b] == 0)
+    elif side.any():
         fine &= side[a] != side[b]
     a, b = a[fine], b[fine]
     if not whole and len(a) > 1:
@@ -246,14 +262,15 @@ def unit_pairs(ids: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.
 
 
 def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
-    """(shard, unit, side, id, size, point, label) -> distinct candidate pairs (a, b), a < b."""
-    rows = shared.repartition("shard", "unit").sortWithinPartitions("shard", "unit", "id")
-    columns = ["shard", "unit", "side", "id", "size", "point", "label"]
+    """(shard, unit, side, class, size, point, label) -> distinct candidate pairs (a, b), a < b."""
+    rows = shared.repartition("shard", "unit").sortWithinPartitions("shard", "unit", "class")
+    columns = ["shard", "unit", "side", "class", "size", "point", "label"]
 
     def run(batches) -> Iterator[dict]:
         def work(table: pa.Table) -> dict:
-            shard, unit, side, ids, sizes, label = (table.column(c).to_numpy() for c in ("shard", "unit", "side", "id", "size", "label"))
-            points = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u4").reshape(-1, DIMENSIONS).astype(np.int32)
+            shard, side, ids, sizes, label = (table.column(c).to_numpy() for c in ("shard", "side", "class", "size", "label"))
+            unit = np.unique(table.column("unit").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)[1].ravel()
+            points = points_of(table.column("point").to_pylist())
             cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(unit) != 0)) + 1
             found = [unit_pairs(ids[s:e], sizes[s:e], points[s:e], side[s:e], label[s:e], num, den, whole)
                      for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True) if e - s > 1]
@@ -266,7 +283,7 @@ def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
             table = pa.concat_tables([held, table]) if held is not None else table
             if not table.num_rows:
                 continue
-            shard, unit = table.column("shard").to_numpy(), table.column("unit").to_numpy()
+            shard, unit = table.column("shard").to_numpy(), table.column("unit").to_numpy(zero_copy_only=False)
             last = np.flatnonzero((shard != shard[-1]) | (unit != unit[-1]))
             done = int(last[-1]) + 1 if len(last) else 0  # the last unit may go on in the next batch
             if done:
@@ -278,20 +295,101 @@ def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
     return mapped(rows.select(*columns), run, "a long, b long").distinct()
 
 
+# ---- members of shards ------------------------------------------------------------------------
+
+def shared_members(sk: DataFrame) -> DataFrame:
+    """shard, class, place: the distinct classes of each shard that has two or more, numbered from 0."""
+    keys = sk.where("doc_id is not null and class is not null").select("class", F.explode("signatures").alias("shard"))
+    dealt = keys.select("shard", "class").repartition("shard").sortWithinPartitions("shard", "class")
+
+    def run(batches) -> Iterator[dict]:
+        last_shard = last_class = None  # of the rows before
+        place = 0  # of that row
+        for batch in batches:
+            shard, cls = batch.column("shard").to_numpy(), batch.column("class").to_numpy()
+            if not len(shard):
+                continue
+            fresh_ = np.ones(len(shard), bool)
+            fresh_[1:] = (shard[1:] != shard[:-1]) | (cls[1:] != cls[:-1])
+            goes_on = last_shard is not None and shard[0] == last_shard
+            fresh_[0] = not (goes_on and cls[0] == last_class)
+            shard, cls = shard[fresh_], cls[fresh_]
+            if not len(shard):
+                continue
+            start = np.ones(len(shard), bool)
+            start[1:] = shard[1:] != shard[:-1]
+            start[0] = not goes_on
+            n = np.arange(len(shard))
+            first = np.maximum.accumulate(np.where(start, n, 0))
+            places = n - first
+            if goes_on:  # up to the first start, places go on
+                upto = int(np.argmax(start)) if start.any() else len(shard)
+                places[:upto] = place + 1 + n[:upto]
+            # a row that starts a shard is written with the shard's second row, which may come in the next batch
+            second = np.flatnonzero(places == 1)
+            late = second[second == 0]
+            heads = second[second > 0] - 1
+            keep = np.zeros(len(shard), bool)
+            keep[heads] = True
+            keep[places > 0] = True
+            out = {"shard": shard[keep], "class": cls[keep], "place": places[keep]}
+            if len(late):
+                out = {"shard": np.append(last_shard, out["shard"]), "class": np.append(last_class, out["class"]), "place": np.append(0, out["place"])}
+            last_shard, last_class, place = shard[-1], cls[-1], int(places[-1])
+            yield {k: pa.array(v.astype(np.int64)) for k, v in out.items()}
+
+    return mapped(dealt, run, "shard long, class long, place long")
+
+
+def first_units(members: DataFrame) -> DataFrame:
+    """(shard, class, place, ...) -> with unit and side: each block with the one after it."""
+    block = (F.col("place") / BLOCK).cast("long")
+    both = F.array(F.struct(block.cast("string").alias("unit"), F.lit(0).alias("side")),
+                   F.struct((block - 1).cast("string").alias("unit"), F.lit(1).alias("side")))
+    return members.withColumn("u", F.explode(F.filter(both, lambda u: u["unit"] != "-1"))).select("*", "u.unit", "u.side").drop("u")
+
+
+def second_units(members: DataFrame) -> DataFrame:
+    """(shard, class, label, ...) of shards with several components -> with unit and side.
+
+    Components of half a block or more have blocks of their own, others share; two blocks of one and the same component
+    do not meet.
+    """
+    sizes = members.groupBy("shard", "label").agg(F.count(F.lit(1)).alias("n"))
+    torn = sizes.groupBy("shard").agg(F.count(F.lit(1)).alias("labels"), F.sum(F.when(F.col("n") < BLOCK // 2, F.col("n")).otherwise(0)).alias("rest")).where("labels > 1")
+    placed = members.join(sizes, ["shard", "label"]).join(torn.select("shard", "rest"), "shard")
+    large = F.col("n") >= BLOCK // 2
+    blocks = F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK)
+    own = F.when(large, F.col("label").cast("string")).otherwise(F.lit("rest"))
+    placed = placed.withColumn("block", F.concat_ws("/", own, F.pmod(F.xxhash64("class"), blocks).cast("string"))).withColumn(
+        "alone", F.when(large, F.col("label")))
+    shape = placed.groupBy("shard", "block").agg(F.first("alone").alias("alone"))
+    left, right = (shape.select("shard", F.col("block").alias(f"{x}_block"), F.col("alone").alias(f"{x}_alone")) for x in "lr")
+    meet = left.join(right, "shard").where("l_block <= r_block and not coalesce(l_alone = r_alone, false)").select(
+        "shard", F.concat_ws("|", "l_block", "r_block").alias("unit"), F.explode(F.when(F.col("l_block") == F.col("r_block"), F.array(
+            F.struct(F.col("l_block").alias("block"), F.lit(0).alias("side")))).otherwise(F.array(
+                F.struct(F.col("l_block").alias("block"), F.lit(0).alias("side")), F.struct(F.col("r_block").alias("block"), F.lit(1).alias("side"))))).alias("of")).select(
+        "shard", "unit", "of.block", "of.side")
+    return placed.join(meet, ["shard", "block"]).drop("n", "rest", "block", "alone")
+
+
 # ---- verification -----------------------------------------------------------------------------
 
-def verify(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose sets link.
+def verify(docs: DataFrame, pairs: DataFrame, first: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets link.
 
-    A bitmap of fixed size (``SLOTS`` bits) preselects the documents that occur in a pair, so that
-    only their sets are shuffled; the joins that follow are exact.
+    ``first`` has a document of each class. A bitmap preselects these documents, so that only their sets are
+    shuffled; the joins that follow are exact. It has eight bits per class asked for, up to 16 MB in all.
     """
-    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    marks = ids.groupBy((slot / 64).cast("int").alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {SLOTS}) % 64 as int))")).alias("bits")).collect()
-    bitmap = np.zeros(SLOTS // 64, np.int64)
-    bitmap[[m["word"] for m in marks]] = [m["bits"] for m in marks]
+    named = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(first.select("class", F.col("doc_id").alias("id")), "class")
+    asked = materialise(named.select("id").distinct(), "ngram-asked")
+    slots = min(max(SLOTS[0], 1 << (8 * asked.count()).bit_length()), SLOTS[1])
+    slot = F.pmod(F.xxhash64("id"), F.lit(slots))
+    marks = asked.groupBy((slot / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {slots}) % 64 as int))")).alias("bits"))
+    bitmap = np.zeros(slots // 64, np.int64)
+    for m in marks.toLocalIterator():  # bounded by the number of words
+        bitmap[m["word"]] = m["bits"]
     shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
     def sets(batches) -> Iterator[dict]:
@@ -299,12 +397,14 @@ def verify(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) ->
         for batch in batches:
             wanted = shared.value[batch.column("slot").to_numpy()] == 1
             for part in slices([batch.filter(pa.array(wanted))], "text"):
-                yield {"id": part.column("id"), "shingles": [shingles(t).tobytes() for t in part.column("text").to_pylist()]}
+                found = [s for s in map(shingles, part.column("text").to_pylist()) if len(s)]
+                yield {"class": [digest(s) for s in found], "shingles": [s.tobytes() for s in found]}
 
     chosen = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text")
-    found = mapped(chosen.select("id", "text", slot.alias("slot")), sets, "id long, shingles binary")
-    both = pairs.join(found.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a").join(
-        found.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
+    found = mapped(chosen.select("id", "text", slot.alias("slot")), sets, "class long, shingles binary")
+    found = found.groupBy("class").agg(F.first("shingles").alias("shingles"))  # equal sets only
+    both = pairs.join(found.select(F.col("class").alias("a"), F.col("shingles").alias("of_a")), "a").join(
+        found.select(F.col("class").alias("b"), F.col("shingles").alias("of_b")), "b")
 
     def check(batches) -> Iterator[dict]:
         for batch in batches:
@@ -312,10 +412,10 @@ def verify(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) ->
             for x, y in zip(batch.column("of_a"), batch.column("of_b"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 shared_ = len(x) + len(y) - len(np.union1d(x, y))
-                linked.append(len(x) > 0 and den * shared_ >= num * (len(x) + len(y) - shared_))
+                linked.append(den * shared_ >= num * (len(x) + len(y) - shared_))
             yield {"u": [i for i, ok in zip(a, linked, strict=True) if ok], "v": [i for i, ok in zip(b, linked, strict=True) if ok]}
 
-    return mapped(both.select("a", "b", "of_a", "of_b"), check, "u long, v long").distinct()
+    return mapped(both.select("a", "b", "of_a", "of_b"), check, "u long, v long")
 
 
 # ---- the join ---------------------------------------------------------------------------------
@@ -323,43 +423,34 @@ def verify(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) ->
 def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id: the smallest doc_id reachable by links."""
     sk = materialise(sketch(docs, width, num, den), "ngram-sketch")
-    able = sk.where("doc_id is not null and set_key is not null")
-    classes = able.groupBy("set_key").agg(F.min("doc_id").alias("class"))
-    reps = able.join(classes.select(F.col("class").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "point", "signatures")
-
-    members = reps.select("id", "size", F.explode("signatures").alias("shard"))
-    # a shard of one member decides nothing; one of many is cut into blocks, each pair of blocks a unit
-    counts = members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    side = F.pmod(F.xxhash64("id", F.lit(3)), blocks).cast("int")
-    shared = materialise(members.join(counts, "shard").select(
-        "shard", "id", "size", side.alias("side"), blocks.alias("blocks"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
-        "shard", "id", "size", "side",
-        (F.least("side", "other").cast("long") * F.col("blocks") + F.greatest("side", "other")).alias("unit")), "ngram-shards")
-
-    points = reps.select("id", F.col("size").alias("of_size"), "point")
-    placed = lambda df: df.join(points, "id").where("size = of_size").drop("of_size")
-    first = materialise(candidates(placed(shared).withColumn("label", F.col("id")), num, den, whole=False), "ngram-pairs")
-    links = materialise(verify(docs, first, width, num, den), "ngram-links")
+    members = materialise(shared_members(sk), "ngram-members")
+    able = sk.where("doc_id is not null and class is not null")
+    # size, point and a document of the classes that share a shard with another
+    paired = members.select("class").distinct()
+    first = materialise(able.select("class", "doc_id", F.col("n_shingles").alias("size"), "point").join(paired, "class", "left_semi").groupBy(
+        "class").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("point").alias("point")), "ngram-classes")
+    placed = lambda df: df.join(first.select("class", "size", "point"), "class")
+
+    tried = materialise(candidates(placed(first_units(members)).withColumn("label", F.col("class")), num, den, whole=False), "ngram-pairs")
+    links = materialise(verify(docs, tried, first, width, num, den), "ngram-links")
     member = components(links)
 
     # what is left: pairs of a shard whose members lie in different components
-    labelled = shared.join(member.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "label", F.coalesce("component", "id")).drop("component")
-    torn = labelled.groupBy("shard", "unit").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(
-        "lo <> hi").select("shard", "unit")
-    rest = candidates(placed(labelled.join(torn, ["shard", "unit"], "left_semi")), num, den, whole=True)
-    rest = materialise(rest.join(first, ["a", "b"], "left_anti"), "ngram-pairs")
+    labelled = members.join(member.withColumnRenamed("node", "class"), "class", "left").select(
+        "shard", "class", F.coalesce("component", "class").alias("label"))
+    rest = candidates(placed(second_units(labelled)), num, den, whole=True)
+    rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
     if not rest.isEmpty():
-        more = verify(docs, rest, width, num, den)
+        more = verify(docs, rest, first, width, num, den)
         member = components(links.unionByName(more))
 
-    known = classes.join(member.select(F.col("node").alias("class"), "component"), "class", "left").select(
-        "set_key", F.coalesce("component", "class").alias("component"))
-    out = sk.select("doc_id", "n_shingles", "set_key").join(known, "set_key", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    # linked classes: the smallest document of each component; others: of their class
+    linked = member.withColumnRenamed("node", "class").join(first.select("class", "doc_id"), "class")
+    smallest = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    known = linked.join(smallest, "component").select("class", "component_id")
+    classes = able.groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    out = sk.select("doc_id", "n_shingles", "class").join(known, "class", "left").join(classes.select("class", "least"), "class", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "least", "doc_id")).alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -368,7 +459,13 @@ def first_of_each(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5) -
     Of rows that repeat a kept doc_id the least stays (columns compared in order). Rows without an
     id stay.
     """
-    keep = link_components(docs, width, num, den).where("doc_id = component_id").select("doc_id").distinct()
+    judged = materialise(link_components(docs, width, num, den).where("doc_id is not null").select(
+        "doc_id", (F.col("doc_id") == F.col("component_id")).alias("stays")), "ngram-judged")
+    ids = judged.groupBy("doc_id").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+    # written lists of ids: texts are shuffled only where these are too large to be sent to all tasks
+    gone = materialise(ids.where("not stays").select("doc_id"), "ngram-gone")
+    repeated = materialise(ids.where("stays and n > 1").select("doc_id"), "ngram-repeated")
     row = fresh(docs, "row")
-    named = docs.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(row))
-    return named.select(f"{row}.*").unionByName(docs.where("doc_id is null"))
+    once = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").join(repeated, "doc_id", "left_anti")
+    least = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(row))
+    return once.select(*docs.columns).unionByName(least.select(f"{row}.*")).unionByName(docs.where("doc_id is null"))
