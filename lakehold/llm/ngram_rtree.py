@@ -6,8 +6,8 @@ start (by a 64-bit digest, as the shingles), so copies are never paired. Two cla
 
 *Count vectors.* A set's shingles are hashed into ``DIMENSIONS`` groups; the group counts are its
 point. Two sets share at most the sum of the coordinate minima of their points. An R-tree packs
-points by size and leading coordinates; a node keeps the maximum of every coordinate and the range
-of sizes, which bounds the overlap of any two points below two nodes. Node pairs, then point pairs,
+points by unit of work, size and leading coordinates; a node keeps the maximum of every coordinate and the ranges
+of units and sizes, which bounds the overlap of any two points below two nodes. One tree holds many units. Node pairs, then point pairs,
 whose bound misses the threshold are dropped; the surviving pairs are verified on the sets.
 
 *Shards.* At these thresholds one tree over all documents prunes little but by size (a text of n
@@ -22,8 +22,8 @@ unequal sizes meets in the larger one's.
 
 *Large shards.* Members of a shard lie in blocks of ``BLOCK``. The first pass takes each block with the next one
 only, so that a member occurs twice at most, however large the shard is, and emits of each such unit's surviving pairs a maximum
-spanning forest (by bounded similarity). These are verified and joined to components, which contracts groups of near
-copies. The second pass looks at shards whose members still lie in several components: large components have blocks of
+spanning forest (by bounded similarity). Of these the ``PARTNERS`` best of each class are verified and joined to components, which contracts
+groups of near copies; then the others that still lie between components. The second pass looks at shards whose members still lie in several components: large components have blocks of
 their own, small ones share blocks, and pairs of blocks meet unless both hold one and the same component. It emits every
 surviving pair between members of different components, so that no link that matters is lost.
 
@@ -46,14 +46,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehold.llm._base import fresh, mapped, slices
 from lakehold.llm._graph import components
 from lakehold.sources.scratch import materialise
 
-DIMENSIONS, LEAF, BLOCK = 64, 32, 1024
+DIMENSIONS, LEAF, BLOCK = 64, 32, 512
+CHUNK, PARTNERS = 16_384, 3  # rows under one tree; pairs per class and round of verification
 SLOTS = 1 << 16, 1 << 27  # least and most of the bitmap that preselects documents for verification
 
 # odd 64-bit multipliers that spread bits
@@ -175,124 +176,151 @@ def sketch(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 # ---- the R-tree -------------------------------------------------------------------------------
 
 class RTree:
-    """Points packed by size and leading coordinates; nodes bound the overlap of what is below."""
+    """Points packed by unit, size and leading coordinates; nodes bound the overlap of what is below.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, num: int, den: int):
+    One tree holds many units; only points of one unit are paired, and nodes without a common unit part at once.
+    """
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, num: int, den: int, unit: np.ndarray | None = None):
         self.num, self.den = num, den
-        self.order = np.lexsort((points[:, 2], points[:, 1], points[:, 0], sizes))
-        self.points, self.sizes = points[self.order], sizes[self.order]
-        self.levels = [(self.points, self.sizes, self.sizes)]  # (maxima, least size, most size) of each node
+        unit = np.zeros(len(sizes), np.int64) if unit is None else unit
+        self.order = np.lexsort((points[:, 2], points[:, 1], points[:, 0], sizes, unit))
+        points, sizes, unit = points[self.order], sizes[self.order], unit[self.order]
+        # of each node: maxima, least and most size, first and last unit
+        self.levels = [(points, sizes, sizes, unit, unit)]
         fan = LEAF
         while len(self.levels[-1][0]) > 1:
-            top, least, most = self.levels[-1]
+            top, least, most, first, last = self.levels[-1]
             cuts = np.arange(0, len(top), fan)
-            self.levels.append((np.maximum.reduceat(top, cuts), np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts)))
+            ends = np.append(cuts[1:], len(top)) - 1
+            self.levels.append((np.maximum.reduceat(top, cuts), np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts),
+                                first[cuts], last[ends]))
             fan = 8
-
-    def _survive(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which node pairs may hold a link: the bound on the overlap against the least that is needed."""
-        top, least, most = self.levels[level]
-        keep = (most[a] * self.den >= self.num * least[b]) & (most[b] * self.den >= self.num * least[a])
+        self.seen = [0] * len(self.levels)  # node pairs looked at, by level
+        self.kept = [0] * len(self.levels)
+
+    def _survive(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The node pairs that may hold a link: the bound on the overlap against the least that is needed."""
+        top, least, most, first, last = self.levels[level]
+        fine = np.flatnonzero((first[a] <= last[b]) & (first[b] <= last[a])
+                              & (most[a] * self.den >= self.num * least[b]) & (most[b] * self.den >= self.num * least[a]))
+        a, b = a[fine], b[fine]
         need = self.num * (least[a] + least[b])
+        keep = np.zeros(len(a), bool)
         for i in range(0, len(a), 8192):
             s = slice(i, i + 8192)
-            overlap = np.minimum(top[a[s]], top[b[s]]).sum(1, dtype=np.int64)
-            keep[s] &= overlap * (self.num + self.den) >= need[s]
-        return keep
+            keep[s] = np.minimum(top[a[s]], top[b[s]]).sum(1, dtype=np.int64) * (self.num + self.den) >= need[s]
+        self.seen[level] += len(a)
+        self.kept[level] += int(keep.sum())
+        return a[keep], b[keep]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Surviving pairs of different points, as positions in the arrays given."""
+        """Surviving pairs of different points of a unit, as positions in the arrays given."""
         a = b = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, 0, -1):
-            keep = self._survive(level, a, b)
-            a, b = a[keep], b[keep]
+            a, b = self._survive(level, a, b)
             fan, n = LEAF if level == 1 else 8, len(self.levels[level - 1][0])
-            i, j = np.divmod(np.arange(min(fan, n) ** 2), min(fan, n))
-            x, y = (a[:, None] * fan + i).ravel(), (b[:, None] * fan + j).ravel()
-            same = (x <= y) if level > 1 else (x < y)
-            fine = same & (x < n) & (y < n)
-            a, b = x[fine], y[fine]
-        keep = self._survive(0, a, b)
-        return self.order[a[keep]], self.order[b[keep]]
+            i, j = np.divmod(np.arange(fan ** 2), fan)
+            low = []
+            for s in range(0, len(a), 1024):
+                x, y = (a[s:s + 1024, None] * fan + i).ravel(), (b[s:s + 1024, None] * fan + j).ravel()
+                fine = ((x <= y) if level > 1 else (x < y)) & (x < n) & (y < n)
+                x, y = x[fine], y[fine]
+                low.append(self._survive(0, x, y) if level == 1 else (x, y))
+            a, b = (np.concatenate([p[k] for p in low] or [a[:0]]) for k in (0, 1))
+        return (self.order[a], self.order[b]) if len(self.levels) > 1 else (a[:0], b[:0])
+
 
-    def bounded(self, a: np.ndarray, b: np.ndarray, points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        overlap = np.minimum(points[a], points[b]).sum(1, dtype=np.int64)
-        return overlap / (sizes[a] + sizes[b] - overlap)
+def bounded(a: np.ndarray, b: np.ndarray, points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The most that the similarity of pairs can be."""
+    overlap = np.empty(len(a), np.int64)
+    for i in range(0, len(a), 8192):
+        overlap[i:i + 8192] = np.minimum(points[a[i:i + 8192]], points[b[i:i + 8192]]).sum(1, dtype=np.int64)
+    return overlap / (sizes[a] + sizes[b] - overlap)
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Positions of the pairs of a maximum spanning forest."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    chosen = []
-    for i in np.lexsort((b, a, -weight)).tolist():
-        x, y = find(int(a[i])), find(int(b[i]))
-        if x != y:
-            root[y] = x
-            chosen.append(i)
-            if len(chosen) == n - 1:
-                break
-    return np.array(chosen, np.int64)
-
-
-def unit_pairs(ids: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, label: np.ndarray,
-               num: int, den: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of one unit of a shard.
-
-    A spanning forest of the pairs that have a member on side 0; or (``whole``) all pairs between labels, which lie on
-    different sides if the unit has two.
+    """Positions of the pairs of a maximum spanning forest (Boruvka: every tree takes its best pair, and again)."""
+    place = np.lexsort((b, a, -weight))
+    a, b, label, chosen = a[place], b[place], np.arange(n), []
+    while len(a):
+        best = np.full(n, len(a))
+        np.minimum.at(best, label[a], np.arange(len(a)))
+        np.minimum.at(best, label[b], np.arange(len(a)))
+        pick = np.unique(best[best < len(a)])
+        chosen.append(place[pick])
+        root = {}
+        for x, y in zip(label[a[pick]].tolist(), label[b[pick]].tolist(), strict=True):
+            while root.get(x, x) != x:
+                x = root[x]
+            while root.get(y, y) != y:
+                y = root[y]
+            root[max(x, y)] = min(x, y)
+        for x in sorted(root):  # smaller ones are settled before
+            root[x] = root.get(root[x], root[x])
+        if root:
+            to = np.arange(n)
+            to[list(root)] = list(root.values())
+            label = to[label]
+        live = label[a] != label[b]
+        a, b, place = a[live], b[live], place[live]
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+
+
+def unit_pairs(unit: np.ndarray, ids: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, label: np.ndarray,
+               num: int, den: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs of whole units, with the most that their similarity can be.
+
+    Per unit a spanning forest of the pairs that have a member on side 0; or (``whole``) all pairs between labels, which
+    lie on different sides if the unit has two.
     """
-    tree = RTree(points, sizes, num, den)
-    a, b = tree.pairs()
+    a, b = RTree(points, sizes, num, den, unit).pairs()
     fine = (label[a] != label[b]) & (ids[a] != ids[b])
     if not whole:
         fine &= (side[a] == 0) | (side[b] == 0)
-    elif side.any():
-        fine &= side[a] != side[b]
+    else:
+        two = np.zeros(int(unit.max(initial=0)) + 1, bool)
+        two[unit[side == 1]] = True
+        fine &= ~two[unit[a]] | (side[a] != side[b])
     a, b = a[fine], b[fine]
+    weight = bounded(a, b, points, sizes)
     if not whole and len(a) > 1:
-        pick = forest(len(ids), a, b, tree.bounded(a, b, points, sizes))
-        a, b = a[pick], b[pick]
-    return np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
+        pick = forest(len(ids), a, b, weight)
+        a, b, weight = a[pick], b[pick], weight[pick]
+    return np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), weight
 
 
 def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
-    """(shard, unit, side, class, size, point, label) -> distinct candidate pairs (a, b), a < b."""
-    rows = shared.repartition("shard", "unit").sortWithinPartitions("shard", "unit", "class")
-    columns = ["shard", "unit", "side", "class", "size", "point", "label"]
+    """(shard, unit, side, class, size, point, label) -> distinct candidate pairs a < b, with their weight."""
+    rows = shared.withColumn("unit", F.concat_ws(":", "shard", "unit")).repartition("unit").sortWithinPartitions("unit", "class")
 
     def run(batches) -> Iterator[dict]:
         def work(table: pa.Table) -> dict:
-            shard, side, ids, sizes, label = (table.column(c).to_numpy() for c in ("shard", "side", "class", "size", "label"))
-            unit = np.unique(table.column("unit").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)[1].ravel()
-            points = points_of(table.column("point").to_pylist())
-            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(unit) != 0)) + 1
-            found = [unit_pairs(ids[s:e], sizes[s:e], points[s:e], side[s:e], label[s:e], num, den, whole)
-                     for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True) if e - s > 1]
-            return {"a": pa.array(np.concatenate([x for x, _ in found] or [ids[:0]])),
-                    "b": pa.array(np.concatenate([x for _, x in found] or [ids[:0]]))}
-
-        held = None
+            side, ids, sizes, label = (table.column(c).to_numpy() for c in ("side", "class", "size", "label"))
+            unit = table.column("unit").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+            a, b, weight = unit_pairs(unit, ids, sizes, points_of(table.column("point").to_pylist()), side, label, num, den, whole)
+            return {"a": pa.array(a), "b": pa.array(b), "weight": pa.array(weight)}
+
+        held: list[pa.Table] = []
+        size = 0
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([held, table]) if held is not None else table
-            if not table.num_rows:
+            if not batch.num_rows:
                 continue
-            shard, unit = table.column("shard").to_numpy(), table.column("unit").to_numpy(zero_copy_only=False)
-            last = np.flatnonzero((shard != shard[-1]) | (unit != unit[-1]))
-            done = int(last[-1]) + 1 if len(last) else 0  # the last unit may go on in the next batch
-            if done:
-                yield work(table.slice(0, done))
-            held = table.slice(done).combine_chunks()
-        if held is not None and held.num_rows:
-            yield work(held)
-
-    return mapped(rows.select(*columns), run, "a long, b long").distinct()
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.num_rows
+            if size >= CHUNK:
+                table = pa.concat_tables(held).combine_chunks()
+                unit = table.column("unit").combine_chunks().dictionary_encode().indices.to_numpy()
+                done = int(np.argmax(unit == unit[-1]))  # the last unit may go on in the next batch
+                if done:
+                    yield work(table.slice(0, done))
+                held = [table.slice(done)]
+                size = table.num_rows - done
+        if size:
+            yield work(pa.concat_tables(held).combine_chunks())
+
+    found = mapped(rows.select("unit", "side", "class", "size", "point", "label"), run, "a long, b long, weight double")
+    return found.groupBy("a", "b").agg(F.max("weight").alias("weight"))
 
 
 # ---- members of shards ------------------------------------------------------------------------
@@ -432,17 +460,31 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
     placed = lambda df: df.join(first.select("class", "size", "point"), "class")
 
     tried = materialise(candidates(placed(first_units(members)).withColumn("label", F.col("class")), num, den, whole=False), "ngram-pairs")
-    links = materialise(verify(docs, tried, first, width, num, den), "ngram-links")
+    # the best pairs of each class first; of the others, those that do not lie within a component by then
+    ends = tried.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "weight")
+    order = Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")
+    best = materialise(ends.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PARTNERS).select("a", "b").distinct(), "ngram-best")
+    links = materialise(verify(docs, best, first, width, num, den), "ngram-links")
     member = components(links)
 
+    def torn(pairs: DataFrame) -> DataFrame:
+        of = lambda c: member.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+        named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        return named.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+    def add(pairs: DataFrame) -> None:
+        nonlocal links, member
+        pairs = materialise(pairs, "ngram-pairs")
+        if not pairs.isEmpty():
+            links = materialise(links.unionByName(verify(docs, pairs, first, width, num, den)), "ngram-links")
+            member = components(links)
+
+    add(torn(tried.select("a", "b").join(best, ["a", "b"], "left_anti")))
     # what is left: pairs of a shard whose members lie in different components
     labelled = members.join(member.withColumnRenamed("node", "class"), "class", "left").select(
         "shard", "class", F.coalesce("component", "class").alias("label"))
     rest = candidates(placed(second_units(labelled)), num, den, whole=True)
-    rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
-    if not rest.isEmpty():
-        more = verify(docs, rest, first, width, num, den)
-        member = components(links.unionByName(more))
+    add(rest.select("a", "b").join(tried, ["a", "b"], "left_anti"))
 
     # linked classes: the smallest document of each component; others: of their class
     linked = member.withColumnRenamed("node", "class").join(first.select("class", "doc_id"), "class")

@@ -91,6 +91,47 @@ def test_tree_finds_what_comparing_all_points_finds(n):
     assert found == want and len(found) == len(a)
 
 
+def test_inner_nodes_prune():
+    """A tree of many leaves and units: most pairs of nodes and points are never looked at."""
+    rng = np.random.default_rng(8)
+    base = rng.poisson(6, (60, N.DIMENSIONS))
+    points = (base[rng.integers(0, 60, 3000)] + (rng.random((3000, N.DIMENSIONS)) < 0.03)).astype(np.int32)
+    points[:1500] *= rng.integers(1, 6, (1500, 1))  # sizes that differ
+    sizes, unit = points.sum(1).astype(np.int64), rng.integers(0, 5, 3000)
+    tree = N.RTree(points, sizes, 9, 10, unit)
+    a, b = tree.pairs()
+    found = {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    want = set()
+    for i in range(3000):
+        j = np.arange(i + 1, 3000)
+        j = j[unit[j] == unit[i]]
+        fine = np.minimum(points[i], points[j]).sum(1) * 19 >= 9 * (sizes[i] + sizes[j])
+        fine &= 10 * np.minimum(sizes[i], sizes[j]) >= 9 * np.maximum(sizes[i], sizes[j])
+        want |= {(i, int(x)) for x in j[fine]}
+    assert found == want
+    leaves = len(tree.levels[1][0])
+    assert leaves > 90 and tree.kept[1] < 0.25 * leaves ** 2 / 2  # pairs of leaves that survive
+    assert tree.seen[0] < 0.1 * 3000 ** 2 / 2  # pairs of points compared
+
+
+def test_forest_spans_and_takes_the_best():
+    rng = np.random.default_rng(3)
+    for n in (2, 7, 40):
+        a, b = np.triu_indices(n, 1)
+        some = rng.random(len(a)) < 0.3
+        a, b, weight = a[some], b[some], rng.integers(0, 5, some.sum()) / 4
+        pick = N.forest(n, a, b, weight)
+        edges = list(zip(a.tolist(), b.tolist(), strict=True))
+        assert plain.components(range(n), edges) == plain.components(range(n), [edges[i] for i in pick])
+        assert len(pick) == n - len(set(plain.components(range(n), edges).values()))
+        total, root = 0.0, []
+        for i in np.argsort(-weight, kind="stable"):  # greedily
+            if plain.components(range(n), root) != plain.components(range(n), [*root, edges[i]]):
+                root.append(edges[i])
+                total += weight[i]
+        assert abs(total - weight[pick].sum()) < 1e-9
+
+
 def test_query(spark):
     from lakehold.llm.queries import op10_ngram_rtree
 
