@@ -1,6 +1,8 @@
 """Helpers that several of the operators share."""
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -24,6 +26,15 @@ def parts(n_bytes: int, per_part: int) -> int:
     return max(1, -(-int(n_bytes) // per_part))
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: Python workers live on and share the executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` for functions that yield dicts of column -> list.
 
@@ -41,6 +52,7 @@ def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                  for f, c in zip(out, columns.values(), strict=True)], schema=out)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

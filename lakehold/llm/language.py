@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm._base import mapped, slices
+from lakehold.llm._base import give_back, mapped, slices
 
 MAX_DOCS = 1500
 SWITCH = 6.0
@@ -227,7 +227,7 @@ class Labeller:
     probability of that language against the next best over those words.
     """
 
-    def __init__(self, model: Model, switch: float = SWITCH, most_words: int = 400_000):
+    def __init__(self, model: Model, switch: float = SWITCH, most_words: int = 200_000):
         self.model, self.switch, self.most, self.alphabet = model, switch, most_words, Alphabet()
         self._forget()
 
@@ -273,7 +273,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
 
     def label(batches) -> Iterator[dict]:
         labels = Labeller(shared.value, switch)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text"):
             found = list(labels(batch.column("text").to_pylist()))
             yield {"doc_id": batch.column("doc_id"), "lang_pred": [x for x, _, _ in found],
                    "score": [x for _, x, _ in found], "spans": [x for _, _, x in found]}
@@ -299,8 +299,10 @@ def accepted(docs: DataFrame, least_score: float = 0.25, max_docs: int = MAX_DOC
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = Labeller(shared.value)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text"):
             yield batch.filter(pa.array([lang != UND and score >= least_score and learned >= 0.5
                                          for lang, score, _, learned in labels.judged(batch.column("text").to_pylist())], pa.bool_()))
+        del labels
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)

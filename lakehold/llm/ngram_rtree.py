@@ -75,7 +75,7 @@ class _Hashes(dict):
 class Shingles:
     """The sorted distinct shingle hashes of texts; keeps the hashes of up to a number of words."""
 
-    def __init__(self, width: int, most_words: int = 300_000):
+    def __init__(self, width: int, most_words: int = 100_000):
         self.width, self.most, self.hashes = width, most_words, _Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
