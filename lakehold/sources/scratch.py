@@ -7,7 +7,9 @@ when that process ends.
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,11 +25,38 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+# Spark's own switch: shuffle files of an execution go when it ends, not when the driver collects garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _inside = threading.Lock(), {}
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession):
+    """Within the block, an execution's shuffle files are removed at its end. The session's value comes
+    back when the last of the blocks that run side by side is left."""
+    with _lock:
+        n, before = _inside.get(spark, (0, spark.conf.get(CLEANUP, None)))
+        _inside[spark] = n + 1, before
+        if before is not None:
+            spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            n, before = _inside.pop(spark)
+            if n > 1:
+                _inside[spark] = n - 1, before
+            elif before is not None:
+                spark.conf.set(CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back."""
+    """Write ``df`` as Parquet into the shared folder and read it back. What was shuffled for it is
+    not needed any more and goes."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_end(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
