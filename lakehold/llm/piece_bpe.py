@@ -65,7 +65,7 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
 class Pieces:
     """The pieces of a BPE model file, and what encoding and decoding need of them."""
 
-    def __init__(self, path: str, most_words: int = 300_000, most_pairs: int = 400_000):
+    def __init__(self, path: str, most_words: int = 120_000, most_pairs: int = 200_000):
         import ahocorasick
 
         with open(path, "rb") as f:
@@ -187,6 +187,10 @@ class Pieces:
             out.append(ids)
         return b"".join(out)
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.pairs.clear()
+
     # ---- decoding ----
 
     def decode(self, ids: list[int]) -> str:
@@ -228,22 +232,31 @@ _models: dict[str, Pieces] = {}
 
 
 def pieces(path: str) -> Pieces:
-    """One per Python worker, whose caches serve all its tasks."""
+    """One per Python worker; a task forgets its words when it ends."""
     if path not in _models:
         _models[path] = Pieces(path)
     return _models[path]
 
 
+def _encoded(p: Pieces, batches, end: bool) -> Iterator[dict]:
+    tail = np.array([p.end] * end, "<i4").tobytes()
+    for batch in slices(batches, "text", 1 << 20):
+        coded = [p.encode(t) + tail for t in batch.column("text").to_pylist()]
+        ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
+        flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
+        yield {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)}
+    p.forget()
+
+
+def _decoded(p: Pieces, ids: pa.ListArray) -> list[str | None]:
+    flat, cuts = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
+    return [p.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(cuts, cuts[1:], ids.is_valid().to_pylist(), strict=False)]
+
+
 def encode(docs: DataFrame, model: str, end: bool = True) -> DataFrame:
     """(doc_id, text) -> doc_id, ids (array of int)."""
     def run(batches) -> Iterator[dict]:
-        p = pieces(model)
-        tail = np.array([p.end] * end, "<i4").tobytes()
-        for batch in slices(batches, "text", 1 << 20):
-            coded = [p.encode(t) + tail for t in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
-            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
-            yield {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)}
+        yield from _encoded(pieces(model), batches, end)
 
     return mapped(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>")
 
@@ -255,18 +268,24 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                ids = batch.column("ids")
-                flat, cuts = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
-                texts = [p.decode(flat[a:b].tolist()) if ok else None
-                         for a, b, ok in zip(cuts, cuts[1:], ids.is_valid().to_pylist(), strict=False)]
-                yield {"doc_id": batch.column("doc_id"), "ids": ids, "text": texts}
+                yield {"doc_id": batch.column("doc_id"), "ids": batch.column("ids"), "text": _decoded(p, batch.column("ids"))}
 
     return mapped(encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, model: str) -> DataFrame:
+    """(doc_id, text) -> doc_id, ids, text: ``decode(encode(docs))`` in one worker instead of two a task."""
+    def run(batches) -> Iterator[dict]:
+        p = pieces(model)
+        for row in _encoded(p, batches, True):
+            yield {**row, "text": _decoded(p, row["ids"])}
+
+    return mapped(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>, text string")
+
+
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row's encoding and its decoding."""
-    coded = decode(encode(docs, model), model)
+    coded = round_trip(docs, model)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
