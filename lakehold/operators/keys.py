@@ -11,8 +11,14 @@ from pyspark.sql import functions as F
 
 from lakehold.operators.joins import join_keyset, key_set
 
-# where a row stood in its source: run, file, block of the file, row number
-ARRIVAL = ("_arrival_run", "_file", "_block", "_ordinal")
+DRAIN = "_drain"   # the micro-batch that landed a streamed row; row numbers begin anew in each
+# where a row stood in its source: run, micro-batch, file (by name, as text), block of the file, row number
+ARRIVAL = ("_arrival_run", DRAIN, "_file", "_block", "_ordinal")
+
+
+def drain_of(df: DataFrame) -> Column:
+    """The micro-batch of a row; empty for rows of batch sources."""
+    return F.coalesce(F.col(DRAIN), F.lit("")) if DRAIN in df.columns else F.lit("")
 
 
 def order_struct(columns: list[str]) -> Column:

@@ -17,7 +17,7 @@ from lakehold.operators.quality import round_half_up
 PROFILE_SCHEMA = "layer string, dataset string, column string, rows long, null_pct double, n_distinct long"
 
 # bookkeeping columns (arrival position, provenance) are not profiled
-INTERNAL = ("_ordinal", "_file", "_block", "_arrival_run", "_origin_run", "_origin_ordinal", "run_id")
+INTERNAL = ("_ordinal", "_file", "_block", "_arrival_run", "_drain", "_origin_run", "_origin_drain", "_origin_ordinal", "_modified", "run_id")
 
 
 def _value(df: DataFrame, name: str):

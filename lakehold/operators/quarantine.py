@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from lakehold.contracts import Contract
 from lakehold.operators import quality as Q
 from lakehold.operators.joins import join_keyset, key_set
-from lakehold.operators.keys import arrival_order, order_struct
+from lakehold.operators.keys import DRAIN, arrival_order, drain_of, order_struct
 from lakehold.operators.silver import drop_control
 
 
 def quarantine_rows(fl: Q.Flagged, reason: str, run_id: str, at: str) -> DataFrame:
     """Sink shape: the input row (control columns included) + ``_reason``,
-    ``_failed_rules`` (array<string>), ``_quarantined_at``, ``run_id``. ``_bronze_run_id`` and
-    ``_ordinal`` say which row of which Bronze run it was at first."""
+    ``_failed_rules`` (array<string>), ``_quarantined_at``, ``run_id``. ``_bronze_run_id``, ``_drain`` (streams)
+    and ``_ordinal`` say which row of which Bronze run it was at first."""
     data = [c for c in fl.data_columns() if c not in ("run_id", "_bronze_run_id", "_arrival_run")]
     origin = next((F.col(c) for c in ("_bronze_run_id", "_arrival_run", "run_id") if c in fl.df.columns),
                   F.lit(None).cast("string"))
@@ -66,7 +66,7 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     data = [x for x in bronze.columns if not x.startswith("_") and x != "run_id"]
     run = F.coalesce(F.col("_bronze_run_id"), F.lit("")) if "_bronze_run_id" in quarantined.columns else F.lit("")
     place = F.col("_ordinal") if "_ordinal" in quarantined.columns else F.lit(None).cast("long")
-    copies = quarantined.select(*data, run.alias("_bronze_run_id"), place.alias("_ordinal"))
+    copies = quarantined.select(*data, run.alias("_bronze_run_id"), drain_of(quarantined).alias(DRAIN), place.alias("_ordinal"))
     key = c.key
     if key is None:
         copies = copies.withColumn("_first", F.lit(True))
@@ -76,14 +76,15 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
         rows = join_keyset(bronze, asked, lambda b, k: b[key] == k["_ck"], "left_semi")
         of_run = F.col("run_id") if "run_id" in bronze.columns else F.lit("")
         order = arrival_order(bronze, c.order_by)
-        firsts = rows.groupBy(F.col(key).alias("_ck"), of_run.alias("_cr")).agg(
-            F.min(order_struct(order)).getField("_ordinal").alias("_cf"))
+        least = F.min(F.struct(order_struct(order).alias("o"), drain_of(bronze).alias("d")))
+        firsts = rows.groupBy(F.col(key).alias("_ck"), of_run.alias("_cr")).agg(least.alias("_m")).select(
+            "_ck", "_cr", F.struct(F.col("_m.d").alias("d"), F.col("_m.o._ordinal").alias("n")).alias("_cf"))
         copies = copies.join(key_set(firsts), (F.col(key) == F.col("_ck")) & (F.col("_bronze_run_id") == F.col("_cr")), "left")
-        copies = copies.withColumn("_first", F.col(key).isNull() | F.coalesce(F.col("_cf") == F.col("_ordinal"), F.lit(False)))
-    latest = F.max(F.struct("_bronze_run_id", "_first", (-F.col("_ordinal")).alias("_back")))
+        copies = copies.withColumn("_first", F.col(key).isNull() | F.coalesce((F.col("_cf.d") == F.col(DRAIN)) & (F.col("_cf.n") == F.col("_ordinal")), F.lit(False)))
+    latest = F.max(F.struct("_bronze_run_id", "_first", DRAIN, (-F.col("_ordinal")).alias("_back")))
     cand = copies.groupBy(*data).agg(latest.alias("_pick")).select(
         *data, F.nullif(F.col("_pick._bronze_run_id"), F.lit("")).alias("_bronze_run_id"),
-        (-F.col("_pick._back")).alias("_ordinal"), F.col("_pick._first").alias("_first"))
+        F.col(f"_pick.{DRAIN}").alias(DRAIN), (-F.col("_pick._back")).alias("_ordinal"), F.col("_pick._first").alias("_first"))
     fl = Q.flag(cand, c, refs, as_of, {r.kind for r in c.rules} - {"unique"})
     df = fl.df
     for i, r in enumerate(c.rules):

@@ -27,6 +27,7 @@ from lakehold.operators import profile as P
 from lakehold.operators import quality as Q
 from lakehold.operators import quarantine as QR
 from lakehold.operators.joins import join_keyset, key_set
+from lakehold.operators.keys import DRAIN, drain_of
 from lakehold.operators.silver import to_silver
 from lakehold.plans.parallel import run_all, wrap
 from lakehold.session import sized_shuffles
@@ -194,15 +195,21 @@ def read_bronze_for_silver(lake: Lake, name: str) -> DataFrame:
     if "_origin_run" not in df.columns:
         return df.withColumn("_arrival_run", F.col("run_id"))
     # a row that two reprocessing runs returned comes back once
+    at = F.coalesce(F.col("_origin_drain"), F.lit("")) if "_origin_drain" in df.columns else F.lit("")
+    df = df.withColumn("_origin_drain", at)
     own = df.where(F.col("_origin_run").isNull())
     back = df.where(F.col("_origin_run").isNotNull())
-    latest = back.groupBy("_origin_run", "_origin_ordinal").agg(F.max("run_id").alias("run_id"))
-    back = back.join(latest, ["_origin_run", "_origin_ordinal", "run_id"], "left_semi")
-    returned = key_set(back.select(F.col("_origin_run").alias("_xr"), F.col("_origin_ordinal").alias("_xo")))
-    kept = join_keyset(own, returned, lambda big, keys: (big["run_id"] == keys["_xr"]) & (big["_ordinal"] == keys["_xo"]), "left_anti")
+    origin = ["_origin_run", "_origin_drain", "_origin_ordinal"]
+    latest = back.groupBy(*origin).agg(F.max("run_id").alias("run_id"))
+    back = back.join(latest, [*origin, "run_id"], "left_semi")
+    returned = key_set(back.select(F.col("_origin_run").alias("_xr"), F.col("_origin_drain").alias("_xd"), F.col("_origin_ordinal").alias("_xo")))
+    own = own.withColumn("_own_drain", drain_of(own))
+    kept = join_keyset(own, returned, lambda big, keys: (big["run_id"] == keys["_xr"]) & (big["_own_drain"] == keys["_xd"])
+                       & (big["_ordinal"] == keys["_xo"]), "left_anti").drop("_own_drain")
+    place = {DRAIN: F.when(F.col("_origin_run").isNotNull(), F.col("_origin_drain")).otherwise(F.col(DRAIN))} if DRAIN in df.columns else {}
     return kept.unionByName(back).withColumns({
-        "_arrival_run": F.coalesce(F.col("_origin_run"), F.col("run_id")),
-        "_ordinal": F.coalesce(F.col("_origin_ordinal"), F.col("_ordinal"))})
+        "_arrival_run": F.coalesce(F.col("_origin_run"), F.col("run_id")), **place,
+        "_ordinal": F.coalesce(F.col("_origin_ordinal"), F.col("_ordinal"))}).drop("_origin_drain")
 
 
 def _silver_dataset(run: Run, ds: str, refs: dict) -> dict:
@@ -331,8 +338,15 @@ def governance(run: Run, exact: bool = True) -> DataFrame:
 
 def read_profile(lake: Lake) -> DataFrame:
     """Long-form profile: layer, dataset, column, rows, null_pct, n_distinct."""
-    return lake._reader().load(lake.path("catalog", "profile")).select(
-        "layer", "dataset", "column", "rows", "null_pct", "n_distinct")
+    out = None
+    for layer in ("bronze", "silver"):
+        if lake.exists("catalog", f"profile/layer={layer}"):
+            part = lake.read("catalog", f"profile/layer={layer}").withColumn("layer", F.lit(layer)).select(
+                "layer", "dataset", "column", "rows", "null_pct", "n_distinct")
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise TableMissing("no profile yet")
+    return out
 
 
 # ---- run record ---------------------------------------------------------------------------------
@@ -424,7 +438,7 @@ def reprocess(spark: SparkSession, lake: Lake, dataset: str, as_of=None, contrac
         n, n_bad = counts["n"], counts["n_invalid"]
         if n - n_bad:
             returned = fl.valid().select(*fl.public_columns(), F.col("_bronze_run_id").alias("_origin_run"),
-                                         F.col("_ordinal").alias("_origin_ordinal"))
+                                         F.nullif(F.col(DRAIN), F.lit("")).alias("_origin_drain"), F.col("_ordinal").alias("_origin_ordinal"))
             lake.write_bronze(returned, dataset, REPROCESS_SOURCE, run.run_id, run.ts)
             run.edge(f"quarantine/{dataset}", f"bronze/{dataset}", "reprocess", n - n_bad)
         if n_bad:

@@ -4,7 +4,10 @@ Paths are Hadoop paths (local, HDFS, object store); all IO goes through Spark.
 - Bronze is append-only, partitioned by ``run_id``; readers take given runs or the latest.
 - Quarantine is one table per dataset, partitioned by ``run_id``; a ledger records the
   batches already reprocessed.
-- Silver and Gold tables are replaced per run.
+- Silver, Gold and catalogue tables are replaced by versions: a new one is written beside the old and counts
+  from the moment its marker stands, so readers see the old rows or the new and a failed write
+  changes nothing. The version before stays for readers that began with it.
+- Partitions (a run, a micro-batch) are written into a staging folder and moved to their place whole.
 - Run records, alerts, lineage edges and the ledger are appended as JSON lines.
 """
 from __future__ import annotations
@@ -18,8 +21,9 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from lakehold.contracts import STREAM_DATASETS
-from lakehold.operators.keys import with_position
+from lakehold.operators.keys import DRAIN, with_position
 
+VERSION, COMMITTED = "v-", "_committed"   # folder of a version; the marker of a whole one
 LAYERS = ("raw", "bronze", "silver", "gold", "quarantine", "catalog", "logs")
 
 
@@ -65,15 +69,44 @@ class Lake:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
+    def _children(self, layer: str, name: str) -> list[str]:
+        fs, p = self._fs(self.path(layer, name))
+        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _versions(self, layer: str, name: str) -> list[str]:
+        """The written versions of a replaced table, oldest first."""
+        fs, p = self._fs(self.path(layer, name))
+        made = self.spark._jvm.org.apache.hadoop.fs.Path
+        return [v for v in self._children(layer, name) if v.startswith(VERSION) and fs.exists(made(f"{p}/{v}/{COMMITTED}"))]
+
+    def location(self, layer: str, name: str) -> str:
+        """Where a table's rows lie now: its last written version, or the folder itself."""
+        versions = self._versions(layer, name)
+        return f"{self.path(layer, name)}/{versions[-1]}" if versions else self.path(layer, name)
+
     def exists(self, layer: str, name: str) -> bool:
         fs, p = self._fs(self.path(layer, name))
-        return bool(fs.exists(p))
+        if not fs.exists(p):
+            return False
+        return bool(self._versions(layer, name)) or not any(c.startswith(VERSION) for c in self._children(layer, name))
 
     def delete(self, layer: str, name: str) -> None:
         fs, p = self._fs(self.path(layer, name))
         if fs.exists(p):
             fs.delete(p, True)
 
+    def put_partition(self, df: DataFrame, layer: str, name: str, partition: str) -> DataFrame:
+        """Write a partition whole, in place of what stands there: files are staged and moved by one rename (on
+        object stores, where a rename is a copy, readers may see a part of it for a moment). Returns its rows."""
+        staged, target = f"{self.path(layer, name)}/_staging/{uuid.uuid4().hex}", f"{self.path(layer, name)}/{partition}"
+        df.write.parquet(staged)
+        fs, p = self._fs(target)
+        fs.delete(p, True)
+        fs.mkdirs(p.getParent())
+        if not fs.rename(self.spark._jvm.org.apache.hadoop.fs.Path(staged), p):
+            raise OSError(f"could not move {staged} to {target}")
+        return self.spark.read.parquet(target)
+
     def list_partitions(self, layer: str, name: str, column: str = "run_id") -> list[str]:
         """Partition values present under a table (directory listing, no data read)."""
         fs, p = self._fs(self.path(layer, name))
@@ -96,8 +129,9 @@ class Lake:
 
     def has_rows_of(self, layer: str, name: str) -> bool:
         """Whether a table holds data files, of no row maybe: a folder alone is no table."""
-        fs, p = self._fs(self.path(layer, name))
-        return bool(fs.exists(p)) and self._has_data(fs, p)
+        if not self.exists(layer, name):
+            return False
+        return self._has_data(*self._fs(self.location(layer, name)))
 
     # ---- generic tables ----------------------------------------------------------------
     def _reader(self):
@@ -111,19 +145,26 @@ class Lake:
         try:
             if not self.exists(layer, name):
                 raise TableMissing(f"no {layer} data for {name} at {path}")
-            return self._reader().load(path)
+            return self._reader().load(self.location(layer, name))
         except AnalysisException as exc:
             raise TableMissing(f"no {layer} data for {name} at {path}") from exc
 
-    def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
-              partition_by: list[str] | None = None) -> None:
-        w = df.write.mode(mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
+    def write(self, df: DataFrame, layer: str, name: str) -> None:
+        """Replace a table: write the next version, then mark it as written."""
+        base, before = self.path(layer, name), self._children(layer, name)
+        written = self._versions(layer, name)
+        number = max((int(v.split("-")[1]) for v in before if v.startswith(VERSION)), default=-1) + 1
+        target = f"{base}/{VERSION}{number:09d}-{uuid.uuid4().hex[:8]}"
         if self.fmt == "csv":
-            w.option("header", True).csv(self.path(layer, name))
+            df.write.option("header", True).csv(target)
         else:
-            w.parquet(self.path(layer, name))
+            df.write.parquet(target)
+        fs, marker = self._fs(f"{target}/{COMMITTED}")
+        fs.create(marker).close()
+        # the version before stays; older ones, and files from before there were versions, go
+        for old in before:
+            if (old < written[-1]) if written and old.startswith(VERSION) else not old.startswith(VERSION):
+                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{old}"), True)
 
     # ---- raw files ------------------------------------------------------------------------
     def read_raw_csv(self, name: str, schema: T.StructType) -> DataFrame:
@@ -151,17 +192,17 @@ class Lake:
     def write_bronze(self, df: DataFrame, name: str, source: str, run_id: str, run_ts: str) -> int:
         """Write a run's partition, replacing what an earlier attempt of the run left; the number of
         rows, from the written files. A source without rows gives a partition without rows."""
-        path = f"{self.path('bronze', name)}/run_id={run_id}"
+        partition = f"run_id={run_id}"
         if name in STREAM_DATASETS:   # next to drained micro-batches, at their depth
-            path += "/drain_batch=-1"
-        with_control_columns(df, source, run_id, run_ts).drop("run_id").write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path).count()
+            partition += "/drain_batch=run"
+        placed = with_control_columns(df, source, run_id, run_ts).drop("run_id", DRAIN)
+        return self.put_partition(placed, "bronze", name, partition).count()
 
     def bytes_of(self, layer: str, name: str, partitions: list[str] | None = None,
                  column: str = "run_id") -> int:
         """Stored size of a table (or of some of its partitions), from the file system."""
         base = self.path(layer, name)
-        paths = [f"{base}/{column}={p}" for p in partitions] if partitions else [base]
+        paths = [f"{base}/{column}={p}" for p in partitions] if partitions else [self.location(layer, name)]
         total = 0
         for path in paths:
             fs, p = self._fs(path)
@@ -174,7 +215,8 @@ class Lake:
 
     def read_bronze(self, name: str, run_ids: list[str] | None = None) -> DataFrame:
         """Bronze rows of the given runs (default: the latest run). Partition pruning keeps
-        the scan to those runs."""
+        the scan to those runs. Rows of streams say in ``_drain`` which micro-batch (or the run itself) landed
+        them: positions are unique within it."""
         runs = run_ids or self.bronze_runs(name)[-1:]
         if not runs:
             raise TableMissing(f"no bronze data for {name}")
@@ -182,12 +224,13 @@ class Lake:
         # runs may differ in columns: returned rows carry provenance, drains are cut by batch
         reader = self.spark.read.option("basePath", base).option("mergeSchema", "true")
         # list only the selected run partitions, not the table's whole history
-        return reader.parquet(*[f"{base}/run_id={r}" for r in runs]).drop("drain_batch")
+        rows = reader.parquet(*[f"{base}/run_id={r}" for r in runs])
+        return rows.withColumn(DRAIN, F.col("drain_batch").cast("string")).drop("drain_batch") if "drain_batch" in rows.columns else rows
 
     # ---- quarantine -------------------------------------------------------------------------
     def write_quarantine(self, rows: DataFrame, name: str, run_id: str) -> None:
         """Write a run's quarantine partition, replacing what an earlier attempt of the run left."""
-        rows.drop("run_id").write.mode("overwrite").parquet(f"{self.path('quarantine', name)}/run_id={run_id}")
+        self.put_partition(rows.drop("run_id"), "quarantine", name, f"run_id={run_id}")
 
     def read_quarantine(self, name: str) -> DataFrame:
         """All batches; a column that came with a later one is null in the others."""

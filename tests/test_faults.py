@@ -149,7 +149,7 @@ def test_damaged_gold_is_critical_and_rebuilt(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     src, events = sources(spark)
     run_pipeline(spark, lake, src, events, as_of=td.AS_OF, gate_threshold=0.0)
-    folder = lake.path("gold", "kpis")
+    folder = lake.location("gold", "kpis")
     for f in os.listdir(folder):
         if f.endswith(".parquet"):
             with open(os.path.join(folder, f), "wb") as out:
