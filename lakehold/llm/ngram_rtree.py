@@ -22,13 +22,13 @@ unequal sizes meets in the larger one's.
 
 *Large shards.* Members of a shard lie in blocks of ``BLOCK``. The first pass takes each block with the next one
 only, so that a member occurs twice at most, however large the shard is, and emits of each such unit's surviving pairs a maximum
-spanning forest (by bounded similarity). Of these the ``PARTNERS`` best of each class are verified and joined to components, which contracts
-groups of near copies; then the others that still lie between components. The second pass looks at shards whose members still lie in several components: large components have blocks of
+spanning forest (by bounded similarity). Of these the ``PARTNERS`` best of each class, then of each component, are verified and
+joined to components, which contracts groups of near copies; then all others that still lie between components. The second pass looks at shards whose members still lie in several components: large components have blocks of
 their own, small ones share blocks, and pairs of blocks meet unless both hold one and the same component. It emits every
 surviving pair between members of different components, so that no link that matters is lost.
 
 *One exchange.* Shard keys are hashes, most of which occur once. They are exchanged once, as (shard, class, size), sorted
-within tasks, and what a stream over the sorted rows finds in shards of one class is dropped there. Points and texts are fetched
+within tasks and never stored; what a stream over the sorted rows finds in shards of one class is dropped there. Points and texts are fetched
 for the classes that remain.
 
 Defined cases. Null texts and texts without words have an empty set, link with nothing and are
@@ -54,7 +54,7 @@ from lakehold.llm._graph import components
 from lakehold.sources.scratch import materialise
 
 DIMENSIONS, LEAF, BLOCK = 64, 32, 512
-CHUNK, PARTNERS = 16_384, 3  # rows under one tree; pairs per class and round of verification
+CHUNK, PARTNERS, ROUNDS = 16_384, 3, 2  # rows under one tree; pairs per class in each of the first rounds of verification
 SLOTS = 1 << 16, 1 << 27  # least and most of the bitmap that preselects documents for verification
 
 # odd 64-bit multipliers that spread bits
@@ -154,25 +154,36 @@ def digest(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-SKETCH = "doc_id long, n_shingles long, class long, point binary, signatures array<long>"
+SKETCH = "doc_id long, n_shingles long, class long, point binary"
 
 
-def sketch(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Each document's set size, digest, point and shard keys."""
+def sketch(docs: DataFrame, width: int) -> DataFrame:
+    """Each document's set size, digest and point."""
     def run(batches) -> Iterator[dict]:
-        shingles, bands = Shingles(width), Bands(num, den)
+        shingles = Shingles(width)
         for batch in slices(batches, "text"):
             sets = [shingles(t) for t in batch.column("text").to_pylist()]
-            keys = [bands.signatures(s) if len(s) else np.zeros(0, np.int64) for s in sets]
-            ends = np.cumsum([0, *map(len, keys)])
             yield {"doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
                    "class": [digest(s) if len(s) else None for s in sets],
-                   "point": [point(s).tobytes() if len(s) else None for s in sets],
-                   "signatures": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))}
+                   "point": [point(s).tobytes() if len(s) else None for s in sets]}
 
     return mapped(docs.select("doc_id", "text"), run, SKETCH)
 
 
+def shard_keys(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """class, shard: the shards that each document's set joins. Not stored: they go straight into their one exchange."""
+    def run(batches) -> Iterator[dict]:
+        shingles, bands = Shingles(width), Bands(num, den)
+        for batch in slices(batches, "text"):
+            sets = [s for s in map(shingles, batch.column("text").to_pylist()) if len(s)]
+            keys = [bands.signatures(s) for s in sets]
+            sizes = np.array([len(k) for k in keys], np.int64)
+            yield {"class": pa.array(np.repeat(np.array([digest(s) for s in sets], np.int64), sizes)),
+                   "shard": pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))}
+
+    return mapped(docs.where("doc_id is not null and text is not null").select("text"), run, "class long, shard long")
+
+
 # ---- the R-tree -------------------------------------------------------------------------------
 
 class RTree:
@@ -325,9 +336,8 @@ def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
 
 # ---- members of shards ------------------------------------------------------------------------
 
-def shared_members(sk: DataFrame) -> DataFrame:
+def shared_members(keys: DataFrame) -> DataFrame:
     """shard, class, place: the distinct classes of each shard that has two or more, numbered from 0."""
-    keys = sk.where("doc_id is not null and class is not null").select("class", F.explode("signatures").alias("shard"))
     dealt = keys.select("shard", "class").repartition("shard").sortWithinPartitions("shard", "class")
 
     def run(batches) -> Iterator[dict]:
@@ -450,8 +460,8 @@ def verify(docs: DataFrame, pairs: DataFrame, first: DataFrame, width: int, num:
 
 def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id: the smallest doc_id reachable by links."""
-    sk = materialise(sketch(docs, width, num, den), "ngram-sketch")
-    members = materialise(shared_members(sk), "ngram-members")
+    sk = materialise(sketch(docs, width), "ngram-sketch")
+    members = materialise(shared_members(shard_keys(docs, width, num, den)), "ngram-members")
     able = sk.where("doc_id is not null and class is not null")
     # size, point and a document of the classes that share a shard with another
     paired = members.select("class").distinct()
@@ -460,31 +470,40 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
     placed = lambda df: df.join(first.select("class", "size", "point"), "class")
 
     tried = materialise(candidates(placed(first_units(members)).withColumn("label", F.col("class")), num, den, whole=False), "ngram-pairs")
-    # the best pairs of each class first; of the others, those that do not lie within a component by then
-    ends = tried.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "weight")
-    order = Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")
-    best = materialise(ends.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PARTNERS).select("a", "b").distinct(), "ngram-best")
-    links = materialise(verify(docs, best, first, width, num, den), "ngram-links")
-    member = components(links)
+    # the best pairs of each class or component, some times over; then the others that do not lie within a component by then
+    links = member = None
 
     def torn(pairs: DataFrame) -> DataFrame:
+        if member is None:
+            return pairs.withColumns({"of_a": F.col("a"), "of_b": F.col("b")})
         of = lambda c: member.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
         named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return named.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+        return named.withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")}).where("of_a <> of_b")
 
     def add(pairs: DataFrame) -> None:
         nonlocal links, member
-        pairs = materialise(pairs, "ngram-pairs")
-        if not pairs.isEmpty():
-            links = materialise(links.unionByName(verify(docs, pairs, first, width, num, den)), "ngram-links")
-            member = components(links)
-
-    add(torn(tried.select("a", "b").join(best, ["a", "b"], "left_anti")))
+        found = verify(docs, pairs, first, width, num, den)
+        links = materialise(found if links is None else links.unionByName(found), "ngram-links")
+        member = components(links)
+
+    open_ = torn(tried)
+    for _ in range(ROUNDS):
+        ends = open_.select(F.explode(F.array("of_a", "of_b")).alias("end"), "a", "b", "weight")
+        order = Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")
+        best = materialise(ends.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PARTNERS).select("a", "b").distinct(), "ngram-best")
+        add(best)
+        open_ = materialise(torn(open_.select("a", "b", "weight").join(best, ["a", "b"], "left_anti")), "ngram-open")
+        if open_.isEmpty():
+            break
+    else:
+        add(open_.select("a", "b"))
     # what is left: pairs of a shard whose members lie in different components
     labelled = members.join(member.withColumnRenamed("node", "class"), "class", "left").select(
         "shard", "class", F.coalesce("component", "class").alias("label"))
     rest = candidates(placed(second_units(labelled)), num, den, whole=True)
-    add(rest.select("a", "b").join(tried, ["a", "b"], "left_anti"))
+    rest = materialise(rest.select("a", "b").join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+    if not rest.isEmpty():
+        add(rest)
 
     # linked classes: the smallest document of each component; others: of their class
     linked = member.withColumnRenamed("node", "class").join(first.select("class", "doc_id"), "class")
