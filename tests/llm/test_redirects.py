@@ -1,3 +1,5 @@
+import random
+
 import llm_plain as plain
 import pytest
 
@@ -52,6 +54,60 @@ def test_blocks_reach_aliases_and_allow_comes_first(spark):
                                                          8: "allow", 9: "allow", 10: "allow", 11: "block", 12: "block", 13: "allow"}
 
 
+LINKS = [
+    (link("/login?next=http://bad.org/"), "allow"), (link("../c"), "block"), (link("./../d/../c"), "block"), (link("?p=2"), "block"),
+    ("<!-- " + link("http://bad.org/") + " -->", "allow"), ("<!-- open " + link("http://bad.org/"), "allow"),
+    ("<base href='http://bad.org/x/'>" + link("y"), "block"), (link("#part"), "allow"), (link("mailto:a@bad.org"), "allow"),
+    (link("http:/c"), "allow"), (refresh("../c"), "block"), (link("/../../c"), "block"), (link("HTTP://BAD.ORG/q"), "block"),
+    ("x" * 200_000 + link("//bad.org/q"), "block"), (None, "allow"), ("", "allow")]
+
+
+@pytest.mark.parametrize("spellings", [True, False])
+def test_links_resolve(spark, spellings):
+    """Each case on a host of its own, whose ``/c`` is blocked and has the alias ``/a/b?p=2``."""
+    rules = [("block", "bad.org", "/")] + [("block", f"x{i}.org", "/c") for i in range(len(LINKS))]
+    rows = [(i, f"http://x{i}.org/a/b", html, "h", "c") for i, (html, _) in enumerate(LINKS)]
+    rows += [(100 + i, f"http://x{i}.org/a/b?p=2", link("/c"), "h", "c") for i in range(len(LINKS))]
+    got = {r["page_id"]: r["verdict"] for r in R.judge(spark.createDataFrame(rows, PAGES), rules, spellings).collect()}
+    assert got == {i: verdict for i, (_, verdict) in enumerate(LINKS)} | {100 + i: "block" for i in range(len(LINKS))}
+
+
+RESOLVED = [
+    ("http://a/b/c/d?q", "g", "http://a/b/c/g"), ("http://a/b/c/d?q", "./g/", "http://a/b/c/g/"), ("http://a/b/c/d?q", "/g", "http://a/g"),
+    ("http://a/b/c/d?q", "//g", "http://g"), ("http://a/b/c/d?q", "?y", "http://a/b/c/d?y"), ("http://a/b/c/d?q", "g?y/./x", "http://a/b/c/g?y/./x"),
+    ("http://a/b/c/d?q", ".", "http://a/b/c/"), ("http://a/b/c/d?q", "../..", "http://a/"), ("http://a/b/c/d?q", "../../../g", "http://a/g"),
+    ("http://a/b/c/d?q", "g#s/../x", "http://a/b/c/g#s/../x"), ("http://a", "g", "http://a/g"), ("http://a/b", "..g", "http://a/..g"),
+    ("http://a/b/c", "", None), (None, "g", None), ("http://a/b", None, None)]
+
+
+def test_resolved(spark):
+    df = spark.createDataFrame(RESOLVED, "base string, link string, url string")
+    got = df.select("*", R.resolved(df["base"], df["link"]).alias("got")).collect()
+    assert [(r["base"], r["link"], r["got"]) for r in got] == [(r["base"], r["link"], r["url"]) for r in got]
+
+
+def test_table_with_links_against_brute_force(spark):
+    rng = random.Random(5)
+    rules = [("block", "bad.org", "/"), ("allow", "good.org", "/")]
+    host = lambda: rng.choice(["bad.org", "good.org", *[f"h{i}.org" for i in range(30)]])
+    rows = [(i, f"http://{host()}/{rng.randrange(40)}", "") for i in range(600)]
+    rows = [(i, u, rng.choice([link, refresh])(rng.choice(rows)[1]) if rng.random() < 0.4 else None) for i, u, _ in rows]
+    edges = [(u, html.split("'")[1] if "'" in html else html.split("URL=")[1].split('"')[0]) for _, u, html in rows if html]
+    of = plain.components({x for e in edges for x in e}, edges)
+    own = {u: rule[0] for u in {*[r[1] for r in rows], *[v for e in edges for v in e]} if (rule := plain_rule(u.split("/")[2], "/", rules))}
+    said = {}
+    for u, verdict in own.items():
+        said.setdefault(of.get(u, u), set()).add(verdict)
+    expect = {}
+    for i, u, _ in rows:
+        found = said.get(of.get(u, u), set())
+        expect[i] = own.get(u) or ("allow" if "allow" in found or not found else "block")
+    pages = spark.createDataFrame([(*r, "h", "c") for r in rows], PAGES)
+    got = {r["page_id"]: r["verdict"] for r in R.judge(pages, rules, spellings=False).collect()}
+    assert got == expect
+    assert sum(got[i] == "block" and u not in own for i, u, _ in rows) > 5  # by their aliases alone
+
+
 def test_empty_and_repeated(spark):
     assert judged(spark, []) == {}
     rows = R.judge(spark.createDataFrame([(1, "http://a.net/es/", "", "", "")] * 3 + [(None, None, None, None, None)], PAGES), RULES).collect()
