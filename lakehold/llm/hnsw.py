@@ -3,9 +3,9 @@
 Vectors are dealt to shards by a hash of their id, so every shard has about ``shard_rows`` vectors
 whatever the data look like. Each shard is one task that builds one graph (Malkov and Yashunin,
 2016) and stores it as one row of flat arrays: the vectors, one neighbour array per level (int32,
-padded with -1) and the member ids of each distinct vector. A block of queries meets each shard by
-an equi-join on the shard's number; each shard answers with its nearest, by exact distances in
-double precision, and the answers are merged per query.
+padded with -1) and the member ids of each distinct vector. Blocks of queries are sent to every
+shard's partition, where its graph is loaded once and the blocks stream past it; each shard answers
+with its nearest, by exact distances in double precision, and the answers are merged per query.
 
 Equal vectors of a shard are one node with its member ids in ascending order, so copies neither
 crowd the graph nor get lost: ties go to the smaller id.
@@ -153,6 +153,11 @@ def _shards(vectors: DataFrame, shard_rows: int) -> DataFrame:
     return vectors.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
 
 
+def _tasks(vectors: DataFrame, shard_rows: int) -> int:
+    """Partitions for work by shard: four for each, so that hashing rarely puts several in one."""
+    return 4 * (_shards(vectors, shard_rows).agg(F.sum("shards")).first()[0] or 1)
+
+
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     flat = column.combine_chunks()
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
@@ -186,7 +191,9 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, links: int = L
     from pyspark.sql.types import StructType
 
     out = to_arrow_schema(StructType.fromDDL(INDEX))
-    return dealt.select("dim", "shard", "vec_id", "embedding").groupBy("dim", "shard").applyInArrow(build, INDEX)
+    # a graph is minutes of work: its task must not be merged with others for being few bytes
+    return dealt.select("dim", "shard", "vec_id", "embedding").repartition(
+        _tasks(vectors, shard_rows), "dim", "shard").groupBy("dim", "shard").applyInArrow(build, INDEX)
 
 
 def load(row: dict, kind: type, links: int = LINKS) -> tuple[Graph, np.ndarray, np.ndarray]:
@@ -214,15 +221,22 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, count: int
 
     packed = dealt.select("dim", "block", "vec_id", "embedding").groupBy("dim", "block").applyInArrow(
         gather, "dim int, block int, ids binary, asked binary")
-    # each block of queries meets each shard of its dimension
-    meet = packed.join(_shards(vectors, shard_rows), "dim").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards").join(index, ["dim", "shard"])
+    # each block of queries meets each shard of its dimension; a shard's graph comes first in its
+    # partition and is loaded once, the blocks stream past it
+    graph = ("n", "members", "member_start", "vectors", "levels", "neighbours", "entry")
+    asking = packed.join(_shards(vectors, shard_rows), "dim").withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
+    meet = index.select("dim", "shard", *graph, F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("asked")).unionByName(
+        asking, allowMissingColumns=True)
+    meet = meet.repartition(_tasks(vectors, shard_rows), "dim", "shard").sortWithinPartitions("dim", "shard", F.col("n").desc_nulls_last())
 
     def answer(batches) -> Iterator[dict]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                g, members, start = load(row, kind, links)
+                if row["n"] is not None:
+                    g, members, start = load(row, kind, links)
+                    continue
                 q, found = [], []
                 asked = np.frombuffer(row["asked"], kind).reshape(-1, row["dim"])
                 for own, vector in zip(np.frombuffer(row["ids"], "<i8").tolist(), asked, strict=True):
@@ -239,8 +253,7 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, count: int
                     q += [own] * len(best)
                 yield {"query_id": q, "vec_id": [x for x, _ in found], "score": [s for _, s in found]}
 
-    answers = mapped(meet.select("dim", "n", "members", "member_start", "vectors", "levels", "neighbours", "entry",
-                                 "ids", "asked"), answer, "query_id long, vec_id long, score double")
+    answers = mapped(meet.select("dim", *graph, "ids", "asked"), answer, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     nearest = answers.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # of ids with several vectors
     return nearest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count).select(
