@@ -36,6 +36,23 @@ def arrival_order(df: DataFrame, first: tuple = ()) -> list[str]:
     return [c for c in (*first, *ARRIVAL) if c in df.columns]
 
 
+SLOTS = 4096
+
+
+def with_slot(keys: DataFrame) -> DataFrame:
+    """A key set to be written, with the slot that its keys have in ``_spread``."""
+    return keys.withColumn("_slot", F.lit(0))
+
+
+def _spread(big: DataFrame, keys: DataFrame, key: str, by: list[str]):
+    """A second join key for rows kept by an outer join: rows with a null key match nothing, but would
+    all be shuffled to one partition; they are dealt over many, by a hash of ``by``. Equality with the
+    written slot is no constant to the optimizer, so it stays a key of the shuffle."""
+    if "_slot" not in keys.columns or not by:
+        return F.lit(True)
+    return F.when(big[key].isNull(), F.pmod(F.xxhash64(*[big[c] for c in by]), F.lit(SLOTS)) + 1).otherwise(0).cast("int") == keys["_slot"]
+
+
 def _matches(key: str, nulls_equal: bool):
     return lambda big, keys: big[key].eqNullSafe(keys["_dk"]) if nulls_equal else big[key] == keys["_dk"]
 
@@ -57,10 +74,11 @@ def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
     """``flag`` is true for every row of a key except its first by ``order``, which has to be total
     (see ``arrival_order``). Null keys never fail unless ``nulls_equal`` (then nulls form one
     group). ``dups`` may carry the written key set."""
-    dups = dups if dups is not None else key_set(duplicate_keys(df, key, order, nulls_equal))
-    out = join_keyset(df, dups, _matches(key, nulls_equal))
+    dups = dups if dups is not None else key_set(with_slot(duplicate_keys(df, key, order, nulls_equal)))
+    same = _matches(key, nulls_equal)
+    out = join_keyset(df, dups, same if nulls_equal else lambda big, keys: same(big, keys) & _spread(big, keys, key, order))
     is_dup = F.col("_dfirst").isNotNull() & ~order_struct(order).eqNullSafe(F.col("_dfirst"))
-    return out.withColumn(flag, F.coalesce(is_dup, F.lit(False))).drop("_dk", "_dfirst")
+    return out.withColumn(flag, F.coalesce(is_dup, F.lit(False))).drop("_dk", "_dfirst", "_slot")
 
 
 def dedup_keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -80,10 +98,12 @@ def orphan_keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str) ->
     return keys.join(ref_keys, "_ok", "left_anti")
 
 
-def with_fk_flag(df: DataFrame, column: str, orphans: DataFrame | None, flag: str) -> DataFrame:
-    """``flag`` is true when ``column`` holds one of ``orphans``; null passes."""
+def with_fk_flag(df: DataFrame, column: str, orphans: DataFrame | None, flag: str, by: tuple = ()) -> DataFrame:
+    """``flag`` is true when ``column`` holds one of ``orphans``; null passes, and rows with it are
+    dealt by the columns ``by``."""
     if orphans is None:
         return df.withColumn(flag, F.lit(False))
-    named = orphans.select("_ok", F.lit(True).alias("_orphan"))
-    out = join_keyset(df, named, lambda big, keys: big[column] == keys["_ok"])
-    return out.withColumn(flag, F.coalesce(F.col("_orphan"), F.lit(False))).drop("_ok", "_orphan")
+    named = orphans.withColumn("_orphan", F.lit(True))
+    by = [c for c in by if c in df.columns]
+    out = join_keyset(df, named, lambda big, keys: (big[column] == keys["_ok"]) & _spread(big, keys, column, by))
+    return out.withColumn(flag, F.coalesce(F.col("_orphan"), F.lit(False))).drop("_ok", "_orphan", "_slot")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakehold.contracts import CORRUPT_RULE, MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract, Rule
 from lakehold.functions.rules import STATELESS, as_of_for
 from lakehold.operators.joins import key_set
-from lakehold.operators.keys import arrival_order, duplicate_keys, orphan_keys, with_duplicate_flag, with_fk_flag, with_position
+from lakehold.operators.keys import arrival_order, duplicate_keys, orphan_keys, with_duplicate_flag, with_fk_flag, with_position, with_slot
 
 FAILED = "_failed_rules"
 
@@ -75,9 +75,9 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
         if i in missing:
             continue
         if r.kind == "unique":
-            sets[i] = lambda r=r: key_set(duplicate_keys(df, r.column, order))
+            sets[i] = lambda r=r: key_set(with_slot(duplicate_keys(df, r.column, order)))
         elif r.kind == "fk" and (ref := refs.get(r.param[0])) is not None and r.param[1] in ref.columns:
-            sets[i] = lambda r=r, ref=ref: key_set(orphan_keys(df, r.column, ref, r.param[1]))
+            sets[i] = lambda r=r, ref=ref: key_set(with_slot(orphan_keys(df, r.column, ref, r.param[1])))
     sets = dict(zip(sets, run_all(list(sets.values()))))   # independent of each other
 
     out, stateless = df, {}
@@ -90,7 +90,7 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
         elif r.kind == "unique":
             out = with_duplicate_flag(out, r.column, order, name, dups=sets[i])
         elif r.kind == "fk":
-            out = with_fk_flag(out, r.column, sets.get(i), name)
+            out = with_fk_flag(out, r.column, sets.get(i), name, (c.row_key, "_ordinal"))
         else:
             stateless[name] = F.coalesce(STATELESS[r.kind](df, c, r, as_of), F.lit(False))
     out = out.withColumns(stateless) if stateless else out
