@@ -11,9 +11,11 @@ hash, of four to eight words. Words of over 16 code points, such as text without
 several: their parts of three to eight code points end where the last three have a hash divisible by four.
 Leaves keep their separators, so texts are equal where roots are.
 
-The fingerprint is ``root:sections``: the root in hex, and the tree below it with every leaf as four
-base64 characters, ``.`` closing a paragraph and ``/`` a section. The likeness of two fingerprints is
-the share of leaves in equal branches: equal sections first, then equal paragraphs of the other
+The fingerprint is ``root:sections``: the root in hex, and the tree below it with every leaf as eight
+characters of URL-safe base64, ``.`` closing a paragraph and ``/`` a section. Inner nodes are digests of
+what is printed, so ``parse`` makes the whole tree from the string, and stored fingerprints can be
+compared, and differing branches found, without the texts (``compare``). The likeness of two fingerprints
+is the share of leaves in equal branches: equal sections first, then equal paragraphs of the other
 sections, then equal leaves of the other paragraphs (Dice, with repeats).
 
 Defined cases. Null text is empty; an empty text has a root of its own and no leaf. Two texts
@@ -26,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from base64 import b64encode
+from base64 import urlsafe_b64decode, urlsafe_b64encode
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from lakehold.llm._base import mapped, parts, slices, total_bytes
 
-LEAF_BYTES = 3  # of each digest in the printed fingerprint
+LEAF_BYTES = 6  # of a leaf's digest; a multiple of three, as base64 then needs no padding
 LEAST_WORDS, MOST_WORDS = 4, 8  # of a leaf that ends within a sentence
 WORD_POINTS, LEAST_POINTS, MOST_POINTS = 16, 3, 8  # code points of a word, and of a part of a longer one
 
@@ -45,8 +47,8 @@ SIGN = re.compile(f"[{STOPS}{OTHER_STOPS}]")
 END = re.compile(rf"[{STOPS}]+[\"'\u201d\u2019)\]]*\s+|[{OTHER_STOPS}]+\s*")
 
 
-def _digest(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+def _digest(data: bytes, size: int = 16) -> bytes:
+    return hashlib.blake2b(data, digest_size=size).digest()
 
 
 @lru_cache(1 << 18)
@@ -93,7 +95,7 @@ def _leaves(sentence: str) -> list[bytes]:
             found += _runs(sentence[at:end.end()])
             at = end.end()
     found += _runs(sentence[at:] if at else sentence)
-    return [_digest(x.encode() + b"\n") for x in found[:-1]] + [_digest(found[-1].encode())]
+    return [_digest(x.encode() + b"\n", LEAF_BYTES) for x in found[:-1]] + [_digest(found[-1].encode(), LEAF_BYTES)]
 
 
 class Tree:
@@ -119,16 +121,36 @@ class Tree:
                 paragraphs = []
         if paragraphs:
             self._close(paragraphs)
-        self.root = _digest(b"R" + b"".join(d for d, _ in self.sections))
-        self.n_leaves = sum(len(leaves) for _, ps in self.sections for _, leaves in ps)
+        self._finish()
 
     def _close(self, paragraphs: list) -> None:
         self.sections.append((_digest(b"S" + b"".join(d for d, _ in paragraphs)), paragraphs))
 
+    def _finish(self) -> None:
+        self.root = _digest(b"R" + b"".join(d for d, _ in self.sections))
+        self.n_leaves = sum(len(leaves) for _, ps in self.sections for _, leaves in ps)
+
     def fingerprint(self) -> str:
         return self.root.hex() + ":" + "".join(
-            "".join(b64encode(b"".join(x[:LEAF_BYTES] for x in leaves)).decode() + "." for _, leaves in ps) + "/"
-            for _, ps in self.sections)
+            "".join(urlsafe_b64encode(b"".join(leaves)).decode() + "." for _, leaves in ps) + "/" for _, ps in self.sections)
+
+    @classmethod
+    def parse(cls, fingerprint: str) -> Tree:
+        """The tree of a printed fingerprint; ValueError if its root is not that of its leaves."""
+        root, _, printed = fingerprint.partition(":")
+        tree = cls.__new__(cls)
+        tree.leaves_of, tree.sections = {}, []
+        for section in printed.split("/")[:-1]:
+            paragraphs = []
+            for paragraph in section.split(".")[:-1]:
+                data = urlsafe_b64decode(paragraph)
+                leaves = [data[i:i + LEAF_BYTES] for i in range(0, len(data), LEAF_BYTES)]
+                paragraphs.append((_digest(b"P" + data), leaves))
+            tree._close(paragraphs)
+        tree._finish()
+        if tree.root.hex() != root:
+            raise ValueError("not a fingerprint: its root is not that of its leaves")
+        return tree
 
 
 def _unpaired(mine: list, other: list) -> list:
@@ -163,6 +185,11 @@ def likeness(a: Tree, b: Tree) -> float:
     return 1.0 - (x.total() + y.total()) / (a.n_leaves + b.n_leaves)
 
 
+def compare(a: str, b: str) -> float:
+    """The likeness of two printed fingerprints."""
+    return 1.0 if a == b else likeness(Tree.parse(a), Tree.parse(b))
+
+
 def edited(text: str, following: str) -> str:
     """The last half of the code points replaced by the first as many of the next document."""
     half = len(text) // 2
@@ -176,6 +203,7 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 def _compare(doc_id, text: str, tree: Tree, next_text: str, next_tree: Tree) -> tuple:
     changed = edited(text, next_text)
     own = tree if changed == text else Tree(changed, tree, next_tree)
+    # a tree holds what its fingerprint prints, so this is compare() of the strings
     return (doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), tree.fingerprint(), own.fingerprint(),
             likeness(tree, own), likeness(tree, next_tree))
 
@@ -236,8 +264,10 @@ def compare_with_next(docs: DataFrame, partition_bytes: int = 32 << 20) -> DataF
     every = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     order = edges.where("end = 0").select("part", F.coalesce(
         F.lead("part").over(by), F.first("part").over(every)).alias("next"))
-    firsts = edges.where("end = 0").select(F.col("part").alias("next"), F.col("text").alias("next_text"))
-    meet = edges.where("end = 1").join(order, "part").join(firsts, "next").select("doc_id", "text", "next_text")
+    # the last row of a partition and the first of the next one meet under the latter's number
+    row = F.when(F.col("end") == 1, F.struct("doc_id", "text"))
+    meet = edges.join(order, "part").groupBy(F.when(F.col("end") == 1, F.col("next")).otherwise(F.col("part")).alias("at")).agg(
+        F.max(row).alias("last"), F.max(F.when(F.col("end") == 0, F.col("text"))).alias("next_text")).select("last.*", "next_text")
 
     def across(batches) -> Iterator[dict]:
         for batch in batches:

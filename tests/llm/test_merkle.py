@@ -15,7 +15,27 @@ def test_roots_and_located_edits():
     assert a.root != b.root and 0.98 < M.likeness(a, b) < 1
     gone, new = M.differing(a, b)
     assert (gone.total(), new.total()) == (1, 1)
-    assert M._digest(b"It says more 400") in gone and M._digest(b"It says less 400") in new
+    assert M._digest(b"It says more 400", M.LEAF_BYTES) in gone and M._digest(b"It says less 400", M.LEAF_BYTES) in new
+
+
+@pytest.mark.parametrize("text", ["", "\n", "a", "a\n\nb", TEXT, TEXT.replace("\n", "\n\n"), "x" * 5000, "? / . : - _ " * 99])
+def test_a_fingerprint_holds_its_tree(text):
+    tree = M.Tree(text)
+    again = M.Tree.parse(tree.fingerprint())
+    assert (again.root, again.sections, again.n_leaves) == (tree.root, tree.sections, tree.n_leaves)
+    assert again.fingerprint() == tree.fingerprint()
+
+
+def test_edits_are_located_from_stored_fingerprints():
+    a, b = (M.Tree.parse(M.Tree(t).fingerprint()) for t in (TEXT, TEXT.replace("It says more 400", "It says less 400")))
+    gone, new = M.differing(a, b)
+    assert list(gone) == [M._digest(b"It says more 400", M.LEAF_BYTES)] and new.total() == 1
+
+
+def test_a_changed_fingerprint_is_refused():
+    printed = M.Tree("some words here").fingerprint()
+    with pytest.raises(ValueError):
+        M.Tree.parse(printed[:-3] + ("A" if printed[-3] != "A" else "B") + printed[-2:])
 
 
 def test_inserted_lines_shift_nothing():
@@ -105,5 +125,11 @@ def test_query(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = op6_merkle_fingerprint(spark, sf).collect()
     assert len(got) == len(rows) and {r[0]: tuple(r)[1:] for r in got} == expected(rows)
+    prints = {r["doc_id"]: r["fingerprint"] for r in got}
+    ids = sorted(prints)
+    following = dict(zip(ids, [*ids[1:], ids[0]], strict=True))
+    for r in got:  # likeness from the returned strings alone
+        assert r["near_edited"] == M.compare(r["fingerprint"], r["edited_fingerprint"])
+        assert r["near_next"] == M.compare(r["fingerprint"], prints[following[r["doc_id"]]])
     texts = dict(rows)
     assert len({(r["fingerprint"], texts[r["doc_id"]]) for r in got}) == len({r["fingerprint"] for r in got}) == len(set(texts.values()))
