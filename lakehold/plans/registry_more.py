@@ -11,6 +11,7 @@ from lakehold.operators import quarantine as QR
 from lakehold.plans import oracle as O
 from lakehold.plans import replay as RP
 from lakehold.plans.derived import Chain
+from lakehold.plans.parallel import run_all
 from lakehold.plans.registry import RUN_TS, _union, query
 from lakehold.sources import testdata as td
 from lakehold.sources.scratch import materialise
@@ -54,15 +55,21 @@ def _profile_body(layers=("bronze", "silver")) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _bronze_profile(ch: Chain, ds: str):
+    """Every column from a scan of its own, where the rows lie."""
+    return P.profile(ch.raw(ds), "bronze", ds, only=lambda c: ch.raw(ds, {c}))
+
+
 def _profiles(ch: Chain):
-    """Each layer's tables are written once, and every column profiled from there."""
+    """Bronze is read where it lies; Silver, which has to be made here, is written once and read from there."""
     ch.flag_all()
+    silver = run_all([lambda ds=ds: materialise(ch.silver(ds), "profile") for ds in ALL_DATASETS])
     frames = []
-    for ds in ALL_DATASETS:
+    for ds, made in zip(ALL_DATASETS, silver, strict=True):
         c = CONTRACTS[ds]
         unique = (c.key,) if c.key and c.dedup_is_noop() else ()
-        frames.append(P.profile(materialise(ch.raw(ds), "profile"), "bronze", ds))
-        frames.append(P.profile(materialise(ch.silver(ds), "profile"), "silver", ds, known_unique=unique))
+        frames.append(_bronze_profile(ch, ds))
+        frames.append(P.profile(made, "silver", ds, known_unique=unique))
     return _union(frames)
 
 
@@ -71,6 +78,36 @@ def profile_columns(spark, sf_dir):
     return _profiles(Chain(spark, sf_dir))
 
 
+# the runs of a source: months of arrival, as far as its rows have a date
+RUN_OF = {"loans": "substr(CAST(loan_date AS STRING), 1, 7)", "ratings": "substr(CAST(rating_date AS STRING), 1, 7)",
+          "access_events": "substr(CAST(event_ts AS STRING), 1, 7)", "readers": "substr(signup_date, 1, 4)", "books": "CAST(year AS STRING)"}
+ERRORS = 5  # standard errors of the sketches that an estimate may be off
+
+
+def _merged_sql() -> str:
+    parts = []
+    for (layer, ds, cte), cols in PROFILE_COLUMNS.items():
+        if layer == "bronze":
+            n_runs = f"(SELECT count(DISTINCT coalesce({RUN_OF[ds].replace('STRING', 'VARCHAR')}, '-')) FROM {cte})"
+            parts += [f"SELECT '{ds}' AS dataset, '{c}' AS \"column\", {n_runs} AS n_runs, count(*) AS rows, "
+                      f"floor(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) * 10000 + 0.5) / 10000 AS null_pct, "
+                      f"count(DISTINCT {c}) AS n_distinct, true AS estimate_holds FROM {cte}" for c in cols]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("profile_merged", O.with_chain(_merged_sql()))
+def profile_merged(spark, sf_dir):
+    """Bronze profiles merged from the states of single runs, beside the exact count of distinct values."""
+    ch = Chain(spark, sf_dir)
+    states = materialise(_union(P.profile_state(ch.raw(ds), "bronze", ds, F.expr(RUN_OF[ds])) for ds in ALL_DATASETS), "states")
+    n_runs = states.where("column is null").groupBy("dataset").agg(F.count(F.lit(1)).alias("n_runs"))
+    exact = _union(_bronze_profile(ch, ds) for ds in ALL_DATASETS).select("dataset", "column", F.col("n_distinct").alias("exact"))
+    bound = F.greatest(F.lit(1.0), F.col("exact") * (ERRORS * 1.04 / 2 ** (P.LG_K / 2)))
+    return P.merge_states(states).join(n_runs, "dataset").join(exact, ["dataset", "column"]).select(
+        "dataset", "column", "n_runs", "rows", "null_pct", F.col("exact").alias("n_distinct"),
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= bound).alias("estimate_holds"))
+
+
 def _drift_sql() -> str:
     parts = []
     for (layer, ds, cte), cols in PROFILE_COLUMNS.items():
@@ -110,23 +147,29 @@ def catalog_summary(spark, sf_dir):
 LATER = "2002-01-01 00:00:00"
 
 
+def _quarantined(ch: Chain) -> dict:
+    """The rows that the replayed run quarantines, of every dataset; written, so that flags are evaluated once."""
+    ch.flag_all()
+    rows = run_all([lambda ds=ds: materialise(QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS), "quarantined")
+                    for ds in ALL_DATASETS])
+    return dict(zip(ALL_DATASETS, rows, strict=True))
+
+
+def _rechecked(ch: Chain, quarantined: dict) -> dict:
+    again = run_all([lambda ds=ds, q=q: QR.recheck(q, ch.raw(ds), CONTRACTS[ds], ch.refs, td.LATER_AS_OF)
+                     for ds, q in quarantined.items()])
+    return dict(zip(quarantined, again, strict=True))
+
+
 def _reprocessed(ch: Chain) -> dict:
     """Rows of every dataset quarantined by the replayed run, re-checked with a later ``as_of``."""
-    ch.flag_all()
-    out = {}
-    for ds in ALL_DATASETS:
-        q = QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS)
-        out[ds] = QR.recheck(q, ch.raw(ds), CONTRACTS[ds], ch.refs, td.LATER_AS_OF)
-    return out
+    return _rechecked(ch, _quarantined(ch))
 
 
 def _quarantine_tables(ch: Chain) -> dict:
-    again = _reprocessed(ch)
-    out = {}
-    for ds in ALL_DATASETS:
-        first = QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS)
-        out[ds] = first.unionByName(QR.quarantine_rows(again[ds], REPROCESS_REASON, BATCH_2, RUN_TS), allowMissingColumns=True)
-    return out
+    first = _quarantined(ch)
+    return {ds: first[ds].unionByName(QR.quarantine_rows(fl, REPROCESS_REASON, BATCH_2, RUN_TS), allowMissingColumns=True)
+            for ds, fl in _rechecked(ch, first).items()}
 
 
 def _data_columns(ds: str) -> str:
