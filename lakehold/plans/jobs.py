@@ -300,7 +300,12 @@ def _profile_layer(run: Run, layer: str, exact: bool) -> list:
         c = run.contracts[ds]
         # Silver keys passed not_null + unique: distinct = rows
         uniq = (c.key,) if layer == "silver" and c.key and c.dedup_is_noop() else ()
-        parts.append(P.profile(df, layer, ds, exact, known_unique=uniq))
+        if layer == "bronze" and not exact:
+            profile_runs(run, [ds])
+            of_runs = F.col("run_id").isin(bronze_runs_for_silver(lake, ds))
+            parts.append(P.merge_states(read_profile_states(lake, ds).where(of_runs)))
+        else:
+            parts.append(P.profile(df, layer, ds, exact, known_unique=uniq))
     prof = None
     for p in parts:
         prof = p if prof is None else prof.unionByName(p)
@@ -310,6 +315,48 @@ def _profile_layer(run: Run, layer: str, exact: bool) -> list:
     return list(tables.items())
 
 
+def _state_batches(lake: Lake, ds: str) -> DataFrame | None:
+    base = lake.path("catalog", f"profile_state/{ds}")
+    paths = [f"{base}/batch={b}" for b in lake.list_partitions("catalog", f"profile_state/{ds}", "batch")]
+    reader = lake.spark.read.schema(P.STATE_SCHEMA + ", batch string").option("basePath", base)
+    return reader.parquet(*paths) if paths else None
+
+
+def profile_runs(run: Run, datasets=ALL_DATASETS) -> None:
+    """Profile states of this run's Bronze partitions, and of runs that have none yet: one pass over those
+    partitions only. A repeated run replaces its own. (One name per run comes to the driver.)"""
+    lake = run.lake
+    for ds in datasets:
+        states = _state_batches(lake, ds)
+        known = set() if states is None else {
+            r["run_id"] for r in states.where(F.col("batch") != run.run_id).select("run_id").distinct().collect()}
+        todo = [r for r in lake.bronze_runs(ds) if r == run.run_id or r not in known]
+        if todo:
+            rows = lake.read_bronze(ds, todo)
+            lake.put_partition(P.profile_state(rows, "bronze", ds, F.col("run_id")), "catalog", f"profile_state/{ds}", f"batch={run.run_id}")
+
+
+def read_profile_states(lake: Lake, ds: str) -> DataFrame:
+    """The state of each profiled Bronze run of a dataset: its own, else the last that a later run made up for."""
+    states = _state_batches(lake, ds)
+    if states is None:
+        raise TableMissing(f"no profile state of {ds} yet")
+    last = F.max_by("batch", F.struct(F.col("batch") == F.col("run_id"), F.col("batch")))
+    return states.join(states.groupBy("run_id").agg(last.alias("batch")), ["run_id", "batch"], "left_semi").drop("batch")
+
+
+def read_merged_profile(lake: Lake, datasets=ALL_DATASETS) -> DataFrame:
+    """Profile of all Bronze rows of the profiled runs, from their states alone."""
+    out = None
+    for ds in datasets:
+        if lake.list_partitions("catalog", f"profile_state/{ds}", "batch"):
+            part = P.merge_states(read_profile_states(lake, ds))
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise TableMissing("no profile state yet")
+    return out
+
+
 def governance_bronze(run: Run, exact: bool = True) -> None:
     """Profile of this run's Bronze input and schema drift against the contracts."""
     t0 = time.time()
