@@ -409,6 +409,8 @@ def finish(run: Run, status: str, config: dict | None = None) -> dict:
         tasks.append(lambda: lake.append_json("logs", "lineage",
                                               spark.createDataFrame(run.edges, M.LINEAGE_SCHEMA)))
     run_all(tasks)
+    lake.compact_log("logs", "runs", M.RUN_SCHEMA)
+    lake.compact_log("logs", "lineage", M.LINEAGE_SCHEMA)
     return record
 
 

@@ -8,11 +8,14 @@ Paths are Hadoop paths (local, HDFS, object store); all IO goes through Spark.
   from the moment its marker stands, so readers see the old rows or the new and a failed write
   changes nothing. The version before stays for readers that began with it.
 - Partitions (a run, a micro-batch) are written into a staging folder and moved to their place whole.
-- Run records, alerts, lineage edges and the ledger are appended as JSON lines.
+- Run records, alerts, lineage edges and the ledger are appended as JSON lines; ``compact_log`` turns many of them
+  into versions of a Parquet table.
 """
 from __future__ import annotations
 
 import datetime as _dt
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,10 @@ from lakehold.contracts import STREAM_DATASETS
 from lakehold.operators.keys import DRAIN, with_position
 
 VERSION, COMMITTED = "v-", "_committed"   # folder of a version; the marker of a whole one
+# compacted logs: the table's suffix, its own columns, folders of appended records
+COMPACTED, CORRUPT, FOLDER = "_compacted", "_corrupt_record", "_folder"
+OF_RECORDS = re.compile("[0-9a-f]{32}")
+LOCK_HOURS = 24
 LAYERS = ("raw", "bronze", "silver", "gold", "quarantine", "catalog", "logs")
 
 
@@ -149,13 +156,13 @@ class Lake:
         except AnalysisException as exc:
             raise TableMissing(f"no {layer} data for {name} at {path}") from exc
 
-    def write(self, df: DataFrame, layer: str, name: str) -> None:
-        """Replace a table: write the next version, then mark it as written."""
+    def write(self, df: DataFrame, layer: str, name: str, fmt: str | None = None) -> None:
+        """Replace a table: write the next version, then mark it as written. ``fmt`` is the lake's where not given."""
         base, before = self.path(layer, name), self._children(layer, name)
         written = self._versions(layer, name)
         number = max((int(v.split("-")[1]) for v in before if v.startswith(VERSION)), default=-1) + 1
         target = f"{base}/{VERSION}{number:09d}-{uuid.uuid4().hex[:8]}"
-        if self.fmt == "csv":
+        if (fmt or self.fmt) == "csv":
             df.write.option("header", True).csv(target)
         else:
             df.write.parquet(target)
@@ -256,8 +263,61 @@ class Lake:
         """Append records as a folder of their own: writers of one log do not meet in one."""
         df.coalesce(1).write.json(f"{self.path(layer, name)}/{uuid.uuid4().hex}")
 
-    def read_json(self, layer: str, name: str, schema: T.StructType) -> DataFrame:
+    def read_json(self, layer: str, name: str, schema: str | T.StructType) -> DataFrame:
+        """The records of a log: compacted ones, and those of folders that are not compacted yet."""
         if not self.exists(layer, name):
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true")
-                .json(self.path(layer, name)))
+        reader = (self.spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true"))
+        compacted = self._compacted(layer, name, schema)
+        if compacted is None:
+            return reader.json(self.path(layer, name))
+        done, folders = self._compacted_folders(layer, name, compacted), self._children(layer, name)
+        rows = compacted.where(F.col(CORRUPT).isNull()).drop(CORRUPT, FOLDER)
+        rest = [f"{self.path(layer, name)}/{f}" for f in folders if f not in done]
+        return rows.unionByName(reader.json(rest)) if rest else rows
+
+    def _compacted(self, layer: str, name: str, schema: str | T.StructType) -> DataFrame | None:
+        table = f"{name}{COMPACTED}"
+        if not self.exists(layer, table):
+            return None
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        fields = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType()), T.StructField(FOLDER, T.StringType())])
+        return self.spark.read.schema(fields).parquet(self.location(layer, table))
+
+    def _compacted_folders(self, layer: str, name: str, compacted: DataFrame) -> set[str]:
+        """Folders that still stand beside their compacted records: at most those of two passes."""
+        found = [f for f in self._children(layer, name) if OF_RECORDS.fullmatch(f)]
+        return {r[FOLDER] for r in compacted.where(F.col(FOLDER).isin(found)).select(FOLDER).distinct().collect()}
+
+    def compact_log(self, layer: str, name: str, schema: str | T.StructType, least: int = 256) -> bool:
+        """Once ``least`` folders wait, write their records and the compacted ones as the table's next version; lines that
+        do not parse keep their text there. Readers see a record once: a folder counts until a version holds it. Folders
+        go one pass later, for the sake of readers that began before, so a log lists at most twice ``least`` folders and
+        the files of two versions. A pass that dies leaves the version before. One writer at a time: a lock that a dead
+        job leaves stops compaction, nothing else, and gives way after LOCK_HOURS."""
+        folders = [f for f in self._children(layer, name) if OF_RECORDS.fullmatch(f)]
+        if len(folders) < least:
+            return False
+        fs, lock = self._fs(f"{self.path(layer, name)}{COMPACTED}.lock")
+        if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > LOCK_HOURS * 3600:
+            fs.delete(lock, False)
+        if not fs.createNewFile(lock):
+            return False
+        try:
+            before = self._compacted(layer, name, schema)
+            done = set() if before is None else self._compacted_folders(layer, name, before)
+            todo = [f"{self.path(layer, name)}/{f}" for f in folders if f not in done]
+            if len(todo) < least:
+                return False
+            fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            rows = self.spark.read.schema(T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])).option(
+                "columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true").json(todo)
+            folder = F.regexp_extract(F.col("_metadata.file_path"), "/([0-9a-f]{32})/[^/]*$", 1)
+            rows = rows.select("*", folder.alias(FOLDER))
+            n_files = 1 + (0 if before is None else self.bytes_of(layer, f"{name}{COMPACTED}") >> 27)
+            self.write((rows if before is None else before.unionByName(rows)).coalesce(n_files), layer, f"{name}{COMPACTED}", "parquet")
+            for f in done:
+                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, name)}/{f}"), True)
+            return True
+        finally:
+            fs.delete(lock, False)
