@@ -2,7 +2,8 @@
 
 Neither uses a window over the key (a key holding a third of the rows would land in one task). A
 partially aggregated key set is built first -- keys that occur more than once, or foreign keys
-absent from the reference -- and joined back (see ``joins``).
+absent from the reference -- and joined back (see ``joins``). Key sets hold no more than the key and
+the place of its first row, so the rows that meet them need not carry what orders them.
 """
 from __future__ import annotations
 
@@ -25,6 +26,12 @@ def order_struct(columns: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in columns])
 
 
+def place_of(order: list[str]) -> list[str]:
+    """The columns of ``order`` that say where a row stood, which identify it; all of them, where it
+    has no position."""
+    return [c for c in order if c in ARRIVAL] if "_ordinal" in order else list(order)
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """Rows numbered in scan order, where no stored position is present. ``df`` has to be a stored
     table or a scan: its rows must come in the same order each time it is read."""
@@ -58,26 +65,24 @@ def _matches(key: str, nulls_equal: bool):
 
 
 def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool = False) -> DataFrame:
-    """Keys with more than one row and the smallest order tuple (nulls first) per key.
+    """Keys with more than one row and the place of the smallest order tuple (nulls first) per key.
 
-    Keys are counted first: a hash aggregate, so a hot key costs one row per task. Only rows of
-    duplicated keys reach the sort-based minimum (structs are not hash-aggregable)."""
+    Rows are counted and their minimum is taken in one pass, aggregated in each task before the
+    shuffle: every row moves once at most, and a hot key costs one row per task."""
     some = df if nulls_equal else df.where(F.col(key).isNotNull())
-    counted = key_set(some.groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn")).where("_dn > 1").select("_dk"))
-    narrow = some.select(F.col(key), order_struct(order).alias("_dord"))
-    rows = join_keyset(narrow, counted, _matches(key, nulls_equal), "left_semi")
-    return rows.groupBy(F.col(key).alias("_dk")).agg(F.min("_dord").alias("_dfirst"))
+    firsts = some.groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn"), F.min(order_struct(order)).alias("_dord"))
+    return firsts.where("_dn > 1").select("_dk", F.struct(*[F.col(f"_dord.{c}") for c in place_of(order)]).alias("_dfirst"))
 
 
 def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
                         nulls_equal: bool = False, dups: DataFrame | None = None) -> DataFrame:
     """``flag`` is true for every row of a key except its first by ``order``, which has to be total
-    (see ``arrival_order``). Null keys never fail unless ``nulls_equal`` (then nulls form one
+    (see ``arrival_order``); rows are told apart by ``place_of`` it. Null keys never fail unless ``nulls_equal`` (then nulls form one
     group). ``dups`` may carry the written key set."""
     dups = dups if dups is not None else key_set(with_slot(duplicate_keys(df, key, order, nulls_equal)))
     same = _matches(key, nulls_equal)
-    out = join_keyset(df, dups, same if nulls_equal else lambda big, keys: same(big, keys) & _spread(big, keys, key, order))
-    is_dup = F.col("_dfirst").isNotNull() & ~order_struct(order).eqNullSafe(F.col("_dfirst"))
+    out = join_keyset(df, dups, same if nulls_equal else lambda big, keys: same(big, keys) & _spread(big, keys, key, place_of(order)))
+    is_dup = F.col("_dfirst").isNotNull() & ~order_struct(place_of(order)).eqNullSafe(F.col("_dfirst"))
     return out.withColumn(flag, F.coalesce(is_dup, F.lit(False))).drop("_dk", "_dfirst", "_slot")
 
 

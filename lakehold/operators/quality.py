@@ -5,13 +5,14 @@ invalid when any rule flags it; valid + invalid is a partition of the input.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehold.contracts import CORRUPT_RULE, MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract, Rule
-from lakehold.functions.rules import STATELESS, as_of_for
+from lakehold.functions.rules import KEYED, STATELESS, as_of_for
 from lakehold.operators.joins import key_set
 from lakehold.operators.keys import arrival_order, duplicate_keys, orphan_keys, with_duplicate_flag, with_fk_flag, with_position, with_slot
 
@@ -52,10 +53,12 @@ def failed_array(df: DataFrame, flag_cols: list, rules: tuple):
     return F.filter(F.array(*names), lambda x: x.isNotNull())
 
 
-def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds: set | None = None) -> Flagged:
+def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds: set | None = None,
+         only: Callable[[set], DataFrame] | None = None) -> Flagged:
     """Evaluate the rules of ``c`` on ``df``. ``refs`` maps dataset -> DataFrame for fk rules;
     ``as_of`` is the instant for ``not_future`` (one value or dataset -> value). ``kinds`` limits the
-    work to rules of these kinds; the others count as passed.
+    work to rules of these kinds; the others count as passed. ``only(columns)`` gives the same rows, at the
+    same places, with those columns alone, where that is cheaper than ``df``; key sets are made from it.
 
     Key sets are only built for the keyed rules asked for; without any, the flags are one projection
     of the scan."""
@@ -68,6 +71,7 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
     asked = [i for i, r in enumerate(c.rules) if kinds is None or r.kind in kinds]
     df = with_position(df) if any(c.rules[i].kind == "unique" for i in asked) else df
     order = arrival_order(df, c.order_by)
+    narrow = lambda columns: with_position(only(columns)) if only else df
 
     sets = {}
     for i in asked:
@@ -75,25 +79,27 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
         if i in missing:
             continue
         if r.kind == "unique":
-            sets[i] = lambda r=r: key_set(with_slot(duplicate_keys(df, r.column, order)))
+            sets[i] = lambda r=r: key_set(with_slot(duplicate_keys(narrow({r.column, *order}), r.column, order)))
         elif r.kind == "fk" and (ref := refs.get(r.param[0])) is not None and r.param[1] in ref.columns:
-            sets[i] = lambda r=r, ref=ref: key_set(with_slot(orphan_keys(df, r.column, ref, r.param[1])))
+            sets[i] = lambda r=r, ref=ref: key_set(with_slot(orphan_keys(narrow({r.column}), r.column, ref, r.param[1])))
     sets = dict(zip(sets, run_all(list(sets.values()))))   # independent of each other
 
-    out, stateless = df, {}
+    stateless = {}
     for i, r in enumerate(c.rules):
         name = flag_cols[i]
         if i not in asked:
             stateless[name] = F.lit(False)
         elif i in missing:
             stateless[name] = F.lit(True)
-        elif r.kind == "unique":
-            out = with_duplicate_flag(out, r.column, order, name, dups=sets[i])
-        elif r.kind == "fk":
-            out = with_fk_flag(out, r.column, sets.get(i), name, (c.row_key, "_ordinal"))
-        else:
+        elif r.kind not in KEYED:
             stateless[name] = F.coalesce(STATELESS[r.kind](df, c, r, as_of), F.lit(False))
-    out = out.withColumns(stateless) if stateless else out
+    # before the joins with key sets: where these shuffle, a flag moves in place of the columns it was made of
+    out = df.withColumns(stateless) if stateless else df
+    for i, r in enumerate(c.rules):
+        if i in asked and i not in missing and r.kind == "unique":
+            out = with_duplicate_flag(out, r.column, order, flag_cols[i], dups=sets[i])
+        elif i in asked and i not in missing and r.kind == "fk":
+            out = with_fk_flag(out, r.column, sets.get(i), flag_cols[i], (c.row_key, "_ordinal"))
     return Flagged(out.withColumn(FAILED, failed_array(out, flag_cols, c.rules)), c, c.rules, flag_cols, missing)
 
 

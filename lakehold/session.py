@@ -22,7 +22,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # runtime (measured) size under which AQE turns a shuffle join into a broadcast
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    # joins whose measured build side has no partition above this hash it and sort neither side; not below the advisory size
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",

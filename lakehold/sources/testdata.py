@@ -95,7 +95,8 @@ def _lines(spark: SparkSession, sf_dir: str, twice: Column, with_orders: bool) -
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"), twice)
     if not with_orders:
         return li.withColumn("o_custkey", F.lit(None).cast("long"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # both grow with the data: sorted and merged at any size, never a broadcast that stops fitting
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
     return li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
 
 
