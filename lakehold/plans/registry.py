@@ -233,17 +233,16 @@ def ingest_report(spark, sf_dir):
     "SELECT 'ratings', 'reader_id', reader_id, count(*) FROM f_ratings WHERE r3 GROUP BY reader_id UNION ALL "
     "SELECT 'ratings', 'book_id', book_id, count(*) FROM f_ratings WHERE r4 GROUP BY book_id"))
 def fk_orphans(spark, sf_dir):
+    """Rows per orphan key: a dataset is flagged by its foreign keys and read once for all of them."""
     ch = Chain(spark, sf_dir)
     frames = []
     for ds in ("loans", "ratings"):
-        fl = ch.flagged(ds)
-        for i, r in enumerate(fl.rules):
-            if r.kind == "fk":
-                frames.append(fl.df.where(F.col(fl.flag_cols[i]))
-                              .groupBy(F.col(r.column).alias("orphan_key"))
-                              .agg(F.count(F.lit(1)).alias("n_rows"))
-                              .select(F.lit(ds).alias("dataset"), F.lit(r.column).alias("column"),
-                                      "orphan_key", "n_rows"))
+        fl = ch.violations(ds, "fk")
+        broken = [F.when(F.col(fl.flag_cols[i]), F.struct(F.lit(r.column).alias("column"), F.col(r.column).alias("orphan_key")))
+                  for i, r in enumerate(fl.rules) if r.kind == "fk"]
+        frames.append(fl.df.select(F.explode(F.array_compact(F.array(*broken))).alias("b")).groupBy("b.column", "b.orphan_key")
+                      .agg(F.count(F.lit(1)).alias("n_rows"))
+                      .select(F.lit(ds).alias("dataset"), "column", "orphan_key", "n_rows"))
     return _union(frames)
 
 

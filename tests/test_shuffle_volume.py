@@ -4,11 +4,16 @@ from pyspark.sql import functions as F
 
 from lakehold.operators import quality as Q
 from lakehold.operators.keys import duplicate_keys
+from lakehold.plans.registry import queries
 from lakehold.sources import testdata as td
 from lakehold.sources.testdata import CONTRACTS
 from lakehold_suite import SF_SMALL
 
 
+def _line_scans(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey")
+
+
 def test_key_sets_hold_the_key_and_a_place(spark):
     rows = spark.createDataFrame([(1, "b", 10), (1, "a", 11), (1, "a", 12), (2, "a", 13), (None, "a", 14), (None, "a", 15)],
                                  "k long, at string, _ordinal long")
@@ -39,6 +44,10 @@ def test_key_sets_come_from_narrow_frames(spark):
     assert sorted(map(sorted, asked)) == sorted(map(sorted, ({"loan_id", "loan_date", "book_id", "_ordinal"}, {"reader_id"}, {"book_id"})))
 
 
+def test_flags_are_evaluated_once(spark):
+    assert _line_scans(queries()["fk_orphans"](spark, SF_SMALL)) == 2   # loans and ratings
+
+
 def test_lines_and_orders_merge_at_any_size(spark):
     plan = td.loans(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
