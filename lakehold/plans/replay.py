@@ -76,12 +76,12 @@ def replay_lineage(ch: Chain, datasets=ALL_DATASETS) -> DataFrame:
         m = monthly_counts(ch, ds)
         run_id = F.concat(F.lit(f"{ds}-"), F.col("month"))
         ingest = "ingest_batch" if ds in BATCH_DATASETS else "event_consumer"
-        e1 = m.select(F.lit(f"raw/{ds}").alias("source"), F.lit(f"bronze/{ds}").alias("target"),
-                      F.lit(ingest).alias("process"), F.col("n").cast("long").alias("rows"),
-                      "ts", run_id.alias("run_id"), F.lit(0).cast("long").alias("seq"))
-        e2 = m.select(F.lit(f"bronze/{ds}").alias("source"), F.lit(f"silver/{ds}").alias("target"),
-                      F.lit("silver").alias("process"), (F.col("n") - F.col("n_bad")).cast("long").alias("rows"),
-                      "ts", run_id.alias("run_id"), F.lit(1).cast("long").alias("seq"))
-        part = e1.unionByName(e2)
+        edge = lambda source, target, process, rows, seq: F.struct(
+            F.lit(f"{source}/{ds}").alias("source"), F.lit(f"{target}/{ds}").alias("target"), F.lit(process).alias("process"),
+            rows.cast("long").alias("rows"), F.lit(seq).cast("long").alias("seq"))
+        # both edges of a run come from one row, so the flags are evaluated once
+        edges = F.array(edge("raw", "bronze", ingest, F.col("n"), 0), edge("bronze", "silver", "silver", F.col("n") - F.col("n_bad"), 1))
+        part = m.select("ts", run_id.alias("run_id"), F.explode(edges).alias("e")).select(
+            "e.source", "e.target", "e.process", "e.rows", "ts", "run_id", "e.seq")
         out = part if out is None else out.unionByName(part)
     return out

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from lakehold.operators import quality as Q
 from lakehold.operators.keys import duplicate_keys
+from lakehold.plans import replay as RP
+from lakehold.plans.derived import Chain
 from lakehold.plans.registry import queries
 from lakehold.sources import testdata as td
 from lakehold.sources.testdata import CONTRACTS
@@ -46,6 +48,7 @@ def test_key_sets_come_from_narrow_frames(spark):
 
 def test_flags_are_evaluated_once(spark):
     assert _line_scans(queries()["fk_orphans"](spark, SF_SMALL)) == 2   # loans and ratings
+    assert _line_scans(RP.replay_lineage(Chain(spark, SF_SMALL))) == 2
 
 
 def test_lines_and_orders_merge_at_any_size(spark):
