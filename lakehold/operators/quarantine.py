@@ -2,6 +2,8 @@
 batches, and re-checking quarantined rows against the current rules."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +55,10 @@ def pending(batch_df: DataFrame, ledger: DataFrame) -> DataFrame:
     return batch_df.join(ledger.select("dataset", "run_id"), ["dataset", "run_id"], "left_anti")
 
 
-def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict, as_of) -> Q.Flagged:
-    """Re-validate quarantined rows under the current rules.
+def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict, as_of,
+            only: Callable[[set], DataFrame] | None = None) -> Q.Flagged:
+    """Re-validate quarantined rows under the current rules. ``only(columns)`` gives the rows of ``bronze``
+    with those columns alone, where that is cheaper.
 
     - Equal data rows, from one run or several, are one candidate, of the latest run that
       quarantined it.
@@ -73,10 +77,11 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     else:
         # the first row per key and run in Bronze, for the candidates' keys only
         asked = key_set(copies.select(F.col(key).alias("_ck")).where("_ck is not null").distinct())
-        rows = join_keyset(bronze, asked, lambda b, k: b[key] == k["_ck"], "left_semi")
         of_run = F.col("run_id") if "run_id" in bronze.columns else F.lit("")
         order = arrival_order(bronze, c.order_by)
         least = F.min(F.struct(order_struct(order).alias("o"), drain_of(bronze).alias("d")))
+        places = only({key, *order, "run_id", DRAIN} & set(bronze.columns)) if only else bronze
+        rows = join_keyset(places, asked, lambda b, k: b[key] == k["_ck"], "left_semi")
         firsts = rows.groupBy(F.col(key).alias("_ck"), of_run.alias("_cr")).agg(least.alias("_m")).select(
             "_ck", "_cr", F.struct(F.col("_m.d").alias("d"), F.col("_m.o._ordinal").alias("n")).alias("_cf"))
         copies = copies.join(key_set(firsts), (F.col(key) == F.col("_ck")) & (F.col("_bronze_run_id") == F.col("_cr")), "left")
@@ -85,7 +90,8 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     cand = copies.groupBy(*data).agg(latest.alias("_pick")).select(
         *data, F.nullif(F.col("_pick._bronze_run_id"), F.lit("")).alias("_bronze_run_id"),
         F.col(f"_pick.{DRAIN}").alias(DRAIN), (-F.col("_pick._back")).alias("_ordinal"), F.col("_pick._first").alias("_first"))
-    fl = Q.flag(cand, c, refs, as_of, {r.kind for r in c.rules} - {"unique"})
+    # candidates hold the values of the quarantined rows: their orphans are sought there, without making candidates again
+    fl = Q.flag(cand, c, refs, as_of, {r.kind for r in c.rules} - {"unique"}, only=lambda columns: quarantined.select(*columns))
     df = fl.df
     for i, r in enumerate(c.rules):
         if r.kind == "unique":

@@ -156,7 +156,8 @@ def _quarantined(ch: Chain) -> dict:
 
 
 def _rechecked(ch: Chain, quarantined: dict) -> dict:
-    again = run_all([lambda ds=ds, q=q: QR.recheck(q, ch.raw(ds), CONTRACTS[ds], ch.refs, td.LATER_AS_OF)
+    again = run_all([lambda ds=ds, q=q: QR.recheck(q, ch.raw(ds), CONTRACTS[ds], ch.refs, td.LATER_AS_OF,
+                                                     only=lambda columns: ch.raw(ds, columns))
                      for ds, q in quarantined.items()])
     return dict(zip(quarantined, again, strict=True))
 

@@ -3,6 +3,7 @@ query evaluates the flags of a dataset once."""
 from pyspark.sql import functions as F
 
 from lakehold.operators import quality as Q
+from lakehold.operators import quarantine as QR
 from lakehold.operators.keys import duplicate_keys
 from lakehold.plans import replay as RP
 from lakehold.plans.derived import Chain
@@ -54,3 +55,17 @@ def test_flags_are_evaluated_once(spark):
 def test_lines_and_orders_merge_at_any_size(spark):
     plan = td.loans(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_recheck_reads_narrow_bronze(spark):
+    ch, c, asked = Chain(spark, SF_SMALL), CONTRACTS["loans"], []
+    q = QR.quarantine_rows(ch.flagged("loans"), "reason", "batch", "2026-01-01T00:00:00")
+
+    def only(columns):
+        asked.append(set(columns))
+        return ch.raw("loans", columns)
+
+    rows = lambda fl: sorted(map(str, fl.df.select("loan_id", "reader_id", "book_id", "_ordinal", Q.FAILED).collect()))
+    narrow = rows(QR.recheck(q, ch.raw("loans"), c, ch.refs, td.LATER_AS_OF, only=only))
+    assert narrow == rows(QR.recheck(q, ch.raw("loans"), c, ch.refs, td.LATER_AS_OF)) and narrow
+    assert asked == [{"loan_id", "loan_date", "l_suppkey", "l_extendedprice", "book_id", "l_quantity", "_ordinal"}]
