@@ -19,22 +19,34 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select("u", "v").where("u <> v")
     down = materialise(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = _state(down)
-    while state["n"]:
+    while not _stars(down):
         both = down.unionByName(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # a node that is its own minimum keeps its edges to the larger neighbours
-        large = large.distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = materialise(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
-        before, state = state, _state(down)
-        if state == before:
-            break
     return down.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         down.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _state(edges: DataFrame) -> dict:
-    return edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first().asDict()
+def _stars(down: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, which has none: the steps change nothing any more."""
+    ends = down.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("n")), F.struct(F.col("v").alias("node"), F.lit(0).alias("n")))).alias("e"))
+    nodes = ends.select("e.*").groupBy("node").agg(F.sum("n").alias("up"), F.min("n").alias("centre"))
+    return not nodes.agg(F.count_if(F.expr("up > 1 or (up = 1 and centre = 0)"))).first()[0]
+
+
+def joined(member: DataFrame, edges: DataFrame) -> DataFrame:
+    """``components`` of a graph, known as (node, component), with more edges: only these, between components, are gone through."""
+    of = lambda c: member.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    edges = edges.select("u", "v").where("u <> v")
+    named = edges.join(of("u"), "u", "left").join(of("v"), "v", "left").select(
+        "u", "v", F.coalesce("of_u", "u").alias("of_u"), F.coalesce("of_v", "v").alias("of_v"))
+    named = materialise(named, "edges")
+    moved = components(named.select(F.col("of_u").alias("u"), F.col("of_v").alias("v"))).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    ends = named.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("of_u").alias("component")),
+                                          F.struct(F.col("v").alias("node"), F.col("of_v").alias("component")))).alias("e"))
+    nodes = member.unionByName(ends.select("e.*")).distinct()
+    return materialise(nodes.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "components")

@@ -27,9 +27,10 @@ joined to components, which contracts groups of near copies; then all others tha
 their own, small ones share blocks, and pairs of blocks meet unless both hold one and the same component. It emits every
 surviving pair between members of different components, so that no link that matters is lost.
 
-*One exchange.* Shard keys are hashes, most of which occur once. They are exchanged once, as (shard, class, size), sorted
-within tasks and never stored; what a stream over the sorted rows finds in shards of one class is dropped there. Points and texts are fetched
-for the classes that remain.
+*One exchange.* Shard keys are hashes, most of which occur once. They are exchanged once, as (shard, class), sorted
+within tasks and never stored; what a stream over the sorted rows finds in shards of one class is dropped there. A pair that
+links meets in most of its shards. Shards of one block at most become one of their smallest class, which holds
+every two of them together, so that a pair is not tried once for each. Points and texts are fetched for the classes that remain.
 
 Defined cases. Null texts and texts without words have an empty set, link with nothing and are
 their own component. Texts with fewer words than a shingle have one shingle, their whole word
@@ -50,7 +51,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehold.llm._base import fresh, mapped, slices
-from lakehold.llm._graph import components
+from lakehold.llm._graph import components, joined
 from lakehold.sources.scratch import materialise
 
 DIMENSIONS, LEAF, BLOCK = 64, 32, 512
@@ -336,47 +337,63 @@ def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
 
 # ---- members of shards ------------------------------------------------------------------------
 
-def shared_members(keys: DataFrame) -> DataFrame:
-    """shard, class, place: the distinct classes of each shard that has two or more, numbered from 0."""
-    dealt = keys.select("shard", "class").repartition("shard").sortWithinPartitions("shard", "class")
+def numbered(keys: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """(key, class) -> key, class, place: the distinct classes of each key that has two or more, numbered from 0.
+
+    Where ``most`` is given, keys with up to so many classes are told by their smallest class instead, and their places are null.
+    Of one key no more than ``most`` classes are held.
+    """
+    dealt = keys.select(key, "class").repartition(key).sortWithinPartitions(key, "class")
+    least = most or 1
 
     def run(batches) -> Iterator[dict]:
-        last_shard = last_class = None  # of the rows before
-        place = 0  # of that row
+        held = np.zeros((2, 0), np.int64)  # of the last key, which may go on in the next batch
+        sent, sent_key, sent_class = 0, None, None  # classes of it that are out already, as they are more than ``least``
+
+        def told(rows: np.ndarray, more: bool) -> Iterator[dict]:
+            nonlocal held, sent, sent_key, sent_class
+            of, cls = rows
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (cls[1:] != cls[:-1])
+            goes_on = bool(sent) and len(of) > 0 and of[0] == sent_key
+            if goes_on and cls[0] == sent_class:
+                new[0] = False
+            of, cls = of[new], cls[new]
+            held = rows[:, :0]
+            if not len(of):
+                return
+            starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            sizes = np.diff(np.append(starts, len(of)))
+            before = np.zeros(len(starts), np.int64)
+            before[0] = sent if goes_on and of[0] == sent_key else 0
+            if more and before[-1] + sizes[-1] <= least:
+                held = np.stack((of[starts[-1]:], cls[starts[-1]:]))
+                of, cls, starts, sizes, before = of[:starts[-1]], cls[:starts[-1]], starts[:-1], sizes[:-1], before[:-1]
+                sent = 0
+            elif more:
+                sent, sent_key, sent_class = int(before[-1] + sizes[-1]), of[-1], cls[-1]
+            n = before + sizes
+            place = np.arange(len(of)) - np.repeat(starts - before, sizes)
+            keep = np.repeat(n > 1, sizes)
+            small = np.repeat(n <= (most or 0), sizes)
+            named = np.where(small, np.repeat(cls[starts], sizes), of)
+            yield {key: pa.array(named[keep]), "class": pa.array(cls[keep]), "place": pa.array(place[keep], mask=small[keep])}
+
         for batch in batches:
-            shard, cls = batch.column("shard").to_numpy(), batch.column("class").to_numpy()
-            if not len(shard):
-                continue
-            fresh_ = np.ones(len(shard), bool)
-            fresh_[1:] = (shard[1:] != shard[:-1]) | (cls[1:] != cls[:-1])
-            goes_on = last_shard is not None and shard[0] == last_shard
-            fresh_[0] = not (goes_on and cls[0] == last_class)
-            shard, cls = shard[fresh_], cls[fresh_]
-            if not len(shard):
-                continue
-            start = np.ones(len(shard), bool)
-            start[1:] = shard[1:] != shard[:-1]
-            start[0] = not goes_on
-            n = np.arange(len(shard))
-            first = np.maximum.accumulate(np.where(start, n, 0))
-            places = n - first
-            if goes_on:  # up to the first start, places go on
-                upto = int(np.argmax(start)) if start.any() else len(shard)
-                places[:upto] = place + 1 + n[:upto]
-            # a row that starts a shard is written with the shard's second row, which may come in the next batch
-            second = np.flatnonzero(places == 1)
-            late = second[second == 0]
-            heads = second[second > 0] - 1
-            keep = np.zeros(len(shard), bool)
-            keep[heads] = True
-            keep[places > 0] = True
-            out = {"shard": shard[keep], "class": cls[keep], "place": places[keep]}
-            if len(late):
-                out = {"shard": np.append(last_shard, out["shard"]), "class": np.append(last_class, out["class"]), "place": np.append(0, out["place"])}
-            last_shard, last_class, place = shard[-1], cls[-1], int(places[-1])
-            yield {k: pa.array(v.astype(np.int64)) for k, v in out.items()}
-
-    return mapped(dealt, run, "shard long, class long, place long")
+            if batch.num_rows:
+                rows = np.stack((batch.column(key).to_numpy(), batch.column("class").to_numpy()))
+                yield from told(np.concatenate((held, rows), 1), True)
+        yield from told(held, False)
+
+    return mapped(dealt, run, f"{key} long, class long, place long")
+
+
+def shared_members(keys: DataFrame) -> DataFrame:
+    """shard, class, place: what has to meet. A pair that links lies in as many shards as it has groups in common, most
+    of which hold the same few classes. Shards of a block at most are therefore joined into one of their smallest class, once
+    for all: this holds any two of them together. Larger ones stay as they are."""
+    found = materialise(numbered(keys, "shard", BLOCK), "ngram-shards")
+    return numbered(found.where("place is null"), "shard").unionByName(found.where("place is not null"))
 
 
 def first_units(members: DataFrame) -> DataFrame:
@@ -471,7 +488,7 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
 
     tried = materialise(candidates(placed(first_units(members)).withColumn("label", F.col("class")), num, den, whole=False), "ngram-pairs")
     # the best pairs of each class or component, some times over; then the others that do not lie within a component by then
-    links = member = None
+    member = None
 
     def torn(pairs: DataFrame) -> DataFrame:
         if member is None:
@@ -481,13 +498,14 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
         return named.withColumns({"of_a": F.coalesce("of_a", "a"), "of_b": F.coalesce("of_b", "b")}).where("of_a <> of_b")
 
     def add(pairs: DataFrame) -> None:
-        nonlocal links, member
-        found = verify(docs, pairs, first, width, num, den)
-        links = materialise(found if links is None else links.unionByName(found), "ngram-links")
-        member = components(links)
+        nonlocal member
+        found = materialise(verify(docs, pairs, first, width, num, den), "ngram-links")
+        member = components(found) if member is None else joined(member, found)
 
     open_ = torn(tried)
-    for _ in range(ROUNDS):
+    # few pairs are verified at once: rounds spare texts, but each has its own joins and components
+    few = open_.count() <= PARTNERS * first.count()
+    for _ in range(0 if few else ROUNDS):
         ends = open_.select(F.explode(F.array("of_a", "of_b")).alias("end"), "a", "b", "weight")
         order = Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")
         best = materialise(ends.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PARTNERS).select("a", "b").distinct(), "ngram-best")

@@ -4,6 +4,7 @@ import llm_plain as plain
 import numpy as np
 import pytest
 
+from lakehold.llm import _graph as G
 from lakehold.llm import ngram_rtree as N
 
 
@@ -45,6 +46,56 @@ def test_a_large_group_is_cut_into_units(spark, monkeypatch):
     assert got(spark, rows, 3, 9, 10) == plain.jaccard_components(rows, 3, 9, 10)
 
 
+def test_near_copies_meet_once(spark):
+    """Two texts that share nearly all their shards are one unit of two classes, not one for each shard."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:150], "x", *words[151:]])), (3, " ".join(f"v{i}" for i in range(300)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = N.shard_keys(df, 3, 9, 10)
+    assert keys.groupBy("shard").count().where("count > 1").count() > 20
+    met = N.shared_members(keys).collect()
+    assert len(met) == 2 and len({r["shard"] for r in met}) == 1 and len({r["class"] for r in met}) == 2
+
+
+@pytest.mark.parametrize("most", [None, 3, 50])
+def test_classes_are_numbered_across_batches(spark, most):
+    """Keys end anywhere in a record batch, with repeated rows on either side of its end."""
+    rng = random.Random(5)
+    rows = [(k, c) for k in range(60) for c in rng.choices(range(100, 130), k=rng.choice([1, 1, 2, 3, 9, 40])) for _ in range(rng.randint(1, 3))]
+    want = set()
+    for k in range(60):
+        classes = sorted({c for x, c in rows if x == k})
+        for i, c in enumerate(classes if len(classes) > 1 else []):
+            want.add((classes[0], c, None) if len(classes) <= (most or 0) else (k, c, i))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for batch in (1, 3, 7):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        try:
+            got_ = [tuple(r) for r in N.numbered(spark.createDataFrame(rows, "shard long, class long"), "shard", most).collect()]
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        assert set(got_) == want
+        assert len([r for r in got_ if r[2] is not None]) == len({r for r in want if r[2] is not None})
+
+
+def test_components_of_more_edges_go_through_these_only(spark, monkeypatch):
+    rng = random.Random(6)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(90)]
+    frame = lambda e: spark.createDataFrame([*e, (None, 3), (5, 5)], "u long, v long")
+    known = G.components(frame(edges))
+    more = [(rng.randrange(260), rng.randrange(260)) for _ in range(40)]
+    held = []
+    monkeypatch.setattr(G, "materialise", lambda df, name, f=G.materialise: held.append(f(df, name)) or held[-1])
+    found = {tuple(r) for r in G.joined(known, frame(more)).collect()}
+    nodes = {n for u, v in edges + more if u != v for n in (u, v)}
+    assert found == set(plain.components(nodes, edges + more).items())
+    assert max(h.count() for h in held[:-1]) <= len(more)
+    # a graph of stars needs no step: its edges are written once
+    held.clear()
+    assert {tuple(r) for r in G.components(frame([(7, 1), (8, 1), (9, 2)])).collect()} == {(1, 1), (7, 1), (8, 1), (2, 2), (9, 2)}
+    assert len(held) == 1
+
+
 def test_defined_cases(spark):
     rows = [(i, t) for i, t in enumerate(plain.TEXTS)] + [(50, "A B"), (51, "a  b"), (52, "É a b c"), (53, "é a b c")]
     assert got(spark, rows, 3, 9, 10) == plain.jaccard_components(rows, 3, 9, 10)
