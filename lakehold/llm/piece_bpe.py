@@ -14,6 +14,9 @@ each run of space marks and every distinct word is encoded once per worker (a bo
 made of space marks alone all have the lowest score and are merged last, leftmost first: they are
 handled after the words' own merges. Characters without a piece become their UTF-8 bytes.
 
+Nothing merges across two neighbouring characters that no piece holds side by side, so a word that is
+not known is cut there as well: one with a comma or a line break comes from the parts before and after.
+
 Defined cases. Null text is empty: the end id only. Unknown ids and control ids decode as the
 library does (the unknown surface; nothing). Byte pieces that are not valid UTF-8 decode to U+FFFD
 each. Rows repeat as they are. Very long texts and words are encoded whole.
@@ -21,6 +24,7 @@ each. Rows repeat as they are. Very long texts and words are encoded whole.
 from __future__ import annotations
 
 import re
+import string
 import struct
 from collections.abc import Iterator
 
@@ -36,6 +40,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_SURFACE = " ⁇ "
 # ---- end of fixed values ----
+MARKS = string.punctuation
+PAIR = 32  # bits of a token's id in a pair
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -62,6 +68,11 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
         yield key >> 3, value
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 class Pieces:
     """The pieces of a BPE model file, and what encoding and decoding need of them."""
 
@@ -92,26 +103,36 @@ class Pieces:
         self.automaton = ahocorasick.Automaton()
         for t, i in self.id.items():
             if set(t) != {SPACE} or len(t) == 1:
-                self.automaton.add_word(t, (i, len(t)))
+                self.automaton.add_word(t, (i, len(t) - 1, i << PAIR))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
+        # two neighbouring characters of pieces; between others nothing merges
+        self.joined = {t[i:i + 2] for t in self.id for i in range(len(t) - 1)} | {SPACE * 2}
+        self.pairs: dict[int, bool] = {}   # by the second token's id << PAIR, plus the first's
+        self.words: dict[str, bytes] = {}   # used since ``older`` was set aside
+        self.older: dict[str, bytes] = {}
         self.most_words, self.most_pairs = most_words, most_pairs
 
         self.surface = [
             b"" if k == CONTROL else UNKNOWN_SURFACE.encode() if k == UNKNOWN else bytes([int(t[3:5], 16)]) if k == BYTE
             else t.replace(SPACE, " ").encode() for t, k in zip(self.text, self.kind, strict=True)]
+        self.surfaces = pa.array(self.surface, pa.large_binary())
+        # of each id: whether a text that begins with it has one space too many
+        self.begins = [k == NORMAL and t[0] == SPACE for t, k in zip(self.text, self.kind, strict=True)]
 
     # ---- encoding ----
 
     def _merge(self, text: str) -> list[str]:
         """What merging by rank, leftmost first, leaves of a short text."""
-        parts, rank = list(text), self.rank
-        while len(parts) > 1:
-            best, at = min(((rank.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1)))
-            if best == 1 << 60:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        parts, rank, never = list(text), self.rank.get, 1 << 60
+        ranks = [rank(x + y, never) for x, y in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) != never:
+            at = ranks.index(best)
+            parts[at] += parts.pop(at + 1)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], never)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], never)
         return parts
 
     def compatible(self, a: int, b: int) -> bool:
@@ -119,20 +140,20 @@ class Pieces:
         if len(self.pairs) > self.most_pairs:
             self.pairs.clear()
         x, y = [self.text[a]] if a >= 0 else [], self.text[b]
-        self.pairs[a, b] = fits = self._merge("".join(x) + y) == [*x, y]
+        self.pairs[(b << PAIR) + a] = fits = self._merge("".join(x) + y) == [*x, y]
         return fits
 
     def last_tokens(self, text: str) -> list[int]:
         """For each prefix of a text its last token; -1 for the empty prefix, and where the prefix
         ends with a character without a piece, with which nothing merges."""
-        last, known = [-1] * (len(text) + 1), self.pairs
+        last, known = [-1] * (len(text) + 1), self.pairs.get
         fixed = -1  # the last token is known up to here
-        for end, (token, size) in self.automaton.iter(text):
+        for end, (token, more, pair) in self.automaton.iter(text):
             if end > fixed:
-                pair = (last[end + 1 - size], token)
-                fits = known.get(pair)
+                before = last[end - more]
+                fits = known(pair + before)
                 if fits is None:
-                    fits = self.compatible(*pair)
+                    fits = self.compatible(before, token)
                 if fits:
                     last[end + 1] = token
                     fixed = end
@@ -176,19 +197,76 @@ class Pieces:
         else:
             words = [w[1:] for w in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + marked)]
         if len(self.words) > self.most_words:
-            self.words.clear()
+            self.older, self.words = self.words, {}
+        return b"".join(self._word_ids(words))
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of words that a space stands before."""
         known, out = self.words, []
         for w in words:
             ids = known.get(w)
             if ids is None:
-                ids = np.array(self.encode_word(SPACE + w), "<i4").tobytes()
-                if len(w) <= 64:
-                    known[w] = ids
+                ids = self._part(SPACE + w, w) if w.isalpha() else self._parts(w)
             out.append(ids)
+        return out
+
+    def encode_batch(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of each text; Arrow splits them and finds the distinct words, only those are looked up."""
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        if pc.any(pc.match_substring(texts, SPACE)).as_py():
+            texts = pc.replace_substring(texts, SPACE, " ")
+        other = pc.or_(pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")), pc.or_(pc.match_substring(texts, "  "), pc.equal(texts, "")))
+        other = other.to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        kept = np.flatnonzero(~other)
+        if len(kept):
+            if len(self.words) > self.most_words:
+                self.older, self.words = self.words, {}
+            cut = pc.split_pattern(texts.take(pa.array(kept)), " ")
+            offsets = cut.offsets.to_numpy().astype(np.int64)
+            coded = cut.flatten().dictionary_encode()
+            words = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")[0].as_py().split(" ")
+            found = pa.array(self._word_ids(words), pa.large_binary()).take(coded.indices)
+            ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset:found.offset + len(found) + 1]
+            raw, bounds = memoryview(found.buffers()[2] or b""), ends[offsets - offsets[0]].tolist()
+            for i, a, b in zip(kept.tolist(), bounds, bounds[1:], strict=False):
+                out[i] = bytes(raw[a:b])
+        for i in np.flatnonzero(other).tolist():
+            out[i] = self.encode(texts[i].as_py())
+        return out
+
+    def _part(self, part: str, name: str) -> bytes:
+        """The ids of a part of a word, known as ``name`` from then on."""
+        ids = self.older.get(name)
+        if ids is None:
+            ids = _packed(self.encode_word(part))
+        if len(name) <= 64:
+            self.words[name] = ids
+        return ids
+
+    def _parts(self, word: str) -> bytes:
+        """The ids of a word by its parts; a part inside a word is named with a space before it, as no word is."""
+        marked, joined = SPACE + word, self.joined
+        n = len(word.rstrip(MARKS))
+        if word[:n].isalpha() and marked[n:n + 2] not in joined:
+            cuts = [n + 1]
+        else:
+            cuts = [i for i in range(1, len(marked)) if marked[i - 1:i + 1] not in joined]
+        if not cuts:
+            return self._part(marked, word)
+        out, known = [], self.words
+        for a, b in zip([0, *cuts], [*cuts, len(marked)], strict=True):
+            part = marked[a:b]
+            name = " " + part if a else part[1:]
+            ids = known.get(name)
+            out.append(self._part(part, name) if ids is None else ids)
         return b"".join(out)
 
     def forget(self) -> None:
         self.words.clear()
+        self.older.clear()
         self.pairs.clear()
 
     # ---- decoding ----
@@ -240,8 +318,8 @@ def pieces(path: str) -> Pieces:
 
 def _encoded(p: Pieces, batches, end: bool) -> Iterator[dict]:
     tail = np.array([p.end] * end, "<i4").tobytes()
-    for batch in slices(batches, "text", 1 << 20):
-        coded = [p.encode(t) + tail for t in batch.column("text").to_pylist()]
+    for batch in slices(batches, "text", 2 << 20):
+        coded = [ids + tail for ids in p.encode_batch(batch.column("text"))]
         ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
         flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
         yield {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)}
@@ -249,8 +327,24 @@ def _encoded(p: Pieces, batches, end: bool) -> Iterator[dict]:
 
 
 def _decoded(p: Pieces, ids: pa.ListArray) -> list[str | None]:
-    flat, cuts = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
-    return [p.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(cuts, cuts[1:], ids.is_valid().to_pylist(), strict=False)]
+    """The texts of lists of ids, from the bytes of all their surfaces at once."""
+    flat, cuts = ids.values.to_numpy(), ids.offsets.to_numpy()
+    found = p.surfaces.take(ids.values)
+    ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset:found.offset + len(found) + 1]
+    raw, bounds, out = memoryview(found.buffers()[2] or b""), ends[cuts].tolist(), []
+    cuts = cuts.tolist()
+    for i, ok in enumerate(ids.is_valid().to_pylist()):
+        a, b = cuts[i], cuts[i + 1]
+        if not ok or a == b:
+            out.append("" if ok else None)
+        elif p.kind[flat[a]] == CONTROL:
+            out.append(p.decode(flat[a:b].tolist()))
+        else:
+            try:
+                out.append(str(raw[bounds[i] + p.begins[flat[a]]:bounds[i + 1]], "utf-8"))
+            except UnicodeDecodeError:
+                out.append(p.decode(flat[a:b].tolist()))
+    return out
 
 
 def encode(docs: DataFrame, model: str, end: bool = True) -> DataFrame:

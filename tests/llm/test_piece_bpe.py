@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import llm_plain as plain
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -62,3 +64,21 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted(map(tuple, op9_piece_prefix_table(spark, sf).collect()), key=str) == expected(rows)
+
+
+def test_words_come_from_known_parts(monkeypatch):
+    p, asked = B.Pieces(PATH), []
+    encode_word = p.encode_word
+    monkeypatch.setattr(p, "encode_word", lambda w: asked.append(w) or encode_word(w))
+    p.encode("house house, house. (house) house,")
+    # a mark after a word is cut off: no piece holds both
+    assert asked[:3] == ["▁house", ",", "."] and "▁house," not in asked
+
+
+def test_batches_encode_and_decode_as_single_texts():
+    texts = ["the house, the house.\nThe end", None, "", " ", "▁", "a  b", " a", "a ", "a▁b", "日本\n語。x", "don't!!", "e.g.,", "\U0001d518\x00 é", "house"]
+    p = B.Pieces(PATH, most_words=3)
+    found = [np.frombuffer(x, "<i4").tolist() for x in p.encode_batch(pa.array(["skipped", *texts, *texts]).slice(1))]
+    assert found == [LIBRARY.encode(t or "") for t in texts] * 2
+    lists = pa.array([[0], None, [], *found, [p.end], [*found[0], p.end], [p.end, *found[0]]], pa.list_(pa.int32()))
+    assert B._decoded(p, lists) == [None if x is None else LIBRARY.decode(x) for x in lists.to_pylist()]
