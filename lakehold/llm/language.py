@@ -27,6 +27,7 @@ from lakehold.llm._base import give_back, mapped, slices
 
 MAX_DOCS = 1500
 SWITCH = 6.0
+WORDS_AT_ONCE = 16_384  # words whose grams are in memory at a time
 MOST = 12.0  # a word's scores lie at most this far apart
 UND = "und"
 
@@ -245,8 +246,10 @@ class Labeller:
         words = [text.split() if text and names else [] for text in texts]
         new = list(set().union(*words).difference(self.known))
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.scores, self.sizes, self.learned = map(np.concatenate, zip(
-            (self.scores, self.sizes, self.learned), self.model.words(new, self.alphabet), strict=True))
+        # a batch can hold more than 100,000 new words, whose grams take many times the room of their scores
+        scored = [self.model.words(new[i:i + WORDS_AT_ONCE], self.alphabet) for i in range(0, len(new), WORDS_AT_ONCE)]
+        self.scores, self.sizes, self.learned = map(np.concatenate, zip((self.scores, self.sizes, self.learned), *scored, strict=True))
+        del scored, new
         get = self.known.__getitem__
         rows = [np.array(list(map(get, ws)), np.int32) for ws in words]
         del words
