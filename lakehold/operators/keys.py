@@ -74,6 +74,18 @@ def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool
     return firsts.where("_dn > 1").select("_dk", F.struct(*[F.col(f"_dord.{c}") for c in place_of(order)]).alias("_dfirst"))
 
 
+def first_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The rows of ``df`` that are no duplicates: of each key the first by ``order``, which has to be total and
+    end with the row's position, and every row with a null key.
+
+    One shuffle finds the first and brings its columns; a hot key costs one row per task, and rows with a null
+    key are told apart by their position."""
+    own = F.when(F.col(key).isNull(), F.col("_ordinal"))
+    carried = [c for c in df.columns if c not in order and c != key]
+    firsts = df.groupBy(F.col(key), own.alias("_own")).agg(F.min(order_struct([*order, *carried])).alias("_first"))
+    return firsts.select(*[F.col(c) if c == key else F.col(f"_first.{c}") for c in df.columns])
+
+
 def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
                         nulls_equal: bool = False, dups: DataFrame | None = None) -> DataFrame:
     """``flag`` is true for every row of a key except its first by ``order``, which has to be total

@@ -8,13 +8,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakehold.contracts import CORRUPT_RULE, MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract, Rule
 from lakehold.functions.rules import KEYED, STATELESS, as_of_for
 from lakehold.operators.joins import key_set
-from lakehold.operators.keys import arrival_order, duplicate_keys, orphan_keys, with_duplicate_flag, with_fk_flag, with_position, with_slot
+from lakehold.operators.keys import arrival_order, duplicate_keys, first_rows, orphan_keys, with_duplicate_flag, with_fk_flag, with_position, with_slot
 
 FAILED = "_failed_rules"
 
@@ -54,10 +54,10 @@ def failed_array(df: DataFrame, flag_cols: list, rules: tuple):
 
 
 def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds: set | None = None,
-         only: Callable[[set], DataFrame] | None = None) -> Flagged:
+         only: Callable[[set], DataFrame] | None = None, which: Callable[[Rule], bool] | None = None) -> Flagged:
     """Evaluate the rules of ``c`` on ``df``. ``refs`` maps dataset -> DataFrame for fk rules;
     ``as_of`` is the instant for ``not_future`` (one value or dataset -> value). ``kinds`` limits the
-    work to rules of these kinds; the others count as passed. ``only(columns)`` gives the same rows, at the
+    work to rules of these kinds, ``which`` to those it holds for; the others count as passed. ``only(columns)`` gives the same rows, at the
     same places, with those columns alone, where that is cheaper than ``df``; key sets are made from it.
 
     Key sets are only built for the keyed rules asked for; without any, the flags are one projection
@@ -68,7 +68,7 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
     as_of = as_of_for(as_of, c.name)
     flag_cols = [f"_rule_{i}" for i in range(len(c.rules))]
     missing = frozenset(i for i, r in enumerate(c.rules) if r.column not in df.columns)
-    asked = [i for i, r in enumerate(c.rules) if kinds is None or r.kind in kinds]
+    asked = [i for i, r in enumerate(c.rules) if (kinds is None or r.kind in kinds) and (which is None or which(r))]
     df = with_position(df) if any(c.rules[i].kind == "unique" for i in asked) else df
     order = arrival_order(df, c.order_by)
     narrow = lambda columns: with_position(only(columns)) if only else df
@@ -103,6 +103,23 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
     return Flagged(out.withColumn(FAILED, failed_array(out, flag_cols, c.rules)), c, c.rules, flag_cols, missing)
 
 
+def valid_rows(df: DataFrame, c: Contract, refs: dict, as_of, only: Callable[[set], DataFrame], later: Callable[[DataFrame], DataFrame],
+               late: set) -> DataFrame:
+    """``flag(...).valid()`` where no row has to be told why it fails, and some columns come from a join that
+    grows with the data. ``df`` lacks the columns ``late``, which ``later`` adds to its rows (and drops its link).
+
+    Every rule still looks at the whole input. A row is moved once to meet its key, and only the first of a key,
+    if it breaks no other rule, goes on into the join."""
+    key = c.key
+    if key is None or key in late or late & set(c.order_by):
+        raise ValueError(f"{c.name}: rows of a key are ordered by columns that come later")
+    early = flag(df, c, refs, as_of, only=only, which=lambda r: r.kind != "unique" and r.column not in late)
+    rows = early.df.select(*df.columns, (F.size(F.col(FAILED)) == 0).alias("_passes"))
+    firsts = first_rows(rows, key, arrival_order(df, c.order_by)).where("_passes").drop("_passes")
+    whole = flag(later(firsts), c, refs, as_of, only=only, which=lambda r: r.column in late)
+    return whole.valid().select(*whole.data_columns())
+
+
 def _rule_detail(fl: Flagged, i: int, r: Rule) -> str:
     return MISSING_COLUMN_DETAIL if i in fl.missing else r.detail
 
@@ -134,14 +151,19 @@ def rule_report(fl: Flagged, counts: DataFrame | None = None) -> DataFrame:
 def dataset_report(fl: Flagged, counts: DataFrame | None = None) -> DataFrame:
     """dataset, total_rows, invalid_rows, pass_rate (1.0 when empty), pass_rate_4dp, passed."""
     counts = counts if counts is not None else summary_counts(fl)
-    rate = F.when(F.col("n") == 0, F.lit(1.0)).otherwise(
-        (F.col("n") - F.col("n_invalid")).cast("double") / F.col("n"))
     all_pass = F.lit(True)
     for i, n in enumerate(fl.flag_cols):
         failed = F.col("n") if i in fl.missing else F.col(n)
         all_pass = all_pass & (failed == 0)
+    return report_of(fl.contract.name, counts, all_pass)
+
+
+def report_of(dataset: str, counts: DataFrame, all_pass: Column) -> DataFrame:
+    """``dataset_report`` from rows (n) and invalid rows (n_invalid)."""
+    rate = F.when(F.col("n") == 0, F.lit(1.0)).otherwise(
+        (F.col("n") - F.col("n_invalid")).cast("double") / F.col("n"))
     return counts.select(
-        F.lit(fl.contract.name).alias("dataset"),
+        F.lit(dataset).alias("dataset"),
         F.col("n").cast("long").alias("total_rows"),
         F.col("n_invalid").cast("long").alias("invalid_rows"),
         rate.alias("pass_rate"),

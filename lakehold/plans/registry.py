@@ -220,9 +220,7 @@ def bronze_first_per_key(spark, sf_dir):
 @query("ingest_report", O.ingest_report_sql())
 def ingest_report(spark, sf_dir):
     """What ingest reports: per batch dataset, against raw references, rows, invalid rows and rate."""
-    ch = Chain(spark, sf_dir)
-    ch.flag_all(BATCH_DATASETS)
-    return _union(Q.dataset_report(ch.flagged(ds)) for ds in BATCH_DATASETS).select(
+    return Chain(spark, sf_dir).dataset_reports(BATCH_DATASETS).select(
         "dataset", "total_rows", "invalid_rows", "pass_rate_4dp")
 
 

@@ -62,7 +62,7 @@ def _bronze_profile(ch: Chain, ds: str):
 
 def _profiles(ch: Chain):
     """Bronze is read where it lies; Silver, which has to be made here, is written once and read from there."""
-    ch.flag_all()
+    ch.pass_all()
     silver = run_all([lambda ds=ds: materialise(ch.silver(ds), "profile") for ds in ALL_DATASETS])
     frames = []
     for ds, made in zip(ALL_DATASETS, silver, strict=True):
@@ -138,7 +138,7 @@ def _catalog_sql() -> str:
 @query("catalog_summary", O.with_chain(_catalog_sql()))
 def catalog_summary(spark, sf_dir):
     ch = Chain(spark, sf_dir)
-    ch.flag_all()
+    ch.pass_all()
     return P.catalog_summary({ds: ch.silver(ds) for ds in ALL_DATASETS}, CONTRACTS)
 
 

@@ -6,7 +6,7 @@ injected deterministically from the keys; no row is dropped. The same views exis
 ``lakehold.plans.oracle`` for the DuckDB cross-check.
 
 ``columns`` names the columns that are needed (None: all); joins that serve none of them are left
-out. ``_ordinal`` is a row's position in the scan, taken before any join.
+out. ``later`` adds what they would have given to rows that were read without, by the link ``_order``. ``_ordinal`` is a row's position in the scan, taken before any join.
 """
 from __future__ import annotations
 
@@ -95,29 +95,41 @@ def _lines(spark: SparkSession, sf_dir: str, twice: Column, with_orders: bool) -
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"), twice)
     if not with_orders:
         return li.withColumn("o_custkey", F.lit(None).cast("long"))
+    return _with_orders(spark, sf_dir, li, "l_orderkey")
+
+
+def _with_orders(spark: SparkSession, sf_dir: str, rows: DataFrame, link: str) -> DataFrame:
     # both grow with the data: sorted and merged at any size, never a broadcast that stops fitting
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
-    return li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
+    return rows.join(orders, rows[link] == orders.o_orderkey, "left")
+
+
+def _reader(order: Column, rest: int) -> Column:
+    return F.when(order % 100 == rest, F.col("o_custkey") + 1000000).otherwise(F.col("o_custkey"))
+
+
+def _link(columns) -> list[Column]:
+    return [F.col("l_orderkey").alias("_order")] if columns is not None and "_order" in columns else []
 
 
 def loans(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     ok = F.col("l_orderkey")
-    reader = F.when(ok % 100 == 1, F.col("o_custkey") + 1000000).otherwise(F.col("o_custkey"))
+    reader = _reader(ok, 1)
     book = F.when(ok % 91 == 2, F.lit(None).cast("long")).when(ok % 113 == 7, F.col("l_partkey") + 10000000).otherwise(F.col("l_partkey"))
     return _asked(_lines(spark, sf_dir, ok % 211 == 3, columns is None or "reader_id" in columns).select(
         _none_if(ok % 307 == 5, ok * 8 + F.col("l_linenumber")).alias("loan_id"), reader.alias("reader_id"),
         book.alias("book_id"), F.col("l_shipdate").alias("loan_date"),
-        "l_suppkey", "l_extendedprice", "l_quantity", "_ordinal"), columns)
+        "l_suppkey", "l_extendedprice", "l_quantity", "_ordinal", *_link(columns)), columns)
 
 
 def ratings(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     ok = F.col("l_orderkey")
-    reader = F.when(ok % 100 == 2, F.col("o_custkey") + 1000000).otherwise(F.col("o_custkey"))
+    reader = _reader(ok, 2)
     book = F.when(ok % 127 == 9, F.col("l_partkey") + 10000000).otherwise(F.col("l_partkey"))
     return _asked(_lines(spark, sf_dir, ok % 199 == 4, columns is None or "reader_id" in columns).select(
         _none_if(ok % 311 == 6, ok * 8 + F.col("l_linenumber")).alias("rating_id"), reader.alias("reader_id"),
         book.alias("book_id"), (F.col("l_quantity").cast("long") % 7).alias("rating"),
-        F.col("l_shipdate").alias("rating_date"), "l_suppkey", "l_extendedprice", "_ordinal"), columns)
+        F.col("l_shipdate").alias("rating_date"), "l_suppkey", "l_extendedprice", "_ordinal", *_link(columns)), columns)
 
 
 def decode_props(props) -> Column:
@@ -136,5 +148,23 @@ ADAPTERS = {"readers": readers, "books": books, "loans": loans, "ratings": ratin
             "access_events": access_events}
 
 
+LINK = "_order"
+READER_REST = {"loans": 1, "ratings": 2}
+# columns that come from a join which grows with the data, by dataset
+LATE = {name: {"reader_id"} for name in READER_REST}
+
+
+def later(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame) -> DataFrame:
+    """Rows read with ``_order`` and without the columns ``LATE`` -> with these, as the adapter gives them."""
+    return _with_orders(spark, sf_dir, rows, LINK).withColumn("reader_id", _reader(F.col(LINK), READER_REST[name])).drop(
+        LINK, "o_orderkey", "o_custkey")
+
+
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders that a row finds several times: o_orderkey, times."""
+    orders = table(spark, sf_dir, "orders").where("o_orderkey is not null")
+    return orders.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+
+
 def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: fn(spark, sf_dir) for name, fn in ADAPTERS.items()}

@@ -69,3 +69,39 @@ def test_recheck_reads_narrow_bronze(spark):
     narrow = rows(QR.recheck(q, ch.raw("loans"), c, ch.refs, td.LATER_AS_OF, only=only))
     assert narrow == rows(QR.recheck(q, ch.raw("loans"), c, ch.refs, td.LATER_AS_OF)) and narrow
     assert asked == [{"loan_id", "loan_date", "l_suppkey", "l_extendedprice", "book_id", "l_quantity", "_ordinal"}]
+
+
+def _tables(spark, path) -> str:
+    """Lines with repeated keys and lines, orders that are missing or come twice."""
+    lines = [(o, n, 10 * o + n, o % 4, 1, float(n), f"199{o % 9}-01-0{1 + n % 5}") for o in range(1, 130) for n in (1, 2, 2, 3)]
+    lines += [lines[5], lines[5], (None, 1, 11, 1, 1, 1.0, "1995-01-01"), (7, None, 11, 1, 1, 1.0, "1995-01-01"), (8, 1, None, None, None, None, "2003-01-01")]
+    frames = {"lineitem": spark.createDataFrame(lines, "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_quantity long, l_extendedprice double, d string")
+              .withColumn("l_shipdate", F.col("d").cast("timestamp_ntz")).drop("d"),
+              "orders": spark.createDataFrame([(o, o % 30) for o in [*range(1, 120), 3, 3, 50]] + [(None, 1)], "o_orderkey long, o_custkey long"),
+              "part": spark.range(600).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("LARGE").alias("p_type")),
+              "customer": spark.range(25).select(F.col("id").alias("c_custkey"), F.lit("n").alias("c_name"), F.lit(1).alias("c_nationkey")),
+              "nation": spark.createDataFrame([(1, "x")], "n_nationkey int, n_name string")}
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_valid_rows_are_those_without_a_flag(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    for name in td.LATE:
+        ch = Chain(spark, sf)
+        fl = ch.flagged(name)
+        rows = lambda df: sorted(map(str, df.collect()))
+        want = rows(fl.valid().select(*ch.raw(name).columns))
+        assert rows(ch.valid(name)) == want and 0 < len(want) < ch.raw(name).count()
+        got = ch.counts(name).first()
+        assert (got["n"], got["n_invalid"]) == (fl.df.count(), fl.df.count() - len(want))
+        assert rows(Q.report_of(name, ch.counts(name), F.col("n_invalid") == 0)) == rows(Q.dataset_report(fl))
+
+
+def test_valid_rows_meet_their_keys_in_one_shuffle(spark):
+    ch = Chain(spark, SF_SMALL)
+    plan = ch.silver("loans")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_dfirst" not in plan and plan.count("Relation [l_orderkey") == 1
+    # orders join the firsts of keys, not all lines
+    assert plan.index("Relation [o_orderkey") > plan.index("Aggregate [") or plan.index("Join LeftOuter") < plan.index("Aggregate [")
