@@ -8,7 +8,9 @@ start (by a 64-bit digest, as the shingles), so copies are never paired. Two cla
 point. Two sets share at most the sum of the coordinate minima of their points. An R-tree packs
 points by unit of work, size and leading coordinates; a node keeps the maximum of every coordinate and the ranges
 of units and sizes, which bounds the overlap of any two points below two nodes. One tree holds many units. Node pairs, then point pairs,
-whose bound misses the threshold are dropped; the surviving pairs are verified on the sets.
+whose bound misses the threshold are dropped. Counts of long texts scatter so that the bound drops few of their pairs: those
+that survive are held against parity marks, bitmaps that grow with the set and bound the shingles in which two sets differ
+from below. What is left is verified on the sets.
 
 *Shards.* At these thresholds one tree over all documents prunes little but by size (a text of n
 shingles may differ in n/10, while its coordinates scatter by the square root of their counts; see
@@ -21,7 +23,7 @@ more join the shards of their empty groups as well. Size classes overlap, so tha
 unequal sizes meets in the larger one's.
 
 *Large shards.* Members of a shard lie in blocks of ``BLOCK``. The first pass takes each block with the next one
-only, so that a member occurs twice at most, however large the shard is, and emits of each such unit's surviving pairs a maximum
+only, so that a member occurs twice at most, however large the shard is, looks at ``FEW`` of the large shards of a class, and emits of each such unit's surviving pairs a maximum
 spanning forest (by bounded similarity). Of these the ``PARTNERS`` best of each class, then of each component, are verified and
 joined to components, which contracts groups of near copies; then all others that still lie between components. The second pass looks at shards whose members still lie in several components: large components have blocks of
 their own, small ones share blocks, and pairs of blocks meet unless both hold one and the same component. It emits every
@@ -56,6 +58,7 @@ from lakehold.sources.scratch import materialise
 
 DIMENSIONS, LEAF, BLOCK = 64, 32, 512
 CHUNK, PARTNERS, ROUNDS = 16_384, 3, 2  # rows under one tree; pairs per class in each of the first rounds of verification
+FEW = 2  # large shards of a class that the first pass looks at
 SLOTS = 1 << 16, 1 << 27  # least and most of the bitmap that preselects documents for verification
 
 # odd 64-bit multipliers that spread bits
@@ -151,11 +154,41 @@ def points_of(stored: list[bytes]) -> np.ndarray:
     return (np.stack(rows) if wide and rows else np.concatenate(rows or [np.zeros(0, "u1")])).reshape(-1, DIMENSIONS).astype(np.int32)
 
 
+MARKS = 64, 4096  # least and most bytes of a set's parity marks
+
+
+def parity(hashes: np.ndarray) -> bytes:
+    """Bitmap of two to four bits a shingle, each the parity of the shingles that fall on it. Where two bitmaps differ
+    in d bits, the sets differ in d shingles at least."""
+    size = min(max(MARKS[0], 1 << (len(hashes) // 4).bit_length()), MARKS[1])
+    place = ((hashes * _C) >> np.uint64(40)).astype(np.int64) & (8 * size - 1)
+    return np.packbits((np.bincount(place, minlength=8 * size) & 1).astype(bool)).tobytes()
+
+
+def differing(a: np.ndarray, b: np.ndarray, marks: list[bytes]) -> np.ndarray:
+    """The least number of shingles in which the sets of pairs differ; a longer bitmap is folded onto the shorter."""
+    length = np.array([len(m) for m in marks], np.int64)
+    least, out = np.minimum(length[a], length[b]), np.zeros(len(a), np.int64)
+    for size in np.unique(least).tolist():
+        of = np.flatnonzero(least == size)
+        used = np.unique(np.concatenate((a[of], b[of])))
+        folded = np.zeros((len(used), size // 8), np.uint64)
+        for long in np.unique(length[used]).tolist():
+            rows = np.flatnonzero(length[used] == long)
+            stored = np.frombuffer(b"".join(marks[i] for i in used[rows].tolist()), np.uint64)
+            folded[rows] = np.bitwise_xor.reduce(stored.reshape(len(rows), long // size, size // 8), 1)
+        x, y = np.searchsorted(used, a[of]), np.searchsorted(used, b[of])
+        for i in range(0, len(of), 8192):
+            s = slice(i, i + 8192)
+            out[of[s]] = np.bitwise_count(folded[x[s]] ^ folded[y[s]]).sum(1, dtype=np.int64)
+    return out
+
+
 def digest(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-SKETCH = "doc_id long, n_shingles long, class long, point binary"
+SKETCH = "doc_id long, n_shingles long, class long, point binary, marks binary"
 
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
@@ -166,7 +199,8 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
             sets = [shingles(t) for t in batch.column("text").to_pylist()]
             yield {"doc_id": batch.column("doc_id"), "n_shingles": [len(s) for s in sets],
                    "class": [digest(s) if len(s) else None for s in sets],
-                   "point": [point(s).tobytes() if len(s) else None for s in sets]}
+                   "point": [point(s).tobytes() if len(s) else None for s in sets],
+                   "marks": [parity(s) if len(s) else None for s in sets]}
 
     return mapped(docs.select("doc_id", "text"), run, SKETCH)
 
@@ -280,7 +314,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarr
 
 
 def unit_pairs(unit: np.ndarray, ids: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, label: np.ndarray,
-               num: int, den: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+               num: int, den: int, whole: bool, marks: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidate pairs of whole units, with the most that their similarity can be.
 
     Per unit a spanning forest of the pairs that have a member on side 0; or (``whole``) all pairs between labels, which
@@ -295,6 +329,10 @@ def unit_pairs(unit: np.ndarray, ids: np.ndarray, sizes: np.ndarray, points: np.
         two[unit[side == 1]] = True
         fine &= ~two[unit[a]] | (side[a] != side[b])
     a, b = a[fine], b[fine]
+    if marks is not None and len(a):
+        total, differ = sizes[a] + sizes[b], differing(a, b, marks)
+        fine = differ * (den + num) <= total * (den - num)
+        a, b = a[fine], b[fine]
     weight = bounded(a, b, points, sizes)
     if not whole and len(a) > 1:
         pick = forest(len(ids), a, b, weight)
@@ -303,14 +341,15 @@ def unit_pairs(unit: np.ndarray, ids: np.ndarray, sizes: np.ndarray, points: np.
 
 
 def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
-    """(shard, unit, side, class, size, point, label) -> distinct candidate pairs a < b, with their weight."""
+    """(shard, unit, side, class, size, point, marks, label) -> distinct candidate pairs a < b, with their weight."""
     rows = shared.withColumn("unit", F.concat_ws(":", "shard", "unit")).repartition("unit").sortWithinPartitions("unit", "class")
 
     def run(batches) -> Iterator[dict]:
         def work(table: pa.Table) -> dict:
             side, ids, sizes, label = (table.column(c).to_numpy() for c in ("side", "class", "size", "label"))
             unit = table.column("unit").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
-            a, b, weight = unit_pairs(unit, ids, sizes, points_of(table.column("point").to_pylist()), side, label, num, den, whole)
+            a, b, weight = unit_pairs(unit, ids, sizes, points_of(table.column("point").to_pylist()), side, label, num, den, whole,
+                                      table.column("marks").to_pylist())
             return {"a": pa.array(a), "b": pa.array(b), "weight": pa.array(weight)}
 
         held: list[pa.Table] = []
@@ -331,7 +370,7 @@ def candidates(shared: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
         if size:
             yield work(pa.concat_tables(held).combine_chunks())
 
-    found = mapped(rows.select("unit", "side", "class", "size", "point", "label"), run, "a long, b long, weight double")
+    found = mapped(rows.select("unit", "side", "class", "size", "point", "marks", "label"), run, "a long, b long, weight double")
     return found.groupBy("a", "b").agg(F.max("weight").alias("weight"))
 
 
@@ -396,6 +435,15 @@ def shared_members(keys: DataFrame) -> DataFrame:
     return numbered(found.where("place is null"), "shard").unionByName(found.where("place is not null"))
 
 
+def thinned(members: DataFrame) -> DataFrame:
+    """Members for the first pass: of shards larger than a block, each class keeps its first ``FEW``. Near copies share
+    nearly all their shards and so meet in these; the second pass sees every shard."""
+    large = members.where(F.col("place") >= BLOCK).select("shard").distinct()
+    order = Window.partitionBy("class").orderBy("shard")
+    some = members.join(large, "shard", "left_semi").withColumn("n", F.row_number().over(order)).where(F.col("n") <= FEW).drop("n")
+    return members.join(large, "shard", "left_anti").unionByName(some)
+
+
 def first_units(members: DataFrame) -> DataFrame:
     """(shard, class, place, ...) -> with unit and side: each block with the one after it."""
     block = (F.col("place") / BLOCK).cast("long")
@@ -482,11 +530,12 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
     able = sk.where("doc_id is not null and class is not null")
     # size, point and a document of the classes that share a shard with another
     paired = members.select("class").distinct()
-    first = materialise(able.select("class", "doc_id", F.col("n_shingles").alias("size"), "point").join(paired, "class", "left_semi").groupBy(
-        "class").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("point").alias("point")), "ngram-classes")
-    placed = lambda df: df.join(first.select("class", "size", "point"), "class")
+    first = materialise(able.select("class", "doc_id", F.col("n_shingles").alias("size"), "point", "marks").join(paired, "class", "left_semi").groupBy(
+        "class").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("point").alias("point"),
+        F.first("marks").alias("marks")), "ngram-classes")
+    placed = lambda df: df.join(first.select("class", "size", "point", "marks"), "class")
 
-    tried = materialise(candidates(placed(first_units(members)).withColumn("label", F.col("class")), num, den, whole=False), "ngram-pairs")
+    tried = materialise(candidates(placed(first_units(thinned(members))).withColumn("label", F.col("class")), num, den, whole=False), "ngram-pairs")
     # the best pairs of each class or component, some times over; then the others that do not lie within a component by then
     member = None
 

@@ -189,3 +189,40 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert {r[0]: (r[1], r[2]) for r in op10_ngram_rtree(spark, sf).collect()} == plain.jaccard_components(rows, 3, 9, 10)
+
+
+def test_marks_bound_the_difference_from_below():
+    rng = np.random.default_rng(7)
+    sets = []
+    for n in (1, 40, 300, 3000, 30_000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        sets += [np.unique(base), np.unique(np.concatenate((base[n // 10:], rng.integers(0, 1 << 63, n // 5, dtype=np.uint64)))),
+                 np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))]
+    marks = [N.parity(s) for s in sets]
+    assert {len(m) for m in marks} == {64, 128, 1024, 4096}
+    a, b = (np.array(x) for x in zip(*[(i, j) for i in range(len(sets)) for j in range(i)]))
+    least = N.differing(a, b, marks)
+    real = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    assert (least <= real).all() and (least > 0).sum() > len(a) / 2
+
+
+def test_marks_drop_pairs_of_long_sets_that_counts_let_pass():
+    rng = np.random.default_rng(8)
+    part = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)  # shared by all: similarity about 0.5
+    sets = [np.unique(np.concatenate((part, rng.integers(0, 1 << 63, 750, dtype=np.uint64)))) for _ in range(20)]
+    near = np.unique(np.concatenate((sets[0][60:], sets[1][:10])))
+    sets.append(near)
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    given = (np.zeros(n, np.int64), np.arange(n), sizes, np.stack([N.point(s) for s in sets]).astype(np.int32), np.zeros(n, np.int64), np.arange(n), 4, 5, True)
+    assert len(N.unit_pairs(*given)[0]) > 100
+    a, b, _ = N.unit_pairs(*given, [N.parity(s) for s in sets])
+    assert list(zip(a.tolist(), b.tolist())) == [(0, 20)]
+
+
+def test_the_first_pass_takes_few_large_shards_of_a_class(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 4)
+    rows = [(s, c, c) for s in range(30) for c in range(10)] + [(s, 100 + c, c) for s in range(40, 45) for c in range(3)]
+    members = spark.createDataFrame(rows, "shard long, class long, place long")
+    kept = [tuple(r) for r in N.thinned(members).select("shard", "class", "place").collect()]
+    assert sorted(kept) == sorted(r for r in rows if r[0] in (0, 1) or r[0] >= 40)
+    assert N.first_units(N.thinned(members)).count() == 2 * (10 + 6) + 15
