@@ -25,7 +25,7 @@ unequal sizes meets in the larger one's.
 *Large shards.* Members of a shard lie in blocks of ``BLOCK``. The first pass takes each block with the next one
 only, so that a member occurs twice at most, however large the shard is, looks at ``FEW`` of the large shards of a class, and emits of each such unit's surviving pairs a maximum
 spanning forest (by bounded similarity). Of these the ``PARTNERS`` best of each class, then of each component, are verified and
-joined to components, which contracts groups of near copies; then all others that still lie between components. The second pass looks at shards whose members still lie in several components: large components have blocks of
+joined to components, which contracts groups of near copies; then all others that still lie between components. The second pass looks at shards whose members still lie in several components (those of more than a block become one of their smallest class): large components have blocks of
 their own, small ones share blocks, and pairs of blocks meet unless both hold one and the same component. It emits every
 surviving pair between members of different components, so that no link that matters is lost.
 
@@ -452,6 +452,15 @@ def first_units(members: DataFrame) -> DataFrame:
     return members.withColumn("u", F.explode(F.filter(both, lambda u: u["unit"] != "-1"))).select("*", "u.unit", "u.side").drop("u")
 
 
+def gathered(members: DataFrame) -> DataFrame:
+    """(shard, class, label) -> those of shards with several components. Those shards that are larger than a block become
+    one of their smallest class: near copies share most of their shards, and need not be tried in each."""
+    torn = members.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("least"),
+                                        F.min("label").alias("from"), F.max("label").alias("to")).where("from <> to")
+    named = F.when(F.col("n") > BLOCK, F.col("least")).otherwise(F.col("shard"))
+    return members.join(torn.select("shard", "n", "least"), "shard").select(named.alias("shard"), "class", "label").distinct()
+
+
 def second_units(members: DataFrame) -> DataFrame:
     """(shard, class, label, ...) of shards with several components -> with unit and side.
 
@@ -567,7 +576,7 @@ def link_components(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
     # what is left: pairs of a shard whose members lie in different components
     labelled = members.join(member.withColumnRenamed("node", "class"), "class", "left").select(
         "shard", "class", F.coalesce("component", "class").alias("label"))
-    rest = candidates(placed(second_units(labelled)), num, den, whole=True)
+    rest = candidates(placed(second_units(materialise(gathered(labelled), "ngram-torn"))), num, den, whole=True)
     rest = materialise(rest.select("a", "b").join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
     if not rest.isEmpty():
         add(rest)

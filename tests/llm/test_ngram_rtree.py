@@ -226,3 +226,12 @@ def test_the_first_pass_takes_few_large_shards_of_a_class(spark, monkeypatch):
     kept = [tuple(r) for r in N.thinned(members).select("shard", "class", "place").collect()]
     assert sorted(kept) == sorted(r for r in rows if r[0] in (0, 1) or r[0] >= 40)
     assert N.first_units(N.thinned(members)).count() == 2 * (10 + 6) + 15
+
+
+def test_torn_large_shards_become_one_of_their_smallest_class(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 4)
+    rows = [(s, c, 1 if c < 9 else 2) for s in range(1000, 1030) for c in range(10)]          # torn, large
+    rows += [(2000, c, 7) for c in range(50, 60)] + [(2001, 70, 1), (2001, 71, 2)]            # one component; torn, small
+    members = spark.createDataFrame(rows, "shard long, class long, label long")
+    kept = sorted(tuple(r) for r in N.gathered(members).collect())
+    assert kept == [(0, c, 1 if c < 9 else 2) for c in range(10)] + [(2001, 70, 1), (2001, 71, 2)]
