@@ -7,10 +7,12 @@ the place of its first row, so the rows that meet them need not carry what order
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.operators.joins import join_keyset, key_set
+from lakehold.operators.joins import Marks, join_keyset, key_set
 
 DRAIN = "_drain"   # the micro-batch that landed a streamed row; row numbers begin anew in each
 # where a row stood in its source: run, micro-batch, file (by name, as text), block of the file, row number
@@ -74,6 +76,15 @@ def duplicate_keys(df: DataFrame, key: str, order: list[str], nulls_equal: bool
     return firsts.where("_dn > 1").select("_dk", F.struct(*[F.col(f"_dord.{c}") for c in place_of(order)]).alias("_dfirst"))
 
 
+def repeated_keys(narrow: Callable[[set], DataFrame], key: str, order: list[str]) -> tuple[DataFrame, Marks]:
+    """``duplicate_keys``, written, and marks over them. ``narrow(columns)`` gives the rows of a stored table with those
+    columns. Keys alone are counted first; what orders rows only moves for keys that may have several."""
+    counts = narrow({key}).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_dk")).agg(F.count(F.lit(1)).alias("_dn"))
+    marks = Marks.over(key_set(counts.where("_dn > 1").select("_dk")), "_dk")
+    some = marks.on(narrow({key, *order}), key).where("_may")
+    return key_set(with_slot(duplicate_keys(some, key, order))), marks
+
+
 def first_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The rows of ``df`` that are no duplicates: of each key the first by ``order``, which has to be total and
     end with the row's position, and every row with a null key.
@@ -87,10 +98,16 @@ def first_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def with_duplicate_flag(df: DataFrame, key: str, order: list[str], flag: str,
-                        nulls_equal: bool = False, dups: DataFrame | None = None) -> DataFrame:
+                        nulls_equal: bool = False, dups: DataFrame | None = None, marks: Marks | None = None) -> DataFrame:
     """``flag`` is true for every row of a key except its first by ``order``, which has to be total
     (see ``arrival_order``); rows are told apart by ``place_of`` it. Null keys never fail unless ``nulls_equal`` (then nulls form one
-    group). ``dups`` may carry the written key set."""
+    group). ``dups`` may carry the written key set, and ``marks`` those over it: rows without a mark stay out of the
+    join; ``df`` is read twice then."""
+    if marks is not None and not nulls_equal:
+        marked = marks.on(df, key)
+        # no null among them: the key alone deals them, which later groups by key may use
+        met = with_duplicate_flag(marked.where("_may").drop("_may"), key, order, flag, dups=dups.drop("_slot"))
+        return met.unionByName(marked.where("not _may").drop("_may").withColumn(flag, F.lit(False)))
     dups = dups if dups is not None else key_set(with_slot(duplicate_keys(df, key, order, nulls_equal)))
     same = _matches(key, nulls_equal)
     out = join_keyset(df, dups, same if nulls_equal else lambda big, keys: same(big, keys) & _spread(big, keys, key, place_of(order)))

@@ -6,7 +6,7 @@ invalid when any rule flags it; valid + invalid is a partition of the input.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakehold.contracts import CORRUPT_RULE, MISSING_COLUMN_DETAIL, QUALITY_GATE_MIN_PASS_RATE, Contract, Rule
 from lakehold.functions.rules import KEYED, STATELESS, as_of_for
 from lakehold.operators.joins import key_set
-from lakehold.operators.keys import arrival_order, duplicate_keys, first_rows, orphan_keys, with_duplicate_flag, with_fk_flag, with_position, with_slot
+from lakehold.operators.keys import arrival_order, duplicate_keys, first_rows, orphan_keys, repeated_keys, with_duplicate_flag, with_fk_flag, with_position, with_slot
 
 FAILED = "_failed_rules"
 
@@ -27,6 +27,7 @@ class Flagged:
     rules: tuple
     flag_cols: list
     missing: frozenset   # indexes of rules whose column is absent
+    repeated: dict = field(default_factory=dict)   # of a stored table: column -> its repeated keys and marks over them
 
     def valid(self) -> DataFrame:
         return self.df.where(F.size(F.col(FAILED)) == 0)
@@ -43,7 +44,7 @@ class Flagged:
 
     def on(self, df: DataFrame) -> Flagged:
         """The same flags over another copy of the rows."""
-        return Flagged(df, self.contract, self.rules, self.flag_cols, self.missing)
+        return Flagged(df, self.contract, self.rules, self.flag_cols, self.missing, self.repeated)
 
 
 def failed_array(df: DataFrame, flag_cols: list, rules: tuple):
@@ -54,11 +55,13 @@ def failed_array(df: DataFrame, flag_cols: list, rules: tuple):
 
 
 def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds: set | None = None,
-         only: Callable[[set], DataFrame] | None = None, which: Callable[[Rule], bool] | None = None) -> Flagged:
+         only: Callable[[set], DataFrame] | None = None, which: Callable[[Rule], bool] | None = None,
+         stored: bool = False) -> Flagged:
     """Evaluate the rules of ``c`` on ``df``. ``refs`` maps dataset -> DataFrame for fk rules;
     ``as_of`` is the instant for ``not_future`` (one value or dataset -> value). ``kinds`` limits the
     work to rules of these kinds, ``which`` to those it holds for; the others count as passed. ``only(columns)`` gives the same rows, at the
-    same places, with those columns alone, where that is cheaper than ``df``; key sets are made from it.
+    same places, with those columns alone, where that is cheaper than ``df``; key sets are made from it. ``stored`` says that
+    these come from a written table, cheap to read again: rows whose key surely comes once then move nowhere to learn it.
 
     Key sets are only built for the keyed rules asked for; without any, the flags are one projection
     of the scan."""
@@ -78,7 +81,9 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
         r = c.rules[i]
         if i in missing:
             continue
-        if r.kind == "unique":
+        if r.kind == "unique" and stored:
+            sets[i] = lambda r=r: repeated_keys(narrow, r.column, order)
+        elif r.kind == "unique":
             sets[i] = lambda r=r: key_set(with_slot(duplicate_keys(narrow({r.column, *order}), r.column, order)))
         elif r.kind == "fk" and (ref := refs.get(r.param[0])) is not None and r.param[1] in ref.columns:
             sets[i] = lambda r=r, ref=ref: key_set(with_slot(orphan_keys(narrow({r.column}), r.column, ref, r.param[1])))
@@ -97,10 +102,12 @@ def flag(df: DataFrame, c: Contract, refs: dict | None = None, as_of=None, kinds
     out = df.withColumns(stateless) if stateless else df
     for i, r in enumerate(c.rules):
         if i in asked and i not in missing and r.kind == "unique":
-            out = with_duplicate_flag(out, r.column, order, flag_cols[i], dups=sets[i])
+            dups, marks = sets[i] if stored else (sets[i], None)
+            out = with_duplicate_flag(out, r.column, order, flag_cols[i], dups=dups, marks=marks)
         elif i in asked and i not in missing and r.kind == "fk":
             out = with_fk_flag(out, r.column, sets.get(i), flag_cols[i], (c.row_key, "_ordinal"))
-    return Flagged(out.withColumn(FAILED, failed_array(out, flag_cols, c.rules)), c, c.rules, flag_cols, missing)
+    repeated = {c.rules[i].column: sets[i] for i in sets if stored and c.rules[i].kind == "unique"}
+    return Flagged(out.withColumn(FAILED, failed_array(out, flag_cols, c.rules)), c, c.rules, flag_cols, missing, repeated)
 
 
 def valid_rows(df: DataFrame, c: Contract, refs: dict, as_of, only: Callable[[set], DataFrame], later: Callable[[DataFrame], DataFrame],

@@ -3,14 +3,15 @@ batches, and re-checking quarantined rows against the current rules."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehold.contracts import Contract
 from lakehold.operators import quality as Q
-from lakehold.operators.joins import join_keyset, key_set
-from lakehold.operators.keys import DRAIN, arrival_order, drain_of, order_struct
+from lakehold.operators.joins import Marks, join_keyset, key_set
+from lakehold.operators.keys import DRAIN, arrival_order, drain_of, order_struct, with_duplicate_flag
 from lakehold.operators.silver import drop_control
 
 
@@ -56,9 +57,10 @@ def pending(batch_df: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict, as_of,
-            only: Callable[[set], DataFrame] | None = None) -> Q.Flagged:
+            only: Callable[[set], DataFrame] | None = None, repeated: tuple[DataFrame, Marks] | None = None) -> Q.Flagged:
     """Re-validate quarantined rows under the current rules. ``only(columns)`` gives the rows of ``bronze``
-    with those columns alone, where that is cheaper.
+    with those columns alone, where that is cheaper. ``repeated`` are its ``repeated_keys``, where it is one run
+    without micro-batches and they are known: the other keys need not be sought there.
 
     - Equal data rows, from one run or several, are one candidate, of the latest run that
       quarantined it.
@@ -73,7 +75,12 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     copies = quarantined.select(*data, run.alias("_bronze_run_id"), drain_of(quarantined).alias(DRAIN), place.alias("_ordinal"))
     key = c.key
     if key is None:
-        copies = copies.withColumn("_first", F.lit(True))
+        sides = [copies.withColumn("_first", F.lit(True))]
+    elif repeated is not None:
+        dups, marks = repeated
+        marked = marks.on(copies, key)
+        met = with_duplicate_flag(marked.where("_may").drop("_may"), key, ["_ordinal"], "_later", dups=dups.drop("_slot"))
+        sides = [met.withColumn("_first", ~F.col("_later")).drop("_later"), marked.where("not _may").drop("_may").withColumn("_first", F.lit(True))]
     else:
         # the first row per key and run in Bronze, for the candidates' keys only
         asked = key_set(copies.select(F.col(key).alias("_ck")).where("_ck is not null").distinct())
@@ -85,9 +92,10 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
         firsts = rows.groupBy(F.col(key).alias("_ck"), of_run.alias("_cr")).agg(least.alias("_m")).select(
             "_ck", "_cr", F.struct(F.col("_m.d").alias("d"), F.col("_m.o._ordinal").alias("n")).alias("_cf"))
         copies = copies.join(key_set(firsts), (F.col(key) == F.col("_ck")) & (F.col("_bronze_run_id") == F.col("_cr")), "left")
-        copies = copies.withColumn("_first", F.col(key).isNull() | F.coalesce((F.col("_cf.d") == F.col(DRAIN)) & (F.col("_cf.n") == F.col("_ordinal")), F.lit(False)))
+        sides = [copies.withColumn("_first", F.col(key).isNull() | F.coalesce((F.col("_cf.d") == F.col(DRAIN)) & (F.col("_cf.n") == F.col("_ordinal")), F.lit(False)))]
     latest = F.max(F.struct("_bronze_run_id", "_first", DRAIN, (-F.col("_ordinal")).alias("_back")))
-    cand = copies.groupBy(*data).agg(latest.alias("_pick")).select(
+    # equal rows have one key, so they are all on one side of the marks; rows that met their key need no second shuffle
+    cand = reduce(DataFrame.unionByName, [side.groupBy(*data).agg(latest.alias("_pick")) for side in sides]).select(
         *data, F.nullif(F.col("_pick._bronze_run_id"), F.lit("")).alias("_bronze_run_id"),
         F.col(f"_pick.{DRAIN}").alias(DRAIN), (-F.col("_pick._back")).alias("_ordinal"), F.col("_pick._first").alias("_first"))
     # candidates hold the values of the quarantined rows: their orphans are sought there, without making candidates again
@@ -99,6 +107,16 @@ def recheck(quarantined: DataFrame, bronze: DataFrame, c: Contract, refs: dict,
     return fl.on(df.withColumn(Q.FAILED, Q.failed_array(df, fl.flag_cols, fl.rules)).drop("_first"))
 
 
-def merge_into_bronze(bronze: DataFrame, returned: DataFrame) -> DataFrame:
-    """Bronze rows (control columns dropped) plus returned rows, whole-row distinct."""
-    return drop_control(bronze.drop("run_id")).unionByName(drop_control(returned)).distinct()
+def merge_into_bronze(bronze: DataFrame, returned: DataFrame, key: str | None = None, repeated: Marks | None = None) -> DataFrame:
+    """Bronze rows (control columns dropped) plus returned rows, whole-row distinct.
+
+    ``repeated`` marks the values of ``key`` that several rows of ``bronze`` have. Where they are known, a row whose
+    key is neither one of them nor null nor returned has no equal, and is not moved to meet one. ``bronze`` and
+    ``returned`` are read twice then and should be written tables."""
+    rows, back = drop_control(bronze.drop("run_id")), drop_control(returned)
+    if key is None or repeated is None:
+        return rows.unionByName(back).distinct()
+    marked = Marks.over(back.where(F.col(key).isNotNull()), key).on(repeated.on(rows, key, "_several"), key, "_back")
+    alone = ~F.col("_several") & ~F.col("_back") & F.col(key).isNotNull()
+    met = drop_control(marked.where(~alone)).unionByName(back).distinct()
+    return met.unionByName(drop_control(marked.where(alone)))

@@ -2,6 +2,7 @@
 reprocessing and monitoring (over the monthly replay of the given tables)."""
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehold.contracts import ALL_DATASETS, QUALITY_GATE_MIN_PASS_RATE, REPROCESS_REASON, SILVER_REASON
@@ -148,7 +149,9 @@ LATER = "2002-01-01 00:00:00"
 
 
 def _quarantined(ch: Chain) -> dict:
-    """The rows that the replayed run quarantines, of every dataset; written, so that flags are evaluated once."""
+    """The rows that the replayed run quarantines, of every dataset; written, so that flags are evaluated once.
+    So are the lines: they are flagged, quarantined, re-checked and merged."""
+    ch.store_lines()
     ch.flag_all()
     rows = run_all([lambda ds=ds: materialise(QR.quarantine_rows(ch.flagged(ds), SILVER_REASON, BATCH_1, RUN_TS), "quarantined")
                     for ds in ALL_DATASETS])
@@ -157,7 +160,8 @@ def _quarantined(ch: Chain) -> dict:
 
 def _rechecked(ch: Chain, quarantined: dict) -> dict:
     again = run_all([lambda ds=ds, q=q: QR.recheck(q, ch.raw(ds), CONTRACTS[ds], ch.refs, td.LATER_AS_OF,
-                                                     only=lambda columns: ch.raw(ds, columns))
+                                                     only=lambda columns: ch.raw(ds, columns),
+                                                     repeated=ch.flagged(ds).repeated.get(CONTRACTS[ds].key))
                      for ds, q in quarantined.items()])
     return dict(zip(quarantined, again, strict=True))
 
@@ -240,12 +244,16 @@ def _merge_sql(ds: str, cte: str, key: str, rules) -> str:
 def reprocess_merge(spark, sf_dir):
     """Bronze after the returned rows were merged: different rows per key."""
     ch = Chain(spark, sf_dir)
-    frames = []
-    for ds, fl in _reprocessed(ch).items():
-        merged = QR.merge_into_bronze(ch.raw(ds), fl.valid().select(*fl.public_columns()))
-        frames.append(merged.groupBy(F.col(CONTRACTS[ds].row_key).cast("string").alias("row_key")).agg(
-            F.count(F.lit(1)).alias("n_rows")).select(F.lit(ds).alias("dataset"), "row_key", "n_rows"))
-    return _union(frames)
+    again = _reprocessed(ch)
+
+    def merged(ds: str) -> DataFrame:
+        returned, key = again[ds].valid().select(*again[ds].public_columns()), CONTRACTS[ds].key
+        _, marks = ch.flagged(ds).repeated.get(key, (None, None))
+        return QR.merge_into_bronze(ch.raw(ds), returned if marks is None else materialise(returned, "returned"), key, marks)
+
+    frames = run_all([lambda ds=ds: merged(ds) for ds in ALL_DATASETS])
+    return _union(rows.groupBy(F.col(CONTRACTS[ds].row_key).alias("row_key")).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(ds).alias("dataset"), F.col("row_key").cast("string").alias("row_key"), "n_rows") for ds, rows in zip(ALL_DATASETS, frames, strict=True))
 
 
 @query("quarantine_listing", _chain_plus(Q_ALL_SQL, """

@@ -20,6 +20,8 @@ BASE_CONF = {
     # respect the advisory size when coalescing (no swarm of tiny tasks on a busy cluster)
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # also where what follows uses the join's partitions: it shuffles then, but only then
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # runtime (measured) size under which AQE turns a shuffle join into a broadcast
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",

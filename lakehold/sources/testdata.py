@@ -6,7 +6,7 @@ injected deterministically from the keys; no row is dropped. The same views exis
 ``lakehold.plans.oracle`` for the DuckDB cross-check.
 
 ``columns`` names the columns that are needed (None: all); joins that serve none of them are left
-out. ``later`` adds what they would have given to rows that were read without, by the link ``_order``. ``_ordinal`` is a row's position in the scan, taken before any join.
+out. ``lines`` is the written table of ``lines_with_orders``. ``later`` adds what they would have given to rows that were read without, by the link ``_order``. ``_ordinal`` is a row's position in the scan, taken before any join.
 """
 from __future__ import annotations
 
@@ -47,11 +47,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _copied(df: DataFrame, twice: Column) -> DataFrame:
+    """Rows of ``twice`` come two times; positions are doubled, so that copies have their own."""
+    copies = F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return df.withColumn("_copy", copies).withColumn("_ordinal", F.col("_ordinal") * 2 + F.col("_copy")).drop("_copy")
+
+
 def _placed(df: DataFrame, twice: Column) -> DataFrame:
     """Rows with their scan position; those of ``twice`` come two times."""
-    copies = F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    return df.withColumn("_ordinal", F.monotonically_increasing_id()).withColumn("_copy", copies).withColumn(
-        "_ordinal", F.col("_ordinal") * 2 + F.col("_copy")).drop("_copy")
+    return _copied(df.withColumn("_ordinal", F.monotonically_increasing_id()), twice)
 
 
 def _asked(df: DataFrame, columns) -> DataFrame:
@@ -90,9 +94,22 @@ def books(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
         F.col("p_type").alias("genre"), year.alias("year"), "_ordinal"), columns)
 
 
-def _lines(spark: SparkSession, sf_dir: str, twice: Column, with_orders: bool) -> DataFrame:
-    li = _placed(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"), twice)
+def _line_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+
+
+def lines_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What loans and ratings have in common, to be written where it is read often: lines at their scan
+    positions, each with its order."""
+    li = _line_columns(spark, sf_dir).withColumn("_ordinal", F.monotonically_increasing_id())
+    return _with_orders(spark, sf_dir, li, "l_orderkey").drop("o_orderkey")
+
+
+def _lines(spark: SparkSession, sf_dir: str, twice: Column, with_orders: bool, stored: DataFrame | None) -> DataFrame:
+    if stored is not None:
+        return _copied(stored, twice)
+    li = _placed(_line_columns(spark, sf_dir), twice)
     if not with_orders:
         return li.withColumn("o_custkey", F.lit(None).cast("long"))
     return _with_orders(spark, sf_dir, li, "l_orderkey")
@@ -112,21 +129,21 @@ def _link(columns) -> list[Column]:
     return [F.col("l_orderkey").alias("_order")] if columns is not None and "_order" in columns else []
 
 
-def loans(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+def loans(spark: SparkSession, sf_dir: str, columns=None, lines: DataFrame | None = None) -> DataFrame:
     ok = F.col("l_orderkey")
     reader = _reader(ok, 1)
     book = F.when(ok % 91 == 2, F.lit(None).cast("long")).when(ok % 113 == 7, F.col("l_partkey") + 10000000).otherwise(F.col("l_partkey"))
-    return _asked(_lines(spark, sf_dir, ok % 211 == 3, columns is None or "reader_id" in columns).select(
+    return _asked(_lines(spark, sf_dir, ok % 211 == 3, columns is None or "reader_id" in columns, lines).select(
         _none_if(ok % 307 == 5, ok * 8 + F.col("l_linenumber")).alias("loan_id"), reader.alias("reader_id"),
         book.alias("book_id"), F.col("l_shipdate").alias("loan_date"),
         "l_suppkey", "l_extendedprice", "l_quantity", "_ordinal", *_link(columns)), columns)
 
 
-def ratings(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, columns=None, lines: DataFrame | None = None) -> DataFrame:
     ok = F.col("l_orderkey")
     reader = _reader(ok, 2)
     book = F.when(ok % 127 == 9, F.col("l_partkey") + 10000000).otherwise(F.col("l_partkey"))
-    return _asked(_lines(spark, sf_dir, ok % 199 == 4, columns is None or "reader_id" in columns).select(
+    return _asked(_lines(spark, sf_dir, ok % 199 == 4, columns is None or "reader_id" in columns, lines).select(
         _none_if(ok % 311 == 6, ok * 8 + F.col("l_linenumber")).alias("rating_id"), reader.alias("reader_id"),
         book.alias("book_id"), (F.col("l_quantity").cast("long") % 7).alias("rating"),
         F.col("l_shipdate").alias("rating_date"), "l_suppkey", "l_extendedprice", "_ordinal", *_link(columns)), columns)

@@ -4,13 +4,15 @@ from pyspark.sql import functions as F
 
 from lakehold.operators import quality as Q
 from lakehold.operators import quarantine as QR
-from lakehold.operators.keys import duplicate_keys
+from lakehold.operators.joins import Marks, key_set
+from lakehold.operators.keys import duplicate_keys, repeated_keys, with_duplicate_flag
 from lakehold.plans import replay as RP
 from lakehold.plans.derived import Chain
 from lakehold.plans.registry import queries
 from lakehold.sources import testdata as td
 from lakehold.sources.testdata import CONTRACTS
 from lakehold_suite import SF_SMALL
+from test_shuffle_path import no_broadcast
 
 
 def _line_scans(df) -> int:
@@ -105,3 +107,95 @@ def test_valid_rows_meet_their_keys_in_one_shuffle(spark):
     assert "_dfirst" not in plan and plan.count("Relation [l_orderkey") == 1
     # orders join the firsts of keys, not all lines
     assert plan.index("Relation [o_orderkey") > plan.index("Aggregate [") or plan.index("Join LeftOuter") < plan.index("Aggregate [")
+
+
+def _sorted(df, *columns) -> list:
+    return sorted(map(str, (df.select(*columns) if columns else df).collect()))
+
+
+def test_marks_leave_no_key_out(spark):
+    keys = key_set(spark.range(0, 60_000, 3).select(F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(-F.col("id")).alias("k")))
+    marks = Marks.over(keys, "k")
+    assert marks.on(keys, "k").where("not _may").count() == 0
+    others = marks.on(spark.range(100_000, 200_000).select(F.col("id").alias("k"), F.lit(1).alias("v")), "k")
+    assert others.columns == ["k", "v", "_may"] and others.where("_may").count() < 8_000
+    none = spark.createDataFrame([(None,), (3,)], "k long")
+    assert [r["_may"] for r in marks.on(none, "k").orderBy("k").collect()] == [False, False]   # 3 is odd: -3 is held
+    assert Marks.over(key_set(none.where("false")), "k").on(keys, "k").where("_may").count() == 0
+    texts = key_set(keys.select(F.col("k").cast("string").alias("k")))
+    assert Marks.over(texts, "k").on(texts, "k").where("not _may").count() == 0
+
+
+def test_repeated_keys_move_only_their_rows(spark):
+    # every third row has key 7, or none, or a key of its own
+    rows = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") + 100).alias("k"),
+                                     (-F.col("id")).alias("at"), F.col("id").alias("_ordinal"))
+    stored, asked = key_set(rows), []
+
+    def narrow(columns):
+        asked.append(columns)
+        return stored.select(*columns)
+
+    dups, marks = repeated_keys(narrow, "k", ["at", "_ordinal"])
+    assert asked == [{"k"}, {"k", "at", "_ordinal"}]
+    assert [(r["_dk"], r["_dfirst"]["_ordinal"]) for r in dups.collect()] == [(7, 8_997)]
+    with no_broadcast(spark):
+        got = with_duplicate_flag(stored, "k", ["at", "_ordinal"], "twice", dups=dups, marks=marks)
+        assert _sorted(got, "_ordinal", "twice") == _sorted(with_duplicate_flag(stored, "k", ["at", "_ordinal"], "twice"), "_ordinal", "twice")
+        assert got.where("twice").count() == 2_999
+
+
+def _stored(spark, path) -> Chain:
+    ch = Chain(spark, path)
+    ch.store_lines()
+    return ch
+
+
+def test_stored_lines_give_the_same_rows_and_flags(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    plain, stored = Chain(spark, sf), _stored(spark, sf)
+    for name in td.LATE:
+        columns = plain.raw(name).columns
+        assert stored.raw(name).dtypes == plain.raw(name).dtypes
+        assert _sorted(stored.raw(name)) == _sorted(plain.raw(name))
+        narrow = {columns[0], "reader_id", td.LINK}
+        assert _sorted(stored.raw(name, narrow)) == _sorted(plain.raw(name, narrow))
+        with no_broadcast(spark):
+            assert _sorted(stored.flagged(name).df, *columns, Q.FAILED) == _sorted(plain.flagged(name).df, *columns, Q.FAILED)
+
+
+def test_recheck_and_merge_with_repeated_keys(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    for name in td.LATE:
+        ch, c = _stored(spark, sf), CONTRACTS[name]
+        q = key_set(QR.quarantine_rows(ch.flagged(name), "reason", "batch", "2026-01-01T00:00:00"))
+        dups, marks = ch.flagged(name).repeated[c.key]
+        with no_broadcast(spark):
+            was = QR.recheck(q, ch.raw(name), c, ch.refs, td.LATER_AS_OF)
+            now = QR.recheck(q, ch.raw(name), c, ch.refs, td.LATER_AS_OF, repeated=(dups, marks))
+            columns = [*was.public_columns(), "_ordinal", Q.FAILED]
+            assert _sorted(now.df, *columns) == _sorted(was.df, *columns) and now.df.count() > 0
+            # what is returned need not lie in Bronze, and may lie there several times
+            back = key_set(ch.raw(name).where("l_suppkey = 1").select(*now.public_columns()))
+            other = back.limit(3).withColumn("l_suppkey", F.lit(77).cast("long")).unionByName(back.limit(2).withColumn(c.key, F.lit(10**9).cast("long")))
+            back = key_set(back.unionByName(other).unionByName(other).unionByName(back.limit(1).withColumn(c.key, F.lit(None).cast("long"))))
+            want = QR.merge_into_bronze(ch.raw(name), back)
+            got = QR.merge_into_bronze(ch.raw(name), back, c.key, marks)
+            assert got.columns == want.columns and _sorted(got) == _sorted(want)
+            assert ch.raw(name).count() > want.count() > ch.raw(name).select(*back.columns).distinct().count()
+
+
+def test_reprocess_merge_counts_different_rows(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    spark.createDataFrame([(i, i, "view", '{"k": 1}', "2000-01-01") for i in (1, 2, 2)], "event_id long, user_id long, event_type string, props string, d string").select(
+        "event_id", "user_id", "event_type", "props", F.col("d").cast("timestamp_ntz").alias("ts")).write.parquet(f"{sf}/events.parquet")
+    merged = queries()["reprocess_merge"](spark, sf)
+    # returned rows are rows of Bronze: merging them adds none
+    ch, want = Chain(spark, sf), []
+    for name, c in CONTRACTS.items():
+        rows = ch.raw(name).drop("_ordinal").distinct().groupBy(F.col(c.row_key).cast("string").alias("row_key")).agg(F.count(F.lit(1)).alias("n_rows"))
+        want += [(name, r["row_key"], r["n_rows"]) for r in rows.collect()]
+    assert sorted(map(str, map(tuple, merged.collect()))) == sorted(map(str, want))
+    # lines met their orders once, before; whole rows are compared for repeated and returned keys alone
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan and plan.count("_several") > 0
